@@ -15,7 +15,7 @@ ONE_TASK_BYTES = 64 << 20
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimiser's size estimate; no job is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
