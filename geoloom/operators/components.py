@@ -38,7 +38,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node_id: str, by: S
     mark = None
     while True:
         state = materialise(_stars(state, by))
-        seen = state.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*by, "a", "b").cast("decimal(38,0)"))).first()
+        seen = tuple(state.agg(F.count(F.lit(1)), F.sum(F.hash(*by, "a", "b").cast("bigint")),
+                               F.bit_xor(F.xxhash64(*by, "a", "b"))).first())
         if seen == mark or seen[0] == 0:
             break
         mark = seen

@@ -19,6 +19,7 @@ from geoloom.functions import geometry as G
 from geoloom.operators import components, spatial
 
 EPS = 1e-6
+PIXEL_BLOCK = 8
 
 
 def pixel_view(patches: DataFrame, patch_id: str, bands: Sequence[str]) -> DataFrame:
@@ -83,13 +84,13 @@ def validate_patches(patches: DataFrame, bands: Sequence[str], expected_bands: i
     ``image_transform/mask_transform`` are compared when present; a NULL array is a missing file."""
     image_missing, mask_missing = F.col(bands[0]).isNull(), F.col(mask).isNull()
     n_bands = sum((F.col(b).isNotNull().cast("int") for b in bands[1:]), F.col(bands[0]).isNotNull().cast("int"))
-    present = lambda f: f(*[F.coalesce(g, F.lit(None)) for g in [F.array_max(b) if f is F.greatest else F.array_min(b)
-                                                                  for b in bands]])
+    top = F.greatest(*[F.array_max(b) for b in bands]) if len(bands) > 1 else F.array_max(bands[0])
+    low = F.least(*[F.array_min(b) for b in bands]) if len(bands) > 1 else F.array_min(bands[0])
     checks = [
         F.when(n_bands != expected_bands, F.concat(F.lit("Image bands="), n_bands.cast("string"))),
         F.when((F.col("width") != expected_size) | (F.col("height") != expected_size),
                F.concat(F.lit("Image size "), F.concat_ws("x", "width", "height"))),
-        F.when(present(F.greatest) == present(F.least), "Image is constant"),
+        F.when(top == low, "Image is constant"),
         F.when(F.size(mask) != F.col("width") * F.col("height"), "Mask size"),
         F.when(F.exists(mask, lambda v: ~v.isin(0, 1)), "Mask non-binary"),
     ]
@@ -148,22 +149,35 @@ def patch_feature_join(patches: DataFrame, features: DataFrame, patch_id: str, b
 def rasterize_mask(patches: DataFrame, features: DataFrame, patch_id: str, bin_size: float) -> DataFrame:
     """Pixels ``(patch, row, col)`` touched by any feature.
 
-    Each pair is expanded to the pixels of its common envelope, row by row; copies of a
-    pixel from several features are merged by the final distinct.
+    Pairs are first cut into small pixel blocks. A block no edge meets is wholly inside or
+    outside, so only blocks on an outline test their pixels one by one. Copies of a pixel
+    from several features are merged by the final distinct.
     """
     pairs = patch_feature_join(patches.select(patch_id, "height", "width", "a", "c", "e", "f"), features, patch_id, bin_size)
-    box = spatial._edge_box(F.col("edges"))
-    p = pairs.withColumn("_box", box)
-    def pixels(lo, hi, origin, step, length):
+    p = pairs.withColumn("_box", spatial._edge_box(F.col("edges")))
+    edges, k = F.col("edges"), PIXEL_BLOCK
+
+    def blocks(lo, hi, origin, step, length):
         u, v = (F.col(lo) - origin) / step, (F.col(hi) - origin) / step
         first = F.greatest(F.floor(F.least(u, v)).cast("int") - 1, F.lit(0))
         last = F.least(F.floor(F.greatest(u, v)).cast("int") + 1, length - 1)
-        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-    p = (p.withColumn("row", F.explode(pixels("_box.ymin", "_box.ymax", F.col("f"), F.col("e"), F.col("height"))))
-         .withColumn("col", F.explode(pixels("_box.xmin", "_box.xmax", F.col("c"), F.col("a"), F.col("width")))))
-    xs = (F.col("c") + F.col("col") * F.col("a"), F.col("c") + (F.col("col") + 1) * F.col("a"))
-    ys = (F.col("f") + F.col("row") * F.col("e"), F.col("f") + (F.col("row") + 1) * F.col("e"))
-    touched = G.polygon_intersects_box(F.col("edges"), F.least(*xs), F.least(*ys), F.greatest(*xs), F.greatest(*ys))
+        return F.when(first <= last, F.sequence(F.floor(first / k).cast("int"), F.floor(last / k).cast("int"))).otherwise(
+            F.array().cast("array<int>"))
+
+    def corners(row, col, span):
+        xs = (F.col("c") + col * F.col("a"), F.col("c") + (col + span) * F.col("a"))
+        ys = (F.col("f") + row * F.col("e"), F.col("f") + (row + span) * F.col("e"))
+        return F.least(*xs), F.least(*ys), F.greatest(*xs), F.greatest(*ys)
+
+    p = (p.withColumn("_br", F.explode(blocks("_box.ymin", "_box.ymax", F.col("f"), F.col("e"), F.col("height"))))
+         .withColumn("_bc", F.explode(blocks("_box.xmin", "_box.xmax", F.col("c"), F.col("a"), F.col("width")))))
+    square = corners(F.col("_br") * k, F.col("_bc") * k, k)
+    p = p.withColumn("_outline", F.exists(edges, lambda e: G.segment_meets_box(e, *square)))
+    p = p.filter(F.col("_outline") | G.point_in_polygon(edges, square[0], square[1]))
+    inner = F.sequence(F.lit(0), F.lit(k - 1))
+    p = (p.withColumn("row", F.explode(F.transform(inner, lambda i: F.col("_br") * k + i))).filter("row < height")
+         .withColumn("col", F.explode(F.transform(inner, lambda i: F.col("_bc") * k + i))).filter("col < width"))
+    touched = ~F.col("_outline") | G.polygon_intersects_box(edges, *corners(F.col("row"), F.col("col"), 1))
     return p.filter(touched).select(patch_id, "row", "col").distinct()
 
 

@@ -90,14 +90,18 @@ def sample_per_source(rows: DataFrame, budgets: DataFrame, by: Sequence[str], or
 
 
 def jitter_positions(rows: DataFrame, key: Sequence[str], jitter_m: float = 50.0, seed: int = 42,
-                     lon: str = "center_lon", lat: str = "center_lat") -> DataFrame:
-    """Uniform shift of up to ``jitter_m`` in both directions, in degrees of 111 km."""
+                     lon: str = "center_lon", lat: str = "center_lat",
+                     uniform: tuple[Column, Column] | None = None) -> DataFrame:
+    """Uniform shift of up to ``jitter_m`` in both directions, in degrees of 111 km.
+
+    ``uniform`` replaces the hash of the key by two given columns in [0, 1).
+    """
     if jitter_m == 0:
         return rows
     span = jitter_m / 111000.0
     keys = [F.col(k) for k in key]
-    shift = lambda salt: (2 * S.hash_uniform(*keys, seed=seed + salt) - 1) * span
-    return rows.withColumns({lon: F.col(lon) + shift(0), lat: F.col(lat) + shift(1)})
+    u = uniform or (S.hash_uniform(*keys, seed=seed), S.hash_uniform(*keys, seed=seed + 1))
+    return rows.withColumns({lon: F.col(lon) + (2 * u[0] - 1) * span, lat: F.col(lat) + (2 * u[1] - 1) * span})
 
 
 def negative_candidates(budgets: DataFrame, source: str, attempts: int = 20, seed: int = 42) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geoloom.functions import scalars as S
@@ -33,19 +34,19 @@ def restricted_features(features: DataFrame) -> DataFrame:
 def site_restrictions(sites: DataFrame, features: DataFrame, site_id: str, radius_m: float = 500.0) -> DataFrame:
     """Restricted features in the box around each site: the first few by feature id.
 
-    ``sites``: ``lon, lat``; ``features``: ``feature_id, lon, lat, name, type``. Only the few
-    smallest ids per site are kept: pairs are cut to them inside 64 parts per site first, so
-    a site amid very many features is spread over tasks.
+    ``sites``: ``lon, lat``; ``features``: ``feature_id, lon, lat, name, type``. The rank limit is
+    applied inside every map task before the shuffle, so a site amid very many features
+    sends only a few rows per task.
     """
     dlon, dlat = radius_m / METRES_PER_DEGREE_LON, radius_m / METRES_PER_DEGREE_LAT
     boxes = sites.select(site_id, (F.col("lon") - dlon).alias("x0"), (F.col("lon") + dlon).alias("x1"),
                          (F.col("lat") - dlat).alias("y0"), (F.col("lat") + dlat).alias("y1"))
     points = features.select("feature_id", "name", "type", F.col("lon").alias("x"), F.col("lat").alias("y"))
     hits = spatial.point_box_join(points, boxes, 2 * max(dlon, dlat)).select(site_id, "feature_id", "name", "type")
-    few = lambda c: F.slice(F.array_sort(c), 1, SHOWN)
-    part = hits.groupBy(site_id, F.pmod(F.xxhash64("feature_id"), F.lit(64)).alias("_part")).agg(
-        few(F.collect_list(F.struct("feature_id", "name", "type"))).alias("f"))
-    return part.groupBy(site_id).agg(few(F.flatten(F.collect_list("f"))).alias("_found")).select(
+    place = F.row_number().over(W.partitionBy(site_id).orderBy("feature_id"))
+    first = hits.withColumn("_place", place).filter(F.col("_place") <= SHOWN)
+    return first.groupBy(site_id).agg(
+        F.array_sort(F.collect_list(F.struct("feature_id", "name", "type"))).alias("_found")).select(
         site_id, F.transform("_found", lambda f: f["name"]).alias("restriction_names"),
         F.transform("_found", lambda f: f["type"]).alias("restriction_types"))
 
