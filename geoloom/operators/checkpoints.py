@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +26,18 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared checkpoint folder."""
+    use_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to reliable storage; later reads survive lost executors."""
-    use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a table in the shared folder and read it back.
+
+    Later reads survive lost executors, prune columns, and carry true sizes, so the
+    optimiser's choice of join does not rest on estimates compounded over rounds.
+    """
+    path = scratch_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

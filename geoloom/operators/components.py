@@ -9,19 +9,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geoloom.operators.checkpoints import materialise
-from geoloom.operators.skew import salted_join
+from geoloom.operators.skew import ROWS_PER_SALT, salted_join
 
 COLUMN_BLOCK = 64
 
 
-def _stars(edges: DataFrame, by: list[str]) -> DataFrame:
+def _stars(edges: DataFrame, by: list[str], salt: bool) -> DataFrame:
     """One large-star and one small-star step (Kiveris et al., SoCC 2014) on edges ``a > b``."""
     both = edges.unionByName(edges.select(*by, F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy(*by, "a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("n"))
-    large = salted_join(both, low.drop("n"), [*by, "a"], counts=low.drop("m")).filter("b > a").select(
+    large = salted_join(both, low.drop("n"), [*by, "a"], counts=low.drop("m"), salt=salt).filter("b > a").select(
         *by, F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
     low = large.groupBy(*by, "a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
-    linked = salted_join(large, low.drop("n"), [*by, "a"], counts=low.drop("m")).filter("b <> m").select(
+    linked = salted_join(large, low.drop("n"), [*by, "a"], counts=low.drop("m"), salt=salt).filter("b <> m").select(
         *by, F.col("b").alias("a"), F.col("m").alias("b"))
     return linked.unionByName(low.select(*by, "a", F.col("m").alias("b"))).distinct()
 
@@ -35,9 +35,11 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node_id: str, by: S
     by = list(by)
     state = edges.filter("a <> b").select(
         *by, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    mark = None
+    state = materialise(state)
+    mark = (state.count(),)
     while True:
-        state = materialise(_stars(state, by))
+        # Both directions of every edge: with fewer rows no node can be too large for a task.
+        state = materialise(_stars(state, by, 2 * mark[0] > ROWS_PER_SALT))
         seen = tuple(state.agg(F.count(F.lit(1)), F.sum(F.hash(*by, "a", "b").cast("bigint")),
                                F.bit_xor(F.xxhash64(*by, "a", "b"))).first())
         if seen == mark or seen[0] == 0:

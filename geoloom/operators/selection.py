@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import geometry as G
 from geoloom.operators.checkpoints import materialise
-from geoloom.operators.skew import salted_join
+from geoloom.operators.skew import ROWS_PER_SALT, salted_join
 from geoloom.operators.spatial import BIN, _sure_side, around, polyline_distance_join, nearest_join, with_bin
 
 
@@ -28,14 +28,15 @@ def _near(radius: float, inclusive: bool):
     return test
 
 
-def _with_centres(rows: DataFrame, centres: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+def _with_centres(rows: DataFrame, centres: DataFrame, counts: DataFrame | None = None,
+                  salt: bool | None = None) -> DataFrame:
     """Add ``_near``: the centres in the 5x5 bins around each binned row.
 
     Centres are farther apart than the radius, so the list has a small fixed bound.
     """
     fields = [c for c in centres.columns if c not in BIN]
     reach = around(centres, 2).groupBy(*BIN).agg(F.collect_list(F.struct(*fields)).alias("_near"))
-    return salted_join(rows, reach, BIN, "left", counts=counts)
+    return salted_join(rows, reach, BIN, "left", counts=counts, salt=salt)
 
 
 def spaced_ids(points: DataFrame, point_id: str, radius: float, priority: Sequence[Column] = (),
@@ -47,22 +48,24 @@ def spaced_ids(points: DataFrame, point_id: str, radius: float, priority: Sequen
     all such rows are taken at once (Blelloch, Fineman and Shun, SPAA 2012).
     """
     rank = F.struct(*[p.alias(f"p{i}") for i, p in enumerate(priority)], (-F.col(point_id)).alias("o"))
-    undecided = with_bin(points.select(F.col(point_id).alias("_id"), "x", "y", rank.alias("_rank")),
-                         _sure_side(radius))
+    undecided = materialise(with_bin(points.select(F.col(point_id).alias("_id"), "x", "y", rank.alias("_rank")),
+                                     _sure_side(radius)))
     near, kept = _near(radius, inclusive), []
-    while True:
+    rows = undecided.count()
+    while rows or not kept:
+        salt = rows > ROWS_PER_SALT  # with fewer rows left no bin can be too large
         best = undecided.groupBy(*BIN).agg(
             F.max(F.struct("_rank", "_id", "x", "y")).alias("c"), F.count(F.lit(1)).alias("n"))
         top = around(best.select(*BIN, F.col("c._rank").alias("r")), 2).groupBy(*BIN).agg(F.max("r").alias("top"))
         chosen = best.join(top, BIN).filter("c._rank = top").select(*BIN, "c._id", "c.x", "c.y")
-        seen = _with_centres(undecided, chosen, best.select(*BIN, "n"))
+        seen = _with_centres(undecided, chosen, best.select(*BIN, "n"), salt)
         took = F.coalesce(F.exists("_near", lambda c: c["_id"] == F.col("_id")), F.lit(False))
         lost = F.coalesce(F.exists("_near", near), F.lit(False))
         left = materialise(seen.withColumn("_kept", took).filter(took | ~lost).drop("_near"))
         kept.append(left.filter("_kept").select(F.col("_id").alias(point_id), "x", "y"))
         undecided = left.filter("NOT _kept").drop("_kept")
-        if undecided.isEmpty():
-            return reduce(DataFrame.unionByName, kept)
+        rows = undecided.count()
+    return reduce(DataFrame.unionByName, kept)
 
 
 def greedy_spaced_select(points: DataFrame, point_id: str, radius: float,
@@ -130,21 +133,22 @@ def dedup_detections(detections: DataFrame, point_id: str, min_dist_m: float = 1
     the count depends on how long the chains of overlapping rows are.
     """
     side, near = _sure_side(min_dist_m), _near(min_dist_m, True)
-    undecided = with_bin(detections.select(F.col(point_id).alias("_id"), "x", "y",
-                                           F.col("mean_confidence").alias("_conf")), side)
-    kept = []
-    while True:
+    undecided = materialise(with_bin(detections.select(F.col(point_id).alias("_id"), "x", "y",
+                                                       F.col("mean_confidence").alias("_conf")), side))
+    kept, rows = [], undecided.count()
+    while rows or not kept:
+        salt = rows > ROWS_PER_SALT
         first = undecided.groupBy(*BIN).agg(
             F.min(F.struct("_id", "x", "y", "_conf")).alias("c"), F.count(F.lit(1)).alias("n"))
         least = around(first.select(*BIN, F.col("c._id").alias("i")), 3).groupBy(*BIN).agg(F.min("i").alias("low"))
         heads = first.join(least, BIN).filter("c._id = low").select(*BIN, "c._id", "c.x", "c.y", "c._conf")
-        seen = _with_centres(undecided, heads, first.select(*BIN, "n"))
+        seen = _with_centres(undecided, heads, first.select(*BIN, "n"), salt)
         seen = seen.withColumn("_head", F.try_element_at(F.filter("_near", near), F.lit(1))).drop("_near")
         stop = seen.filter("_head IS NOT NULL").groupBy(F.col("_head._id").alias("_hid")).agg(
             F.min(F.when(F.col("_conf") > F.col("_head._conf"), F.col("_id"))).alias("_stop"),
             F.count(F.lit(1)).alias("n"))
         turn = salted_join(seen.withColumn("_hid", F.col("_head._id")), stop.drop("n"), ["_hid"], "left",
-                           counts=stop.select("_hid", "n"))
+                           counts=stop.select("_hid", "n"), salt=salt)
         is_head = F.col("_id") == F.col("_hid")
         dropped = F.when(is_head, F.col("_stop").isNotNull()).otherwise(
             (F.col("_conf") <= F.col("_head._conf")) & (F.col("_stop").isNull() | (F.col("_id") < F.col("_stop"))))
@@ -153,8 +157,8 @@ def dedup_detections(detections: DataFrame, point_id: str, min_dist_m: float = 1
                            .select("_id", "x", "y", "_conf", *BIN, "_kept"))
         kept.append(left.filter("_kept").select(F.col("_id").alias(point_id)))
         undecided = left.filter("NOT _kept").drop("_kept")
-        if undecided.isEmpty():
-            return detections.join(reduce(DataFrame.unionByName, kept), point_id, "left_semi")
+        rows = undecided.count()
+    return detections.join(reduce(DataFrame.unionByName, kept), point_id, "left_semi")
 
 
 def assign_to_seeds(cells: DataFrame, cell_id: str, seeds: DataFrame, radius: float,

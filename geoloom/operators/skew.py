@@ -13,9 +13,13 @@ MAX_HOT_KEYS = 10_000
 ONE_TASK_BYTES = 64 << 20
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimiser's size estimate; no job is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def input_bytes(df: DataFrame) -> int:
+    """Size of the tables ``df`` reads, from the optimiser's statistics; no job is run.
+
+    Tables, not the plan's own estimate: that multiplies the sizes of joined sides.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
@@ -38,12 +42,12 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
 
     ``counts`` (keys + ``n``) saves a pass over ``big`` when already known.
     ``condition`` may refer to columns of both sides (names must then be distinct).
-    Unless ``salt`` forces it, salting is left out when all of ``big`` is estimated
-    to fit one task, where no key can be too hot.
+    Unless ``salt`` forces it, salting is left out when the tables behind ``big`` together
+    are small enough for one task, where no key can be too hot.
     """
     keys = list(keys)
     if salt is None:
-        salt = estimated_bytes(big) > ONE_TASK_BYTES
+        salt = input_bytes(big) > ONE_TASK_BYTES
     if not salt:
         if condition is None:
             return big.join(small, keys, how)

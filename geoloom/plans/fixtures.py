@@ -95,8 +95,9 @@ def oracle(names: str, body: str) -> str:
     if not parts:
         return body
     more = body.lstrip()
-    if more.startswith("WITH "):
-        return f"WITH {', '.join(parts)}, {more[5:]}"
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if more.startswith(start):
+            return f"{start}{', '.join(parts)}, {more[len(start):]}"
     return f"WITH {', '.join(parts)} {body}"
 
 

@@ -199,10 +199,9 @@ def connected_components(spark, sf):
 
 
 DETECTED = COMPONENTS + """ SELECT c.patch_id, c.component, count(*) AS positive_pixels, round(avg(prob), 6) AS mean_confidence, round(max(prob), 6) AS max_confidence,
-    round(1000.0 + (min(col) + max(col)) / 2 * 0.6, 4) AS center_lon, round(2000.0 - (min(row) + max(row)) / 2 * 0.6, 4) AS center_lat, round(count(*) * 0.36, 4) AS area_m2,
-    round((max(col) - min(col) + 1) * 0.6, 4) AS bbox_width_m, round((max(row) - min(row) + 1) * 0.6, 4) AS bbox_height_m
+    round(1000.0 + (min(col) + max(col)) / 2 * 0.6E0, 4) AS center_lon, round(2000.0 - (min(row) + max(row)) / 2 * 0.6E0, 4) AS center_lat, round(count(*) * 0.36E0, 4) AS area_m2,
+    round((max(col) - min(col) + 1) * 0.6E0, 4) AS bbox_width_m, round((max(row) - min(row) + 1) * 0.6E0, 4) AS bbox_height_m
     FROM comp c JOIN px p ON c.patch_id = p.patch_id AND c.id = p.id GROUP BY c.patch_id, c.component HAVING count(*) >= 2"""
-DETECTION_DOUBLES = ("mean_confidence", "max_confidence", "center_lon", "center_lat", "area_m2", "bbox_width_m", "bbox_height_m")
 
 
 def detections(spark, sf, minimum):

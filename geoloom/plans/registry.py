@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.operators.checkpoints import use_checkpoint_dir
+from geoloom.operators.checkpoints import scratch_path as scratch  # noqa: F401
 from geoloom.plans.fixtures import oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,9 +27,3 @@ def query(name: str, fixtures: str | None = None, sql: str | None = None):
 
 def rounded(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in columns})
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared checkpoint location, for write-and-read-back queries."""
-    use_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"

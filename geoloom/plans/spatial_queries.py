@@ -289,7 +289,7 @@ def assigned_service_metrics(spark, sf):
     return rounded(rounded(out, "avg_dist_m", "max_dist_m", "gap_pct"), "assignment_cost", digits=2)
 
 
-@query("assignment_objective", "cells stations", f"""SELECT round(ac, 2) AS assignment_cost, n * {BUILD_COST} AS build_cost,
+@query("assignment_objective", "cells stations", f"""SELECT round(ac, 2) AS assignment_cost, n * {BUILD_COST}E0 AS build_cost,
     round(ac + n * {BUILD_COST}, 2) AS objective FROM (SELECT sum(c.demand_kw * a.dist_m * a.frac) AS ac FROM ({ASSIGNED}) a
     JOIN fx_cells c ON a.cell_id = c.cell_id) s, (SELECT count(*) AS n FROM ({BUILT}) b) t""")
 def assignment_objective(spark, sf):
@@ -328,7 +328,7 @@ def new_coverage_area(spark, sf):
     b.max_dist_m AS max_service_dist_before_m, m.max_dist_m AS max_service_dist_after_m,
     b.gap_pct AS coverage_gap_before_pct, m.gap_pct AS coverage_gap_after_pct, f.n AS n_transmission_constrained,
     round(f.kw, 4) AS transmission_constrained_demand_kw, round(m.cost, 2) AS assignment_cost,
-    p.n * {BUILD_COST} AS build_cost, round(m.cost + p.n * {BUILD_COST}, 2) AS total_objective FROM m, b, f, p""")
+    p.n * {BUILD_COST}E0 AS build_cost, round(m.cost + p.n * {BUILD_COST}, 2) AS total_objective FROM m, b, f, p""")
 def results_summary(spark, sf):
     cells, stations, built = fixture(spark, sf, "cells"), fixture(spark, sf, "stations"), built_of(spark, sf)
     pairs = materialise(pairs_of(spark, sf))
