@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import geometry as G
 from geoloom.operators import components, spatial
+from geoloom.operators.skew import spread
 
 EPS = 1e-6
 PIXEL_BLOCK = 8
@@ -150,8 +151,8 @@ def rasterize_mask(patches: DataFrame, features: DataFrame, patch_id: str, bin_s
     """Pixels ``(patch, row, col)`` touched by any feature.
 
     Pairs are first cut into small pixel blocks. A block no edge meets is wholly inside or
-    outside, so only blocks on an outline test their pixels one by one. Copies of a pixel
-    from several features are merged by the final distinct.
+    outside: inside blocks are merged over all features before they become pixels, and
+    only blocks on an outline that no feature fills test their pixels one by one.
     """
     pairs = patch_feature_join(patches.select(patch_id, "height", "width", "a", "c", "e", "f"), features, patch_id, bin_size)
     p = pairs.withColumn("_box", spatial._edge_box(F.col("edges")))
@@ -172,13 +173,21 @@ def rasterize_mask(patches: DataFrame, features: DataFrame, patch_id: str, bin_s
     p = (p.withColumn("_br", F.explode(blocks("_box.ymin", "_box.ymax", F.col("f"), F.col("e"), F.col("height"))))
          .withColumn("_bc", F.explode(blocks("_box.xmin", "_box.xmax", F.col("c"), F.col("a"), F.col("width")))))
     square = corners(F.col("_br") * k, F.col("_bc") * k, k)
-    p = p.withColumn("_outline", F.exists(edges, lambda e: G.segment_meets_box(e, *square)))
+    p = spread(p, patch_id, "_br", "_bc").withColumn("_outline", F.exists(edges, lambda e: G.segment_meets_box(e, *square)))
     p = p.filter(F.col("_outline") | G.point_in_polygon(edges, square[0], square[1]))
-    inner = F.sequence(F.lit(0), F.lit(k - 1))
-    p = (p.withColumn("row", F.explode(F.transform(inner, lambda i: F.col("_br") * k + i))).filter("row < height")
-         .withColumn("col", F.explode(F.transform(inner, lambda i: F.col("_bc") * k + i))).filter("col < width"))
-    touched = ~F.col("_outline") | G.polygon_intersects_box(edges, *corners(F.col("row"), F.col("col"), 1))
-    return p.filter(touched).select(patch_id, "row", "col").distinct()
+    block = [patch_id, "_br", "_bc"]
+    shape = patches.select(patch_id, "height", "width")
+    full = p.filter("NOT _outline").select(*block).distinct()
+    mixed = p.filter("_outline").join(full, block, "left_anti")
+
+    def pixels(df):
+        inner = F.sequence(F.lit(0), F.lit(k - 1))
+        return (df.withColumn("row", F.explode(F.transform(inner, lambda i: F.col("_br") * k + i))).filter("row < height")
+                .withColumn("col", F.explode(F.transform(inner, lambda i: F.col("_bc") * k + i))).filter("col < width"))
+
+    touched = G.polygon_intersects_box(edges, *corners(F.col("row"), F.col("col"), 1))
+    outline = pixels(mixed).filter(touched).select(patch_id, "row", "col").distinct()
+    return pixels(full.join(shape, patch_id)).select(patch_id, "row", "col").unionByName(outline)
 
 
 def mask_arrays(patches: DataFrame, pixels: DataFrame, patch_id: str) -> DataFrame:

@@ -22,6 +22,14 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by ``keys`` into a fixed number of parts before per-row work that is heavy for its bytes.
+
+    Adaptive execution merges partitions by size only, and would leave such work to one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def hot_keys(counts: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Keys too large for one task and how many salts each needs.
 
@@ -36,19 +44,21 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_P
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner",
                 counts: DataFrame | None = None, rows_per_salt: int = ROWS_PER_SALT,
-                condition: Column | None = None, salt: bool | None = None) -> DataFrame:
+                condition: Column | None = None, salt: bool | None = None, heavy: bool = False) -> DataFrame:
     """Equi-join where ``big`` may have hot keys: hot rows are spread over salts
     and the matching ``small`` rows repeated per salt. Results equal a plain join.
 
     ``counts`` (keys + ``n``) saves a pass over ``big`` when already known.
     ``condition`` may refer to columns of both sides (names must then be distinct).
     Unless ``salt`` forces it, salting is left out when the tables behind ``big`` together
-    are small enough for one task, where no key can be too hot.
+    are small enough for one task, where no key can be too hot. ``heavy`` marks joins whose
+    pairs cost far more than their bytes; small inputs are then spread over all tasks.
     """
     keys = list(keys)
     if salt is None:
         salt = input_bytes(big) > ONE_TASK_BYTES
     if not salt:
+        big = spread(big, *keys) if heavy else big
         if condition is None:
             return big.join(small, keys, how)
         other = small.withColumnsRenamed({k: f"_r_{k}" for k in keys})

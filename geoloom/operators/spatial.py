@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import geometry as G
 from geoloom.operators.checkpoints import materialise
-from geoloom.operators.skew import salted_join
+from geoloom.operators.skew import salted_join, spread
 
 
 def bin_of(c: Column, size: float) -> Column:
@@ -56,7 +56,7 @@ def radius_join(left: DataFrame, right: DataFrame, radius: float, inclusive: boo
     """
     other = right.withColumnsRenamed({"x": "_rx", "y": "_ry"})
     pairs = salted_join(with_bin(left, radius),
-                        around(with_bin(other, radius, "_rx", "_ry")), BIN)
+                        around(with_bin(other, radius, "_rx", "_ry")), BIN, heavy=True)
     pairs = pairs.withColumn("dist_m", G.distance(F.col("x"), F.col("y"), F.col("_rx"), F.col("_ry")))
     return pairs.filter(_compare(F.col("dist_m"), radius, inclusive)).drop(*BIN, "_rx", "_ry")
 
@@ -172,7 +172,7 @@ def nearest_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
         return left.withColumns({right_id: F.lit(None).cast(empty), "dist_m": F.lit(None).cast("double")})
 
     def attempt(rows, size):
-        near = salted_join(with_bin(rows, size), around(with_bin(sites, size, "_rx", "_ry")), BIN)
+        near = salted_join(with_bin(rows, size), around(with_bin(sites, size, "_rx", "_ry")), BIN, heavy=True)
         dist = G.distance(F.col("x"), F.col("y"), F.col("_rx"), F.col("_ry"))
         return near.groupBy(left_id).agg(
             F.min(F.struct(dist.alias("dist_m"), F.col("_rid"))).alias("_hit"))
@@ -191,7 +191,7 @@ def polyline_distance_join(points: DataFrame, segments: DataFrame, point_id: str
         return points.withColumn("dist_m", F.lit(None).cast("double"))
 
     def attempt(rows, size):
-        near = salted_join(with_bin(rows, size), _segment_bins(segments, size, size), BIN)
+        near = salted_join(with_bin(rows, size), _segment_bins(segments, size, size), BIN, heavy=True)
         dist = G.segment_distance(F.col("x"), F.col("y"), F.col("_x1"), F.col("_y1"),
                                   F.col("_x2"), F.col("_y2"))
         return near.groupBy(point_id).agg(F.min(F.struct(dist.alias("dist_m"))).alias("_hit"))
@@ -213,18 +213,30 @@ def polygon_within_join(inner: DataFrame, outer: DataFrame, bin_size: float,
     """(inner, outer) pairs where the inner polygon lies within the outer one.
 
     Each inner polygon has exactly one bin (that of its first vertex), so no
-    pair can appear twice.
+    pair can appear twice. Outer polygons are cut into bins first: a bin without an
+    outline edge is wholly inside or outside, so inner polygons in it need no test,
+    and one that no outer edge touches needs a single point test. The full test is
+    left for inner polygons on an outline.
     """
-    first = F.col(inner_edges)[0]
-    a = inner.withColumns({"_bx": bin_of(first["x1"], bin_size), "_by": bin_of(first["y1"], bin_size)})
-    b = outer.withColumn("_box", _edge_box(F.col(outer_edges)))
+    corner = [F.col(b) * F.lit(float(bin_size)) for b in BIN]
+    square = (corner[0], corner[1], corner[0] + bin_size, corner[1] + bin_size)
+    ring = F.col(outer_edges)
+    b = outer.withColumn("_box", _edge_box(ring))
     b = over_box(b, bin_size, *[F.col(f"_box.{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
-    a = a.withColumn("_in", _edge_box(F.col(inner_edges)))
-    joined = salted_join(a, b, BIN)
-    boxes = ((F.col("_in.xmin") >= F.col("_box.xmin")) & (F.col("_in.xmax") <= F.col("_box.xmax"))
-             & (F.col("_in.ymin") >= F.col("_box.ymin")) & (F.col("_in.ymax") <= F.col("_box.ymax")))
-    inside = boxes & G.polygon_within(F.col(inner_edges), F.col(outer_edges))
-    return joined.filter(inside).drop(*BIN, "_box", "_in")
+    b = spread(b, *BIN).withColumn("_outline", F.exists(ring, lambda e: G.segment_meets_box(e, *square)))
+    b = b.filter(F.col("_outline") | G.point_in_polygon(ring, square[0], square[1]))
+    first = F.col(inner_edges)[0]
+    a = inner.withColumns({"_bx": bin_of(first["x1"], bin_size), "_by": bin_of(first["y1"], bin_size),
+                           "_in": _edge_box(F.col(inner_edges))})
+    low_x, low_y, high_x, high_y = (F.col(f"_in.{c}") for c in ("xmin", "ymin", "xmax", "ymax"))
+    enclosed = ((low_x >= F.col("_box.xmin")) & (high_x <= F.col("_box.xmax"))
+                & (low_y >= F.col("_box.ymin")) & (high_y <= F.col("_box.ymax")))
+    in_bin = (low_x >= square[0]) & (high_x <= square[2]) & (low_y >= square[1]) & (high_y <= square[3])
+    touched = F.exists(ring, lambda e: G.segment_meets_box(e, low_x, low_y, high_x, high_y))
+    within = (F.when(~F.col("_outline") & in_bin, F.lit(True))
+              .when(~touched, G.point_in_polygon(ring, first["x1"], first["y1"]))
+              .otherwise(G.polygon_within(F.col(inner_edges), ring)))
+    return salted_join(a, b, BIN, heavy=True).filter(enclosed).filter(within).drop(*BIN, "_box", "_in", "_outline")
 
 
 def _edge_box(edge_list: Column) -> Column:
@@ -247,7 +259,7 @@ def box_polygon_join(boxes: DataFrame, polygons: DataFrame, bin_size: float, box
     home = ((F.col("_bx") == bin_of(F.greatest(F.col("x0"), F.col("_box.xmin")), bin_size))
             & (F.col("_by") == bin_of(F.greatest(F.col("y0"), F.col("_box.ymin")), bin_size)))
     meets = G.polygon_intersects_box(F.col(edges), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
-    return salted_join(p, a, BIN).filter(home & meets).drop(*BIN, "_box")
+    return salted_join(p, a, BIN, heavy=True).filter(home & meets).drop(*BIN, "_box")
 
 
 def point_box_join(points: DataFrame, boxes: DataFrame, bin_size: float) -> DataFrame:

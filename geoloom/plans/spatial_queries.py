@@ -152,14 +152,14 @@ def self_join_dedup_pairs(spark, sf):
     ON b.x >= g.x0 AND b.x + b.side <= g.x0 + g.w AND b.y >= g.y0 AND b.y + b.side <= g.y0 + g.h""")
 def spatial_join_within(spark, sf):
     return spatial.polygon_within_join(building_table(spark, sf), rect_table(spark, sf).select("geoid", F.col("edges").alias("outer_edges")),
-                                       1500.0).select("bld_id", "geoid")
+                                       250.0).select("bld_id", "geoid")
 
 
 @query("building_area_by_geoid", "buildings block_groups", """SELECT g.geoid, round(sum(b.side * b.side), 4) AS building_area_m2
     FROM fx_buildings b JOIN fx_block_groups g ON b.x >= g.x0 AND b.x + b.side <= g.x0 + g.w AND b.y >= g.y0
     AND b.y + b.side <= g.y0 + g.h GROUP BY g.geoid""")
 def building_area_by_geoid(spark, sf):
-    pairs = spatial.polygon_within_join(building_table(spark, sf), rect_table(spark, sf).select("geoid", F.col("edges").alias("outer_edges")), 1500.0)
+    pairs = spatial.polygon_within_join(building_table(spark, sf), rect_table(spark, sf).select("geoid", F.col("edges").alias("outer_edges")), 250.0)
     pairs = pairs.withColumn("area_m2", G.polygon_area(F.col("inner_edges")))
     return rounded(demand.building_area_by_geoid(pairs, "geoid"), "building_area_m2")
 
@@ -649,7 +649,7 @@ def point_in_polygon(spark, sf):
     ON b.x >= g.x0 AND b.x + b.side <= g.x0 + g.w AND b.y >= g.y0 AND b.y + b.side <= g.y0 + g.h GROUP BY g.geoid""")
 def polygon_within(spark, sf):
     r = rect_table(spark, sf).select("geoid", F.col("edges").alias("outer_edges"))
-    n = spatial.polygon_within_join(building_table(spark, sf), r, 1500.0).groupBy("geoid").agg(F.count("bld_id").alias("n_inside"))
+    n = spatial.polygon_within_join(building_table(spark, sf), r, 250.0).groupBy("geoid").agg(F.count("bld_id").alias("n_inside"))
     return r.select("geoid").join(n, "geoid", "left").withColumn("n_inside", F.coalesce("n_inside", F.lit(0)))
 
 
