@@ -69,9 +69,9 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     if counts is None:
         counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     hot = F.broadcast(hot_keys(counts, keys, rows_per_salt))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.col("_salts"))
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.col("_salts"))
     left = big.join(hot, keys, "left").withColumn(
-        "_salt", F.coalesce(spread, F.lit(0)).cast("int")).drop("_salts")
+        "_salt", F.coalesce(part, F.lit(0)).cast("int")).drop("_salts")
     right = small.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0))))).drop("_salts")
     on = keys + ["_salt"]
