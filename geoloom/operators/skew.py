@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_SALT = 100_000
 MAX_HOT_KEYS = 10_000
+MAX_RANGES = 256
 ONE_TASK_BYTES = 64 << 20
 
 
@@ -91,11 +92,19 @@ def quantile_bounds(df: DataFrame, column: str, buckets: int) -> list[float]:
 
 
 def range_bucket(column: Column, bounds: Sequence[float]) -> Column:
-    """Index of the range ``column`` falls in; equal values share a bucket."""
-    if not bounds:
-        return F.lit(0)
-    cuts = F.array(*[F.lit(float(b)) for b in bounds])
-    return F.size(F.filter(cuts, lambda b: b <= column.cast("double")))
+    """Index of the range ``column`` falls in; equal values share a bucket.
+
+    A balanced tree of comparisons: a handful per row however many ranges there are.
+    """
+    value = column.cast("double")
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value < F.lit(float(bounds[middle])), search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(bounds))
 
 
 def running_totals(df: DataFrame, order: str, totals: dict[str, Column], by: Sequence[str] = (),
@@ -114,7 +123,7 @@ def running_totals(df: DataFrame, order: str, totals: dict[str, Column], by: Seq
     by = list(by)
     if bucket is None:
         spark = df.sparkSession
-        n = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        n = buckets or min(MAX_RANGES, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
         bucket = range_bucket(F.col(order), quantile_bounds(df, order, n))
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     rows = df.withColumn("_bucket", bucket)

@@ -39,7 +39,7 @@ def write_geojson(points: DataFrame, path: str, **kw) -> None:
 
 
 def write_by_split(rows: DataFrame, path: str) -> None:
-    """One folder per split. Rows are spread over tasks by key, not one task per split."""
+    """One folder per split, written by all tasks: no shuffle to one task per split."""
     rows.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
