@@ -36,7 +36,7 @@ def _with_centres(rows: DataFrame, centres: DataFrame, counts: DataFrame | None
     """
     fields = [c for c in centres.columns if c not in BIN]
     reach = around(centres, 2).groupBy(*BIN).agg(F.collect_list(F.struct(*fields)).alias("_near"))
-    return salted_join(rows, reach, BIN, "left", counts=counts, salt=salt)
+    return salted_join(rows, reach, BIN, "left", counts=counts, salt=salt, rows_per_salt=ROWS_PER_SALT)
 
 
 def spaced_ids(points: DataFrame, point_id: str, radius: float, priority: Sequence[Column] = (),
@@ -148,7 +148,7 @@ def dedup_detections(detections: DataFrame, point_id: str, min_dist_m: float = 1
             F.min(F.when(F.col("_conf") > F.col("_head._conf"), F.col("_id"))).alias("_stop"),
             F.count(F.lit(1)).alias("n"))
         turn = salted_join(seen.withColumn("_hid", F.col("_head._id")), stop.drop("n"), ["_hid"], "left",
-                           counts=stop.select("_hid", "n"), salt=salt)
+                           counts=stop.select("_hid", "n"), salt=salt, rows_per_salt=ROWS_PER_SALT)
         is_head = F.col("_id") == F.col("_hid")
         dropped = F.when(is_head, F.col("_stop").isNotNull()).otherwise(
             (F.col("_conf") <= F.col("_head._conf")) & (F.col("_stop").isNull() | (F.col("_id") < F.col("_stop"))))

@@ -1,4 +1,4 @@
-"""The reference's end-to-end jobs as compositions of the operators."""
+"""End-to-end jobs as compositions of the operators."""
 
 from __future__ import annotations
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import geometry as G
 from geoloom.functions import scalars as S
-from geoloom.operators import evaluate, grids, quality, sampling, spatial
+from geoloom.operators import evaluate, grids, quality, sampling
 from geoloom.plans.fixtures import fixture, table
 from geoloom.plans.jobs import eval_set_job, patch_index_job
 from geoloom.plans.registry import query, rounded, scratch
@@ -515,10 +515,6 @@ def patch_windows(spark, sf):
 
 # --- sources and sinks --------------------------------------------------------------------
 
-def number(x):
-    return f"round({x}, 3)"
-
-
 def documents_of(spark, sf):
     """One census document per customer: header plus two rows."""
     return table(spark, sf, "customer").selectExpr("""concat('[["P1_001N","state","county","tract","block group"],["', c_custkey % 900,

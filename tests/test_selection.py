@@ -71,6 +71,22 @@ def test_serial_rules(spark, seed):
     assert ids(selection.dedup_detections(frame(spark, rows), "id")) == scan_detections(rows, 100)
 
 
+def test_rules_hold_with_salted_bins(spark, monkeypatch):
+    """The dense spot is split over salts: results must not change."""
+    monkeypatch.setattr(selection, "ROWS_PER_SALT", 10)
+    rows = points(n=120, seed=8)
+    assert ids(selection.dedup_detections(frame(spark, rows), "id")) == scan_detections(rows, 100)
+    assert ids(selection.dedup_features(frame(spark, rows), "id")) == scan_features(rows, 100)
+
+
+def test_star_component_with_salted_centre(spark, monkeypatch):
+    monkeypatch.setattr(components, "ROWS_PER_SALT", 10)
+    nodes = spark.range(80).withColumnRenamed("id", "n")
+    edges = spark.range(1, 60).select(F.lit(59).cast("long").alias("a"), F.col("id").alias("b"))
+    got = components.connected_components(nodes, edges, "n").groupBy("component").count().filter("count > 1").collect()
+    assert [(r.component, r["count"]) for r in got] == [(1, 59)]
+
+
 def test_priority_rule(spark):
     rows = points(seed=7)
     kept, by_rank = [], sorted(rows, key=lambda r: (-r[3], r[0]))
