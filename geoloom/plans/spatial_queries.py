@@ -593,7 +593,20 @@ def catalog(spark, sf):
     return b.selectExpr("bld_id AS item_id", "x AS x0", "y AS y0", "x + side AS x1", "y + side AS y1", "taken")
 
 
-@query("project_utm")
+def utm_sql() -> str:
+    """The forward series written out in SQL, with the published coefficients."""
+    x, y = "eta", "xi"
+    for j, a in enumerate(P._ALPHA, start=1):
+        x += f" + {a!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)"
+        y += f" + {a!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)"
+    k = P.UTM_SCALE * P._RECTIFYING
+    return f"""SELECT cell_id, round(500000.0E0 + {k!r} * ({x}), 3) AS utm_x, round({k!r} * ({y}), 3) AS utm_y FROM (
+        SELECT cell_id, atan2(t, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + t * t)) AS eta FROM (
+        SELECT cell_id, radians(lon + 111.0) AS lam, sinh(atanh(sin(radians(lat))) - {P._E!r} * atanh({P._E!r} * sin(radians(lat)))) AS t
+        FROM (SELECT cell_id, {LONLAT} FROM fx_cells) c) p) q"""
+
+
+@query("project_utm", "cells", utm_sql())
 def project_utm(spark, sf):
     p = fixture(spark, sf, "cells").selectExpr("cell_id", *LONLAT.split(", ")).withColumn("p", P.project_utm(F.col("lon"), F.col("lat"), 32612))
     return rounded(p.select("cell_id", F.col("p.x").alias("utm_x"), F.col("p.y").alias("utm_y")), "utm_x", "utm_y", digits=3)

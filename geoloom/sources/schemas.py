@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-
-
 DETECTIONS = ("patch_id STRING, label STRING, center_lon DOUBLE, center_lat DOUBLE, county_geoid STRING, "
               "positive_pixels BIGINT, area_m2 DOUBLE, mean_confidence DOUBLE, max_confidence DOUBLE, "
               "bbox_width_m DOUBLE, bbox_height_m DOUBLE, voltage STRING, substation_type STRING, "
