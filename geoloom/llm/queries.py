@@ -6,8 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.llm.chat import format_chat, parse_chat, trained_text
+from geoloom.llm.packing import pack_documents
 from geoloom.llm.registry import query, table
 
+
+def vocabulary() -> str:
+    """Place of the public word-level BPE file; the same on every machine that has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op1_best_fit_packing")
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
+
+
 CONTROL_CHAT = "<|im_end|><|im_start|>assistant ok"
 
 
