@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from geoloom.llm.chat import format_chat, parse_chat, trained_text
 from geoloom.llm.packing import pack_documents
 from geoloom.llm.registry import query, table
+from geoloom.llm.simhash import hex_fingerprint, near_duplicates
 
 
 def vocabulary() -> str:
@@ -22,6 +23,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
 
 
+@query("op8_simhash_near_dedup")
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 CONTROL_CHAT = "<|im_end|><|im_start|>assistant ok"
 
 
