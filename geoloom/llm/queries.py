@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from geoloom.llm.chat import format_chat, parse_chat, trained_text
 from geoloom.llm.packing import pack_documents
+from geoloom.llm.pivots import near_vectors
 from geoloom.llm.registry import query, table
 from geoloom.llm.simhash import hex_fingerprint, near_duplicates
 
@@ -23,6 +24,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
 
 
+@query("op2_embedding_near_dedup")
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 @query("op8_simhash_near_dedup")
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoloom.llm.blocks import SMALL, deal_blocks, forest, new_group, together, whole_groups
 from geoloom.operators.checkpoints import materialise
 from geoloom.operators.components import connected_components
 
@@ -35,8 +36,6 @@ BITS = 64
 SEED = 42
 #: Fingerprints of one key compared in one task at most, twice.
 BLOCK = 4096
-#: Groups up to this size are compared by shifting the whole batch against itself.
-SMALL = 128
 #: Fingerprints drawn for the estimates of candidate counts; results do not depend on it.
 SAMPLED = 2048
 #: Relative costs of moving one probe and of comparing one candidate.
@@ -198,49 +197,26 @@ def signatures(classes: DataFrame, parts: list[tuple[list[int], int]]) -> DataFr
 
 def links(signature_rows: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
     """Verified links ``a, b`` spanning what meets under a key. ``signature_rows`` is a written table."""
-    keys = ["part", "key"]
-    # Keys with more rows than one block; at most rows / block of them. Every block meets every other.
-    wide = signature_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block).select(
-        *keys, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    rows = signature_rows.join(wide, keys, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    met = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        *keys, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "fp", "probe")
-    group = [*keys, "low", "high"]
-    dealt = met.repartition(*group).sortWithinPartitions(*group)
+    group = ["part", "key", "_low", "_high"]
+    dealt = together(deal_blocks(signature_rows, ["part", "key"], "fp", block), group)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] | None = None
-        for b in batches:
-            part = [b.column(n).to_numpy(zero_copy_only=False) for n in ("part", "key", "low", "high", "fp", "probe")]
-            kept = part if kept is None else [np.concatenate(x) for x in zip(kept, part, strict=True)]
-            edge = np.flatnonzero(_new_group(kept))
-            if len(edge) > 1:  # the last group may go on in the next batch
-                yield _edges([x[:edge[-1]] for x in kept], radius)
-                kept = [x[edge[-1]:] for x in kept]
-        if kept is not None and len(kept[0]):
-            yield _edges(kept, radius)
+        for rows in whole_groups(batches, [*group, "fp", "probe"], len(group)):
+            yield _edges(rows, radius)
 
     return dealt.mapInArrow(each, "a bigint, b bigint").filter("a <> b")
 
 
-def _new_group(rows: list[np.ndarray]) -> np.ndarray:
-    new = np.ones(len(rows[0]), bool)
-    if len(new) > 1:
-        new[1:] = np.any([x[1:] != x[:-1] for x in rows[:4]], axis=0)
-    return new
-
-
 def _edges(rows: list[np.ndarray], radius: int) -> pa.RecordBatch:
     """Star links (fingerprint, its root) of all verified links within the groups of ``rows``."""
     fp, probe = rows[4].view(np.uint64), rows[5].astype(bool)
-    group = np.cumsum(_new_group(rows)) - 1
+    group = np.cumsum(new_group(rows[:4])) - 1
     sizes = np.bincount(group)
-    size = sizes[group]
-    pairs_a, pairs_b = [], []
-    at = np.flatnonzero(size <= SMALL)
+    none = np.zeros(0, np.uint64)
+    pairs_a, pairs_b = [none], [none]
+    at = np.flatnonzero(sizes[group] <= SMALL)
     f, g, p = fp[at], group[at], probe[at]
-    for d in range(1, int(size[at].max(initial=1))):
+    for d in range(1, int(sizes[sizes <= SMALL].max(initial=1))):
         near = (np.bitwise_count(f[:-d] ^ f[d:]) <= radius) & (g[:-d] == g[d:]) & ~(p[:-d] & p[d:])
         hit = np.flatnonzero(near)
         pairs_a.append(f[hit])
@@ -250,7 +226,7 @@ def _edges(rows: list[np.ndarray], radius: int) -> pa.RecordBatch:
         a, b = _wide_group(fp[starts[k]:starts[k + 1]], probe[starts[k]:starts[k + 1]], radius)
         pairs_a.append(a)
         pairs_b.append(b)
-    a, b = _forest(np.concatenate([*pairs_a, np.zeros(0, np.uint64)]), np.concatenate([*pairs_b, np.zeros(0, np.uint64)]))
+    a, b = forest(np.concatenate(pairs_a), np.concatenate(pairs_b))
     return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
 
@@ -276,23 +252,6 @@ def _wide_group(fp: np.ndarray, probe: np.ndarray, radius: int) -> tuple[np.ndar
     return np.concatenate(found_a + none), np.concatenate(found_b + none)
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every node of the graph with the smallest node of its component."""
-    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    u, v = at[:len(a)], at[len(a):]
-    root = np.arange(len(nodes))
-    while len(u):
-        low = np.minimum(root[u], root[v])
-        np.minimum.at(root, root[u], low)
-        np.minimum.at(root, root[v], low)
-        while (root[root] != root).any():
-            root = root[root]
-        apart = root[u] != root[v]
-        u, v = u[apart], v[apart]
-    other = root != np.arange(len(nodes))
-    return nodes[other], nodes[root[other]]
-
-
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 4,
                     words_per_shingle: int = 4, block: int = BLOCK) -> DataFrame:
     """``doc_id, fp, component_id`` of every document; fingerprints link at ``radius`` or fewer differing bits."""
