@@ -9,6 +9,7 @@ from geoloom.llm.chat import format_chat, parse_chat, trained_text
 from geoloom.llm.packing import pack_documents
 from geoloom.llm.pivots import near_vectors
 from geoloom.llm.registry import query, table
+from geoloom.llm.sharding import shard_by_bytes
 from geoloom.llm.simhash import hex_fingerprint, near_duplicates
 
 
@@ -29,6 +30,13 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+@query("op3_sharding")
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = shard_by_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return shards.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query("op8_simhash_near_dedup")
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
