@@ -11,6 +11,8 @@ from geoloom.llm.pivots import near_vectors
 from geoloom.llm.registry import query, table
 from geoloom.llm.sharding import shard_by_bytes
 from geoloom.llm.simhash import hex_fingerprint, near_duplicates
+from geoloom.llm.sketches import compare_edits
+
 
 
 def vocabulary() -> str:
@@ -37,6 +39,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op7_document_fingerprints")
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op8_simhash_near_dedup")
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
