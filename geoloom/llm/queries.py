@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.llm.chat import format_chat, parse_chat, trained_text
+from geoloom.llm.fixity import archive, audit, warc_record
 from geoloom.llm.packing import pack_documents
 from geoloom.llm.pivots import near_vectors
 from geoloom.llm.registry import query, table
@@ -39,6 +40,38 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op5_warc_fixity", """
+WITH pages_in AS (
+  SELECT page_id // 8192 AS file, page_id,
+         length('WARC/1.1' || 'WARC-Type: resource' || 'WARC-Record-ID: <urn:record:' || '>' || 'WARC-Target-URI: '
+                || 'Content-Length: ') + 16 + strlen(page_id::VARCHAR) + strlen(coalesce(url, ''))
+         + strlen(strlen(coalesce(html, ''))::VARCHAR) + strlen(coalesce(html, '')) AS length,
+         page_id * 7919 % 331 = 5 AS damaged, page_id % 8192 >= 8100 AND page_id // 8192 % 2 = 0 AS lost
+  FROM pages
+), laid AS (
+  SELECT *, row_number() OVER w - 1 AS ordinal, sum(length) OVER w - length AS offset_ FROM pages_in
+  WINDOW w AS (PARTITION BY file ORDER BY page_id)
+)
+SELECT file, ordinal, CASE WHEN lost THEN 'missing' ELSE 'changed' END AS status, offset_::BIGINT AS our_offset, length AS our_length,
+       CASE WHEN lost THEN NULL ELSE offset_ END::BIGINT AS their_offset, CASE WHEN lost THEN NULL ELSE length END AS their_length
+FROM laid WHERE damaged OR lost
+""")
+def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of the pages' archive files against a replica with bytes overwritten in place and files cut short."""
+    # Pages without an id are spread over files of their own.
+    odd = F.pmod(F.xxhash64("url", "html"), F.lit(64))
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", F.coalesce(F.floor(F.col("page_id") / 8192), -1 - odd).cast("bigint").alias("file"),
+        F.coalesce(F.floor(F.col("page_id") / 512), F.pmod(F.xxhash64("html", "url"), F.lit(1 << 20))).cast("bigint").alias("_block"),
+        warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("content"))
+    at = F.octet_length("content") - 1
+    damaged = F.concat(F.substring("content", F.lit(1), at), F.lit(b"#"))
+    replica = pages.filter("page_id IS NULL OR NOT (page_id % 8192 >= 8100 AND floor(page_id / 8192) % 2 = 0)").withColumn(
+        "content", F.when(F.expr("page_id * 7919 % 331 = 5"), damaged).otherwise(F.col("content")))
+    ours, theirs = (archive(r, "file", ["page_id"], "content") for r in (pages, replica))
+    return audit(ours, theirs).select("file", "ordinal", "status", "our_offset", "our_length", "their_offset", "their_length")
+
+
 @query("op7_document_fingerprints")
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
