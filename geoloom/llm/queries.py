@@ -13,7 +13,7 @@ from geoloom.llm.registry import query, table
 from geoloom.llm.sharding import shard_by_bytes
 from geoloom.llm.simhash import hex_fingerprint, near_duplicates
 from geoloom.llm.sketches import compare_edits
-
+from geoloom.llm.toxicity import fit, grade
 
 
 def vocabulary() -> str:
@@ -83,6 +83,12 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return grade(docs, fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic")))
+
+
 CONTROL_CHAT = "<|im_end|><|im_start|>assistant ok"
 
 
