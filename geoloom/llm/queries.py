@@ -10,6 +10,7 @@ from geoloom.llm.fixity import archive, audit, warc_record
 from geoloom.llm.packing import pack_documents
 from geoloom.llm.pivots import near_vectors
 from geoloom.llm.registry import query, table
+from geoloom.llm.secrets import find_secrets, fit_forest, labelled_findings
 from geoloom.llm.sharding import shard_by_bytes
 from geoloom.llm.simhash import hex_fingerprint, near_duplicates
 from geoloom.llm.sketches import compare_edits
@@ -40,6 +41,13 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op4_secret_scan")
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = find_secrets(docs, fit_forest(labelled_findings(spark)))
+    return found.select("doc_id", "start", "length", F.sha2("candidate", 256).alias("candidate_sha256"), "score", "is_secret")
+
+
 @query("op5_warc_fixity", """
 WITH pages_in AS (
   SELECT page_id // 8192 AS file, page_id,
