@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from geoloom.llm.chat import format_chat, parse_chat, trained_text
 from geoloom.llm.fixity import archive, audit, warc_record
 from geoloom.llm.packing import pack_documents
+from geoloom.llm.pieces import encode_documents
 from geoloom.llm.pivots import near_vectors
 from geoloom.llm.registry import query, table
 from geoloom.llm.secrets import find_secrets, fit_forest, labelled_findings
@@ -80,6 +81,14 @@ def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(ours, theirs).select("file", "ordinal", "status", "our_offset", "our_length", "their_offset", "their_length")
 
 
+@query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
 @query("op7_document_fingerprints")
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
