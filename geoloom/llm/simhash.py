@@ -28,7 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.blocks import SMALL, deal_blocks, forest, new_group, together, whole_groups
+from geoloom.llm.blocks import SMALL, columns, deal_blocks, forest, new_group, together, whole_groups
+from geoloom.llm.sketches import shingle_hashes
 from geoloom.operators.checkpoints import materialise
 from geoloom.operators.components import connected_components
 
@@ -62,22 +63,47 @@ def fingerprint(text: str | None, words_per_shingle: int = 4) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_per_shingle: int = 4) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) of every document."""
+def wide_fingerprint(text: str | None, lanes: int, words_per_shingle: int) -> list[int]:
+    """SimHash of ``lanes`` times 64 bits: one shingle hash, mixed anew for every lane."""
+    hashes = shingle_hashes(text or "", words_per_shingle)
+    out = []
+    for lane in range(lanes):
+        counts = np.zeros(BITS, np.int64)
+        for at in range(0, len(hashes), 50_000):
+            h = (hashes[at:at + 50_000] + np.uint64(lane + 1)) * np.uint64(0x9E3779B97F4A7C15)
+            h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+            h ^= h >> np.uint64(32)
+            counts += np.unpackbits(h.view(np.uint8)).reshape(-1, BITS).sum(0, dtype=np.int32)
+        out.append(int.from_bytes(np.packbits(counts * 2 > len(hashes)).tobytes(), "big"))
+    return out
+
+
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_per_shingle: int = 4, lanes: int = 0,
+                 key: str | None = None) -> DataFrame:
+    """``doc_id, fp[, key]`` of every document; ``fp`` is an array of signed longs, 64 bits each.
+
+    Without ``lanes`` it has one, of XXH64 over lower-cased text; with them it has so many, of a mixed hash over the text as it is.
+    """
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            values = np.array([fingerprint(t, words_per_shingle) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(values.view(np.int64), pa.int64())], names=["doc_id", "fp"])
+            texts = b.column(1).to_pylist()
+            found = [wide_fingerprint(t, lanes, words_per_shingle) if lanes else [fingerprint(t, words_per_shingle)] for t in texts]
+            fp = np.array(found, np.uint64).reshape(len(texts), -1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(fp), pa.list_(pa.int64())), *b.columns[2:]],
+                                             names=["doc_id", "fp", *b.schema.names[2:]])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id), F.col(text)).mapInArrow(each, f"doc_id {kind}, fp bigint")
+    keys = [F.col(key)] if key else []
+    return docs.select(F.col(doc_id), F.col(text), *keys).mapInArrow(
+        each, f"doc_id {kind}, fp array<bigint>" + (f", {key} {docs.schema[key].dataType.simpleString()}" if key else ""))
 
 
 # ---- parts and thresholds -------------------------------------------------------------------------------------
 
 
-def bit_products(classes: DataFrame) -> np.ndarray:
-    """How often two bits are both set, over all distinct fingerprints; row 64 has the number of fingerprints."""
+def bit_products(classes: DataFrame, lane: int = 0) -> np.ndarray:
+    """How often two bits of a lane are both set, over all distinct fingerprints; row 64 has the number of fingerprints."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((BITS, BITS))
         rows = 0
@@ -89,7 +115,7 @@ def bit_products(classes: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(np.append(i, BITS), pa.int32()), pa.array(np.append(j, 0), pa.int32()),
                                           pa.array(np.append(total.ravel(), rows))], names=["i", "j", "n"])
 
-    sums = classes.select("fp").mapInArrow(each, "i int, j int, n double").groupBy("i", "j").agg(F.sum("n").alias("n"))
+    sums = classes.select(F.col("fp")[lane]).mapInArrow(each, "i int, j int, n double").groupBy("i", "j").agg(F.sum("n").alias("n"))
     out = np.zeros((BITS + 1, BITS))
     for i, j, n in sums.collect():  # 64 x 64 sums
         out[i, j] = n
@@ -175,98 +201,130 @@ def _key(fp: np.ndarray, part: list[int]) -> np.ndarray:
     return out
 
 
-def signatures(classes: DataFrame, parts: list[tuple[list[int], int]]) -> DataFrame:
-    """``part, key, fp, probe``: every fingerprint under its own values, and as a probe under all values within the threshold."""
+def signatures(classes: DataFrame, lanes: list[list[tuple[list[int], int]]]) -> DataFrame:
+    """``part, key, cid, probe, fp``: every fingerprint under its own values of all parts of all lanes, and as a probe under all values within the threshold."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = b.column(0).to_numpy()
-            for i, (part, threshold) in enumerate(parts):
-                key = _key(fp, part)
-                for t in range(threshold + 1):
-                    for flipped in itertools.combinations(range(len(part)), t):
-                        mask = np.uint64(sum(1 << f for f in flipped))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(fp), i, np.int32)), pa.array((key ^ mask).view(np.int64)), b.column(0),
-                             pa.array(np.full(len(fp), t > 0))], names=["part", "key", "fp", "probe"])
-
-    return classes.select("fp").mapInArrow(each, "part int, key bigint, fp bigint, probe boolean")
+            if not b.num_rows:
+                continue
+            fp = columns(b, ["fp"])[0]
+            part_number = itertools.count()
+            for lane, parts in enumerate(lanes):
+                for part, threshold in parts:
+                    i, key = next(part_number), _key(np.ascontiguousarray(fp[:, lane]), part)
+                    for t in range(threshold + 1):
+                        for flipped in itertools.combinations(range(len(part)), t):
+                            mask = np.uint64(sum(1 << f for f in flipped))
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(np.full(len(fp), i, np.int32)), pa.array((key ^ mask).view(np.int64)), b.column("cid"),
+                                 pa.array(np.full(len(fp), t > 0)), b.column("fp")], names=["part", "key", "cid", "probe", "fp"])
+
+    return classes.select("cid", "fp").mapInArrow(each, "part int, key bigint, cid bigint, probe boolean, fp array<bigint>")
 
 
 # ---- comparing ------------------------------------------------------------------------------------------------
 
 
-def links(signature_rows: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
-    """Verified links ``a, b`` spanning what meets under a key. ``signature_rows`` is a written table."""
+def links(signature_rows: DataFrame, most: int, block: int = BLOCK) -> DataFrame:
+    """Links ``a, b`` (class ids) that span what meets under a key and differs in ``most`` bits or fewer. ``signature_rows`` is a written table."""
     group = ["part", "key", "_low", "_high"]
-    dealt = together(deal_blocks(signature_rows, ["part", "key"], "fp", block), group)
+    dealt = together(deal_blocks(signature_rows, ["part", "key"], "cid", block), group)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_groups(batches, [*group, "fp", "probe"], len(group)):
-            yield _edges(rows, radius)
+        for rows in whole_groups(batches, [*group, "cid", "probe", "fp"], len(group)):
+            a, b = _edges(rows, most)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return dealt.mapInArrow(each, "a bigint, b bigint").filter("a <> b")
+    return dealt.mapInArrow(each, "a bigint, b bigint")
 
 
-def _edges(rows: list[np.ndarray], radius: int) -> pa.RecordBatch:
-    """Star links (fingerprint, its root) of all verified links within the groups of ``rows``."""
-    fp, probe = rows[4].view(np.uint64), rows[5].astype(bool)
+def _edges(rows: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Star links (class, smallest class of its component) of all verified links within the groups of ``rows``."""
+    cid, probe, fp = rows[4], rows[5].astype(bool), [np.ascontiguousarray(lane) for lane in rows[6].view(np.uint64).T]
     group = np.cumsum(new_group(rows[:4])) - 1
     sizes = np.bincount(group)
-    none = np.zeros(0, np.uint64)
-    pairs_a, pairs_b = [none], [none]
+    found_a, found_b = [cid[:0]], [cid[:0]]
+
+    def keep(a: np.ndarray, b: np.ndarray) -> None:
+        u, v = forest(cid[a], cid[b])
+        found_a.append(u)
+        found_b.append(v)
+
     at = np.flatnonzero(sizes[group] <= SMALL)
-    f, g, p = fp[at], group[at], probe[at]
+    g, p = group[at], probe[at]
+    small = [lane[at] for lane in fp]
     for d in range(1, int(sizes[sizes <= SMALL].max(initial=1))):
-        near = (np.bitwise_count(f[:-d] ^ f[d:]) <= radius) & (g[:-d] == g[d:]) & ~(p[:-d] & p[d:])
-        hit = np.flatnonzero(near)
-        pairs_a.append(f[hit])
-        pairs_b.append(f[hit + d])
+        near = np.flatnonzero((np.bitwise_count(small[0][:-d] ^ small[0][d:]) <= most) & (g[:-d] == g[d:]) & ~(p[:-d] & p[d:]))
+        near = near[sum(np.bitwise_count(x[near] ^ x[near + d]).astype(np.int16) for x in small) <= most]
+        keep(at[near], at[near + d])
     starts = np.concatenate([[0], np.cumsum(sizes)])
     for k in np.flatnonzero(sizes > SMALL):
-        a, b = _wide_group(fp[starts[k]:starts[k + 1]], probe[starts[k]:starts[k + 1]], radius)
-        pairs_a.append(a)
-        pairs_b.append(b)
-    a, b = forest(np.concatenate(pairs_a), np.concatenate(pairs_b))
-    return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
-
-
-def _wide_group(fp: np.ndarray, probe: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that span the components of one large group: reached fingerprints leave the set still to compare."""
-    rest = np.arange(len(fp))
-    found_a, found_b = [], []
-    while len(rest):
-        queue, rest = [rest[:1]], rest[1:]
-        while queue and len(rest):
-            front = queue.pop()
-            for x in front:
-                hit = np.bitwise_count(fp[rest] ^ fp[x]) <= radius
-                if probe[x]:
-                    hit &= ~probe[rest]
-                if hit.any():
-                    reached = rest[hit]
-                    found_a.append(fp[reached])
-                    found_b.append(np.full(len(reached), fp[x]))
-                    queue.append(reached)
-                    rest = rest[~hit]
-    none = [np.zeros(0, np.uint64)]
-    return np.concatenate(found_a + none), np.concatenate(found_b + none)
+        end = starts[k + 1]
+        for s in range(starts[k], end, 256):
+            t = min(s + 256, end)
+            # The first lane leaves few pairs for the others.
+            i, j = np.nonzero(np.bitwise_count(fp[0][s:t, None] ^ fp[0][None, s:end]) <= most)
+            i, j = i[i < j] + s, j[i < j] + s
+            ok = ~(probe[i] & probe[j])
+            i, j = i[ok], j[ok]
+            ok = sum(np.bitwise_count(x[i] ^ x[j]).astype(np.int16) for x in fp) <= most
+            keep(i[ok], j[ok])
+    return forest(np.concatenate(found_a), np.concatenate(found_b))
+
+
+def components(prints: DataFrame, most: int, radius: int, lanes: int = 1, block: int = BLOCK) -> DataFrame:
+    """``fp, component, component_id``: the component of every distinct fingerprint of the written table ``prints``, and its smallest document id."""
+    classes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")).withColumn("cid", F.monotonically_increasing_id()))
+    parts = []
+    for lane in range(lanes):
+        products = bit_products(classes, lane)
+        share = min(1.0, 2.0 * SAMPLED / max(products[BITS, 0], 1.0))
+        drawn = classes.filter(F.pmod(F.xxhash64("fp"), F.lit(1_000_000_007)) < int(share * 1_000_000_007)).select(F.col("fp")[lane]).limit(SAMPLED)
+        parts.append(choose_parts(products, np.array([r[0] for r in drawn.collect()], np.int64), radius))
+    found = links(materialise(signatures(classes, parts)), most, block)
+    reached = materialise(connected_components(classes, materialise(found.distinct()), "cid"))
+    ids = reached.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    return materialise(reached.join(ids, "component").select("fp", "component", "component_id"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 4,
                     words_per_shingle: int = 4, block: int = BLOCK) -> DataFrame:
-    """``doc_id, fp, component_id`` of every document; fingerprints link at ``radius`` or fewer differing bits."""
+    """``doc_id, fp, component_id`` of every document; 64-bit fingerprints link at ``radius`` or fewer differing bits, and no link is missed."""
     prints = materialise(fingerprints(docs, doc_id, text, words_per_shingle))
-    classes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    products = bit_products(classes)
-    share = min(1.0, 2.0 * SAMPLED / max(products[BITS, 0], 1.0))
-    drawn = classes.filter(F.pmod(F.xxhash64("fp"), F.lit(1_000_000_007)) < int(share * 1_000_000_007)).select("fp").limit(SAMPLED)
-    sample = np.array([r[0] for r in drawn.collect()], np.int64)
-    parts = choose_parts(products, sample, radius)
-    found = links(materialise(signatures(classes, parts)), radius, block)
-    reached = materialise(connected_components(classes, materialise(found.distinct()), "fp"))
-    ids = reached.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    labels = materialise(reached.join(ids, "component").select("fp", "component_id"))
-    return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
+    labels = components(prints, radius, radius, block=block)
+    return prints.join(labels, "fp").select("doc_id", F.col("fp")[0].alias("fp"), "component_id")
+
+
+def bits_at(similarity: float, bits: int) -> float:
+    """Expected differing bits of two texts whose shingle sets have this Jaccard similarity."""
+    return bits * math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = 0.8, lanes: int = 4,
+                      words_per_shingle: int = 5, radius: int = 6, block: int = BLOCK, key: str | None = None) -> DataFrame:
+    """``doc_id, component_id, component[, key]``: documents whose estimated Jaccard similarity is ``similarity`` or more are linked.
+
+    64 bits are too few to tell a similarity of 0.8, so fingerprints have ``lanes`` times 64. Every lane is indexed by
+    the general pigeonhole principle for ``radius``, and what meets in any lane is verified on all bits. Pairs linked
+    by a lane within ``radius`` are never missed; others meet by one of the many parts (measured recall over 0.98).
+    The limit is one standard deviation above the expected bits, so that few pairs at the limit itself are lost.
+    """
+    mean = bits_at(similarity, lanes * BITS)
+    most = round(mean + math.sqrt(mean * (1 - mean / (lanes * BITS))))
+    prints = materialise(fingerprints(docs, doc_id, text, words_per_shingle, lanes, key))
+    labels = components(prints, most, radius, lanes, block)
+    return prints.join(labels, "fp").drop("fp")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of every component of :func:`similar_documents`: that of the smallest id, with all columns.
+
+    ``docs`` is a written table, which numbers its rows alike each time it is read.
+    """
+    numbered = docs.withColumn("_near_key", F.monotonically_increasing_id())
+    groups = similar_documents(numbered, doc_id, text, key="_near_key", **options)
+    first = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_near_key")).alias("first"))
+    return numbered.join(first.select(F.col("first._near_key").alias("_near_key")), "_near_key", "left_semi").drop("_near_key")
 
 
 def hex_fingerprint(fp: str = "fp"):
