@@ -64,8 +64,8 @@ def fingerprint(text: str | None, words_per_shingle: int = 4) -> int:
 
 
 def wide_fingerprint(text: str | None, lanes: int, words_per_shingle: int) -> list[int]:
-    """SimHash of ``lanes`` times 64 bits: one shingle hash, mixed anew for every lane."""
-    hashes = shingle_hashes(text or "", words_per_shingle)
+    """SimHash of ``lanes`` times 64 bits over the distinct shingles: one shingle hash, mixed anew for every lane."""
+    hashes = np.unique(shingle_hashes(text or "", words_per_shingle))
     out = []
     for lane in range(lanes):
         counts = np.zeros(BITS, np.int64)
@@ -83,7 +83,8 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wo
                  key: str | None = None) -> DataFrame:
     """``doc_id, fp[, key]`` of every document; ``fp`` is an array of signed longs, 64 bits each.
 
-    Without ``lanes`` it has one, of XXH64 over lower-cased text; with them it has so many, of a mixed hash over the text as it is.
+    Without ``lanes`` it has one, of XXH64 over lower-cased text; with them it has so many, of a mixed hash over the distinct
+    shingles of the text as it is, so that repeated lines do not make texts alike.
     """
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
