@@ -1,8 +1,8 @@
 """Toxicity by cumulative-link ordinal regression over sparse word features.
 
 Grades are ordered: 0 clean, 1 mild, 2 marked, 3 severe. The model is ``P(grade <= k) = logistic(theta_k - w x)``
-with one weight per feature for all thresholds. Features are words and word beginnings of four to six
-letters; a feature present in a text has the value ``1 + log(1 + its occurrences per hundred words)``.
+with one weight per feature, never negative, for all thresholds. Features are words and word beginnings of
+four to eight letters; the value of a feature is the root of its occurrences per hundred words.
 
 Training uses a bounded sample of labelled documents (``SAMPLE_ROWS``); features are chosen by how much
 more often toxic documents of the sample hold them. Labels that only tell toxic from clean are graded by
@@ -28,12 +28,12 @@ from pyspark.sql import functions as F
 from geoloom.operators.checkpoints import materialise
 
 #: Labelled documents used for training, about; candidate and final features; most and fewest toxic documents a feature must be in; its least lift.
-SAMPLE_ROWS, CANDIDATES, FEATURES, LEAST_DOCS, FEWEST_DOCS, LEAST_LIFT = 20_000, 50_000, 2_000, 8, 3, 15.0
-#: A document is toxic from this probability of a grade above 0.
-TOXIC_FROM = 0.25
+SAMPLE_ROWS, CANDIDATES, FEATURES, LEAST_DOCS, FEWEST_DOCS, LEAST_LIFT = 20_000, 50_000, 4_000, 8, 3, 8.0
+#: A document is toxic from the probability of a grade above 0 that has the best F1 on the sample, within these bounds.
+TOXIC_FROM = (0.1, 0.5)
 #: Share of words with toxic features from which a toxic document has grade 2 and grade 3.
 GRADE_CUTS = (0.02, 0.05)
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
 MARKS = ".,!?;:\"'()[]{}<>*#-_…¡¿«»"
 REMEMBERED_WORDS = 150_000
 
@@ -54,6 +54,7 @@ class OrdinalModel:
     features: dict[str, int]
     weights: np.ndarray
     thresholds: np.ndarray
+    toxic_from: float = TOXIC_FROM[1]
     _known: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
 
     def __getstate__(self) -> dict:
@@ -86,7 +87,7 @@ class OrdinalModel:
 
 
 def feature_value(count: float, words: int) -> float:
-    return 1.0 + np.log1p(100.0 * count / max(words, 1))
+    return np.sqrt(100.0 * count / max(words, 1))
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
@@ -94,7 +95,7 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 
 def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, n_features: int,
-                n_grades: int = 4, penalty: float = 0.1, steps: int = 400, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
+                n_grades: int = 4, penalty: float = 0.3, positive: bool = False, steps: int = 400, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of the penalised likelihood, by full-batch Adam; thresholds stay in order as sums of exponentials."""
     n = len(grades)
     w = np.zeros(n_features)
@@ -118,7 +119,7 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
         moments[0] = 0.9 * moments[0] + 0.1 * g
         moments[1] = 0.999 * moments[1] + 0.001 * g * g
         move = rate * (moments[0] / (1 - 0.9 ** step)) / (np.sqrt(moments[1] / (1 - 0.999 ** step)) + 1e-9)
-        w += move[:n_features]
+        w = np.maximum(w + move[:n_features], 0.0) if positive else w + move[:n_features]
         free += move[n_features:]
     gaps = np.exp(np.clip(free[1:], -20, 20))
     return w, np.concatenate([free[:1], free[0] + np.cumsum(gaps)])
@@ -182,12 +183,25 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> OrdinalM
     values = np.array([feature_value(c, r["words"]) for r in got for c in r["counts"]])
     dense = np.array([r["hit"] / max(r["words"], 1) for r in got])
     grades = np.where([r["toxic"] > 0 for r in got], 1 + (dense >= GRADE_CUTS[0]) + (dense >= GRADE_CUTS[1]), 0)
-    weights, thresholds = fit_ordinal(rows, columns, values, grades, len(best))
-    return OrdinalModel(chosen.features, weights, thresholds)
+    weights, thresholds = fit_ordinal(rows, columns, values, grades, len(best), positive=True)
+    model = OrdinalModel(chosen.features, weights, thresholds)
+    above = 1.0 - model.probabilities(np.bincount(rows, values * weights[columns], minlength=len(got)))[:, 0]
+    model.toxic_from = best_cut(above, grades > 0)
+    return model
+
+
+def best_cut(scores: np.ndarray, toxic: np.ndarray) -> float:
+    """The cut of best F1 within ``TOXIC_FROM``: halfway between the last score above it and the first below."""
+    order = np.argsort(-scores, kind="stable")
+    hit = np.cumsum(toxic[order])
+    f1 = 2 * hit / (np.arange(1, len(scores) + 1) + toxic.sum())
+    at = int(f1.argmax())
+    below = scores[order][at + 1] if at + 1 < len(scores) else 0.0
+    return float(np.clip((scores[order][at] + below) / 2, *TOXIC_FROM))
 
 
 def grade(docs: DataFrame, model: OrdinalModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, severity, grade, toxic``: expected grade, likeliest grade, and whether a grade above 0 has a probability of ``TOXIC_FROM``."""
+    """``doc_id, severity, grade, toxic``: expected grade, likeliest grade, and whether a grade above 0 is as likely as the model's cut."""
     kind = docs.schema[doc_id].dataType.simpleString()
     out = f"doc_id {kind}, severity double, grade int, toxic boolean"
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text)).mapInArrow(_grader(model, False), out)
@@ -197,7 +211,7 @@ def _grader(model: OrdinalModel, keep_rows: bool):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             p = model.probabilities(np.array([model.score(t) for t in b.column("text" if keep_rows else 1).to_pylist()], float))
-            toxic = 1.0 - p[:, 0] >= TOXIC_FROM
+            toxic = 1.0 - p[:, 0] >= model.toxic_from
             if keep_rows:
                 yield b.filter(pa.array(~toxic))
             else:
