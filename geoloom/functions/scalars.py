@@ -64,12 +64,18 @@ def suitability_reason(names: Column) -> Column:
         "No restricted areas detected within 500m")
 
 
+def padded(code: Column, length: int) -> Column:
+    """Leading zeros up to ``length``; longer codes stay whole."""
+    text = code.cast("string")
+    return F.when(F.char_length(text) < length, F.lpad(text, length, "0")).otherwise(text)
+
+
 def geoid_state(geoid: Column) -> Column:
-    return F.substring(F.lpad(geoid.cast("string"), 5, "0"), 1, 2)
+    return F.substring(padded(geoid, 5), 1, 2)
 
 
 def geoid_county(geoid: Column) -> Column:
-    return F.substring(F.lpad(geoid.cast("string"), 5, "0"), 3, 3)
+    return F.substring(padded(geoid, 5), 3, 3)
 
 
 def positive_patch_id(geoid: Column, kind: Column, osm_id: Column, i: Column) -> Column:

@@ -14,14 +14,14 @@ from geoloom.operators.skew import ROWS_PER_SALT, salted_join
 COLUMN_BLOCK = 64
 
 
-def _stars(edges: DataFrame, by: list[str], salt: bool) -> DataFrame:
+def _stars(edges: DataFrame, by: list[str]) -> DataFrame:
     """One large-star and one small-star step (Kiveris et al., SoCC 2014) on edges ``a > b``."""
     both = edges.unionByName(edges.select(*by, F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy(*by, "a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("n"))
-    large = salted_join(both, low.drop("n"), [*by, "a"], counts=low.drop("m"), salt=salt, rows_per_salt=ROWS_PER_SALT).filter("b > a").select(
+    large = salted_join(both, low.drop("n"), [*by, "a"], counts=low.drop("m"), rows_per_salt=ROWS_PER_SALT).filter("b > a").select(
         *by, F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
     low = large.groupBy(*by, "a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
-    linked = salted_join(large, low.drop("n"), [*by, "a"], counts=low.drop("m"), salt=salt, rows_per_salt=ROWS_PER_SALT).filter("b <> m").select(
+    linked = salted_join(large, low.drop("n"), [*by, "a"], counts=low.drop("m"), rows_per_salt=ROWS_PER_SALT).filter("b <> m").select(
         *by, F.col("b").alias("a"), F.col("m").alias("b"))
     return linked.unionByName(low.select(*by, "a", F.col("m").alias("b"))).distinct()
 
@@ -38,8 +38,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node_id: str, by: S
     state = materialise(state)
     mark = (state.count(),)
     while True:
-        # Both directions of every edge: with fewer rows no node can be too large for a task.
-        state = materialise(_stars(state, by, 2 * mark[0] > ROWS_PER_SALT))
+        state = materialise(_stars(state, by))
         seen = tuple(state.agg(F.count(F.lit(1)), F.sum(F.hash(*by, "a", "b").cast("bigint")),
                                F.bit_xor(F.xxhash64(*by, "a", "b"))).first())
         if seen == mark or seen[0] == 0:
@@ -66,14 +65,19 @@ def runs(pixels: DataFrame, raster: str) -> DataFrame:
     ).drop("_island")
 
 
-def label_runs(run_table: DataFrame, raster: str, width: int) -> DataFrame:
-    """4-connected components of runs: adds ``component``. ``width`` is the raster row length.
+ROW_STEP = 1 << 31
+
+
+def label_runs(run_table: DataFrame, raster: str) -> DataFrame:
+    """4-connected components of runs: adds ``component``, the first pixel of the component as ``row * ROW_STEP + column``.
+
+    Rasters may be of any width, and of different ones.
 
     Runs touch when they overlap in neighbouring rows, or are pieces of one run across a
     block border. The join keys include the block, so a long line of short runs never
     meets the whole of the next line.
     """
-    nodes = run_table.withColumn("run_id", F.col("row").cast("bigint") * width + F.col("c0"))
+    nodes = run_table.withColumn("run_id", F.col("row").cast("bigint") * ROW_STEP + F.col("c0"))
     below = nodes.select(raster, (F.col("row") - 1).alias("row"), "_block", F.col("c0").alias("d0"),
                          F.col("c1").alias("d1"), F.col("run_id").alias("b"))
     touching = nodes.join(below, [raster, "row", "_block"]).filter("c0 <= d1 AND d0 <= c1")

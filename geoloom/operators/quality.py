@@ -129,4 +129,4 @@ def union_sources(frames: list[DataFrame]) -> DataFrame:
 
 def unsigned_county(geoid: Column) -> Column:
     """County code stored as a number → five characters with its leading zero."""
-    return F.lpad(geoid.cast("bigint").cast("string"), 5, "0")
+    return S.padded(geoid.cast("bigint"), 5)

@@ -355,9 +355,9 @@ def merge_overlaps(tile_pixels: DataFrame, raster: str, rasters: DataFrame | Non
     return every.join(merged, [raster, "row", "col"], "left").withColumn("prob", F.coalesce("prob", F.lit(0.0)))
 
 
-def component_boxes(pixels: DataFrame, raster: str, width: int) -> DataFrame:
+def component_boxes(pixels: DataFrame, raster: str) -> DataFrame:
     """Components of positive pixels ``(raster, row, col, prob)`` with size, confidence and box."""
-    labelled = components.label_runs(components.runs(pixels, raster), raster, width)
+    labelled = components.label_runs(components.runs(pixels, raster), raster)
     n = F.sum(F.col("c1") - F.col("c0") + 1)
     return labelled.groupBy(raster, "component").agg(
         n.alias("positive_pixels"), (F.sum("prob_sum") / n).alias("mean_confidence"),

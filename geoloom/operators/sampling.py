@@ -71,6 +71,19 @@ def allocate_negatives(counts: DataFrame, total_negative: int | Column | None =
     return counts.filter("available > 0").withColumn("budget", F.greatest(F.lit(1), share).cast("bigint"))
 
 
+COUNT_BLOCK = 1024
+
+
+def spread_counts(rows: DataFrame, n: Column, out: str) -> DataFrame:
+    """Every row ``n`` times, numbered 1 to ``n`` in ``out``: blocks first, dealt over all tasks, then their numbers."""
+    blocks = rows.withColumn("_n", n.cast("bigint")).withColumn(
+        "_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / COUNT_BLOCK))))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = F.col("_b") * COUNT_BLOCK + 1
+    last = F.least(F.col("_n"), (F.col("_b") + 1) * COUNT_BLOCK)
+    return blocks.repartition(tasks).withColumn(out, F.explode(F.sequence(first, last))).drop("_n", "_b")
+
+
 def sample_per_source(rows: DataFrame, budgets: DataFrame, by: Sequence[str], order: Column,
                       bucket: Column | None = None) -> DataFrame:
     """``budget`` rows per group in hash order; groups smaller than their budget repeat rows.
@@ -81,12 +94,14 @@ def sample_per_source(rows: DataFrame, budgets: DataFrame, by: Sequence[str], or
     """
     by = list(by)
     keyed = rows.join(budgets.select(*by, "budget"), by).withColumn("_order", order)
-    keyed = keyed.withColumn("_slice", hash_bucket(F.col("_order")) if bucket is None else bucket)
+    keyed = keyed.withColumn("_slice", hash_bucket(F.col("_order"), rows.count()) if bucket is None else bucket)
     out = ranked(keyed, "_order", "_rank", by=by, bucket=F.col("_slice"))
     sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
     out = out.join(sizes, by).filter(F.col("_rank") <= F.col("budget"))
-    draws = F.sequence(F.col("_rank"), F.col("budget"), F.col("_size"))
-    return out.withColumn("draw", F.explode(draws)).drop("_order", "_rank", "_size", "_slice", "budget")
+    # Repeats of one row are made in blocks, so that no row holds a list as long as the budget.
+    laps = F.floor((F.col("budget") - F.col("_rank")) / F.col("_size")) + 1
+    out = spread_counts(out, laps, "_lap").withColumn("draw", (F.col("_rank") + (F.col("_lap") - 1) * F.col("_size")).cast("bigint"))
+    return out.drop("_lap", "_order", "_rank", "_size", "_slice", "budget")
 
 
 def jitter_positions(rows: DataFrame, key: Sequence[str], jitter_m: float = 50.0, seed: int = 42,
@@ -104,13 +119,16 @@ def jitter_positions(rows: DataFrame, key: Sequence[str], jitter_m: float = 50.0
     return rows.withColumns({lon: F.col(lon) + (2 * u[0] - 1) * span, lat: F.col(lat) + (2 * u[1] - 1) * span})
 
 
-def negative_candidates(budgets: DataFrame, source: str, attempts: int = 20, seed: int = 42) -> DataFrame:
-    """``budget * attempts`` uniform points per source bounds row (``west, south, east, north``)."""
-    n = F.col("budget") * attempts
-    draws = budgets.filter("budget > 0").withColumn("attempt", F.explode(F.sequence(F.lit(1).cast("bigint"), n)))
-    u = lambda salt: S.hash_uniform(F.col(source), F.col("attempt"), seed=seed + salt)
-    return draws.withColumns({"center_lon": F.col("west") + u(0) * (F.col("east") - F.col("west")),
-                              "center_lat": F.col("south") + u(1) * (F.col("north") - F.col("south"))})
+def negative_candidates(budgets: DataFrame, source: str, attempts: int = 20, seed: int = 42,
+                        uniform: tuple[Column, Column] | None = None) -> DataFrame:
+    """``budget * attempts`` uniform points per source bounds row (``west, south, east, north``).
+
+    ``uniform`` replaces the hash of source and ``attempt`` by two given columns in [0, 1).
+    """
+    draws = spread_counts(budgets.filter("budget > 0"), F.col("budget") * attempts, "attempt")
+    u = uniform or tuple(S.hash_uniform(F.col(source), F.col("attempt"), seed=seed + salt) for salt in (0, 1))
+    return draws.withColumns({"center_lon": F.col("west") + u[0] * (F.col("east") - F.col("west")),
+                              "center_lat": F.col("south") + u[1] * (F.col("north") - F.col("south"))})
 
 
 def sample_negative_points(draws: DataFrame, stations: DataFrame, source: str, min_distance_m: float = 500.0) -> DataFrame:

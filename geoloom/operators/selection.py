@@ -1,19 +1,26 @@
 """Order-dependent selection: spaced subsets, duplicate removal, clustering.
 
-Everything runs in rounds over the still undecided rows. Rows are binned so that
+Rows without a position are near nothing and always kept. Everything else runs in rounds over
+the still undecided rows. Rows are binned so that
 bin mates are always within the radius of each other: only one row per bin can
 be chosen in a round, so a round compares bins with neighbouring bins and each
 row with the few chosen rows around it. No pair list is ever built, and a spot
-that holds a large share of the data costs one comparison per row.
+that holds a large share of the data costs one comparison per row. A round ends with a local step:
+square tiles of bounded row count are scanned serially, which decides all but what hangs on rows
+beyond the tile's border. Tiles grow from round to round while their rows allow, so that chains of
+neighbouring rows take a handful of rounds and not one round per row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoloom.functions import geometry as G
 from geoloom.operators.checkpoints import materialise
@@ -21,6 +28,131 @@ from geoloom.operators.skew import ROWS_PER_SALT, salted_join
 from geoloom.operators.spatial import BIN, _sure_side, around, polyline_distance_join, nearest_join, with_bin
 
 
+TILE_ROWS = 200_000
+FIRST_TILE, TILE_STEP, MOST_BINS = 64, 8, 1 << 40
+
+
+def _placed(rows: DataFrame) -> Column:
+    """Whether a row has a position."""
+    x, y = F.col("x").cast("double"), F.col("y").cast("double")
+    return x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
+
+
+class _Tiles:
+    """The local step: serial scans of tiles that grow from round to round."""
+
+    def __init__(self, side: float, reach: float, scan):
+        self.bins, self.side, self.reach, self.scan = FIRST_TILE, side, reach, scan
+
+    def settle(self, undecided: DataFrame, order: Sequence[Column], columns: Sequence[str]) -> DataFrame:
+        """``undecided`` (a written table) with ``_state``: 1 kept, 0 dropped, NULL still open; ``order`` is the scan's order.
+
+        Tiles with too many rows for one task are left open.
+        """
+        def tile(bins: int) -> list[Column]:
+            # Off the axes, and at another place for every size, so that no row lies at a border in every round.
+            return [F.floor((F.col(b) + bins // 3) / bins) for b in BIN]
+
+        wider = self.bins * TILE_STEP
+        if wider < MOST_BINS and undecided.groupBy(*tile(wider)).count().agg(F.max("count")).first()[0] <= TILE_ROWS:
+            self.bins = wider
+        bins, side, reach, scan = self.bins, self.side, self.reach, self.scan
+        size = bins * side
+        names = ["_tx", "_ty"]
+        tiled = undecided.withColumns(dict(zip(names, tile(bins))))
+        counts = tiled.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+        fit = salted_join(tiled, counts.filter(F.col("n") <= TILE_ROWS).drop("n"), names, "left_semi", counts=counts)
+        together = fit.repartition(int(undecided.sparkSession.conf.get("spark.sql.shuffle.partitions")), *names).sortWithinPartitions(*names, *order)
+        sent = together.select(*names, "x", "y", *columns, F.struct("_id").alias("_key"))
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[pa.RecordBatch] = []
+            now = None
+            for b in batches:
+                tx, ty = b.column(0).to_pylist(), b.column(1).to_pylist()
+                cuts = [i for i in range(1, len(tx)) if (tx[i], ty[i]) != (tx[i - 1], ty[i - 1])]
+                for first, end in zip([0, *cuts], [*cuts, len(tx)]):
+                    if end == first:
+                        continue
+                    if held and now != (tx[first], ty[first]):
+                        yield decided(held, now)
+                        held = []
+                    now = (tx[first], ty[first])
+                    held.append(b.slice(first, end - first))
+            if held:
+                yield decided(held, now)
+
+        def decided(parts: list[pa.RecordBatch], at: tuple[int, int]) -> pa.RecordBatch:
+            rows = pa.Table.from_batches(parts).combine_chunks()
+            x, y = rows.column("x").to_pylist(), rows.column("y").to_pylist()
+            low_x, low_y = at[0] * size - bins // 3 * side, at[1] * size - bins // 3 * side
+            inner = [min(a - low_x, low_x + size - a, b - low_y, low_y + size - b) > reach for a, b in zip(x, y)]
+            state = scan(x, y, inner, *[rows.column(c).to_pylist() for c in columns])
+            return pa.RecordBatch.from_arrays([rows.column("_key").combine_chunks() if rows.num_rows else pa.nulls(0), pa.array(state, pa.int32())],
+                                              names=["_key", "_state"])
+
+        found = sent.mapInArrow(each, T.StructType([sent.schema["_key"], T.StructField("_state", T.IntegerType())]))
+        settled = found.filter("_state IS NOT NULL").select(F.col("_key._id").alias("_id"), "_state")
+        return materialise(undecided.join(settled, "_id", "left"))
+
+
+def _around(cells: dict, x: float, y: float, side: float) -> Iterator[int]:
+    """Row numbers held in the 3x3 cells around a point."""
+    cx, cy = math.floor(x / side), math.floor(y / side)
+    for i in (cx - 1, cx, cx + 1):
+        for j in (cy - 1, cy, cy + 1):
+            yield from cells.get((i, j), ())
+
+
+def _scan_spaced(radius: float, inclusive: bool):
+    """Rows best first: a row in range of a kept one goes; one that may hang on an open row stays open."""
+    def scan(x, y, inner):
+        kept: dict = {}
+        waiting: dict = {}
+        out = []
+        for k, (a, b) in enumerate(zip(x, y)):
+            def near(cells, a=a, b=b):
+                return any((d <= radius if inclusive else d < radius) for d in (
+                    math.sqrt((x[j] - a) * (x[j] - a) + (y[j] - b) * (y[j] - b)) for j in _around(cells, a, b, radius)))
+            at = (math.floor(a / radius), math.floor(b / radius))
+            if near(kept):
+                out.append(0)
+            elif not inner[k] or near(waiting):
+                waiting.setdefault(at, []).append(k)
+                out.append(None)
+            else:
+                kept.setdefault(at, []).append(k)
+                out.append(1)
+        return out
+    return scan
+
+
+def _scan_detections(radius: float):
+    """Rows by id: one takes its turn once no open row lies within twice the distance."""
+    def scan(x, y, inner, conf):
+        cells: dict = {}
+        for k, (a, b) in enumerate(zip(x, y)):
+            cells.setdefault((math.floor(a / radius), math.floor(b / radius)), []).append(k)
+        waiting: dict = {}
+        state: list = [None] * len(x)
+        for k, (a, b) in enumerate(zip(x, y)):
+            if state[k] == 0:
+                continue
+            blocked = any(math.hypot(x[j] - a, y[j] - b) <= 2 * radius * (1 + 1e-9) for j in _around(waiting, a, b, 2 * radius))
+            if blocked or not inner[k]:
+                waiting.setdefault((math.floor(a / (2 * radius)), math.floor(b / (2 * radius))), []).append(k)
+                continue
+            later = sorted(j for j in _around(cells, a, b, radius) if j > k and state[j] is None
+                           and math.sqrt((x[j] - a) * (x[j] - a) + (y[j] - b) * (y[j] - b)) <= radius)
+            # The first more confident row ends the turn; what comes before it goes.
+            stop = next((j for j in later if conf[j] > conf[k]), None)
+            state[k] = 1 if stop is None else 0
+            for j in later if stop is None else later[:later.index(stop)]:
+                state[j] = 0
+        return state
+    return scan
+
+
 def _near(radius: float, inclusive: bool):
     def test(centre: Column) -> Column:
         d = G.distance(F.col("x"), F.col("y"), centre["x"], centre["y"])
@@ -28,15 +160,20 @@ def _near(radius: float, inclusive: bool):
     return test
 
 
-def _with_centres(rows: DataFrame, centres: DataFrame, counts: DataFrame | None = None,
-                  salt: bool | None = None) -> DataFrame:
+def _with_centres(rows: DataFrame, centres: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Add ``_near``: the centres in the 5x5 bins around each binned row.
 
     Centres are farther apart than the radius, so the list has a small fixed bound.
     """
     fields = [c for c in centres.columns if c not in BIN]
     reach = around(centres, 2).groupBy(*BIN).agg(F.collect_list(F.struct(*fields)).alias("_near"))
-    return salted_join(rows, reach, BIN, "left", counts=counts, salt=salt, rows_per_salt=ROWS_PER_SALT)
+    return salted_join(rows, reach, BIN, "left", counts=counts, rows_per_salt=ROWS_PER_SALT)
+
+
+def _fewer(before: int, rows: int) -> int:
+    if rows >= before:
+        raise RuntimeError("a round decided nothing: ids must be unique and positions finite")
+    return rows
 
 
 def spaced_ids(points: DataFrame, point_id: str, radius: float, priority: Sequence[Column] = (),
@@ -48,23 +185,29 @@ def spaced_ids(points: DataFrame, point_id: str, radius: float, priority: Sequen
     all such rows are taken at once (Blelloch, Fineman and Shun, SPAA 2012).
     """
     rank = F.struct(*[p.alias(f"p{i}") for i, p in enumerate(priority)], (-F.col(point_id)).alias("o"))
-    undecided = materialise(with_bin(points.select(F.col(point_id).alias("_id"), "x", "y", rank.alias("_rank")),
-                                     _sure_side(radius)))
-    near, kept = _near(radius, inclusive), []
+    every = points.select(F.col(point_id).alias("_id"), "x", "y", rank.alias("_rank"))
+    side = _sure_side(radius)
+    undecided = materialise(with_bin(every.filter(_placed(every)), side))
+    near, tiles = _near(radius, inclusive), _Tiles(side, radius, _scan_spaced(radius, inclusive))
+    kept = [every.filter(~_placed(every)).select(F.col("_id").alias(point_id), "x", "y")]
     rows = undecided.count()
-    while rows or not kept:
-        salt = rows > ROWS_PER_SALT  # with fewer rows left no bin can be too large
+    while rows:
         best = undecided.groupBy(*BIN).agg(
             F.max(F.struct("_rank", "_id", "x", "y")).alias("c"), F.count(F.lit(1)).alias("n"))
         top = around(best.select(*BIN, F.col("c._rank").alias("r")), 2).groupBy(*BIN).agg(F.max("r").alias("top"))
         chosen = best.join(top, BIN).filter("c._rank = top").select(*BIN, "c._id", "c.x", "c.y")
-        seen = _with_centres(undecided, chosen, best.select(*BIN, "n"), salt)
+        seen = _with_centres(undecided, chosen, best.select(*BIN, "n"))
         took = F.coalesce(F.exists("_near", lambda c: c["_id"] == F.col("_id")), F.lit(False))
         lost = F.coalesce(F.exists("_near", near), F.lit(False))
         left = materialise(seen.withColumn("_kept", took).filter(took | ~lost).drop("_near"))
         kept.append(left.filter("_kept").select(F.col("_id").alias(point_id), "x", "y"))
         undecided = left.filter("NOT _kept").drop("_kept")
-        rows = undecided.count()
+        if undecided.isEmpty():
+            break
+        settled = tiles.settle(undecided, [F.desc("_rank")], [])
+        kept.append(settled.filter("_state = 1").select(F.col("_id").alias(point_id), "x", "y"))
+        undecided = settled.filter("_state IS NULL").drop("_state")
+        rows = _fewer(rows, undecided.count())
     return reduce(DataFrame.unionByName, kept)
 
 
@@ -133,22 +276,22 @@ def dedup_detections(detections: DataFrame, point_id: str, min_dist_m: float = 1
     the count depends on how long the chains of overlapping rows are.
     """
     side, near = _sure_side(min_dist_m), _near(min_dist_m, True)
-    undecided = materialise(with_bin(detections.select(F.col(point_id).alias("_id"), "x", "y",
-                                                       F.col("mean_confidence").alias("_conf")), side))
-    kept, rows = [], undecided.count()
-    while rows or not kept:
-        salt = rows > ROWS_PER_SALT
+    every = detections.select(F.col(point_id).alias("_id"), "x", "y", F.col("mean_confidence").alias("_conf"))
+    undecided = materialise(with_bin(every.filter(_placed(every)), side))
+    kept, rows = [every.filter(~_placed(every)).select(F.col("_id").alias(point_id))], undecided.count()
+    tiles = _Tiles(side, 2 * min_dist_m, _scan_detections(min_dist_m))
+    while rows:
         first = undecided.groupBy(*BIN).agg(
             F.min(F.struct("_id", "x", "y", "_conf")).alias("c"), F.count(F.lit(1)).alias("n"))
         least = around(first.select(*BIN, F.col("c._id").alias("i")), 3).groupBy(*BIN).agg(F.min("i").alias("low"))
         heads = first.join(least, BIN).filter("c._id = low").select(*BIN, "c._id", "c.x", "c.y", "c._conf")
-        seen = _with_centres(undecided, heads, first.select(*BIN, "n"), salt)
+        seen = _with_centres(undecided, heads, first.select(*BIN, "n"))
         seen = seen.withColumn("_head", F.try_element_at(F.filter("_near", near), F.lit(1))).drop("_near")
         stop = seen.filter("_head IS NOT NULL").groupBy(F.col("_head._id").alias("_hid")).agg(
             F.min(F.when(F.col("_conf") > F.col("_head._conf"), F.col("_id"))).alias("_stop"),
             F.count(F.lit(1)).alias("n"))
         turn = salted_join(seen.withColumn("_hid", F.col("_head._id")), stop.drop("n"), ["_hid"], "left",
-                           counts=stop.select("_hid", "n"), salt=salt, rows_per_salt=ROWS_PER_SALT)
+                           counts=stop.select("_hid", "n"), rows_per_salt=ROWS_PER_SALT)
         is_head = F.col("_id") == F.col("_hid")
         dropped = F.when(is_head, F.col("_stop").isNotNull()).otherwise(
             (F.col("_conf") <= F.col("_head._conf")) & (F.col("_stop").isNull() | (F.col("_id") < F.col("_stop"))))
@@ -157,7 +300,12 @@ def dedup_detections(detections: DataFrame, point_id: str, min_dist_m: float = 1
                            .select("_id", "x", "y", "_conf", *BIN, "_kept"))
         kept.append(left.filter("_kept").select(F.col("_id").alias(point_id)))
         undecided = left.filter("NOT _kept").drop("_kept")
-        rows = undecided.count()
+        if undecided.isEmpty():
+            break
+        settled = tiles.settle(undecided, [F.col("_id")], ["_conf"])
+        kept.append(settled.filter("_state = 1").select(F.col("_id").alias(point_id)))
+        undecided = settled.filter("_state IS NULL").drop("_state")
+        rows = _fewer(rows, undecided.count())
     return detections.join(reduce(DataFrame.unionByName, kept), point_id, "left_semi")
 
 

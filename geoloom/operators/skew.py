@@ -8,19 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-ROWS_PER_SALT = 100_000
-MAX_HOT_KEYS = 10_000
-MAX_RANGES = 256
-ONE_TASK_BYTES = 64 << 20
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Size of the tables ``df`` reads, from the optimiser's statistics; no job is run.
+from geoloom.operators.checkpoints import materialise
 
-    Tables, not the plan's own estimate: that multiplies the sizes of joined sides.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+ROWS_PER_SALT = 100_000
+ROWS_PER_RANGE = 500_000
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -32,99 +23,72 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """Keys too large for one task and how many salts each needs.
+    """Keys too large for one task and how many salts each needs, by the key's own size only.
 
-    A hot key also holds more than 1/10,000 of all rows, so there are fewer than
-    ``MAX_HOT_KEYS`` of them whatever the data size: safe to broadcast.
+    There are at most rows / ``rows_per_salt`` of them. They are written as a table, so that Spark sees
+    their true size and broadcasts or joins them by its own threshold.
     """
-    total = counts.agg((F.sum("n") / MAX_HOT_KEYS).alias("share")).scalar()
-    limit = F.greatest(F.lit(float(rows_per_salt)), total)
-    return counts.filter(F.col("n") > limit).select(
-        *keys, F.ceil(F.col("n") / rows_per_salt).cast("int").alias("_salts"))
+    return materialise(counts.filter(F.col("n") > rows_per_salt).select(
+        *keys, F.ceil(F.col("n") / rows_per_salt).cast("int").alias("_salts")))
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner",
                 counts: DataFrame | None = None, rows_per_salt: int = ROWS_PER_SALT,
-                condition: Column | None = None, salt: bool | None = None, heavy: bool = False) -> DataFrame:
-    """Equi-join where ``big`` may have hot keys: hot rows are spread over salts
-    and the matching ``small`` rows repeated per salt. Results equal a plain join.
-
-    ``counts`` (keys + ``n``) saves a pass over ``big`` when already known.
-    ``condition`` may refer to columns of both sides (names must then be distinct).
-    Unless ``salt`` forces it, salting is left out when the tables behind ``big`` together
-    are small enough for one task, where no key can be too hot. ``heavy`` marks joins whose
-    pairs cost far more than their bytes; small inputs are then spread over all tasks.
+                condition: Column | None = None, small_counts: DataFrame | None = None, heavy: bool = False) -> DataFrame:
+    """Equi-join where keys may be hot: rows of a hot key are spread over salts and the
+    matching rows of the other side repeated per salt. Results equal a plain join.
+
+    ``counts`` (keys + ``n``) saves a pass over ``big`` when already known. Given ``small_counts``,
+    an inner join splits hot keys of ``small`` in the same way. ``condition`` may refer to columns of
+    both sides (names must then be distinct). ``heavy`` marks joins whose pairs cost far more than
+    their bytes; their rows are spread over all tasks. The plan is the same whatever the sizes.
     """
     keys = list(keys)
-    if salt is None:
-        salt = input_bytes(big) > ONE_TASK_BYTES
-    if not salt:
-        big = spread(big, *keys) if heavy else big
-        if condition is None:
-            return big.join(small, keys, how)
-        other = small.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-        match = condition
-        for k in keys:
-            match = match & (F.col(k) == F.col(f"_r_{k}"))
-        return big.join(other, match, how).drop(*[f"_r_{k}" for k in keys])
     if counts is None:
         counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot = F.broadcast(hot_keys(counts, keys, rows_per_salt))
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.col("_salts"))
-    left = big.join(hot, keys, "left").withColumn(
-        "_salt", F.coalesce(part, F.lit(0)).cast("int")).drop("_salts")
-    right = small.join(hot, keys, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0))))).drop("_salts")
-    on = keys + ["_salt"]
+    left, right = _salted(big, small, keys, hot_keys(counts, keys, rows_per_salt), "_salt")
+    on = [*keys, "_salt"]
+    if small_counts is not None and how == "inner":
+        right, left = _salted(right, left, keys, hot_keys(small_counts, keys, rows_per_salt), "_salt2")
+        on.append("_salt2")
+    extra = on[len(keys):]
+    left = spread(left, *on) if heavy else left
     if condition is None:
-        return left.join(right, on, how).drop("_salt")
+        return left.join(right, on, how).drop(*extra)
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
     match = condition
     for k in on:
         match = match & (F.col(k) == F.col(f"_r_{k}"))
-    return left.join(renamed, match, how).drop("_salt", *[f"_r_{k}" for k in on])
-
-
-def quantile_bounds(df: DataFrame, column: str, buckets: int) -> list[float]:
-    """At most ``buckets - 1`` cut points splitting ``column`` into similar-sized ranges."""
-    probs = [i / buckets for i in range(1, buckets)]
-    return sorted(set(df.approxQuantile(column, probs, 1 / (4 * buckets)))) if probs else []
+    return left.join(renamed, match, how).drop(*extra, *[f"_r_{k}" for k in on])
 
 
-def range_bucket(column: Column, bounds: Sequence[float]) -> Column:
-    """Index of the range ``column`` falls in; equal values share a bucket.
-
-    A balanced tree of comparisons: a handful per row however many ranges there are.
-    """
-    value = column.cast("double")
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value < F.lit(float(bounds[middle])), search(low, middle)).otherwise(search(middle + 1, high))
-
-    return search(0, len(bounds))
+def _salted(big: DataFrame, small: DataFrame, keys: list[str], hot: DataFrame, salt: str) -> tuple[DataFrame, DataFrame]:
+    """``big`` with a salt per row, ``small`` repeated for every salt of its key."""
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.col("_salts"))
+    left = big.join(hot, keys, "left").withColumn(salt, F.coalesce(part, F.lit(0)).cast("int")).drop("_salts")
+    right = small.join(hot, keys, "left").withColumn(
+        salt, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0))))).drop("_salts")
+    return left, right
 
 
 def running_totals(df: DataFrame, order: str, totals: dict[str, Column], by: Sequence[str] = (),
-                   bucket: Column | None = None, buckets: int | None = None,
-                   descending: bool = False) -> DataFrame:
+                   bucket: Column | None = None, descending: bool = False) -> DataFrame:
     """Add inclusive running sums in ``order`` (unique per group) without a global sort task.
 
     Rows are cut into order ranges; sums per range are accumulated over the small
     table of ranges; the within-range part is a window over (group, range). No
     task ever holds a whole group, however large.
 
-    ``bucket`` gives the range index directly (it must grow with ``order``);
-    otherwise ranges come from approximate quantiles. Window order among the
-    ranges is reversed for ``descending``.
+    ``bucket`` gives the range index directly (it must grow with ``order``); otherwise Spark's
+    range partitioner cuts the rows into as many ranges as their count asks for, and the rows are
+    written with their range. Window order among the ranges is reversed for ``descending``.
     """
     by = list(by)
     if bucket is None:
-        spark = df.sparkSession
-        n = buckets or min(MAX_RANGES, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-        bucket = range_bucket(F.col(order), quantile_bounds(df, order, n))
+        ranges = -(-df.count() // ROWS_PER_RANGE) or 1
+        df = materialise(df.repartitionByRange(ranges, order).withColumn("_bucket", F.spark_partition_id()))
+        bucket = F.col("_bucket")
+    shown = [c for c in df.columns if c != "_bucket"]
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     rows = df.withColumn("_bucket", bucket)
     sums = rows.groupBy(*by, "_bucket").agg(*[F.sum(v).alias(f"_t_{k}") for k, v in totals.items()])
@@ -138,7 +102,7 @@ def running_totals(df: DataFrame, order: str, totals: dict[str, Column], by: Seq
     summed = rows.withColumns({f"_w_{k}": F.sum(v).over(inside) for k, v in totals.items()})
     return (summed.join(offsets, [*by, "_bucket"])
             .withColumns({k: F.col(f"_w_{k}") + F.col(f"_o_{k}") for k in totals})
-            .select(*df.columns, *totals))
+            .select(*shown, *totals))
 
 
 def ranked(df: DataFrame, order: str, out: str = "rank", **kw) -> DataFrame:
@@ -146,9 +110,7 @@ def ranked(df: DataFrame, order: str, out: str = "rank", **kw) -> DataFrame:
     return running_totals(df, order, {out: F.lit(1)}, **kw).withColumn(out, F.col(out).cast("bigint"))
 
 
-HASH_BUCKET_BITS = 10
-
-
-def hash_bucket(hash_column: Column) -> Column:
-    """Range index of a 64-bit hash: its top bits, shifted to be non-negative."""
-    return F.shiftright(hash_column, 64 - HASH_BUCKET_BITS) + F.lit(1 << (HASH_BUCKET_BITS - 1))
+def hash_bucket(hash_column: Column, rows: int) -> Column:
+    """Range index of a 64-bit hash: as many of its top bits, shifted to be non-negative, as ``rows`` ask for."""
+    bits = max(1, (max(rows, 1) // ROWS_PER_RANGE).bit_length())
+    return F.shiftright(hash_column, 64 - bits) + F.lit(1 << (bits - 1))

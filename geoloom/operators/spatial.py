@@ -55,8 +55,8 @@ def radius_join(left: DataFrame, right: DataFrame, radius: float, inclusive: boo
     Keeps every column of both sides except the right coordinates.
     """
     other = right.withColumnsRenamed({"x": "_rx", "y": "_ry"})
-    pairs = salted_join(with_bin(left, radius),
-                        around(with_bin(other, radius, "_rx", "_ry")), BIN, heavy=True)
+    sites = around(with_bin(other, radius, "_rx", "_ry"))
+    pairs = salted_join(with_bin(left, radius), sites, BIN, small_counts=sites.groupBy(*BIN).agg(F.count(F.lit(1)).alias("n")))
     pairs = pairs.withColumn("dist_m", G.distance(F.col("x"), F.col("y"), F.col("_rx"), F.col("_ry")))
     return pairs.filter(_compare(F.col("dist_m"), radius, inclusive)).drop(*BIN, "_rx", "_ry")
 

@@ -68,17 +68,17 @@ def eval_set_job(features: DataFrame, negatives: DataFrame, training: DataFrame,
     return features.unionByName(picked, allowMissingColumns=True)
 
 
-def detection_job(tile_pixels: DataFrame, affine: DataFrame, raster_id: str, width: int, *, threshold: float = 0.5,
+def detection_job(tile_pixels: DataFrame, affine: DataFrame, raster_id: str, *, threshold: float = 0.5,
                   min_area_m2: float = 200.0, resolution: float = 0.6, dedup_m: float | None = 100.0,
                   to_lonlat=None) -> DataFrame:
     """Scored tile pixels → merged raster → components → detections → duplicates removed."""
     merged = raster.merge_overlaps(tile_pixels, raster_id).filter(F.col("prob") >= threshold)
-    boxes = raster.component_boxes(merged, raster_id, width)
+    boxes = raster.component_boxes(merged, raster_id)
     found = raster.extract_detections(boxes, affine, raster_id, resolution, min_area_m2, to_lonlat)
     if dedup_m is None:
         return found
     placed = materialise(found.withColumns({
-        "det_id": F.col(raster_id).cast("bigint") * F.lit(1 << 32) + F.col("component"),
+        "det_id": F.struct(raster_id, "component"),
         "x": F.col("center_lon") * 85000.0, "y": F.col("center_lat") * 111000.0}))
     return selection.dedup_detections(placed, "det_id", dedup_m).drop("x", "y")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from geoloom.operators import grids, quality, raster, sampling
-from geoloom.operators.components import label_runs, runs
+from geoloom.operators.components import ROW_STEP, label_runs, runs
 from geoloom.plans.fixtures import fixture, patch_arrays, table
 from geoloom.plans.jobs import detection_job, evaluation_job, qa_job
 from geoloom.plans.registry import query, rounded
@@ -186,6 +186,9 @@ def positive(spark, sf):
     return raster.pixel_view(patch_arrays(spark, sf), "patch_id", ["prob"]).filter("prob >= 0.55")
 
 
+# Number of a component's first pixel in a patch of eight columns.
+FIRST_PIXEL = f"component div {ROW_STEP} * 8 + component % {ROW_STEP}"
+
 COMPONENTS = """WITH RECURSIVE px AS (SELECT patch_id, row, col, row * 8 + col AS id, prob FROM fx_pixels WHERE prob >= 0.55),
     reach AS (SELECT patch_id, id, id AS seed FROM px UNION SELECT b.patch_id, b.id, r.seed FROM reach r JOIN px a ON r.patch_id = a.patch_id AND r.id = a.id
     JOIN px b ON b.patch_id = a.patch_id AND abs(a.row - b.row) + abs(a.col - b.col) = 1),
@@ -194,7 +197,7 @@ COMPONENTS = """WITH RECURSIVE px AS (SELECT patch_id, row, col, row * 8 + col A
 
 @query("connected_components", "pixels", COMPONENTS + " SELECT c.patch_id, p.row, p.col, c.component FROM comp c JOIN px p ON c.patch_id = p.patch_id AND c.id = p.id")
 def connected_components(spark, sf):
-    labelled = label_runs(runs(positive(spark, sf), "patch_id"), "patch_id", 8)
+    labelled = label_runs(runs(positive(spark, sf), "patch_id"), "patch_id").withColumn("component", F.expr(FIRST_PIXEL))
     return labelled.withColumn("col", F.explode(F.sequence("c0", "c1"))).select("patch_id", "row", "col", "component")
 
 
@@ -205,7 +208,7 @@ DETECTED = COMPONENTS + """ SELECT c.patch_id, c.component, count(*) AS positive
 
 
 def detections(spark, sf, minimum):
-    boxes = raster.component_boxes(positive(spark, sf), "patch_id", 8)
+    boxes = raster.component_boxes(positive(spark, sf), "patch_id").withColumn("component", F.expr(FIRST_PIXEL))
     affine = patch_arrays(spark, sf).select("patch_id", F.lit(0.6).alias("a"), F.lit(1000.0).alias("c"), F.lit(-0.6).alias("e"), F.lit(2000.0).alias("f"))
     out = raster.extract_detections(boxes, affine, "patch_id", 0.6, minimum * 0.36)
     return rounded(rounded(out, "center_lon", "center_lat", "area_m2", "bbox_width_m", "bbox_height_m"), "mean_confidence", "max_confidence", digits=6)
@@ -225,7 +228,7 @@ def filter_min_area(spark, sf):
 def detection_job_query(spark, sf):
     affine = table(spark, sf, "embeddings").select(F.col("label").alias("raster")).distinct().select(
         "raster", F.lit(1e-5).alias("a"), F.col("raster") * 0.5 - 112.0, F.lit(-1e-5).alias("e"), F.lit(33.5).alias("f")).toDF("raster", "a", "c", "e", "f")
-    out = detection_job(tile_pixels(spark, sf), affine, "raster", 320, threshold=0.6, min_area_m2=2 * 0.36, dedup_m=10.0)
+    out = detection_job(tile_pixels(spark, sf), affine, "raster", threshold=0.6, min_area_m2=2 * 0.36, dedup_m=10.0)
     return rounded(out, "center_lon", "center_lat", "mean_confidence", digits=6)
 
 

@@ -12,6 +12,7 @@ from geoloom.operators.checkpoints import materialise
 from geoloom.plans.fixtures import fixture, table
 from geoloom.plans.jobs import siting_job
 from geoloom.plans.registry import query, rounded
+from geoloom.plans.selection_sql import DETECTION_TURNS, NEAR, turns
 
 SERVICE_M, COVERAGE_M, NEAR_LINE_M, EXCLUSION_M, DC_M, BUILD_COST = 8000.0, 5000.0, 3000.0, 500.0, 1500.0, 4.0e6
 
@@ -397,7 +398,14 @@ def siting_job_query(spark, sf):
     return out["summary"]
 
 
-@query("cluster_constrained")
+@query("cluster_constrained", "cells stations segments", f"""WITH RECURSIVE {turns(
+    f'SELECT * FROM fx_cells WHERE cell_id NOT IN (SELECT cell_id FROM ({EXISTING_PAIRS}) p WHERE dist_m <= 3000)', 'demand_kw DESC, cell_id', f'<= {COVERAGE_M}')},
+    joined AS (SELECT b.*, (SELECT min(a.n) FROM turn a WHERE {NEAR} <= {COVERAGE_M}) AS seed_n FROM ordered b),
+    grouped AS (SELECT t.cell_id AS seed, count(*) AS n_cells, sum(j.demand_kw) AS total, sum(j.x * j.demand_kw) / sum(j.demand_kw) AS x,
+      sum(j.y * j.demand_kw) / sum(j.demand_kw) AS y FROM joined j JOIN turn t ON t.n = j.seed_n GROUP BY t.cell_id),
+    measured AS (SELECT g.*, (SELECT min({dist('g', 's')}) FROM fx_stations s) AS sub_m, (SELECT min({seg_dist('g', 's')}) FROM fx_segments s) AS tx_m FROM grouped g)
+    SELECT seed, x, y, n_cells, round_even(total, 0) AS cluster_demand_kw, round_even(tx_m / 1000, 1) AS dist_to_tx_km,
+      round_even(sub_m / 1000, 1) AS dist_to_sub_km, round_even(total / greatest(tx_m / 1000, 1.0), 1) AS score FROM measured""")
 def cluster_constrained(spark, sf):
     cells, pairs = existing_pairs(spark, sf)
     far = materialise(service.constrained_cells(cells, pairs, 3000.0))
@@ -415,32 +423,41 @@ def rank_expansion_clusters(spark, sf):
                                                          F.bround("demand_kw", 0).alias("cluster_demand_kw")))
 
 
-@query("greedy_spaced_select")
+@query("greedy_spaced_select", "cells", f"""WITH RECURSIVE {turns('SELECT * FROM fx_cells', 'demand_kw DESC, cell_id', '<= 3000')}
+    SELECT cell_id, demand_kw FROM turn""")
 def greedy_spaced_select(spark, sf):
     return selection.greedy_spaced_select(fixture(spark, sf, "cells"), "cell_id", 3000.0, [F.col("demand_kw")]).select("cell_id", "demand_kw")
 
 
-@query("dedup_features")
+@query("dedup_features", "detections", f"""WITH RECURSIVE {turns('SELECT * FROM fx_detections', 'det_id', '< 100', 'b.is_polygon OR NOT a.is_polygon')},
+    met AS (SELECT a.det_id FROM turn a JOIN ordered b ON NOT a.is_polygon AND b.is_polygon AND b.n > a.n AND {NEAR} < 100
+      WHERE NOT EXISTS (SELECT 1 FROM turn c WHERE c.is_polygon AND c.n < a.n AND {NEAR.replace('a.', 'c.')} < 100))
+    SELECT det_id, is_polygon FROM turn WHERE det_id NOT IN (SELECT det_id FROM met)""")
 def dedup_features(spark, sf):
     return selection.dedup_features(fixture(spark, sf, "detections"), "det_id").select("det_id", "is_polygon")
 
 
-@query("dedup_features_priority")
+@query("dedup_features_priority", "detections", f"""WITH RECURSIVE {turns('SELECT * FROM fx_detections', 'is_polygon DESC, det_id', '< 100')}
+    SELECT det_id, is_polygon FROM turn""")
 def dedup_features_priority(spark, sf):
     return selection.dedup_features_priority(fixture(spark, sf, "detections"), "det_id").select("det_id", "is_polygon")
 
 
-@query("dedup_detections")
+@query("dedup_detections", "detections", f"""WITH RECURSIVE {DETECTION_TURNS} SELECT det_id, round(mean_confidence, 4) AS mean_confidence FROM fx_detections
+    WHERE NOT list_contains((SELECT gone FROM walk ORDER BY n DESC LIMIT 1), det_id)""")
 def dedup_detections(spark, sf):
     return rounded(selection.dedup_detections(fixture(spark, sf, "detections"), "det_id").select("det_id", "mean_confidence"), "mean_confidence")
 
 
-@query("dedup_detections_priority")
+@query("dedup_detections_priority", "detections", f"""WITH RECURSIVE {turns('SELECT * FROM fx_detections', 'mean_confidence DESC, det_id', '<= 100')}
+    SELECT det_id, round(mean_confidence, 4) AS mean_confidence FROM turn""")
 def dedup_detections_priority(spark, sf):
     return rounded(selection.dedup_detections_priority(fixture(spark, sf, "detections"), "det_id").select("det_id", "mean_confidence"), "mean_confidence")
 
 
-@query("random_regions")
+@query("random_regions", "cells", f"""WITH RECURSIVE {turns('SELECT * FROM fx_cells', 'cell_id', '< 6000')}
+    SELECT cell_id, round(x - 2500, 4) AS west, round(y - 2500, 4) AS south, round(x + 2500, 4) AS east, round(y + 2500, 4) AS north
+    FROM turn ORDER BY cell_id LIMIT 30""")
 def random_regions(spark, sf):
     out = selection.random_regions(fixture(spark, sf, "cells"), "cell_id", 30, 2500.0, 2500.0, 6000.0)
     return rounded(out, "west", "south", "east", "north")

@@ -119,10 +119,15 @@ def sample_negative_points(spark, sf):
     return sampling.sample_negative_points(draws, fixture(spark, sf, "stations"), "area_id", 2000.0).select("area_id", "attempt", "draw")
 
 
-@query("negative_candidates")
+UNIFORM = ("CAST((geoid * 7919 + attempt * 15485863) % 100003 AS DOUBLE) / 100003", "CAST((geoid * 104729 + attempt * 32452843) % 100019 AS DOUBLE) / 100019")
+
+
+@query("negative_candidates", "block_groups", f"""SELECT geoid, attempt, round(x0 + {UNIFORM[0]} * w, 4) AS center_lon, round(y0 + {UNIFORM[1]} * h, 4) AS center_lat
+    FROM fx_block_groups CROSS JOIN range(1, 21) AS t(attempt)""")
 def negative_candidates(spark, sf):
     b = fixture(spark, sf, "block_groups").selectExpr("geoid", "x0 AS west", "y0 AS south", "x0 + w AS east", "y0 + h AS north", "1 AS budget")
-    return sampling.negative_candidates(b, "geoid").select("geoid", "attempt", "center_lon", "center_lat")
+    out = sampling.negative_candidates(b, "geoid", uniform=tuple(F.expr(u) for u in UNIFORM))
+    return rounded(out.select("geoid", "attempt", "center_lon", "center_lat"), "center_lon", "center_lat")
 
 
 GROUP_ORDER = "(CAST(substr(county_geoid, 4) AS BIGINT) * 7919) % 101"

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.functions import geometry as G
+from geoloom.functions import scalars as S
 from geoloom.sources import schemas
 
 # Channel statistics used when a file gives none (red, green, blue, near infrared).
@@ -42,7 +43,7 @@ def filter_bbox_polygons(df: DataFrame, bbox: tuple[float, float, float, float],
 
 def select_detections(df: DataFrame, county_geoid: str, bbox: tuple[float, float, float, float] | None = None) -> DataFrame:
     """Positive rows of one county; county codes may have lost their leading zero."""
-    same = F.lpad(F.col("county_geoid"), 5, "0") == county_geoid.zfill(5)
+    same = S.padded(F.col("county_geoid"), 5) == county_geoid.zfill(5)
     out = df.filter((F.col("label") == "positive") & same)
     return filter_bbox_points(out, bbox) if bbox else out
 
@@ -143,7 +144,7 @@ def line_segments(lines: DataFrame, path: str = "path") -> DataFrame:
 
 def select_data_centers(df: DataFrame, state_fips: str, county_fips: str) -> DataFrame:
     return df.filter((F.col("state_id") == int(state_fips))
-                     & (F.lpad(F.col("county_id").cast("string"), 3, "0") == county_fips) & F.col("sqft").isNotNull())
+                     & (S.padded(F.col("county_id"), 3) == county_fips) & F.col("sqft").isNotNull())
 
 
 def read_data_centers(spark: SparkSession, path: str, state_fips: str, county_fips: str) -> DataFrame | None:

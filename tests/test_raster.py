@@ -40,7 +40,7 @@ def test_label_audit_on_known_patches(spark):
 def test_diagonal_pixels_are_two_components(spark):
     on = [(1, 0, 0), (1, 0, 1), (1, 1, 2), (1, 2, 2)]
     px = spark.createDataFrame([(*p, 0.9) for p in on], "patch int, row int, col int, prob double")
-    out = label_runs(runs(px, "patch"), "patch", 5)
+    out = label_runs(runs(px, "patch"), "patch")
     assert out.select("component").distinct().count() == 2
 
 
@@ -48,7 +48,7 @@ def test_components_cross_column_blocks(spark):
     """A spiral-free long run and a comb: wide rasters are cut into blocks of columns."""
     wide = [(1, 0, c) for c in range(200)] + [(1, r, c) for r in range(1, 4) for c in range(0, 200, 2)] + [(1, 9, 5)]
     px = spark.createDataFrame([(*p, 0.5) for p in wide], "patch int, row int, col int, prob double")
-    boxes = {r.positive_pixels: r for r in raster.component_boxes(px, "patch", 200).collect()}
+    boxes = {r.positive_pixels: r for r in raster.component_boxes(px, "patch").collect()}
     assert set(boxes) == {500, 1} and (boxes[500].col_min, boxes[500].col_max, boxes[500].row_max) == (0, 199, 3)
 
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+from functools import lru_cache
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,47 +37,79 @@ def ids(df):
     return sorted(r["id"] for r in df.select("id").collect())
 
 
-def scan_features(rows, tol):
-    keep = [True] * len(rows)
-    for i in range(len(rows)):
-        if not keep[i]:
-            continue
-        for j in range(i + 1, len(rows)):
-            if keep[j] and gap(rows[i], rows[j]) < tol:
-                if rows[j][4] and not rows[i][4]:
-                    keep[i] = False
-                else:
-                    keep[j] = False
-    return [r[0] for r, k in zip(rows, keep) if k]
-
-
-def scan_detections(rows, tol):
-    keep = [True] * len(rows)
-    for i in range(len(rows)):
-        if not keep[i]:
-            continue
-        for j in range(i + 1, len(rows)):
-            if keep[j] and gap(rows[i], rows[j]) <= tol:
-                if rows[j][3] > rows[i][3]:
-                    keep[i] = False
-                    break
-                keep[j] = False
-    return [r[0] for r, k in zip(rows, keep) if k]
+def kept_features(rows, tol):
+    """By definition: who takes a turn, and which points among them meet a polygon that is still there.
+
+    A row takes a turn unless an earlier one that does is in range; points do not stop polygons.
+    """
+    kind = {r[0]: r[4] for r in rows}
+    near = {r[0]: [s[0] for s in rows if s[0] != r[0] and gap(r, s) < tol] for r in rows}
+
+    @lru_cache(None)
+    def there(i, before):
+        return not any(j < before and turn(j) and (kind[j] or not kind[i]) for j in near[i] if j < i)
+
+    def turn(i):
+        return there(i, i)
+    return sorted(i for i in kind if turn(i) and not (not kind[i] and any(p > i and kind[p] and there(p, i) for p in near[i])))
+
+
+def kept_detections(rows, tol):
+    """By definition: a turn ends at the first more confident row still there; it removes those before that row, or else stays."""
+    conf = {r[0]: r[3] for r in rows}
+    near = {r[0]: sorted(s[0] for s in rows if s[0] != r[0] and gap(r, s) <= tol) for r in rows}
+
+    @lru_cache(None)
+    def there(i, before):
+        return not any(j < before and removes(j, i) for j in near[i] if j < i)
+
+    @lru_cache(None)
+    def end(i):
+        return min((j for j in near[i] if j > i and conf[j] > conf[i] and there(j, i)), default=math.inf)
+
+    @lru_cache(None)
+    def removes(j, i):
+        return there(j, j) and i < end(j)
+    return sorted(i for i in conf if there(i, i) and end(i) == math.inf)
 
 
 @pytest.mark.parametrize("seed", [5, 6])
 def test_serial_rules(spark, seed):
     rows = points(seed=seed)
-    assert ids(selection.dedup_features(frame(spark, rows), "id")) == scan_features(rows, 100)
-    assert ids(selection.dedup_detections(frame(spark, rows), "id")) == scan_detections(rows, 100)
+    assert ids(selection.dedup_features(frame(spark, rows), "id")) == kept_features(rows, 100)
+    assert ids(selection.dedup_detections(frame(spark, rows), "id")) == kept_detections(rows, 100)
 
 
 def test_rules_hold_with_salted_bins(spark, monkeypatch):
     """The dense spot is split over salts: results must not change."""
     monkeypatch.setattr(selection, "ROWS_PER_SALT", 10)
     rows = points(n=120, seed=8)
-    assert ids(selection.dedup_detections(frame(spark, rows), "id")) == scan_detections(rows, 100)
-    assert ids(selection.dedup_features(frame(spark, rows), "id")) == scan_features(rows, 100)
+    assert ids(selection.dedup_detections(frame(spark, rows), "id")) == kept_detections(rows, 100)
+    assert ids(selection.dedup_features(frame(spark, rows), "id")) == kept_features(rows, 100)
+
+
+def test_rows_without_a_position_stay(spark):
+    rows = [(0, 0.0, 0.0, 0.5, True), (1, 1.0, 0.0, 0.4, False), (2, None, 5.0, 0.1, False), (3, 2.0, None, 0.1, True), (4, float("nan"), 1.0, 0.2, False)]
+    for operator in (selection.dedup_features, selection.dedup_detections, selection.dedup_features_priority, selection.dedup_detections_priority):
+        assert ids(operator(frame(spark, rows), "id")) == [0, 2, 3, 4]
+
+
+@pytest.mark.parametrize("operator", [selection.dedup_features_priority, selection.dedup_detections])
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch, operator):
+    rounds = []
+    fewer = selection._fewer
+    monkeypatch.setattr(selection, "_fewer", lambda a, b: rounds.append(b) or fewer(a, b))
+    rows = [(i, 60.0 * i, 0.0, 0.5, False) for i in range(10_000)]
+    assert ids(operator(frame(spark, rows), "id")) == list(range(0, 10_000, 2))
+    assert len(rounds) <= 5
+
+
+def test_small_tiles_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(selection, "TILE_ROWS", 40)
+    monkeypatch.setattr(selection, "FIRST_TILE", 2)
+    rows = points(n=140, seed=11)
+    assert ids(selection.dedup_detections(frame(spark, rows), "id")) == kept_detections(rows, 100)
+    assert ids(selection.dedup_features(frame(spark, rows), "id")) == kept_features(rows, 100)
 
 
 def test_star_component_with_salted_centre(spark, monkeypatch):
@@ -169,7 +202,7 @@ def test_salted_join_equals_plain(spark):
     small = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     for how in ("inner", "left", "left_semi", "left_anti"):
         plain = big.join(small.filter("v > 20"), "k", how)
-        salted = skew.salted_join(big, small.filter("v > 20"), ["k"], how, rows_per_salt=100, salt=True)
+        salted = skew.salted_join(big, small.filter("v > 20"), ["k"], how, rows_per_salt=100)
         assert sorted(map(tuple, plain.select("id").collect())) == sorted(map(tuple, salted.select("id").collect()))
 
 
