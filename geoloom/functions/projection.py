@@ -90,11 +90,6 @@ def project_web_mercator(lon: Column, lat: Column) -> Column:
                     (WGS84_A * F.log(F.tan(math.pi / 4 + F.radians(lat) / 2))).alias("y"))
 
 
-def unproject_web_mercator(x: Column, y: Column) -> Column:
-    return F.struct(F.degrees(x / WGS84_A).alias("lon"),
-                    F.degrees(2 * F.atan(F.exp(y / WGS84_A)) - math.pi / 2).alias("lat"))
-
-
 def approx_metres(lon: Column, lat: Column) -> Column:
     """Flat-earth metres at mid latitudes: 85 km per degree east, 111 km per degree north."""
     return F.struct((lon * 85000.0).alias("x"), (lat * 111000.0).alias("y"))
@@ -103,7 +98,3 @@ def approx_metres(lon: Column, lat: Column) -> Column:
 def project_path(path: Column, srid: int) -> Column:
     """Project an array of ``STRUCT<lon,lat>`` (or x=lon, y=lat)."""
     return F.transform(path, lambda p: project_utm(p["x"], p["y"], srid))
-
-
-def project_rings(rings: Column, srid: int) -> Column:
-    return F.transform(rings, lambda r: project_path(r, srid))

@@ -105,8 +105,10 @@ def sha256_fingerprint(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
-def is_constant(band: Column) -> Column:
-    return F.array_min(band) == F.array_max(band)
+def is_constant(*bands: Column) -> Column:
+    """One and the same value in all bands."""
+    low, high = [F.array_min(b) for b in bands], [F.array_max(b) for b in bands]
+    return (low[0] == high[0]) if len(bands) == 1 else F.least(*low) == F.greatest(*high)
 
 
 def hash_order(*keys: Column, seed: int) -> Column:

@@ -242,10 +242,6 @@ def catalog_search(items: DataFrame, bbox: tuple[float, float, float, float], fi
         F.desc("taken"), "item_id").limit(limit)
 
 
-def catalog_years(items: DataFrame) -> DataFrame:
-    return items.agg(F.sort_array(F.collect_set(F.year("taken"))).alias("years"))
-
-
 def require_items(items: DataFrame) -> DataFrame:
     if items.isEmpty():
         raise ValueError("no catalogue items match the search")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from geoloom.functions import scalars as S
 from geoloom.operators import demand, evaluate, quality, raster, sampling, selection, service, siting
 from geoloom.operators.checkpoints import materialise
 
@@ -100,7 +101,7 @@ def qa_job(patches: DataFrame, dates: DataFrame, bands: Sequence[str], *, expect
     """Validation, temporal alignment, label audit and constant-patch check → one issue summary."""
     valid = raster.validate_patches(patches, bands, expected_bands, expected_size)
     audit = raster.label_audit(patches).select("patch_id", "suspect_label")
-    corrupt = patches.select("patch_id", (F.array_min(bands[0]) == F.array_max(bands[0])).alias("possibly_corrupt"))
+    corrupt = patches.select("patch_id", S.is_constant(*[F.col(b) for b in bands]).alias("possibly_corrupt"))
     gaps = quality.check_temporal_alignment(dates, max_gap_years).select("patch_id", "temporal_mismatch")
     rows = valid.join(audit, "patch_id", "left").join(corrupt, "patch_id", "left").join(gaps, "patch_id", "left")
     return quality.qa_issue_summary(rows)

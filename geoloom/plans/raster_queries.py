@@ -246,8 +246,8 @@ def evaluation_job_query(spark, sf):
     FROM fx_pixels GROUP BY patch_id) p WHERE bad) AS n_invalid, (SELECT count(*) FROM fx_temporal t JOIN embeddings e ON t.patch_id = e.vec_id
     WHERE abs(floor((epoch_us(acquired) - epoch_us(edited)) / 86400000000.0)) / 365.25 > 3.0) AS n_temporal,
     (SELECT count(*) FROM ({AUDIT}) a WHERE pv > 50 OR pw > 50) AS n_suspect, (SELECT count(*) FROM (SELECT patch_id FROM fx_pixels GROUP BY patch_id
-    HAVING min(red) = max(red)) c) AS n_corrupt) SELECT *, concat_ws('; ', CASE WHEN n_invalid > 0 THEN n_invalid || ' invalid patches' END, CASE WHEN n_temporal > 0 THEN
-    n_temporal || ' temporal mismatches' END, CASE WHEN n_suspect > 0 THEN n_suspect || ' suspect labels' END, CASE WHEN n_corrupt > 0 THEN
-    n_corrupt || ' possibly corrupt patches' END) AS issues FROM q""")
+    HAVING greatest(max(red), max(green), max(nir)) = least(min(red), min(green), min(nir))) c) AS n_corrupt) SELECT *, concat_ws('; ', CASE WHEN n_invalid > 0 THEN n_invalid || ' invalid patches' END, CASE WHEN n_temporal > 0 THEN
+    n_temporal || ' temporal mismatches' END, CASE WHEN n_suspect > 0 THEN n_suspect || ' suspect labels (NDVI/water)' END, CASE WHEN n_corrupt > 0 THEN
+    'Possibly corrupt tiles detected' END) AS issues FROM q""")
 def qa_job_query(spark, sf):
     return qa_job(patch_arrays(spark, sf), fixture(spark, sf, "temporal"), BANDS, expected_bands=3, expected_size=8)

@@ -379,8 +379,8 @@ def resolution_consistency(spark, sf):
 
 
 @query("qa_issue_summary", "scores", """SELECT *, concat_ws('; ', CASE WHEN n_invalid > 0 THEN n_invalid || ' invalid patches' END, CASE WHEN n_temporal > 0 THEN
-    n_temporal || ' temporal mismatches' END, CASE WHEN n_suspect > 0 THEN n_suspect || ' suspect labels' END, CASE WHEN n_corrupt > 0 THEN
-    n_corrupt || ' possibly corrupt patches' END) AS issues FROM (SELECT count(*) FILTER (WHERE iou < 0.1) AS n_invalid, count(*) FILTER (WHERE dice > 0.9)
+    n_temporal || ' temporal mismatches' END, CASE WHEN n_suspect > 0 THEN n_suspect || ' suspect labels (NDVI/water)' END, CASE WHEN n_corrupt > 0 THEN
+    'Possibly corrupt tiles detected' END) AS issues FROM (SELECT count(*) FILTER (WHERE iou < 0.1) AS n_invalid, count(*) FILTER (WHERE dice > 0.9)
     AS n_temporal, count(*) FILTER (WHERE patch_score < 0) AS n_suspect, count(*) FILTER (WHERE gt_positive_px = 100) AS n_corrupt FROM fx_scores) c""")
 def qa_issue_summary(spark, sf):
     return quality.qa_issue_summary(scores(spark, sf).selectExpr(
@@ -439,6 +439,18 @@ def inventory_left_join(spark, sf):
     return quality.inventory_left_join(st, p).select("osm_id", "patch_id", "label", "positive_pixels", "source")
 
 
+@query("inventory_table", "stations scores", """SELECT coalesce(CAST(p.patch_id AS VARCHAR), 'inv_' || s.sub_id) AS patch_id, s.sub_id AS osm_id, NULL::VARCHAR AS center_lon,
+    NULL::VARCHAR AS center_lat, NULL::VARCHAR AS substation_type, NULL::VARCHAR AS substation_name, NULL::VARCHAR AS operator, s.voltage, NULL::VARCHAR AS geom_source,
+    coalesce(p.gt_positive_px, 0) AS positive_pixels, NULL::DOUBLE AS mask_bbox_width_m, NULL::DOUBLE AS mask_bbox_height_m,
+    CASE WHEN p.patch_id IS NULL THEN 'positive_no_imagery' ELSE 'positive' END AS label FROM fx_stations s LEFT JOIN fx_scores p ON s.sub_id = p.patch_id AND p.target = 1""")
+def inventory_table(spark, sf):
+    st = fixture(spark, sf, "stations").select(F.col("sub_id").alias("osm_id"), "voltage")
+    p = scores(spark, sf).filter("target = 1").selectExpr(
+        "patch_id AS osm_id", "CAST(patch_id AS STRING) AS patch_id", "gt_positive_px AS positive_pixels", "'catalogue' AS source",
+        "CAST(NULL AS DOUBLE) AS mask_bbox_width_m", "CAST(NULL AS DOUBLE) AS mask_bbox_height_m")
+    return quality.inventory_table(st, p)
+
+
 @query("union_sources", "stations cells", "SELECT sub_id AS id, voltage, CAST(NULL AS DOUBLE) AS demand_kw FROM fx_stations UNION ALL SELECT cell_id, NULL, demand_kw FROM fx_cells")
 def union_sources(spark, sf):
     return quality.union_sources([fixture(spark, sf, "stations").selectExpr("sub_id AS id", "voltage"),
@@ -510,7 +522,15 @@ def extraction_estimate(spark, sf):
 TILE = "sub_id AS tile_id, 4000 AS height, 4000 AS width, 0.00001E0 AS a, -112.0E0 + x / 85000 AS c, -0.00001E0 AS e, 33.0E0 + y / 111000 AS f"
 
 
-@query("patch_windows")
+# The box -111.9, 33.1, -111.4, 33.4 in tiles of 1e-5 degrees a pixel, cut every 300 pixels (0.003 degrees).
+@query("patch_windows", "stations", f"""WITH t AS (SELECT *, greatest(0, trunc((-111.9E0 - c) / a)::INT) AS c0, least(width, trunc((-111.4E0 - c) / a)::INT) AS c1,
+    greatest(0, trunc((33.4E0 - f) / e)::INT) AS r0, least(height, trunc((33.1E0 - f) / e)::INT) AS r1 FROM (SELECT {TILE} FROM fx_stations) s),
+    w AS (SELECT *, c + (col_off + 150) * a AS lon, f + (row_off + 150) * e AS lat FROM (SELECT *, unnest(range(c0, c1 - 299, 300)) AS col_off
+      FROM (SELECT *, unnest(range(r0, r1 - 299, 300)) AS row_off FROM t WHERE c1 - c0 >= 300 AND r1 - r0 >= 300) x) y)
+    SELECT tile_id, row_off::INT AS row_off, col_off::INT AS col_off, 300::INT AS "window", printf('patch_%07d_%07d', round_even(lat * 10000, 0)::BIGINT,
+      round_even(abs(lon) * 10000, 0)::BIGINT) AS patch_id, round(lon, 7) AS center_lon, round(lat, 7) AS center_lat,
+      round_even(lon * 1000, 0)::BIGINT AS key_lon, round_even(lat * 1000, 0)::BIGINT AS key_lat
+    FROM w WHERE lon BETWEEN -111.9E0 AND -111.4E0 AND lat BETWEEN 33.1E0 AND 33.4E0""")
 def patch_windows(spark, sf):
     tiles = fixture(spark, sf, "stations").selectExpr(*TILE.split(", "))
     out = grids.patch_windows(tiles, (-111.9, 33.1, -111.4, 33.4), ground_span_m=0.003)

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from geoloom.functions import geometry as G
 from geoloom.functions import scalars as S
@@ -255,7 +256,7 @@ def discover_datasets(spark: SparkSession, root: str) -> DataFrame:
 def read_patches(spark: SparkSession, glob: str, decode: Callable[[bytes], dict], schema: str) -> DataFrame:
     """Rasters as patch rows through a caller's decoder (file bytes → a dict of ``schema`` fields).
 
-    Adds ``patch_id`` from the file name, ``sha256`` and ``possibly_corrupt`` (constant first band).
+    Adds ``patch_id`` from the file name, ``sha256`` and ``possibly_corrupt``: all arrays of the patch hold one value.
     """
     files = spark.read.format("binaryFile").load(glob).select("path", "content")
 
@@ -266,6 +267,9 @@ def read_patches(spark: SparkSession, glob: str, decode: Callable[[bytes], dict]
 
     hashed = files.withColumn("_sha", F.sha2("content", 256))
     out = hashed.mapInPandas(rows, f"{schema}, _path STRING, _sha STRING")
+    bands = [F.col(f.name) for f in out.schema.fields if isinstance(f.dataType, ArrayType)]
+    if bands:
+        out = out.withColumn("possibly_corrupt", S.is_constant(*bands))
     return out.withColumn("patch_id", F.regexp_extract("_path", "([^/]+)\\.[^.]+$", 1)).withColumnRenamed("_sha", "sha256").drop("_path")
 
 

@@ -7,17 +7,6 @@ DETECTIONS = ("patch_id STRING, label STRING, center_lon DOUBLE, center_lat DOUB
               "bbox_width_m DOUBLE, bbox_height_m DOUBLE, voltage STRING, substation_type STRING, "
               "osm_id BIGINT, geom_source STRING, split STRING")
 
-PATCH_METADATA = ("patch_id STRING, label STRING, center_lon DOUBLE, center_lat DOUBLE, positive_pixels BIGINT, "
-                  "positive_fraction DOUBLE, total_pixels BIGINT, source STRING, stac_item_id STRING, crs STRING, "
-                  "patch_west DOUBLE, patch_east DOUBLE, patch_north DOUBLE, patch_south DOUBLE, patch_width_m DOUBLE, "
-                  "patch_height_m DOUBLE, acquisition_date TIMESTAMP, resolution_x DOUBLE, resolution_y DOUBLE, "
-                  "actual_band_count INT, sha256 STRING, possibly_corrupt BOOLEAN, mask_bbox_row_min INT, "
-                  "mask_bbox_row_max INT, mask_bbox_col_min INT, mask_bbox_col_max INT, mask_bbox_width_px INT, "
-                  "mask_bbox_height_px INT, mask_bbox_width_m DOUBLE, mask_bbox_height_m DOUBLE, mask_centroid_x DOUBLE, "
-                  "mask_centroid_y DOUBLE, county_geoid STRING, county_name STRING, region STRING, osm_id BIGINT, "
-                  "geom_source STRING, voltage STRING, substation_type STRING, substation_name STRING, operator STRING, "
-                  "split STRING")
-
 DATA_CENTERS = "state_id INT, county_id INT, lon DOUBLE, lat DOUBLE, sqft DOUBLE"
 
 OVERPASS = ("elements ARRAY<STRUCT<type STRING, id BIGINT, lon DOUBLE, lat DOUBLE, nodes ARRAY<BIGINT>, "

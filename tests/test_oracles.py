@@ -3,24 +3,22 @@
 import pytest
 
 import __spark_entry__ as entry
+from geoloom.operators import service
 from tests.conftest import FOLDER
-from tests.oracle import compare, duck
+from tests.oracle import compare
 
 
-# With ten stations most demand is out of reach, and the query rightly refuses; see below.
-GUARDED = {"unreachable_check"}
-
-
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - GUARDED))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_sql(spark, con, name):
     assert compare(spark, con, FOLDER, name) is None
 
 
-def test_unreachable_demand_raises_when_large_and_drops_when_small(spark):
+def test_unreachable_demand_is_refused_beyond_the_tolerance(spark):
+    cells = spark.createDataFrame([(1, 90.0), (2, 10.0)], "cell_id long, demand_kw double")
+    pairs = spark.createDataFrame([(1, 5.0)], "cell_id long, dist_m double")
     with pytest.raises(ValueError, match="no server in range"):
-        entry.queries()["unreachable_check"](spark, FOLDER)
-    larger = FOLDER.replace("sf0.001", "sf0.01")
-    assert compare(spark, duck(larger), larger, "unreachable_check") is None
+        service.unreachable_check(cells, pairs, 0.05)
+    assert [r.cell_id for r in service.unreachable_check(cells, pairs, 0.2).collect()] == [1]
 
 
 def test_entry_has_one_row(spark):
