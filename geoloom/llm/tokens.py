@@ -7,8 +7,9 @@ import re
 import struct
 from collections.abc import Callable
 
-#: Words kept per worker, about 250 bytes each. The memory is emptied when full; results do not depend on it.
-REMEMBERED_WORDS = 150_000
+#: Words kept per worker, about 250 bytes each, in a current and an older half: when the current one is full it
+#: becomes the older one, from which words still in use return. Results do not depend on it.
+REMEMBERED_WORDS = 400_000
 
 #: Characters of text whose new words are encoded together.
 GROUP_CHARS = 1_000_000
@@ -69,6 +70,7 @@ def _whole(tokenizer) -> Callable[[list[str]], list[bytes]]:
 
 def _by_words(tokenizer) -> Callable[[list[str]], list[bytes]]:
     known: dict[bytes, bytes] = {}
+    older: dict[bytes, bytes] = {}
     model, shown = tokenizer.model, byte_alphabet()
     stops = {s: _ids(tokenizer.encode(s, add_special_tokens=False).ids) for s in (",", ".")}
 
@@ -78,10 +80,11 @@ def _by_words(tokenizer) -> Callable[[list[str]], list[bytes]]:
         return _ids([t.id for t in model.tokenize(text)])
 
     def learn(chunks: set[bytes]) -> None:
-        if len(known) + len(chunks) > REMEMBERED_WORDS:
-            known.clear()
         other = []
         for chunk in chunks:
+            if chunk in older:
+                known[chunk] = older[chunk]
+                continue
             text = chunk.decode()
             if PLAIN_WORD.fullmatch(text):
                 known[chunk] = word(text)
@@ -107,7 +110,10 @@ def _by_words(tokenizer) -> Callable[[list[str]], list[bytes]]:
                 at += 1
             missing = set().union(*lines).difference(known)
             if missing:
-                if len(missing) + len(known) > REMEMBERED_WORDS:
+                if len(missing) + len(known) > REMEMBERED_WORDS // 2:
+                    older.clear()
+                    older.update(known)
+                    known.clear()
                     missing = set().union(*lines)
                 learn(missing)
             out += [b"".join([known[c] for c in line]) for line in lines]
