@@ -17,10 +17,11 @@ COLUMN_BLOCK = 64
 def _stars(edges: DataFrame, by: list[str]) -> DataFrame:
     """One large-star and one small-star step (Kiveris et al., SoCC 2014) on edges ``a > b``."""
     both = edges.unionByName(edges.select(*by, F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy(*by, "a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("n"))
+    low = materialise(both.groupBy(*by, "a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("n")))
     large = salted_join(both, low.drop("n"), [*by, "a"], counts=low.drop("m"), rows_per_salt=ROWS_PER_SALT).filter("b > a").select(
         *by, F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-    low = large.groupBy(*by, "a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    large = materialise(large)
+    low = materialise(large.groupBy(*by, "a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")))
     linked = salted_join(large, low.drop("n"), [*by, "a"], counts=low.drop("m"), rows_per_salt=ROWS_PER_SALT).filter("b <> m").select(
         *by, F.col("b").alias("a"), F.col("m").alias("b"))
     return linked.unionByName(low.select(*by, "a", F.col("m").alias("b"))).distinct()

@@ -41,16 +41,21 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     ``counts`` (keys + ``n``) saves a pass over ``big`` when already known. Given ``small_counts``,
     an inner join splits hot keys of ``small`` in the same way. ``condition`` may refer to columns of
     both sides (names must then be distinct). ``heavy`` marks joins whose pairs cost far more than
-    their bytes; their rows are spread over all tasks. The plan is the same whatever the sizes.
+    their bytes; their rows are spread over all tasks. Only the counts of keys decide what is salted.
     """
     keys = list(keys)
     if counts is None:
         counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    left, right = _salted(big, small, keys, hot_keys(counts, keys, rows_per_salt), "_salt")
-    on = [*keys, "_salt"]
+    on, left, right = list(keys), big, small
+    hot = hot_keys(counts, keys, rows_per_salt)
+    if not hot.isEmpty():  # a join with no hot keys would change nothing
+        left, right = _salted(left, right, keys, hot, "_salt")
+        on.append("_salt")
     if small_counts is not None and how == "inner":
-        right, left = _salted(right, left, keys, hot_keys(small_counts, keys, rows_per_salt), "_salt2")
-        on.append("_salt2")
+        hot = hot_keys(small_counts, keys, rows_per_salt)
+        if not hot.isEmpty():
+            right, left = _salted(right, left, keys, hot, "_salt2")
+            on.append("_salt2")
     extra = on[len(keys):]
     left = spread(left, *on) if heavy else left
     if condition is None:
