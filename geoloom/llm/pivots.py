@@ -69,13 +69,20 @@ def vector_classes(rows: DataFrame, vec_id: str, embedding: str) -> tuple[DataFr
             materialise(classes.withColumn("cid", F.monotonically_increasing_id())))
 
 
-def _apart(drawn: np.ndarray, most: int) -> np.ndarray:
-    """The first ``most`` drawn vectors that are far from all before them: equal pivots would make the order a matter of chance."""
-    kept = drawn[:0]
-    for v in drawn:
-        if len(kept) < most and (not len(kept) or (kept @ v).max() < PIVOTS_APART):
+def _apart(drawn: np.ndarray, most: int, least: int) -> np.ndarray:
+    """The first ``most`` drawn vectors that are far from all before them: equal pivots would make the order a matter of chance.
+
+    If these are fewer than ``least`` (all vectors in a narrow cone), the next drawn ones fill up, near as they are.
+    """
+    kept, near = drawn[:0], []
+    for i, v in enumerate(drawn):
+        if not len(kept) or (kept @ v).max() < PIVOTS_APART:
+            if len(kept) == most:
+                break
             kept = np.concatenate([kept, v[None]])
-    return kept
+        else:
+            near.append(i)
+    return np.concatenate([kept, drawn[near[:max(0, least - len(kept))]]])
 
 
 def pivot_index(classes: DataFrame, nearest: int = NEAREST, pivots: int | None = None) -> tuple[DataFrame, int]:
@@ -83,8 +90,8 @@ def pivot_index(classes: DataFrame, nearest: int = NEAREST, pivots: int | None =
     size, width = classes.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
     if pivots is None:
         pivots = min(MOST_PIVOTS, max(FEWEST_PIVOTS, round(2 * math.sqrt(size))))
-    drawn = classes.orderBy(F.xxhash64(F.lit(7), "k1", "k2"), "cid").limit(2 * pivots).select("vector").toArrow()["vector"]
-    centres = _apart(_unit(_matrix(drawn.combine_chunks(), width)), pivots).T if size else np.zeros((0, 0))
+    drawn = classes.orderBy(F.xxhash64(F.lit(7), "k1", "k2"), "cid").limit(2 * max(pivots, nearest)).select("vector").toArrow()["vector"]
+    centres = _apart(_unit(_matrix(drawn.combine_chunks(), width)), pivots, nearest).T if size else np.zeros((0, 0))
     pivots = centres.shape[1]
     nearest = min(nearest, pivots)
 
@@ -104,13 +111,17 @@ def pivot_index(classes: DataFrame, nearest: int = NEAREST, pivots: int | None =
 
 
 def inverted_lists(index: DataFrame, pivots: int) -> DataFrame:
-    """``dim, list, cid, permutation``: every class in the list of each pair of its nearest pivots."""
+    """``dim, list, cid, permutation``: every class in the list of each pair of its nearest pivots.
+
+    Where all pivots are the nearest ones of every class, one list has them all, and its blocks are compared without loss.
+    """
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
             near = np.frombuffer(b"".join(b.column("permutation").to_pylist()), "<u2").reshape(b.num_rows, -1).astype(np.int64)
-            for i, j in itertools.combinations(range(near.shape[1]), 2):
+            some = range(near.shape[1] if near.shape[1] < pivots else min(2, pivots))
+            for i, j in itertools.combinations(some, 2):
                 yield pa.RecordBatch.from_arrays(
                     [b.column("dim"), pa.array(near[:, i] * pivots + near[:, j]), b.column("cid"), b.column("permutation")],
                     names=["dim", "list", "cid", "permutation"])

@@ -165,6 +165,19 @@ def test_vector_links_are_those_of_all_pairs(spark, frame, monkeypatch, block, s
     assert pivots.near_vectors(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_vectors_of_a_narrow_cone_still_link(frame):
+    two = [[1.0, 0.0], [0.95, float(np.sqrt(1 - 0.95**2))]]
+    got = pivots.near_vectors(frame([(i, v, "", "") for i, v in enumerate(two)], VECTORS)).collect()
+    assert [(r["n_links"], r["component_id"]) for r in got] == [(1, 0)] * 2
+    rng = np.random.default_rng(8)
+    cone = np.eye(24)[0] + rng.normal(size=(300, 24)) * 0.07  # cosines of pairs from 0.8 to 0.95
+    rows = [(i, [float(np.float32(x)) for x in v], "", "") for i, v in enumerate(cone)]
+    n, comp, _ = brute(rows)
+    assert 0 < sum(n) < 300 * 299
+    got = {r["vec_id"]: r for r in pivots.near_vectors(frame(rows, VECTORS), block=64).collect()}
+    assert [(got[i]["n_links"], got[i]["component_id"]) for i in range(300)] == list(zip(n, comp))
+
+
 def test_recall_near_the_threshold(frame):
     rng = np.random.default_rng(6)
     base = rng.normal(size=(1500, 64))
