@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -191,6 +192,23 @@ def test_recall_near_the_threshold(frame):
     assert got >= 0.97 * 3000
 
 
+@pytest.mark.parametrize("many,least", [(1000, 0.97), (4096, 0.95)])
+def test_recall_holds_with_many_pivots(spark, many, least):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(1000, 64))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    away = rng.normal(size=base.shape)
+    away -= (away * base).sum(1)[:, None] * base
+    away /= np.linalg.norm(away, axis=1)[:, None]
+    cos = rng.uniform(0.901, 0.93, 1000)[:, None]
+    # Most pivots are drawn from the others, as in a large table.
+    every = np.vstack([base, cos * base + np.sqrt(1 - cos**2) * away, rng.normal(size=(5 * many, 64))])
+    rows = spark.createDataFrame(pa.table({"vec_id": np.arange(len(every)), "embedding": list(every)})).repartition(4)
+    got = pivots.near_vectors(rows, pivots=many).filter("n_links > 0").count()
+    print("recall", many, got / 2000)
+    assert got >= least * 2000
+
+
 def test_blocks_meet_once(spark, frame):
     from geoloom.operators.checkpoints import materialise
 
