@@ -1,7 +1,7 @@
 """Near-duplicate vectors through a pivot-permutation index.
 
 A bounded sample of vectors serves as pivots. Each distinct vector is described by its ``nearest``
-pivots and entered into the inverted list of every pair of them. Two vectors of a list become
+pivots (as a set, without their order) and entered into the inverted list of every pair of them. Two vectors of a list become
 candidates if they share at least ``shared`` pivots, in the list of their two lowest shared pivots
 only, so every pair is looked at once. Vectors without a candidate leave; the others bring their
 components to the lists, and candidates are verified by cosine in double precision. Tasks return
