@@ -25,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document (smallest id) of each component of near duplicates, among those with five words or more: five-word shingles, fingerprints within three bits."""
+    """The first document (smallest id) of each component of near duplicates: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more are linked."""
     return one_of_each(docs)
 
 

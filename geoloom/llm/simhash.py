@@ -37,6 +37,12 @@ BITS = 64
 SEED = 42
 #: Fingerprints of one key compared in one task at most, twice.
 BLOCK = 4096
+#: Texts of one component compared by their shingles in one task at most, twice.
+TEXT_BLOCK = 512
+#: Shingles gathered at once.
+GATHERED = 4_000_000
+#: Share of pairs at the limit of similarity that may meet in no part of any lane.
+MISSED = 0.02
 #: Fingerprints drawn for the estimates of candidate counts; results do not depend on it.
 SAMPLED = 2048
 #: Relative costs of moving one probe and of comparing one candidate.
@@ -63,9 +69,8 @@ def fingerprint(text: str | None, words_per_shingle: int = 4) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
-def wide_fingerprint(text: str | None, lanes: int, words_per_shingle: int) -> list[int]:
-    """SimHash of ``lanes`` times 64 bits over the distinct shingles: one shingle hash, mixed anew for every lane."""
-    hashes = np.unique(shingle_hashes(text or "", words_per_shingle))
+def wide_fingerprint(hashes: np.ndarray, lanes: int) -> list[int]:
+    """SimHash of ``lanes`` times 64 bits over distinct shingle hashes, mixed anew for every lane."""
     out = []
     for lane in range(lanes):
         counts = np.zeros(BITS, np.int64)
@@ -81,23 +86,31 @@ def wide_fingerprint(text: str | None, lanes: int, words_per_shingle: int) -> li
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_per_shingle: int = 4, lanes: int = 0,
                  key: str | None = None) -> DataFrame:
-    """``doc_id, fp[, key]`` of every document; ``fp`` is an array of signed longs, 64 bits each.
+    """``doc_id, fp[, set_key][, key]`` of every document; ``fp`` is an array of signed longs, 64 bits each.
 
     Without ``lanes`` it has one, of XXH64 over lower-cased text; with them it has so many, of a mixed hash over the distinct
-    shingles of the text as it is, so that repeated lines do not make texts alike.
+    shingles of the text as it is, so that repeated lines do not make texts alike; ``set_key`` is equal for equal sets of shingles.
     """
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1).to_pylist()
-            found = [wide_fingerprint(t, lanes, words_per_shingle) if lanes else [fingerprint(t, words_per_shingle)] for t in texts]
+            found, sets = [], []
+            for t in texts:
+                if lanes:
+                    hashes = np.unique(shingle_hashes(t or "", words_per_shingle))
+                    found.append(wide_fingerprint(hashes, lanes))
+                    sets.append(xxhash.xxh3_128_hexdigest(hashes.tobytes()))
+                else:
+                    found.append([fingerprint(t, words_per_shingle)])
             fp = np.array(found, np.uint64).reshape(len(texts), -1).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(fp), pa.list_(pa.int64())), *b.columns[2:]],
-                                             names=["doc_id", "fp", *b.schema.names[2:]])
+            some = [pa.array(sets, pa.string())] if lanes else []
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(fp), pa.list_(pa.int64())), *some, *b.columns[2:]],
+                                             names=["doc_id", "fp", *["set_key"][:lanes], *b.schema.names[2:]])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     keys = [F.col(key)] if key else []
     return docs.select(F.col(doc_id), F.col(text), *keys).mapInArrow(
-        each, f"doc_id {kind}, fp array<bigint>" + (f", {key} {docs.schema[key].dataType.simpleString()}" if key else ""))
+        each, f"doc_id {kind}, fp array<bigint>" + (", set_key string" if lanes else "") + (f", {key} {docs.schema[key].dataType.simpleString()}" if key else ""))
 
 
 # ---- parts and thresholds -------------------------------------------------------------------------------------
@@ -193,6 +206,11 @@ def choose_parts(products: np.ndarray, sample: np.ndarray, radius: int) -> list[
     return found[1]
 
 
+def missed(parts: list[tuple[list[int], int]], flip: float) -> float:
+    """Chance that two fingerprints meet in no part, if each bit differs by itself with chance ``flip``."""
+    return math.prod(1 - sum(math.comb(len(p), k) * flip**k * (1 - flip) ** (len(p) - k) for k in range(t + 1)) for p, t in parts)
+
+
 def _key(fp: np.ndarray, part: list[int]) -> np.ndarray:
     """The bits of a part (0 is the highest of the 64), packed."""
     fp = fp.view(np.uint64)
@@ -273,15 +291,23 @@ def _edges(rows: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
     return forest(np.concatenate(found_a), np.concatenate(found_b))
 
 
-def components(prints: DataFrame, most: int, radius: int, lanes: int = 1, block: int = BLOCK) -> DataFrame:
-    """``fp, component, component_id``: the component of every distinct fingerprint of the written table ``prints``, and its smallest document id."""
+def components(prints: DataFrame, most: int, radius: int, lanes: int = 1, block: int = BLOCK, flip: float | None = None) -> DataFrame:
+    """``fp, component, component_id``: the component of every distinct fingerprint of the written table ``prints``, and its smallest document id.
+
+    With ``flip`` the radius of a lane grows until all lanes together miss at most ``MISSED`` of the pairs whose bits differ with that chance.
+    """
     classes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")).withColumn("cid", F.monotonically_increasing_id()))
     parts = []
     for lane in range(lanes):
         products = bit_products(classes, lane)
         share = min(1.0, 2.0 * SAMPLED / max(products[BITS, 0], 1.0))
         drawn = classes.filter(F.pmod(F.xxhash64("fp"), F.lit(1_000_000_007)) < int(share * 1_000_000_007)).select(F.col("fp")[lane]).limit(SAMPLED)
-        parts.append(choose_parts(products, np.array([r[0] for r in drawn.collect()], np.int64), radius))
+        sample, reach = np.array([r[0] for r in drawn.collect()], np.int64), radius
+        chosen = choose_parts(products, sample, reach)
+        while flip is not None and missed(chosen, flip) ** lanes > MISSED:
+            reach += 1
+            chosen = choose_parts(products, sample, reach)
+        parts.append(chosen)
     found = links(materialise(signatures(classes, parts)), most, block)
     reached = materialise(connected_components(classes, materialise(found.distinct()), "cid"))
     ids = reached.groupBy("component").agg(F.min("first_id").alias("component_id"))
@@ -301,20 +327,82 @@ def bits_at(similarity: float, bits: int) -> float:
     return bits * math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
+def _similar_sets(rows: list[np.ndarray], similarity: float, words_per_shingle: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links (set, root of its component) that span the pairs of each group whose Jaccard similarity is ``similarity`` or more.
+
+    Pairs already joined by others are not computed again. In groups over ``SMALL`` only pairs within ``most`` bits are.
+    """
+    edges = np.append(np.flatnonzero(new_group(rows[:3])), len(rows[0]))
+    for first, end in itertools.pairwise(edges.tolist()):
+        m = end - first
+        own, sid, fp = rows[3][first:end], rows[4][first:end], rows[5][first:end].view(np.uint64)
+        cross = rows[1][first] != rows[2][first]
+        sets = [np.unique(shingle_hashes(t or "", words_per_shingle)) for t in rows[6][first:end]]
+        sizes = np.array([len(x) for x in sets])
+        starts = np.cumsum(sizes) - sizes
+        names, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        mark, root = np.zeros(len(names), bool), np.arange(m)
+        for i in range(m - 1):
+            near = (root[i + 1:] != root[i]) & (np.minimum(sizes[i + 1:], sizes[i]) >= similarity * np.maximum(sizes[i + 1:], sizes[i]))
+            if cross:
+                near &= own[i + 1:] != own[i]
+            j = np.flatnonzero(near) + i + 1
+            if m > SMALL:
+                j = j[np.bitwise_count(fp[j] ^ fp[i]).sum(1, dtype=np.int64) <= most]
+            mark[ids[starts[i]:starts[i] + sizes[i]]] = True
+            while len(j):
+                some = j[:max(1, int(np.searchsorted(np.cumsum(sizes[j]), GATHERED)))]
+                j, n = j[len(some):], sizes[some]
+                begin = np.cumsum(n) - n
+                at = np.repeat(starts[some] - begin, n) + np.arange(n.sum())
+                common = np.add.reduceat(mark[ids[at]].astype(np.int64), begin)
+                joined = some[common / (sizes[i] + n - common) >= similarity]
+                if len(joined):
+                    root[np.isin(root, root[joined])] = root[i]
+                    j = j[root[j] != root[i]]
+            mark[ids[starts[i]:starts[i] + sizes[i]]] = False
+        other = np.flatnonzero(root != np.arange(m))
+        yield sid[other], sid[root[other]]
+
+
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = 0.8, lanes: int = 4,
-                      words_per_shingle: int = 5, radius: int = 6, block: int = BLOCK, key: str | None = None) -> DataFrame:
-    """``doc_id, component_id, component[, key]``: documents whose estimated Jaccard similarity is ``similarity`` or more are linked.
+                      words_per_shingle: int = 5, radius: int = 6, block: int = BLOCK, key: str | None = None,
+                      text_block: int = TEXT_BLOCK) -> DataFrame:
+    """``doc_id, component_id, component[, key]``: documents whose Jaccard similarity is ``similarity`` or more are linked.
+
+    Bits only find candidates. 64 are too few for a similarity of 0.8, so fingerprints have ``lanes`` times 64; every lane is
+    indexed by the general pigeonhole principle, for ``radius`` or as many bits more as it takes for pairs at the limit to meet
+    (``MISSED``), and what meets within three standard deviations above the expected bits is a candidate. The texts of each
+    component of candidates then come together, long components in blocks that meet pair by pair, and link by their shingle
+    sets: no two documents below ``similarity`` are linked, but components of links are transitive.
 
-    64 bits are too few to tell a similarity of 0.8, so fingerprints have ``lanes`` times 64. Every lane is indexed by
-    the general pigeonhole principle for ``radius``, and what meets in any lane is verified on all bits. Pairs linked
-    by a lane within ``radius`` are never missed; others meet by one of the many parts (measured recall over 0.98).
-    The limit is one standard deviation above the expected bits, so that few pairs at the limit itself are lost.
+    ``docs`` is a written table, as in :func:`one_of_each`; ``key`` tells its rows apart.
     """
+    row = key or "_near_key"
+    if key is None:
+        docs = docs.withColumn(row, F.monotonically_increasing_id())
     mean = bits_at(similarity, lanes * BITS)
-    most = round(mean + math.sqrt(mean * (1 - mean / (lanes * BITS))))
-    prints = materialise(fingerprints(docs, doc_id, text, words_per_shingle, lanes, key))
-    labels = components(prints, most, radius, lanes, block)
-    return prints.join(labels, "fp").drop("fp")
+    most = round(mean + 3 * math.sqrt(mean * (1 - mean / (lanes * BITS))))
+    prints = materialise(fingerprints(docs, doc_id, text, words_per_shingle, lanes, row))
+    met = components(prints, most, radius, lanes, block, mean / (lanes * BITS)).select("fp", F.col("component").alias("_met"))
+    sets = prints.groupBy("set_key", "fp").agg(F.min("doc_id").alias("first_id"), F.min(row).alias("_first"))
+    sets = materialise(sets.join(met, "fp").withColumn("sid", F.monotonically_increasing_id()))
+    crowded = sets.groupBy("_met").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_met")
+    compared = materialise(sets.join(crowded, "_met", "left_semi").select("_met", "sid", "fp", "_first"))
+    group = ["_met", "_low", "_high"]
+    texts = docs.select(F.col(row).alias("_first"), F.col(text).alias("text"))
+    dealt = together(deal_blocks(compared, ["_met"], "sid", text_block).join(texts, "_first"), group)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, [*group, "_own", "sid", "fp", "text"], len(group)):
+            for a, b in _similar_sets(rows, similarity, words_per_shingle, most):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    found = materialise(dealt.select(*group, "_own", "sid", "fp", "text").mapInArrow(each, "a bigint, b bigint").distinct())
+    reached = materialise(connected_components(sets.select("sid", "set_key", "first_id"), found, "sid"))
+    ids = reached.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    labels = materialise(reached.join(ids, "component").select("set_key", "component", "component_id"))
+    return prints.join(labels, "set_key").select("doc_id", "component_id", "component", *([key] if key else []))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

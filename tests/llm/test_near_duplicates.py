@@ -123,6 +123,31 @@ def test_similar_documents_and_one_of_each(frame, spark):
     assert one_of_each(materialise(spark.createDataFrame([], SCHEMA))).count() == 0
 
 
+@pytest.mark.parametrize("block,small", [(512, 128), (40, 8)])
+def test_no_pair_below_the_similarity_is_linked(frame, monkeypatch, block, small):
+    monkeypatch.setattr(simhash, "SMALL", small)
+    from geoloom.operators.checkpoints import materialise
+
+    rng = np.random.default_rng(10)
+    rows, similar = [], []
+    for pair in range(600):  # a run of new words at the end leaves a similarity of (n - k) / (n + k)
+        base, k = [f"p{pair}w{x}" for x in range(304)], int(rng.integers(30, 54))
+        rows += [(2 * pair, " ".join(base), "x", "c", "z"), (2 * pair + 1, " ".join(base[:-k] + [f"q{pair}w{x}" for x in range(k)]), "x", "c", "z")]
+        similar.append((300 - k) / (300 + k))
+    # Near copies that are over 0.8 to one text and share one component, and documents of one template at 0.7.
+    base = [f"b{x}" for x in range(304)]
+    rows += [(2000 + i, " ".join(base[:-20] + [f"n{i}w{x}" for x in range(20)]), "x", "c", "z") for i in range(100)]
+    base = [f"t{x}" for x in range(304)]
+    rows += [(3000 + i, " ".join(base[:-53] + [f"m{i}w{x}" for x in range(53)]), "x", "c", "z") for i in range(100)]
+    got = {r["doc_id"]: r["component_id"] for r in similar_documents(materialise(frame(rows, SCHEMA)), text_block=block).collect()}
+    together = np.array([got[2 * i] == got[2 * i + 1] for i in range(600)])
+    above = np.array(similar) >= 0.8
+    assert above.sum() > 50 and (~above).sum() > 300
+    assert together[above].mean() >= 0.95 and not together[~above].any()
+    assert {got[2000 + i] for i in range(100)} == {2000}
+    assert all(got[3000 + i] == 3000 + i for i in range(100))
+
+
 VECTORS = "vec_id bigint, embedding array<float>, n string, cid string"
 
 
