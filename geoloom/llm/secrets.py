@@ -37,14 +37,20 @@ PROVIDER_KEYS = (
     r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}",
 )
 CREDENTIAL_NAMES = "password|passwd|pwd|secret|token|api[_-]?key|apikey|access[_-]?key|auth|credential|private[_-]?key|bearer"
-BENIGN_NAMES = "commit|sha1|sha256|md5|checksum|digest|uuid|guid|revision|isbn|phone|card|order|invoice|mail|example|hash"
+#: What may follow a name: an underscore, capital or digit begins another word of it.
+SUFFIX = r"(?:s\b|[_.\-A-Z0-9][A-Za-z0-9_.\-]{0,40})?"
+#: The head of a private key; its body is the secret.
+PEM_HEAD = r"-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY-----(?:\s{0,4}(?:Proc-Type|DEK-Info):[^\n\u0001]{0,100}\n){0,3}"
+BENIGN_NAMES = "certificate|public key|commit|sha1|sha256|md5|checksum|digest|uuid|guid|revision|isbn|phone|card|order|invoice|mail|example|hash"
 DICTIONARY = ("example|sample|test|demo|dummy|fake|change|placeholder|your|here|none|null|true|false|default|password|secret|token|user|admin|"
               "login|name|value|key|public|private|access|account|server|client|config|string|number|insert|replace|foo|bar|baz|hello|world|"
               "xxxx+|0000+|1234+|abcd+|the|and|ing|tion|ment|able|less|ness|over|under|http|https|www|com|org|html|index|file|path|home")
 TEST_PATHS = "test|example|sample|doc|readme|mock|fixture"
 
-#: An assigned value (its name is group 1, it is group 2), or a provider key or a run of 16 and more characters with a digit (group 3).
-CANDIDATE = (rf"\b((?i:{CREDENTIAL_NAMES})[ ]{{0,2}}[=:][ ]{{0,2}}[\"']?)([^\s\"'\u0001]{{6,}})"
+#: The head of a private key (group 1) and its body (group 2), an assigned value (all up to it is group 3, it is group 4), or a provider
+#: key or a run of 16 and more characters with a digit (group 5). A name is looked for from the beginning of a run, so that it is no part of the value.
+CANDIDATE = (rf"({PEM_HEAD})([A-Za-z0-9+/=\s\\]{{16,}}+)"
+             rf"|((?:(?<![A-Za-z0-9+/_\-=.])[A-Za-z0-9+/_\-=.]*?|\b)(?i:{CREDENTIAL_NAMES}){SUFFIX}[\"']?[ ]{{0,2}}[=:][ ]{{0,2}}[\"']?)([^\s\"'\u0001]{{6,}})"
              rf"|(\b(?:{'|'.join(PROVIDER_KEYS)})"
              r"|(?<![A-Za-z0-9+/_\-=.])(?=[A-Za-z+/_\-=]*+[0-9])[A-Za-z0-9+/_\-=]{16,}+)")
 
@@ -54,7 +60,8 @@ FEATURES = ("length", "changes", "digits", "uppers", "marks", "kinds", "vowels",
 def features(candidate: Column, before: Column, after: Column, path: Column) -> list[Column]:
     """One double per name in ``FEATURES``."""
     n = F.greatest(F.char_length(candidate), F.lit(1))
-    lower, near = F.lower(candidate), F.lower(F.substring(before, F.greatest(F.char_length(before) - 39, F.lit(1)), F.lit(40)))
+    last = F.substring(before, F.greatest(F.char_length(before) - 79, F.lit(1)), F.lit(80))
+    lower, near = F.lower(candidate), F.lower(last)
 
     def share(pattern: str, text: Column = candidate) -> Column:
         return 1.0 - F.char_length(F.regexp_replace(text, pattern, "")) / n
@@ -68,7 +75,8 @@ def features(candidate: Column, before: Column, after: Column, path: Column) ->
     return [x.cast("double").alias(name) for name, x in zip(FEATURES, (
         F.least(F.char_length(candidate), F.lit(200)), changes, share("[0-9]"), share("[A-Z]"), share("[^A-Za-z0-9]"), kinds,
         share("[aeiouy]", lower), share(r"(.)(?=\1)"), share(f"(?:{DICTIONARY})", lower), has(candidate, "^[0-9a-f]+$"),
-        has(candidate, f"^(?:{'|'.join(PROVIDER_KEYS)})$"), has(near, f"(?:{CREDENTIAL_NAMES})[\"']?[ ]*[=:]?[ ]*[\"']?$"),
+        has(candidate, f"^(?:{'|'.join(PROVIDER_KEYS)})$"), 
+        has(last, f"(?:(?i:{CREDENTIAL_NAMES}){SUFFIX}[\"']?[ ]*[=:]?[ ]*[\"']?|{PEM_HEAD})$"),
         has(near, f"(?:{BENIGN_NAMES})[^a-z]*$"), has(F.lower(path), f"(?:^|[^a-z])(?:{TEST_PATHS})"),
         has(F.concat(F.substring(before, -1, 1), F.substring(after, 1, 1)), "@")), strict=True)]
 
@@ -88,7 +96,8 @@ def labelled_findings(spark: SparkSession, rows: int = 6_000) -> DataFrame:
     pick = lambda *xs: f"element_at(array({', '.join(repr(x) for x in xs)}), CAST(pmod(xxhash64(id, 2), {len(xs)}) AS INT) + 1)"
     syllables = "array('the', 'ing', 'on', 'er', 'an', 'tion', 'or', 'es', 'ment', 'ver', 'lich', 'eau', 'os', 'ade', 'in', 'st')"
     word = f"array_join(transform(sequence(1, 2 + CAST(pmod(xxhash64(id, 3), 6) AS INT)), i -> element_at({syllables}, CAST(pmod(xxhash64(id, i, 4), 16) AS INT) + 1)), '')"
-    named = pick("password=", "password: ", "token = \"", "secret=", "api_key = \"", "auth_token: ", "passwd=", "ACCESS_KEY=", "bearer ")
+    named = pick("password=", "password: ", "token = \"", "secret=", "api_key = \"", "auth_token: ", "passwd=", "ACCESS_KEY=", "bearer ",
+                 "DB_PASSWORD=", "client_secret=", "access_token: ", '"password": "', '"apiKey": "', "SECRET_KEY=")
     plain = pick(" and the ", " with ", " stands ", ", in ", " of\n", " ")
     benign = pick("commit ", "sha256: ", "md5=", "checksum ", "uuid: ", "revision ", "digest=")
     # (candidate, before, label); each row of a class is drawn from its id.
@@ -97,6 +106,15 @@ def labelled_findings(spark: SparkSession, rows: int = 6_000) -> DataFrame:
         (drawn("CAST(" + size + " AS INT)", alnum, 14), named, 1), (f"concat('AKIA', {drawn(16, base32, 15)})", plain, 1),
         (f"concat('AKIA', {drawn(16, base32, 16)})", named, 1), (f"concat('ghp_', {drawn(36, alnum, 17)})", plain, 1),
         (f"concat('sk_live_', {drawn(24, alnum, 18)})", plain, 1),
+        # Short mixed passwords, with and without marks; bodies of private keys.
+        (f"concat({drawn(3, alnum, 32)}, {drawn(1, '0123456789', 33)}, {drawn(1, '!#$%&*+?@', 34)}, {drawn(3, alnum, 35)})", named, 1),
+        (f"concat({drawn(2, alnum[26:52], 36)}, {drawn(1, '0123456789', 37)}, {drawn(3, alnum[26:], 38)}, {drawn(1, '!#$%&*+?@', 39)}, {drawn(1, alnum, 40)})", named, 1),
+        (f"concat('\\n', {drawn(64, alnum + '+/', 41)}, '\\n', {drawn(64, alnum + '+/', 42)}, '\\n')",
+         pick("-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----", "-----BEGIN OPENSSH PRIVATE KEY-----"), 1),
+        # Alike without being secrets: bodies of certificates, references to where a value is kept, words under names.
+        (drawn(64, alnum + "+/", 43), "'-----BEGIN CERTIFICATE-----\\n'", 0),
+        (f"concat({pick('${', '$', '{{', '<', 'os.environ.', 'process.env.', 'config.')}, {word}, {pick('}', '', '}}', '>', '_name', '.value')})", named, 0),
+        (f"concat({word}, {pick('.', ',', ';', ')', '')})", named, 0),
         (pick("changeme", "your_password_here", "xxxxxxxxxxxx", "placeholder_token", "example_secret", "password123", "null_default", "insert_your_key"), named, 0),
         (word, named, 0), (f"concat({word}, '.', {word})", plain, 0), (f"concat({word}, {drawn(2, '0123456789', 19)})", plain, 0),
         (drawn(40, hexes, 20), benign, 0), (drawn(64, hexes, 21), benign, 0), (drawn(40, hexes, 22), plain, 0),
@@ -146,7 +164,7 @@ def scanned(docs: DataFrame, text: str, path: str | None, forest: str) -> DataFr
     safe = F.replace(F.coalesce(F.col(text), F.lit("")), F.lit(MARK), F.lit("\u0002"))
     cut = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                       F.coalesce(F.col(path) if path else F.lit(""), F.lit("")).alias("_path"),
-                      F.split(F.regexp_replace(safe, CANDIDATE, f"$1{MARK}$2$3{MARK}"), MARK).alias("_parts"))
+                      F.split(F.regexp_replace(safe, CANDIDATE, f"$1$3{MARK}$2$4$5{MARK}"), MARK).alias("_parts"))
     described = cut.withColumn("_features", F.transform("_parts", lambda part, i: F.when(i % 2 == 1, F.struct(*features(
         part, F.element_at("_parts", i), F.element_at("_parts", i + 2), F.col("_path"))))))
     return described.withColumn("_scores", F.expr(f"transform(_features, f -> IF(f IS NULL, NULL, {forest}))"))
