@@ -15,6 +15,7 @@ from geoloom.llm.secrets import find_secrets, fit_forest, labelled_findings
 from geoloom.llm.sharding import shard_by_bytes
 from geoloom.llm.simhash import hex_fingerprint, near_duplicates
 from geoloom.llm.sketches import compare_edits
+from geoloom.llm.suffixes import without_repeats
 from geoloom.llm.toxicity import fit, grade
 
 
@@ -141,3 +142,11 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                256).alias("turns_sha256"),
         F.char_length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+@query("op11_suffix_array_dedup")
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s["length"])
+    return left.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
