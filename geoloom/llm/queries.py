@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from geoloom.llm.chat import format_chat, parse_chat, trained_text
 from geoloom.llm.fixity import archive, audit, warc_record
+from geoloom.llm.negatives import hard_negatives
 from geoloom.llm.packing import pack_documents
+from geoloom.llm.phrases import collocations
 from geoloom.llm.pieces import encode_documents
 from geoloom.llm.pivots import near_vectors
 from geoloom.llm.registry import query, table
@@ -150,3 +152,66 @@ def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s["length"])
     return left.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces
+), placed AS (
+  SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM worded, range(1, 6) AS sizes(k)
+), counted AS (
+  SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM placed GROUP BY ALL HAVING count(*) >= 100
+), totals AS (
+  SELECT lang, sum(len(words)) AS n FROM worded GROUP BY lang
+), cuts AS (
+  SELECT c.lang, c.phrase, c.k, c.f AS a, cut, l.f AS l, r.f AS r, t.n,
+         ((1000::HUGEINT * c.f * t.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS w FROM counted WHERE k > 1) c
+  JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:cut], ' ')
+  JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:], ' ')
+  JOIN totals t ON t.lang = c.lang
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score
+  FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM counted o WHERE o.lang = b.lang AND o.k > b.k AND 100 * o.f >= 100 * b.a
+      AND contains(' ' || o.phrase || ' ', ' ' || b.phrase || ' '))
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+
+@query("op12_phrase_collocation", _PHRASES_SQL)
+def op12_phrase_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+@query("op13_hard_negatives", """
+WITH taking_part AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM taking_part a JOIN taking_part b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), label=label)
