@@ -339,23 +339,22 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2] - 1
 
 
-_FOUND = "anchor bigint, segment bigint, first int, last int, digest bigint, check bigint, single boolean"
+#: A shard's different windows of split anchors: digest, check, whose window it is, and whether it is ``single`` so far.
+RUN = np.dtype([("digest", "<i8"), ("check", "<i8"), ("anchor", "<i8"), ("segment", "<i8"), ("at", "<i4"), ("single", "?")])
+_FOUND = "anchor bigint, segment bigint, first int, last int, range int, run binary"
 
 
-def _window_digest(body: bytes, at: int, length: int) -> tuple[int, int]:
-    d = hashlib.blake2b(body[at:at + length], digest_size=16).digest()
-    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+def _search(cut: DataFrame, length: int, ranges: int) -> DataFrame:
+    """What every shard finds: runs of repeated windows of a segment (``first`` to ``last``), and for split anchors its different windows in
+    order of their digests, one row (``range``, ``run``) per range of digests."""
+    schema = pa.schema([("anchor", pa.int64()), ("segment", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("range", pa.int32()), ("run", pa.binary())])
 
-
-def _search(cut: DataFrame, length: int) -> DataFrame:
-    """What every shard finds: runs of repeated windows of a segment (``first`` to ``last``), and for split anchors one entry
-    (with ``digest`` and ``check``) per different window, of which ``single`` ones still wait for another shard."""
     def shard(t: pa.Table) -> pa.Table:
         # Equal segments from several texts are one: they are marked whole already.
         t = t.take(pa.array(np.unique(np.stack([t.column(c).to_numpy() for c in SEGMENT]), axis=1, return_index=True)[1]))
         bodies, windows = t.column("body").to_pylist(), t.column("windows").to_pylist()
         group, size, base = repeated_windows(bodies, windows, length)
-        known = np.zeros(len(group) + sum(map(len, bodies)), bool)
+        known = np.zeros(sum(map(len, bodies)), bool)
         of, first, last, entries = [], [], [], []
         for i, (split, n) in enumerate(zip(t.column("split").to_pylist(), windows, strict=True)):
             here = slice(base[i], base[i] + n)
@@ -367,43 +366,53 @@ def _search(cut: DataFrame, length: int) -> DataFrame:
                 classes, at = np.unique(group[here], return_index=True)
                 at = at[~known[classes]]
                 known[classes] = True
-                entries += [(i, p, *_window_digest(bodies[i], p, length), size[base[i] + p] == 1) for p in at.tolist()]
-        at, digest, check, single = (np.array(x) for x in list(zip(*entries, strict=True))[1:]) if entries else ([], [], [], [])
-        of = np.concatenate([*of, np.array([e[0] for e in entries], np.int64)]).astype(np.int64)
-        runs = sum(map(len, first))
-        none = np.zeros(runs, np.int64)
-        return pa.table(
-            [t.column("anchor").take(pa.array(of)), t.column("segment").take(pa.array(of)),
-             pa.array(np.concatenate([*first, at]).astype(np.int32)), pa.array(np.concatenate([*last, at]).astype(np.int32)),
-             *(pa.array(np.concatenate([none, np.asarray(x, np.int64)])) for x in (digest, check)),
-             pa.array(np.concatenate([none > 0, np.asarray(single, bool)]), mask=np.arange(len(of)) < runs)],
-            names=["anchor", "segment", "first", "last", "digest", "check", "single"])
+                digests = b"".join([hashlib.blake2b(bodies[i][p:p + length], digest_size=16).digest() for p in at.tolist()])
+                part = np.zeros(len(at), RUN)
+                part["digest"], part["check"] = np.frombuffer(digests, "<i8").reshape(-1, 2).T
+                part["anchor"], part["segment"] = t.column("anchor")[i].as_py(), t.column("segment")[i].as_py()
+                part["at"], part["single"] = at, size[base[i] + at] == 1
+                entries.append(part)
+        of = pa.array(np.concatenate(of).astype(np.int64))
+        found = pa.Table.from_arrays(
+            [t.column("anchor").take(of), t.column("segment").take(of), pa.array(np.concatenate(first).astype(np.int32)),
+             pa.array(np.concatenate(last).astype(np.int32)), pa.nulls(len(of), pa.int32()), pa.nulls(len(of), pa.binary())], schema=schema)
+        if not entries:
+            return found
+        run = np.concatenate(entries)
+        run = run[np.argsort(run["digest"])]
+        cuts = np.searchsorted(run["digest"], edges_of(ranges))
+        parts = [(r, p) for r, p in enumerate(np.split(run, cuts)) if len(p)]
+        return pa.concat_tables([found, pa.Table.from_pylist([{"range": r, "run": p.tobytes()} for r, p in parts], schema=schema)])
 
     return cut.groupBy("shard").applyInArrow(shard, _FOUND)
 
 
-def merged_runs(digest: np.ndarray, check: np.ndarray) -> np.ndarray:
-    """Entries that occur again: every one is looked up in the sorted whole by binary search, equal digests then by their checks."""
-    run = np.sort(digest)
-    again = np.searchsorted(run, digest, side="right") - np.searchsorted(run, digest, side="left") > 1
-    some = np.flatnonzero(again)
-    order = some[np.lexsort((check[some], digest[some]))]
-    same = (digest[order[1:]] == digest[order[:-1]]) & (check[order[1:]] == check[order[:-1]])
-    out = np.zeros(len(digest), bool)
-    out[order[1:][same]] = out[order[:-1][same]] = True
-    return out
+def edges_of(ranges: int) -> np.ndarray:
+    """Where all but the first of equal ranges of signed 64-bit numbers begin."""
+    return np.array([-(1 << 63) + (1 << 64) * r // ranges for r in range(1, ranges)], np.int64)
+
 
+def merged_runs(runs: list[np.ndarray]) -> np.ndarray:
+    """Single entries that another run has too: every run is looked up in the sorted whole by binary search, equal digests then by their checks."""
+    run = np.concatenate(runs)
+    order = np.sort(run["digest"])
+    again = np.searchsorted(order, run["digest"], side="right") - np.searchsorted(order, run["digest"], side="left") > 1
+    some = run[again]
+    some = some[np.lexsort((some["check"], some["digest"]))]
+    same = (some["digest"][1:] == some["digest"][:-1]) & (some["check"][1:] == some["check"][:-1])
+    out = np.zeros(len(some), bool)
+    out[1:] |= same
+    out[:-1] |= same
+    return some[out & some["single"]]
 
-def _merge_shards(entries: DataFrame) -> DataFrame:
-    """Waiting windows that another shard has too: ``anchor, segment, first, last``. Every shard's entries are dealt to the same ranges of digests."""
-    ranges = max(1, -(-entries.count() // RANGE_ROWS))
 
+def _merge_shards(found: DataFrame) -> DataFrame:
+    """Waiting windows that another shard has too: ``anchor, segment, first, last``."""
     def merge(t: pa.Table) -> pa.Table:
-        again = merged_runs(t.column("digest").to_numpy(), t.column("check").to_numpy())
-        return t.filter(pa.array(again & t.column("single").to_numpy(zero_copy_only=False))).select([*SEGMENT, "first", "last"])
+        out = merged_runs([np.frombuffer(x, RUN) for x in t.column("run").to_pylist()])
+        return pa.table([pa.array(np.ascontiguousarray(out[c])) for c in (*SEGMENT, "at", "at")], names=[*SEGMENT, "first", "last"])
 
-    return (entries.withColumn("_range", F.pmod(F.xxhash64("digest"), F.lit(ranges)))
-            .groupBy("_range").applyInArrow(merge, "anchor bigint, segment bigint, first int, last int"))
+    return found.groupBy("range").applyInArrow(merge, "anchor bigint, segment bigint, first int, last int")
 
 
 def repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -414,8 +423,10 @@ def repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFr
     hits = materialise(found.join(plan, SEGMENT).select(
         *KEY, "start", "windows", *SEGMENT, "whole", "compare", "split", "shard", (F.col("_k1") == F.col("keeper")).alias("sends")))
     wanted = hits.filter("compare AND sends").dropDuplicates([*KEY, *SEGMENT])
-    results = materialise(_search(_cut_out(keyed.filter(F.octet_length("_body") >= length), wanted, length), length))
-    ranges = materialise(results.filter("single IS NULL").select(*SEGMENT, "first", "last").unionByName(_merge_shards(results.filter("single IS NOT NULL"))))
+    entries = wanted.filter("split").agg(F.sum("windows")).first()[0] or 0
+    results = materialise(_search(_cut_out(keyed.filter(F.octet_length("_body") >= length), wanted, length), length, -(-entries // RANGE_ROWS) or 1))
+    ranges = materialise(results.filter("run IS NULL").select(*SEGMENT, "first", "last").unionByName(
+        _merge_shards(results.filter("run IS NOT NULL").select("range", "run"))))
     # Copies of a text have the same runs, so a text's places are taken once.
     slim = hits.select(*KEY, "start", "windows", *SEGMENT, "whole", "compare").dropDuplicates([*KEY, "start"])
     part = slim.filter("compare AND NOT whole").join(ranges, SEGMENT).select(

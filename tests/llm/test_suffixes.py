@@ -96,6 +96,7 @@ def test_equal_windows_have_equal_anchors_and_segments_cover_all_windows(monkeyp
 def test_repeats_are_those_of_the_definition(frame, monkeypatch, shard):
     """Small shards split every anchor that has more than 300 bytes, so windows meet across shards."""
     monkeypatch.setattr(suffixes, "SHARD_BYTES", shard)
+    monkeypatch.setattr(suffixes, "RANGE_ROWS", shard)
     rng = random.Random(3)
     texts = corpus(rng, 60, 30)
     texts += [texts[5], texts[5], texts[7] + "é", None, "", "short", "x" * 29, "y" * 30, "z" * 31, "w" * 5000]
@@ -120,6 +121,10 @@ def test_odd_rows_and_an_empty_table(spark, frame):
 
 
 def test_merged_runs_compare_both_halves():
-    digest, check = np.array([5, 5, 5, 7, 9, 9]), np.array([1, 2, 1, 1, 3, 4])
-    assert merged_runs(digest, check).tolist() == [True, False, True, False, False, False]
-    assert merged_runs(np.zeros(0, np.int64), np.zeros(0, np.int64)).tolist() == []
+    def run(*entries):
+        return np.array([(d, c, 1, at, at, single) for d, c, at, single in entries], suffixes.RUN)
+    found = merged_runs([run((5, 1, 0, True), (7, 1, 1, True)), run((5, 2, 2, True), (9, 3, 3, True)), run((5, 1, 4, False), (9, 4, 5, True))])
+    assert found["at"].tolist() == [0]
+    assert len(merged_runs([run()])) == 0
+    edges = suffixes.edges_of(3).tolist()
+    assert suffixes.edges_of(1).tolist() == [] and edges == sorted(edges) and -2 ** 63 < edges[0] < 0 < edges[1] < 2 ** 63
