@@ -96,10 +96,3 @@ def extraction_estimate(boxes: DataFrame) -> DataFrame:
     return boxes.withColumns({"width_km": width, "height_km": height}).withColumn(
         "n_patches", F.floor(F.col("width_km") / span) * F.floor(F.col("height_km") / span)).withColumn(
         "megabytes", F.col("n_patches") * PATCH_MEGABYTES)
-
-
-def downsample_bands(pixels: DataFrame, raster: str, factor: int, bands: list[str]) -> DataFrame:
-    """Block mean over ``factor`` x ``factor`` pixels."""
-    return pixels.groupBy(raster, F.floor(F.col("row") / factor).cast("int").alias("row"),
-                          F.floor(F.col("col") / factor).cast("int").alias("col")).agg(
-        *[F.avg(b).alias(b) for b in bands])

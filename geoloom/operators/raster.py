@@ -1,26 +1,28 @@
 """Rasters as array columns.
 
 A patch is one row: ``height, width`` and row-major arrays per band. Per-patch
-results are array expressions on that row (no shuffle, no pixel rows). Only work
-that crosses patches (overlapping tiles, components of a large raster) uses the
-pixel view, after filtering to the pixels that matter.
+results are array expressions on that row, or numpy in Arrow batches where a pixel depends on its
+neighbours (no shuffle, no pixel rows). A large raster is a table of blocks; work that crosses
+blocks moves the arrays of overlapping tiles, halo strips or the components on block borders, never pixels.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoloom.functions import geometry as G
-from geoloom.operators import components, spatial
-from geoloom.operators.skew import spread
+from geoloom.operators import arrays, components, cover, spatial
+from geoloom.operators.checkpoints import materialise
 
 EPS = 1e-6
-PIXEL_BLOCK = 8
+BLOCK = 512
 
 
 def pixel_view(patches: DataFrame, patch_id: str, bands: Sequence[str]) -> DataFrame:
@@ -147,69 +149,73 @@ def patch_feature_join(patches: DataFrame, features: DataFrame, patch_id: str, b
     return spatial.box_polygon_join(patch_boxes(patches), features, bin_size, patch_id)
 
 
-def rasterize_mask(patches: DataFrame, features: DataFrame, patch_id: str, bin_size: float) -> DataFrame:
-    """Pixels ``(patch, row, col)`` touched by any feature.
+def positive_masks(patches: DataFrame, features: DataFrame, patch_id: str, bin_size: float) -> DataFrame:
+    """``patch_id, mask``: 1 where a pixel and a feature share a point; patches without any have no row.
 
-    Pairs are first cut into small pixel blocks. A block no edge meets is wholly inside or
-    outside: inside blocks are merged over all features before they become pixels, and
-    only blocks on an outline that no feature fills test their pixels one by one.
+    Features become bins with their own edges (see :mod:`cover`), and a patch reads the bins it lies on. A pixel is positive when an edge there
+    meets its closed square, when its bin is wholly inside, or when its centre is inside by parity from the bin's anchor. A patch is
+    put together in one task, feature by feature, in the memory of one mask.
     """
-    pairs = patch_feature_join(patches.select(patch_id, "height", "width", "a", "c", "e", "f"), features, patch_id, bin_size)
-    p = pairs.withColumn("_box", spatial._edge_box(F.col("edges")))
-    edges, k = F.col("edges"), PIXEL_BLOCK
-
-    def blocks(lo, hi, origin, step, length):
-        u, v = (F.col(lo) - origin) / step, (F.col(hi) - origin) / step
-        first = F.greatest(F.floor(F.least(u, v)).cast("int") - 1, F.lit(0))
-        last = F.least(F.floor(F.greatest(u, v)).cast("int") + 1, length - 1)
-        return F.when(first <= last, F.sequence(F.floor(first / k).cast("int"), F.floor(last / k).cast("int"))).otherwise(
-            F.array().cast("array<int>"))
-
-    def corners(row, col, span):
-        xs = (F.col("c") + col * F.col("a"), F.col("c") + (col + span) * F.col("a"))
-        ys = (F.col("f") + row * F.col("e"), F.col("f") + (row + span) * F.col("e"))
-        return F.least(*xs), F.least(*ys), F.greatest(*xs), F.greatest(*ys)
-
-    p = (p.withColumn("_br", F.explode(blocks("_box.ymin", "_box.ymax", F.col("f"), F.col("e"), F.col("height"))))
-         .withColumn("_bc", F.explode(blocks("_box.xmin", "_box.xmax", F.col("c"), F.col("a"), F.col("width")))))
-    square = corners(F.col("_br") * k, F.col("_bc") * k, k)
-    p = spread(p, patch_id, "_br", "_bc").withColumn("_outline", F.exists(edges, lambda e: G.segment_meets_box(e, *square)))
-    p = p.filter(F.col("_outline") | G.point_in_polygon(edges, square[0], square[1]))
-    block = [patch_id, "_br", "_bc"]
-    shape = patches.select(patch_id, "height", "width")
-    full = p.filter("NOT _outline").select(*block).distinct()
-    mixed = p.filter("_outline").join(full, block, "left_anti")
-
-    def pixels(df):
-        inner = F.sequence(F.lit(0), F.lit(k - 1))
-        return (df.withColumn("row", F.explode(F.transform(inner, lambda i: F.col("_br") * k + i))).filter("row < height")
-                .withColumn("col", F.explode(F.transform(inner, lambda i: F.col("_bc") * k + i))).filter("col < width"))
-
-    touched = G.polygon_intersects_box(edges, *corners(F.col("row"), F.col("col"), 1))
-    outline = pixels(mixed).filter(touched).select(patch_id, "row", "col").distinct()
-    return pixels(full.join(shape, patch_id)).select(patch_id, "row", "col").unionByName(outline)
-
-
-def mask_arrays(patches: DataFrame, pixels: DataFrame, patch_id: str) -> DataFrame:
-    """Patches plus a 0/1 ``mask`` array from positive pixels; patches without any get zeros."""
-    lines = pixels.groupBy(patch_id, "row").agg(F.collect_set("col").alias("cols"))
-    by_row = lines.groupBy(patch_id).agg(F.map_from_entries(F.collect_list(F.struct("row", "cols"))).alias("_rows"))
-    joined = patches.join(by_row, patch_id, "left")
-    none = F.array().cast("array<int>")
-    mask = F.flatten(F.transform(F.sequence(F.lit(0), F.col("height") - 1), lambda r: F.transform(
-        F.sequence(F.lit(0), F.col("width") - 1), lambda c: F.coalesce(
-            F.array_contains(F.coalesce(F.try_element_at("_rows", r), none), c), F.lit(False)).cast("int"))))
-    return joined.withColumn("mask", mask).drop("_rows")
+    shapes = materialise(features.select("edges").withColumn("_pid", F.monotonically_increasing_id()))
+    bins = cover.cover(shapes, "_pid", "edges", bin_size, spatial.walk_bins)
+    grid = ["height", "width", "a", "c", "e", "f"]
+    placed = patch_boxes(patches.select(patch_id, *grid))
+    reached = spatial.over_box(placed, bin_size, *[F.col(k) for k in ("x0", "y0", "x1", "y1")]).join(bins, spatial.BIN).select(
+        patch_id, *grid, "_pid", *spatial.BIN, "_local", "_inside")
+    kind = patches.schema[patch_id].dataType.simpleString()
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, mask = None, None
+        for b in batches:
+            names = [n for n in b.schema.names if n != "_local"]
+            local = b.column("_local")
+            for i, row in enumerate(b.select(names).to_pylist()):
+                if current is None or row[patch_id] != current:
+                    if mask is not None and mask.any():
+                        yield _mask_row(patch_id, key, mask)
+                    current, key, mask = row[patch_id], b.column(patch_id)[i:i + 1], np.zeros((row["height"], row["width"]), bool)
+                _add_bin(mask, row, local[i], bin_size)
+        if mask is not None and mask.any():
+            yield _mask_row(patch_id, key, mask)
+
+    return reached.repartition(patch_id).sortWithinPartitions(patch_id).mapInArrow(each, f"`{patch_id}` {kind}, mask array<int>")
+
+
+def _mask_row(patch_id: str, key: pa.Array, mask: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([key, pa.array([mask.astype(np.int32).ravel()], pa.list_(pa.int32()))], names=[patch_id, "mask"])
+
+
+def _add_bin(mask: np.ndarray, row: dict, local: pa.Scalar, size: float) -> None:
+    """Pixels of one feature in one bin."""
+    height, width, a, c, e, f = (row[k] for k in ("height", "width", "a", "c", "e", "f"))
+    if local.is_valid:
+        flat = local.values.flatten()
+        edges = np.stack([x.to_numpy() for x in flat], axis=1)
+        mask |= arrays.touched_pixels(edges, height, width, a, c, e, f)
+    xs, ys = c + (np.arange(width) + 0.5) * a, f + (np.arange(height) + 0.5) * e
+    cols, rows = np.flatnonzero(np.floor(xs / size) == row["_bx"]), np.flatnonzero(np.floor(ys / size) == row["_by"])
+    if not len(cols) or not len(rows):
+        return
+    if not local.is_valid:
+        mask[np.ix_(rows, cols)] = True
+        return
+    cols = cols[np.argsort(xs[cols])]
+    anchor = (row["_bx"] + cover.ANCHOR_X) * size, (row["_by"] + cover.ANCHOR_Y) * size
+    mask[np.ix_(rows, cols)] |= arrays.inside_pixels(xs[cols], ys[rows], edges, row["_inside"], *anchor)
+
+
+def rasterize_mask(patches: DataFrame, features: DataFrame, patch_id: str, bin_size: float) -> DataFrame:
+    """Pixels ``(patch, row, col)`` touched by any feature: the rows of :func:`positive_masks`."""
+    masks = positive_masks(patches, features, patch_id, bin_size).join(patches.select(patch_id, "width"), patch_id)
+    return masks.select(patch_id, "width", F.posexplode("mask").alias("_at", "_on")).filter("_on > 0").select(
+        patch_id, F.floor(F.col("_at") / F.col("width")).cast("int").alias("row"), (F.col("_at") % F.col("width")).alias("col"))
 
 
 def positive_patch_rows(patches: DataFrame, features: DataFrame, patch_id: str, bin_size: float,
                         resolution: float = 0.6, min_mask_pixels: int = 50) -> DataFrame:
     """Positive patches with mask and box columns; patches under the pixel minimum are dropped."""
-    touched = rasterize_mask(patches, features, patch_id, bin_size)
-    big = touched.groupBy(patch_id).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_mask_pixels)
-    kept = patches.join(big.select(patch_id), patch_id, "left_semi")
-    masked = mask_arrays(kept, touched, patch_id)
-    return mask_bbox(masked, resolution).withColumn("label", F.lit("positive"))
+    masked = patches.join(positive_masks(patches, features, patch_id, bin_size), patch_id)
+    return filter_min_mask_pixels(mask_bbox(masked, resolution), min_mask_pixels).withColumn("label", F.lit("positive"))
 
 
 def negative_patch_rows(patches: DataFrame) -> DataFrame:
@@ -219,31 +225,67 @@ def negative_patch_rows(patches: DataFrame) -> DataFrame:
         "positive_pixels": F.lit(0).cast("bigint"), "positive_fraction": F.lit(0.0), "label": F.lit("negative")})
 
 
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _distances(mask: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
+    """Pixel distances of each patch; its diagonal where the mask is empty."""
+    def one(m, h, w):
+        if m is None:
+            return None
+        on = np.asarray(m).reshape(h, w) > 0
+        return np.sqrt(arrays.squared_distances(on)).ravel() if on.any() else np.full(h * w, float(h * h + w * w) ** 0.5)
+    return pd.Series([one(*x) for x in zip(mask, height, width)], index=mask.index, dtype=object)
+
+
 def distance_raster(patches: DataFrame, resolution_m: float = 0.6, mask: str = "mask") -> DataFrame:
     """Adds ``distance``: metres to the nearest mask pixel; the patch diagonal for an empty mask.
 
-    Exact and separable: first the vertical distance inside each column, then per
-    pixel the best of the columns no farther than its own vertical distance.
+    Exact, in time linear in the pixels: vertical distances, then the lower envelope of parabolas along rows.
+    """
+    return patches.withColumn("distance", F.transform(_distances(F.col(mask), F.col("height"), F.col("width")), lambda v: v * resolution_m))
+
+
+def distance_blocks(blocks: DataFrame, raster: str, limit: int, resolution_m: float = 0.6) -> DataFrame:
+    """``raster, row0, col0, height, width, distance`` of a large raster in blocks (``mask`` arrays), exact up to ``limit`` pixels and ``limit`` beyond.
+
+    A block sends the strips within ``limit`` of its neighbours to them, so only halos are copied; blocks are at least ``limit`` high and wide,
+    but for the last ones of a raster.
     """
-    far = F.col("height") + F.col("width")
-    columns = F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda c: F.filter(
-        F.sequence(F.lit(0), F.col("height") - 1),
-        lambda r: F.element_at(mask, (r * F.col("width") + c + 1).cast("int")) > 0))
-    p = patches.withColumns({"_cols": columns, "_far": far})
-    vertical = F.transform(F.sequence(F.lit(0), F.col("height") - 1), lambda r: F.transform(
-        "_cols", lambda at: F.coalesce(F.array_min(F.transform(at, lambda m: F.abs(m - r))), F.col("_far"))))
-    p = p.withColumn("_v", vertical)
-
-    def best(line, v, c):
-        low = F.greatest(c - v, F.lit(0))
-        near = F.slice(line, low + 1, F.least(c + v, F.col("width") - 1) - low + 1)
-        return F.sqrt(F.array_min(F.transform(near, lambda u, k: u * u + (low + k - c) * (low + k - c))).cast("double"))
-
-    exact = F.flatten(F.transform("_v", lambda line: F.transform(line, lambda v, c: best(line, v, c) * resolution_m)))
-    diagonal = F.sqrt((F.col("height") * F.col("height") + F.col("width") * F.col("width")).cast("double")) * resolution_m
-    empty = ~F.exists(mask, lambda v: v > 0)
-    return p.withColumn("distance", F.when(empty, F.transform(mask, lambda _: diagonal)).otherwise(exact)).drop(
-        "_cols", "_far", "_v")
+    kind = blocks.schema[raster].dataType.simpleString()
+    place = ["row0", "col0", "height", "width"]
+    homes = blocks.select(raster, *place)
+    # Every block in the 3 x 3 around a block, as seen from that one.
+    size = blocks.groupBy(raster).agg(F.max("height").alias("_h"), F.max("width").alias("_w"))
+    steps = F.array(*[F.lit(i) for i in (-1, 0, 1)])
+    sent = (blocks.join(size, raster).withColumn("_dr", F.explode(steps)).withColumn("_dc", F.explode(steps))
+            .withColumns({"_hr": F.col("row0") + F.col("_dr") * F.col("_h"), "_hc": F.col("col0") + F.col("_dc") * F.col("_w")}))
+
+    def strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cut = []
+            for r in b.to_pylist():
+                m = np.asarray(r["mask"]).reshape(r["height"], r["width"]) > 0
+                rows = slice(max(0, r["height"] - limit), None) if r["_dr"] > 0 else slice(0, limit) if r["_dr"] < 0 else slice(None)
+                cols = slice(max(0, r["width"] - limit), None) if r["_dc"] > 0 else slice(0, limit) if r["_dc"] < 0 else slice(None)
+                top, left = r["row0"] + (rows.start or 0), r["col0"] + (cols.start or 0)
+                at = np.argwhere(m[rows, cols]) + (top, left)
+                cut.append(at.astype(np.int64).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(raster), b.column("_hr"), b.column("_hc"), pa.array(cut, pa.binary())], names=[raster, "row0", "col0", "_on"])
+
+    around = sent.select(raster, *place, "mask", "_dr", "_dc", "_hr", "_hc").mapInArrow(strips, f"`{raster}` {kind}, row0 int, col0 int, _on binary")
+    together = around.groupBy(raster, "row0", "col0").agg(F.collect_list("_on").alias("_on")).join(homes, [raster, "row0", "col0"])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for r in b.select([*place, "_on"]).to_pylist():
+                m = np.zeros((r["height"] + 2 * limit, r["width"] + 2 * limit), bool)
+                at = np.frombuffer(b"".join(r["_on"]), np.int64).reshape(-1, 2) - (r["row0"] - limit, r["col0"] - limit)
+                m[at[:, 0], at[:, 1]] = True
+                d = np.sqrt(arrays.squared_distances(m))[limit:limit + r["height"], limit:limit + r["width"]]
+                out.append(np.minimum(d, limit).ravel() * resolution_m)
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in (raster, *place)], pa.array(out, pa.list_(pa.float64()))], names=[raster, *place, "distance"])
+
+    return together.mapInArrow(fill, f"`{raster}` {kind}, row0 int, col0 int, height int, width int, distance array<double>")
 
 
 def normalize_bands(patches: DataFrame, bands: Sequence[str], mean: Sequence[float], std: Sequence[float],
@@ -297,7 +339,7 @@ def score_patches(patches: DataFrame, bands: Sequence[str], models: Sequence[Cal
     """
     reduce_models = COMBINE[combine]
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def score(*columns: pd.Series) -> pd.Series:
         sizes = columns[0].map(len)
         out = pd.Series([None] * len(sizes), index=sizes.index, dtype=object)
@@ -340,23 +382,172 @@ def patch_score_top1pct(prob: Column) -> Column:
     return array_sum(F.slice(F.sort_array(prob, asc=False), F.lit(1), k)) / k
 
 
-def merge_overlaps(tile_pixels: DataFrame, raster: str, rasters: DataFrame | None = None) -> DataFrame:
-    """Mean probability per raster pixel over the tiles covering it.
+def merge_tiles(tiles: DataFrame, raster: str, block: int = BLOCK) -> DataFrame:
+    """Mean probability over overlapping tiles, as blocks ``raster, row0, col0, height, width, prob, covered``.
 
-    ``tile_pixels``: ``raster, row_off, col_off, row, col, prob``. With ``rasters``
-    (``raster, height, width``) uncovered pixels appear with 0.
+    ``tiles``: ``raster, row_off, col_off, height, width, prob`` (arrays). A tile is cut at block borders and its pieces are added up in the task
+    of their block, one at a time; pixels no tile covers have ``prob`` 0 and ``covered`` 0.
     """
-    merged = tile_pixels.groupBy(raster, (F.col("row_off") + F.col("row")).alias("row"),
-                                 (F.col("col_off") + F.col("col")).alias("col")).agg(F.avg("prob").alias("prob"))
+    kind = tiles.schema[raster].dataType.simpleString()
+    schema = f"`{raster}` {kind}, row0 int, col0 int, r int, c int, h int, w int, part binary"
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple] = []
+            for i in range(b.num_rows):
+                top, left, h, w = (b.column(k)[i].as_py() for k in ("row_off", "col_off", "height", "width"))
+                p = b.column("prob")[i].values.to_numpy(zero_copy_only=False).reshape(h, w)
+                for br in range(top // block, (top + h - 1) // block + 1):
+                    for bc in range(left // block, (left + w - 1) // block + 1):
+                        r0, c0 = max(top, br * block), max(left, bc * block)
+                        part = p[r0 - top:(br + 1) * block - top, c0 - left:(bc + 1) * block - left]
+                        out.append((i, br * block, bc * block, r0 - br * block, c0 - bc * block, *part.shape, np.ascontiguousarray(part, "<f8").tobytes()))
+            if out:
+                columns = list(zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(raster).take(pa.array(columns[0])), *[pa.array(c, pa.int32()) for c in columns[1:-1]], pa.array(columns[-1], pa.binary())],
+                    names=[raster, "row0", "col0", "r", "c", "h", "w", "part"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, total, count, key = None, None, None, None
+
+        def done():
+            with np.errstate(invalid="ignore"):
+                mean = np.where(count > 0, total / np.maximum(count, 1), 0.0)
+            return pa.RecordBatch.from_arrays(
+                [key, *[pa.array([v], pa.int32()) for v in (*place[1:], block, block)], pa.array([mean.ravel()], pa.list_(pa.float64())),
+                 pa.array([count.ravel()], pa.list_(pa.int32()))], names=[raster, "row0", "col0", "height", "width", "prob", "covered"])
+
+        for b in batches:
+            for i in range(b.num_rows):
+                r = {k: b.column(k)[i].as_py() for k in b.schema.names}
+                now = (r[raster], r["row0"], r["col0"])
+                if now != place:
+                    if place is not None:
+                        yield done()
+                    place, key, total, count = now, b.column(raster)[i:i + 1], np.zeros((block, block)), np.zeros((block, block), np.int32)
+                here = np.s_[r["r"]:r["r"] + r["h"], r["c"]:r["c"] + r["w"]]
+                total[here] += np.frombuffer(r["part"], "<f8").reshape(r["h"], r["w"])
+                count[here] += 1
+        if place is not None:
+            yield done()
+
+    cut_up = tiles.select(raster, "row_off", "col_off", "height", "width", "prob").mapInArrow(cut, schema)
+    ordered = cut_up.repartition(raster, "row0", "col0").sortWithinPartitions(raster, "row0", "col0")
+    return ordered.mapInArrow(add, f"`{raster}` {kind}, row0 int, col0 int, height int, width int, prob array<double>, covered array<int>")
+
+
+def block_pixels(blocks: DataFrame, raster: str, rasters: DataFrame | None = None) -> DataFrame:
+    """``raster, row, col, prob`` of covered pixels; with ``rasters`` (``raster, height, width``) all pixels, uncovered ones with 0."""
+    zipped = blocks.select(raster, "row0", "col0", "width", F.posexplode(F.arrays_zip("prob", "covered")).alias("_at", "_p"))
+    pixels = zipped.select(raster, (F.col("row0") + F.floor(F.col("_at") / F.col("width"))).cast("int").alias("row"),
+                           (F.col("col0") + F.col("_at") % F.col("width")).cast("int").alias("col"), F.col("_p.prob").alias("prob"), "_p.covered")
     if rasters is None:
-        return merged
-    every = rasters.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("height") - 1))).withColumn(
-        "col", F.explode(F.sequence(F.lit(0), F.col("width") - 1))).select(raster, "row", "col")
-    return every.join(merged, [raster, "row", "col"], "left").withColumn("prob", F.coalesce("prob", F.lit(0.0)))
+        return pixels.filter("covered > 0").drop("covered")
+    inside = pixels.drop("covered").join(rasters.select(raster, F.col("height").alias("_h"), F.col("width").alias("_w")), raster)
+    return inside.filter("row < _h AND col < _w").drop("_h", "_w")
+
+
+def merge_overlaps(tiles: DataFrame, raster: str, rasters: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+    """Mean probability per raster pixel over the tiles covering it, as pixel rows; :func:`merge_tiles` keeps blocks.
+
+    With ``rasters`` (``raster, height, width``) uncovered pixels appear with 0, also in rasters and blocks without any tile.
+    """
+    merged = merge_tiles(tiles, raster, block)
+    if rasters is None:
+        return block_pixels(merged, raster)
+    n = lambda c: F.sequence(F.lit(0), F.ceil(F.col(c) / block).cast("int") - 1)
+    every = rasters.filter("height > 0 AND width > 0").withColumn("row0", F.explode(n("height"))).withColumn("col0", F.explode(n("width"))).select(
+        raster, (F.col("row0") * block).alias("row0"), (F.col("col0") * block).alias("col0"))
+    none = F.array_repeat(F.lit(0), block * block)
+    whole = every.join(merged, [raster, "row0", "col0"], "left").select(
+        raster, "row0", "col0", F.lit(block).alias("height"), F.lit(block).alias("width"),
+        F.coalesce("prob", none.cast("array<double>")).alias("prob"), F.coalesce("covered", none).alias("covered"))
+    return block_pixels(whole, raster, rasters)
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _labels(prob: pd.Series, height: pd.Series, width: pd.Series, threshold: pd.Series) -> pd.Series:
+    return pd.Series([None if p is None else arrays.components(np.asarray(p, float).reshape(h, w) >= t).ravel()
+                      for p, h, w, t in zip(prob, height, width, threshold)], index=prob.index, dtype=object)
+
+
+def label_patches(patches: DataFrame, threshold: float = 0.5, prob: str = "prob") -> DataFrame:
+    """Adds ``labels``: per pixel the number (row-major place) of the first pixel of its 4-connected component, -1 under the threshold."""
+    return patches.withColumn("labels", _labels(F.col(prob), F.col("height"), F.col("width"), F.lit(float(threshold))))
+
+
+def block_components(blocks: DataFrame, raster: str, threshold: float = 0.5) -> DataFrame:
+    """4-connected components of pixels from ``threshold`` on, over a raster in blocks (``raster, row0, col0, height, width, prob``).
+
+    Every block labels its own pixels by union-find. Only components on a block border take part in the rounds that
+    join them, through the pixels that face each other across it; a patch is a raster of one block and needs no round. Columns as in :func:`component_boxes`.
+    """
+    kind = blocks.schema[raster].dataType.simpleString()
+    names = ["component", "positive_pixels", "prob_sum", "max_confidence", "row_min", "row_max", "col_min", "col_max"]
+    step = components.ROW_STEP
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, columns, border = [], [[] for _ in names], []
+            for i in range(b.num_rows):
+                row0, col0, h, w = (b.column(k)[i].as_py() for k in ("row0", "col0", "height", "width"))
+                if not b.column("prob")[i].is_valid:
+                    continue
+                p = b.column("prob")[i].values.to_numpy(zero_copy_only=False).astype(float).reshape(h, w)
+                labels = arrays.components(p >= threshold)
+                row, col = np.nonzero(labels >= 0)
+                if not len(row):
+                    continue
+                first, at = np.unique(labels[row, col], return_inverse=True)
+                value, m = p[row, col], len(first)
+                part = (row0 + first // w) * step + col0 + first % w
+                low = lambda v, f=np.minimum, start=1 << 60: (out := np.full(m, start), f.at(out, at, v))[0]  # noqa: E731, B023
+                top = np.full(m, -np.inf)
+                np.maximum.at(top, at, value)
+                found = [part, np.bincount(at, minlength=m), np.bincount(at, weights=value, minlength=m), top, low(row) + row0,
+                         low(row, np.maximum, -1) + row0, low(col) + col0, low(col, np.maximum, -1) + col0]
+                keys += [i] * m
+                for column, v in zip(columns, found, strict=True):
+                    column.append(v)
+                # Pixels on the border, by side: 0 top, 1 bottom, 2 left, 3 right.
+                sides: list[list] = [[] for _ in range(m)]
+                on = {0: row == 0, 1: row == h - 1, 2: col == 0, 3: col == w - 1}
+                for side, here in on.items():
+                    for k in np.flatnonzero(here).tolist():
+                        sides[at[k]].append({"side": side, "row": int(row[k]) + row0, "col": int(col[k]) + col0})
+                border += sides
+            if keys:
+                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(raster).take(pa.array(keys)), *[pa.array(np.concatenate(c)).cast(k) for c, k in zip(columns, kinds, strict=True)],
+                     pa.array(border, pa.list_(pa.struct([("side", pa.int32()), ("row", pa.int32()), ("col", pa.int32())])))],
+                    names=[raster, *names, "border"])
+
+    parts = materialise(blocks.select(raster, "row0", "col0", "height", "width", "prob").mapInArrow(label, (
+        f"`{raster}` {kind}, component bigint, positive_pixels bigint, prob_sum double, max_confidence double, row_min int, row_max int, col_min int, "
+        "col_max int, border array<struct<side:int,row:int,col:int>>")))
+    pixel = parts.select(raster, "component", F.explode("border").alias("_p")).select(raster, "component", "_p.*")
+    one = lambda side, dr, dc: pixel.filter(F.col("side") == side).select(
+        raster, (F.col("row") + dr).alias("row"), (F.col("col") + dc).alias("col"), F.col("component"))
+    faces = [(one(1, 1, 0), one(0, 0, 0)), (one(3, 0, 1), one(2, 0, 0))]
+    edges = [a.withColumnRenamed("component", "a").join(b.withColumnRenamed("component", "b"), [raster, "row", "col"]).select(raster, "a", "b") for a, b in faces]
+    edges = materialise(edges[0].unionByName(edges[1]).distinct())
+    if edges.isEmpty():
+        joined = parts.withColumn("_whole", F.col("component"))
+    else:
+        ends = edges.select(raster, F.col("a").alias("component")).unionByName(edges.select(raster, F.col("b").alias("component"))).distinct()
+        of = components.connected_components(ends.withColumnRenamed("component", "node"), edges, "node", [raster])
+        joined = parts.join(of.select(raster, F.col("node").alias("component"), F.col("component").alias("_whole")), [raster, "component"], "left")
+        joined = joined.withColumn("_whole", F.coalesce("_whole", "component"))
+    n = F.sum("positive_pixels")
+    return joined.groupBy(raster, F.col("_whole").alias("component")).agg(
+        n.alias("positive_pixels"), (F.sum("prob_sum") / n).alias("mean_confidence"), F.max("max_confidence").alias("max_confidence"),
+        F.min("row_min").alias("row_min"), F.max("row_max").alias("row_max"), F.min("col_min").alias("col_min"), F.max("col_max").alias("col_max"))
 
 
 def component_boxes(pixels: DataFrame, raster: str) -> DataFrame:
-    """Components of positive pixels ``(raster, row, col, prob)`` with size, confidence and box."""
+    """Components of sparse positive pixels ``(raster, row, col, prob)`` with size, confidence and box."""
     labelled = components.label_runs(components.runs(pixels, raster), raster)
     n = F.sum(F.col("c1") - F.col("c0") + 1)
     return labelled.groupBy(raster, "component").agg(
@@ -381,3 +572,22 @@ def extract_detections(boxes: DataFrame, affine: DataFrame, raster: str, resolut
         (F.col("positive_pixels") * resolution * resolution).alias("area_m2"), "mean_confidence", "max_confidence",
         ((F.col("col_max") - F.col("col_min") + 1) * resolution).alias("bbox_width_m"),
         ((F.col("row_max") - F.col("row_min") + 1) * resolution).alias("bbox_height_m"))
+
+
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _block_means(band: pd.Series, height: pd.Series, width: pd.Series, factor: pd.Series) -> pd.Series:
+    def one(v, h, w, k):
+        if v is None:
+            return None
+        rows, cols = np.arange(0, h, k), np.arange(0, w, k)
+        sums = np.add.reduceat(np.add.reduceat(np.asarray(v, float).reshape(h, w), rows, axis=0), cols, axis=1)
+        counts = np.diff(np.append(rows, h))[:, None] * np.diff(np.append(cols, w))
+        return (sums / counts).ravel()
+    return pd.Series([one(*x) for x in zip(band, height, width, factor)], index=band.index, dtype=object)
+
+
+def downsample_bands(patches: DataFrame, factor: int, bands: Sequence[str]) -> DataFrame:
+    """Bands as means over ``factor`` x ``factor`` pixels (fewer at the far edges), with the new size; no pixel leaves its row."""
+    small = {b: _block_means(F.col(b), F.col("height"), F.col("width"), F.lit(factor)) for b in bands}
+    size = {k: F.ceil(F.col(k) / factor).cast("int") for k in ("height", "width")}
+    return patches.withColumns(small).withColumns(size)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.functions import geometry as G
+from geoloom.operators import cover, pyramid
 from geoloom.operators.checkpoints import materialise
 from geoloom.operators.skew import salted_join, spread
 
@@ -94,19 +95,29 @@ def anti_join_within(left: DataFrame, right: DataFrame, radius: float, inclusive
 
 
 def _segment_bins(segments: DataFrame, size: float, grow: float) -> DataFrame:
-    """Bins within ``grow`` of each segment.
-
-    The bins of the whole bounding box of a long diagonal would be mostly far
-    from it, so bins farther than ``grow`` plus half a bin diagonal are dropped.
-    """
+    """Bins within ``grow`` of each segment, walked column by column: their number grows with the segment's length, not with its box."""
     s = segments.select(F.col("x1").alias("_x1"), F.col("y1").alias("_y1"),
                         F.col("x2").alias("_x2"), F.col("y2").alias("_y2")).distinct()
-    xs, ys = (F.col("_x1"), F.col("_x2")), (F.col("_y1"), F.col("_y2"))
-    boxed = over_box(s, size, F.least(*xs) - grow, F.least(*ys) - grow,
-                     F.greatest(*xs) + grow, F.greatest(*ys) + grow)
+    return walk_bins(s, size, grow, *[F.col(c) for c in ("_x1", "_y1", "_x2", "_y2")])
+
+
+def walk_bins(segments: DataFrame, size: float, grow: float, x1: Column, y1: Column, x2: Column, y2: Column) -> DataFrame:
+    """Repeat each segment for the bins within ``grow`` of it."""
+    reach = grow * (1 + 1e-9) + size * 1e-9
+    low, high = F.least(x1, x2), F.greatest(x1, x2)
+    columns = F.sequence(bin_of(low - reach, size), bin_of(high + reach, size))
+    across = segments.withColumn("_bx", F.explode(columns))
+    # The part of the segment within reach of the column, and its height range.
+    left, right = F.col("_bx") * F.lit(float(size)) - reach, (F.col("_bx") + 1) * F.lit(float(size)) + reach
+    slope = F.coalesce(F.try_divide(y2 - y1, x2 - x1), F.lit(0.0))
+    at = lambda x: F.when(x1 == x2, y1).otherwise(y1 + (x - x1) * slope)
+    ends = [at(F.least(F.greatest(low, left), high)), at(F.greatest(F.least(high, right), low))]
+    upright = F.abs(x2 - x1) <= size * 1e-6  # the height says nothing then
+    bottom = F.when(upright, F.least(y1, y2)).otherwise(F.least(*ends)) - reach
+    top = F.when(upright, F.greatest(y1, y2)).otherwise(F.greatest(*ends)) + reach
+    boxed = across.withColumn("_by", F.explode(F.sequence(bin_of(bottom, size), bin_of(top, size))))
     centre = [(F.col(b) + 0.5) * size for b in BIN]
-    gap = G.segment_distance(*centre, *[F.col(c) for c in ("_x1", "_y1", "_x2", "_y2")])
-    return boxed.filter(gap <= grow + size * 0.7072)
+    return boxed.filter(G.segment_distance(*centre, x1, y1, x2, y2) <= reach + size * 0.7072)
 
 
 def semi_join_near_line(points: DataFrame, segments: DataFrame | None, radius: float) -> DataFrame:
@@ -119,68 +130,58 @@ def semi_join_near_line(points: DataFrame, segments: DataFrame | None, radius: f
     return salted_join(with_bin(points, radius), reach, BIN, "left_semi", condition=near).drop(*BIN)
 
 
-def _search(left: DataFrame, left_id: str, first_size: float, farthest, attempt) -> DataFrame:
-    """Expanding search: rows unresolved at one bin size retry at four times that size.
-
-    ``attempt(rows, size)`` returns (left_id, _hit STRUCT<dist_m, ...>) for rows with
-    any candidate around them; a hit is final when its distance is within the size.
-    ``farthest()`` bounds any distance; it is asked only when a second pass is needed.
-    """
-    pending, size, found, limit = left, first_size, [], None
-    while True:
-        tried = pending.join(attempt(pending.select(left_id, "x", "y"), size), left_id, "left")
-        last = limit is not None and size >= limit
-        final = F.lit(True) if last else F.coalesce(F.col("_hit.dist_m") <= size, F.lit(False))
-        tried = materialise(tried.withColumn("_final", final))
-        found.append(tried.filter("_final").drop("_final"))
-        pending = tried.filter("NOT _final").drop("_final", "_hit")
-        if last or pending.isEmpty():
-            break
-        limit = limit or farthest()
-        size = size * 4
-    hits = found[0]
-    for more in found[1:]:
-        hits = hits.unionByName(more)
-    return hits
-
-
 def _extent(points: DataFrame) -> tuple:
-    """Row count and bounds, one row."""
-    return points.agg(F.count(F.lit(1)), F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
-
-
-def _diagonal(*boxes: tuple) -> float:
-    boxes = [b for b in boxes if b[0]]
-    return math.hypot(max(b[3] for b in boxes) - min(b[1] for b in boxes),
-                      max(b[4] for b in boxes) - min(b[2] for b in boxes))
+    """Rows with a position, their bounds, and all rows."""
+    placed = F.col("x").isNotNull() & F.col("y").isNotNull()
+    return points.agg(F.count_if(placed), *[f(F.when(placed, F.col(c))) for f in (F.min, F.max) for c in ("x", "y")], F.count(F.lit(1))).first()
 
 
 def _spacing(box: tuple) -> float:
     """Twice the mean spacing of uniform points: nearly every row resolves in the first pass."""
-    n, x0, y0, x1, y1 = box
+    n, x0, y0, x1, y1 = box[:5]
     return max(2 * math.sqrt((x1 - x0) * (y1 - y0) / n), (x1 - x0 + y1 - y0) / n, 1.0)
 
 
+def _side(*boxes: tuple) -> float:
+    """Side of a square around all boxes."""
+    boxes = [b for b in boxes if b[0]]
+    return max(max(b[3] for b in boxes) - min(b[1] for b in boxes), max(b[4] for b in boxes) - min(b[2] for b in boxes), 1.0)
+
+
 def nearest_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
                  first_size: float | None = None) -> DataFrame:
-    """Left rows plus the nearest right id and ``dist_m`` (ties: smallest id); NULLs if right is empty."""
-    sites = right.groupBy(F.col("x").alias("_rx"), F.col("y").alias("_ry")).agg(
-        F.min(right_id).alias("_rid"))
+    """Left rows plus the nearest right id and ``dist_m`` (ties: smallest id); NULLs if right is empty or the row has no position.
+
+    ``first_size`` is the side of the base bins, by default about twice the mean spacing."""
     box = _extent(right)
     if box[0] == 0:
         empty = dict(right.dtypes)[right_id]
         return left.withColumns({right_id: F.lit(None).cast(empty), "dist_m": F.lit(None).cast("double")})
+    sites = right.filter("x IS NOT NULL AND y IS NOT NULL").groupBy(F.col("x").alias("_rx"), F.col("y").alias("_ry")).agg(F.min(right_id).alias("_rid"))
+    size = first_size or _spacing(box)
+    touched = with_bin(sites, size, "_rx", "_ry").select(*BIN, F.struct("_rx", "_ry", "_rid").alias("_item"))
 
-    def attempt(rows, size):
-        near = salted_join(with_bin(rows, size), around(with_bin(sites, size, "_rx", "_ry")), BIN, heavy=True)
-        dist = G.distance(F.col("x"), F.col("y"), F.col("_rx"), F.col("_ry"))
-        return near.groupBy(left_id).agg(
-            F.min(F.struct(dist.alias("dist_m"), F.col("_rid"))).alias("_hit"))
+    def inside(item, x0, y0, side):
+        return (bin_of(item["_rx"], side) == F.col("_bx")) & (bin_of(item["_ry"], side) == F.col("_by"))
 
-    hits = _search(left, left_id, first_size or _spacing(box), lambda: _diagonal(box, _extent(left)), attempt)
+    def hit(item, x, y):
+        return F.struct(G.distance(x, y, item["_rx"], item["_ry"]).alias("dist_m"), item["_rid"].alias("_rid"))
+
+    hits = _nearest(left, left_id, pyramid.Items(touched, size, inside, hit), box)
     return hits.withColumns({right_id: F.col("_hit._rid"), "dist_m": F.col("_hit.dist_m")}).drop("_hit")
 
 
+def _nearest(left: DataFrame, left_id: str, items: pyramid.Items, box: tuple) -> DataFrame:
+    """Left rows with ``_hit``; rows without a position have none."""
+    around_all = _extent(left)
+    if around_all[0] == 0:
+        return left.withColumn("_hit", F.lit(None).cast(items.touched.select(items.hit(F.col("_item"), F.lit(0.0), F.lit(0.0)).alias("h")).schema["h"].dataType))
+    hits = pyramid.nearest(left.filter("x IS NOT NULL AND y IS NOT NULL"), left_id, items, _side(box, around_all))
+    if around_all[5] == around_all[0]:
+        return hits
+    return hits.unionByName(left.filter("x IS NULL OR y IS NULL").withColumn("_hit", F.lit(None)))
+
+
 def polyline_distance_join(points: DataFrame, segments: DataFrame, point_id: str,
                            first_size: float | None = None) -> DataFrame:
     """Points plus ``dist_m`` to the nearest segment."""
@@ -189,15 +190,20 @@ def polyline_distance_join(points: DataFrame, segments: DataFrame, point_id: str
     box = _extent(ends)
     if box[0] == 0:
         return points.withColumn("dist_m", F.lit(None).cast("double"))
+    size = first_size or _spacing(box)
+    names = ("_x1", "_y1", "_x2", "_y2")
+    touched = _segment_bins(segments.dropna(subset=["x1", "y1", "x2", "y2"]), size, 0.0).select(*BIN, F.struct(*names).alias("_item"))
+
+    def meets(item, x0, y0, side):
+        pad = side * 1e-9
+        edge = F.struct(*[item[n].alias(n[1:]) for n in names])
+        return G.segment_meets_box(edge, x0 - pad, y0 - pad, x0 + side + pad, y0 + side + pad)
 
-    def attempt(rows, size):
-        near = salted_join(with_bin(rows, size), _segment_bins(segments, size, size), BIN, heavy=True)
-        dist = G.segment_distance(F.col("x"), F.col("y"), F.col("_x1"), F.col("_y1"),
-                                  F.col("_x2"), F.col("_y2"))
-        return near.groupBy(point_id).agg(F.min(F.struct(dist.alias("dist_m"))).alias("_hit"))
+    def hit(item, x, y):
+        return F.struct(G.segment_distance(x, y, *[item[n] for n in names]).alias("dist_m"))
 
-    hits = _search(points, point_id, first_size or _spacing(box),
-                   lambda: _diagonal(box, _extent(points)), attempt)
+    touched = touched.filter(meets(F.col("_item"), F.col("_bx") * size, F.col("_by") * size, size))
+    hits = _nearest(points, point_id, pyramid.Items(touched, size, meets, hit), box)
     return hits.withColumn("dist_m", F.col("_hit.dist_m")).drop("_hit")
 
 
@@ -210,33 +216,28 @@ def pairs_within(points: DataFrame, point_id: str, radius: float, inclusive: boo
 
 def polygon_within_join(inner: DataFrame, outer: DataFrame, bin_size: float,
                         inner_edges: str = "inner_edges", outer_edges: str = "outer_edges") -> DataFrame:
-    """(inner, outer) pairs where the inner polygon lies within the outer one.
+    """(inner, outer) pairs where the inner polygon lies within the outer one; all columns but the outer edges.
 
-    Each inner polygon has exactly one bin (that of its first vertex), so no
-    pair can appear twice. Outer polygons are cut into bins first: a bin without an
-    outline edge is wholly inside or outside, so inner polygons in it need no test,
-    and one that no outer edge touches needs a single point test. The full test is
-    left for inner polygons on an outline.
+    Outer polygons become bins (see :mod:`cover`). An inner polygon meets the bins of its own box; each bin counts the corners and
+    edge middles there that lie in the outer one, and the pair holds when all are counted and no outline cuts in. An inner polygon inside one
+    bin is decided there, the few across bin borders by a sum over their bins.
     """
-    corner = [F.col(b) * F.lit(float(bin_size)) for b in BIN]
-    square = (corner[0], corner[1], corner[0] + bin_size, corner[1] + bin_size)
-    ring = F.col(outer_edges)
-    b = outer.withColumn("_box", _edge_box(ring))
-    b = over_box(b, bin_size, *[F.col(f"_box.{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
-    b = spread(b, *BIN).withColumn("_outline", F.exists(ring, lambda e: G.segment_meets_box(e, *square)))
-    b = b.filter(F.col("_outline") | G.point_in_polygon(ring, square[0], square[1]))
-    first = F.col(inner_edges)[0]
-    a = inner.withColumns({"_bx": bin_of(first["x1"], bin_size), "_by": bin_of(first["y1"], bin_size),
-                           "_in": _edge_box(F.col(inner_edges))})
-    low_x, low_y, high_x, high_y = (F.col(f"_in.{c}") for c in ("xmin", "ymin", "xmax", "ymax"))
-    enclosed = ((low_x >= F.col("_box.xmin")) & (high_x <= F.col("_box.xmax"))
-                & (low_y >= F.col("_box.ymin")) & (high_y <= F.col("_box.ymax")))
-    in_bin = (low_x >= square[0]) & (high_x <= square[2]) & (low_y >= square[1]) & (high_y <= square[3])
-    touched = F.exists(ring, lambda e: G.segment_meets_box(e, low_x, low_y, high_x, high_y))
-    within = (F.when(~F.col("_outline") & in_bin, F.lit(True))
-              .when(~touched, G.point_in_polygon(ring, first["x1"], first["y1"]))
-              .otherwise(G.polygon_within(F.col(inner_edges), ring)))
-    return salted_join(a, b, BIN, heavy=True).filter(enclosed).filter(within).drop(*BIN, "_box", "_in", "_outline")
+    polygons = materialise(outer.withColumn("_pid", F.monotonically_increasing_id()))
+    bins = cover.cover(polygons, "_pid", outer_edges, bin_size, walk_bins).join(polygons.drop(outer_edges), "_pid")
+    a = inner.withColumn("_in", _edge_box(F.col(inner_edges)))
+    corners = [F.col(f"_in.{c}") for c in ("xmin", "ymin", "xmax", "ymax")]
+    one = (bin_of(corners[0], bin_size) == bin_of(corners[2], bin_size)) & (bin_of(corners[1], bin_size) == bin_of(corners[3], bin_size))
+    counted, cut = cover.points_within(F.col(inner_edges), bin_size)
+    total = 2 * F.size(inner_edges)
+    alone = with_bin(a.filter(one).withColumns({"_x": corners[0], "_y": corners[1]}), bin_size, "_x", "_y").drop("_x", "_y", "_in").join(bins, BIN)
+    # Most bins are wholly inside and need no count.
+    alone = alone.filter(F.when(F.col("_local").isNull(), True).otherwise((counted == total) & ~cut)).drop(*BIN, "_local", "_inside", "_pid")
+    spread_out = over_box(a.filter(~one).withColumn("_iid", F.monotonically_increasing_id()), bin_size, *corners).drop("_in").join(bins, BIN)
+    kept = [c for c in [*inner.columns, *outer.columns] if c != outer_edges]
+    summed = spread_out.withColumns({"_counted": counted, "_cut": cut}).groupBy("_iid", "_pid").agg(
+        F.sum("_counted").alias("_counted"), F.max("_cut").alias("_cut"), F.first(F.struct(*kept)).alias("_row"))
+    across = summed.filter(~F.col("_cut") & (F.col("_counted") == 2 * F.size(F.col("_row").getField(inner_edges)))).select("_row.*")
+    return alone.select(*kept).unionByName(across)
 
 
 def _edge_box(edge_list: Column) -> Column:
@@ -248,18 +249,22 @@ def _edge_box(edge_list: Column) -> Column:
 
 def box_polygon_join(boxes: DataFrame, polygons: DataFrame, bin_size: float, box_id: str,
                      edges: str = "edges") -> DataFrame:
-    """(box, polygon) pairs that share at least a point. Boxes: ``x0,y0,x1,y1``.
+    """(box, polygon) pairs that share at least a point. Boxes: ``x0,y0,x1,y1`` and a unique ``box_id``.
 
-    Both sides may cover several bins; a pair is kept only in the bin of the
-    lower-left corner of the overlap of the two envelopes, hence once.
+    A box meets a polygon when an edge runs through it, when it reaches into a bin that is wholly inside, or when its first corner is
+    inside; each is seen in one bin.
     """
-    a = over_box(boxes, bin_size, F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
-    p = polygons.withColumn("_box", _edge_box(F.col(edges)))
-    p = over_box(p, bin_size, *[F.col(f"_box.{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
-    home = ((F.col("_bx") == bin_of(F.greatest(F.col("x0"), F.col("_box.xmin")), bin_size))
-            & (F.col("_by") == bin_of(F.greatest(F.col("y0"), F.col("_box.ymin")), bin_size)))
-    meets = G.polygon_intersects_box(F.col(edges), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
-    return salted_join(p, a, BIN, heavy=True).filter(home & meets).drop(*BIN, "_box")
+    shapes = materialise(polygons.withColumn("_pid", F.monotonically_increasing_id()))
+    bins = cover.cover(shapes, "_pid", edges, bin_size, walk_bins)
+    slim = boxes.select(box_id, "x0", "y0", "x1", "y1")
+    reached = over_box(slim, bin_size, F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")).join(bins, BIN)
+    corner = [F.col("x0"), F.col("y0")]
+    own = (bin_of(corner[0], bin_size) == F.col("_bx")) & (bin_of(corner[1], bin_size) == F.col("_by"))
+    meets = (F.when(F.col("_local").isNull(), True)
+             .otherwise(F.exists("_local", lambda e: G.segment_meets_box(e, F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")))
+                        | (own & cover.inside(*corner, bin_size))))
+    pairs = reached.filter(meets).select(box_id, "_pid").distinct()
+    return pairs.join(boxes, box_id).join(shapes, "_pid").drop("_pid")
 
 
 def point_box_join(points: DataFrame, boxes: DataFrame, bin_size: float) -> DataFrame:

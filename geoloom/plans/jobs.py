@@ -69,12 +69,18 @@ def eval_set_job(features: DataFrame, negatives: DataFrame, training: DataFrame,
     return features.unionByName(picked, allowMissingColumns=True)
 
 
-def detection_job(tile_pixels: DataFrame, affine: DataFrame, raster_id: str, *, threshold: float = 0.5,
-                  min_area_m2: float = 200.0, resolution: float = 0.6, dedup_m: float | None = 100.0,
-                  to_lonlat=None) -> DataFrame:
-    """Scored tile pixels → merged raster → components → detections → duplicates removed."""
-    merged = raster.merge_overlaps(tile_pixels, raster_id).filter(F.col("prob") >= threshold)
-    boxes = raster.component_boxes(merged, raster_id)
+def detection_job(windows: DataFrame, bands: Sequence[str], models: Sequence, affine: DataFrame, raster_id: str, *, combine: str = "mean",
+                  threshold: float = 0.5, min_area_m2: float = 200.0, resolution: float = 0.6, dedup_m: float | None = 100.0,
+                  to_lonlat=None, block: int = raster.BLOCK) -> DataFrame:
+    """Windows of rasters → scores → merged blocks → components → detections → duplicates removed.
+
+    ``windows``: ``raster_id, row_off, col_off, height, width`` and band arrays, as :func:`grids.tile_windows` lays them out.
+    """
+    scored = raster.score_patches(windows, bands, models, combine)
+    blocks = raster.merge_tiles(scored, raster_id, block)
+    # A pixel that no window covers is no detection, whatever the threshold.
+    certain = F.zip_with("prob", "covered", lambda p, n: F.when(n > 0, p).otherwise(F.lit(float("-inf"))))
+    boxes = raster.block_components(blocks.withColumn("prob", certain), raster_id, threshold)
     found = raster.extract_detections(boxes, affine, raster_id, resolution, min_area_m2, to_lonlat)
     if dedup_m is None:
         return found

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from geoloom.operators import grids, quality, raster, sampling
-from geoloom.operators.components import ROW_STEP, label_runs, runs
+from geoloom.operators import quality, raster, sampling
+from geoloom.operators.components import ROW_STEP
 from geoloom.plans.fixtures import fixture, patch_arrays, table
 from geoloom.plans.jobs import detection_job, evaluation_job, qa_job
 from geoloom.plans.registry import query, rounded
@@ -161,10 +161,10 @@ def patch_score_top1pct(spark, sf):
     return rounded(arrays.select("user_id", raster.patch_score_top1pct(F.col("prob")).alias("patch_score")), "patch_score", digits=6)
 
 
-def tile_pixels(spark, sf):
+def tiles(spark, sf):
     """Patches as overlapping 8x8 tiles of one raster per class: columns of six pixels' step."""
-    p = raster.pixel_view(patch_arrays(spark, sf), "patch_id", ["prob"]).join(table(spark, sf, "embeddings").selectExpr("vec_id AS patch_id", "label AS raster"), "patch_id")
-    return p.selectExpr("raster", "CAST(floor(patch_id / 40) * 6 AS INT) AS row_off", "CAST(patch_id % 40 * 6 AS INT) AS col_off", "row", "col", "prob")
+    return patch_arrays(spark, sf).withColumnRenamed("class", "raster").withColumns({
+        "row_off": F.expr("CAST(floor(patch_id / 40) * 6 AS INT)"), "col_off": F.expr("CAST(patch_id % 40 * 6 AS INT)")})
 
 
 MERGED = """SELECT label AS raster, CAST(floor(patch_id / 40) * 6 + row AS INTEGER) AS row, CAST(patch_id % 40 * 6 + col AS INTEGER) AS col, avg(prob) AS prob FROM fx_pixels
@@ -173,17 +173,14 @@ MERGED = """SELECT label AS raster, CAST(floor(patch_id / 40) * 6 + row AS INTEG
 
 @query("merge_overlaps", "pixels", f"SELECT raster, row, col, round(prob, 6) AS prob FROM ({MERGED}) m")
 def merge_overlaps(spark, sf):
-    return rounded(raster.merge_overlaps(tile_pixels(spark, sf), "raster"), "prob", digits=6)
+    return rounded(raster.merge_overlaps(tiles(spark, sf), "raster", block=64), "prob", digits=6)
 
 
 @query("downsample_bands", "pixels", """SELECT patch_id, CAST(floor(row / 2) AS INTEGER) AS row, CAST(floor(col / 2) AS INTEGER) AS col, round(avg(red), 4) AS red, round(avg(nir), 4) AS nir
     FROM fx_pixels GROUP BY patch_id, floor(row / 2), floor(col / 2)""")
 def downsample_bands(spark, sf):
-    return rounded(grids.downsample_bands(raster.pixel_view(patch_arrays(spark, sf), "patch_id", ["red", "nir"]), "patch_id", 2, ["red", "nir"]), "red", "nir")
-
-
-def positive(spark, sf):
-    return raster.pixel_view(patch_arrays(spark, sf), "patch_id", ["prob"]).filter("prob >= 0.55")
+    small = raster.downsample_bands(patch_arrays(spark, sf), 2, ["red", "nir"])
+    return rounded(raster.pixel_view(small, "patch_id", ["red", "nir"]), "red", "nir")
 
 
 # Number of a component's first pixel in a patch of eight columns.
@@ -197,8 +194,8 @@ COMPONENTS = """WITH RECURSIVE px AS (SELECT patch_id, row, col, row * 8 + col A
 
 @query("connected_components", "pixels", COMPONENTS + " SELECT c.patch_id, p.row, p.col, c.component FROM comp c JOIN px p ON c.patch_id = p.patch_id AND c.id = p.id")
 def connected_components(spark, sf):
-    labelled = label_runs(runs(positive(spark, sf), "patch_id"), "patch_id").withColumn("component", F.expr(FIRST_PIXEL))
-    return labelled.withColumn("col", F.explode(F.sequence("c0", "c1"))).select("patch_id", "row", "col", "component")
+    labelled = raster.label_patches(patch_arrays(spark, sf), 0.55)
+    return raster.pixel_view(labelled, "patch_id", ["labels"]).filter("labels >= 0").withColumnRenamed("labels", "component")
 
 
 DETECTED = COMPONENTS + """ SELECT c.patch_id, c.component, count(*) AS positive_pixels, round(avg(prob), 6) AS mean_confidence, round(max(prob), 6) AS max_confidence,
@@ -208,7 +205,8 @@ DETECTED = COMPONENTS + """ SELECT c.patch_id, c.component, count(*) AS positive
 
 
 def detections(spark, sf, minimum):
-    boxes = raster.component_boxes(positive(spark, sf), "patch_id").withColumn("component", F.expr(FIRST_PIXEL))
+    whole = patch_arrays(spark, sf).withColumns({"row0": F.lit(0), "col0": F.lit(0)})
+    boxes = raster.block_components(whole, "patch_id", 0.55).withColumn("component", F.expr(FIRST_PIXEL))
     affine = patch_arrays(spark, sf).select("patch_id", F.lit(0.6).alias("a"), F.lit(1000.0).alias("c"), F.lit(-0.6).alias("e"), F.lit(2000.0).alias("f"))
     out = raster.extract_detections(boxes, affine, "patch_id", 0.6, minimum * 0.36)
     return rounded(rounded(out, "center_lon", "center_lat", "area_m2", "bbox_width_m", "bbox_height_m"), "mean_confidence", "max_confidence", digits=6)
@@ -228,7 +226,7 @@ def filter_min_area(spark, sf):
 def detection_job_query(spark, sf):
     affine = table(spark, sf, "embeddings").select(F.col("label").alias("raster")).distinct().select(
         "raster", F.lit(1e-5).alias("a"), F.col("raster") * 0.5 - 112.0, F.lit(-1e-5).alias("e"), F.lit(33.5).alias("f")).toDF("raster", "a", "c", "e", "f")
-    out = detection_job(tile_pixels(spark, sf), affine, "raster", threshold=0.6, min_area_m2=2 * 0.36, dedup_m=10.0)
+    out = detection_job(tiles(spark, sf).drop("prob"), ["e"], [tilted], affine, "raster", threshold=0.6, min_area_m2=2 * 0.36, dedup_m=10.0, block=64)
     return rounded(out, "center_lon", "center_lat", "mean_confidence", digits=6)
 
 
