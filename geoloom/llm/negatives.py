@@ -37,8 +37,8 @@ SCALE, POSITIVES, NEGATIVES = 256, 5, 10
 LOW, HIGH = 30, 90
 REFERENCES, SAMPLE = 16, 1024
 BLOCK, ANCHORS = 1024, 1024
-#: Pairs of blocks in a task.
-PAIRS_PER_TASK = 16
+#: Pairs of blocks in a task, and rows it holds before it drops those that cannot be among the first.
+PAIRS_PER_TASK, HELD = 16, 200_000
 #: Angles are stored in 32 bits (error under 3e-7); cosines near 1 turn rounding of 1e-13 into angles of 5e-7.
 SLACK = 4e-6
 #: Scores are bounded up to this share of both lengths, and one.
@@ -287,8 +287,9 @@ def overlap(anchor: np.ndarray, rows: np.ndarray) -> bool:
     return bool(least <= anchor[2 * m + 3] and most >= anchor[2 * m + 2])
 
 
-def meet(blocks: DataFrame, anchors: DataFrame, groups: int, each_pair, schema: str) -> DataFrame:
-    """``each_pair(anchors, block)`` over the pairs of a group of anchors and a row block whose bounds overlap. Anchors have ``group, low, high``."""
+def meet(blocks: DataFrame, anchors: DataFrame, groups: int, each_pair, names: list[str], k: int) -> DataFrame:
+    """Rows ``(key..., id, row, score)`` that ``each_pair(anchors, block)`` lists for the pairs of a group of anchors and a row block whose bounds
+    overlap; of a key, a task gives its first ``k``. Anchors have ``group, low, high``."""
     summaries = _summaries(anchors)
     asked = blocks.select("block", F.col("dim").alias("rdim"), "bounds", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
 
@@ -304,15 +305,35 @@ def meet(blocks: DataFrame, anchors: DataFrame, groups: int, each_pair, schema:
     both = pairs.join(packed, "group").repartition(tasks, "block").join(blocks, "block")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1).to_pylist()[0]
                 block = Block(row)
                 here = [a | {"q": np.frombuffer(a["q"], "<i8"), "alpha": np.frombuffer(a["angles"], "<f4").astype(np.float64)}
                         for a in row["_anchors"] if a["dim"] == block.dim]
-                yield from each_pair(here, block)
+                held += each_pair(here, block)
+                if len(held) > HELD:
+                    held = leading(held, k)
+                    if len(held) > HELD // 2:
+                        yield _batch(held, names)
+                        held = []
+        if held:
+            yield _batch(leading(held, k), names)
+
+    return both.mapInArrow(work, ", ".join(f"{n} bigint" for n in names))
+
 
-    return both.mapInArrow(work, schema)
+def leading(found: list[tuple], k: int) -> list[tuple]:
+    """Of rows ``(key..., id, row, score)`` the first k of every key: higher scores, then smaller ids and rows."""
+    columns = np.array(found, np.int64).T
+    keys = columns[:-3]
+    order = np.lexsort((columns[-2], columns[-3], -columns[-1], *keys[::-1]))
+    new = np.ones(len(order), bool)
+    new[1:] = np.any(keys[:, order[1:]] != keys[:, order[:-1]], axis=0)
+    begin = np.flatnonzero(new)
+    place = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
+    return [found[i] for i in order[place < k].tolist()]
 
 
 def _first(found: DataFrame, keys: list[str], order: list[Column], k: int, out: str) -> DataFrame:
@@ -331,17 +352,17 @@ def hard_negatives(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "em
     anchors = materialise(anchors.repartitionByRange(groups, "dim", "cell", "angle", "row").withColumn("group", F.spark_partition_id())
                           .withColumn("low", F.coalesce(F.col("least").cast("double"), F.lit(float("-inf")))).withColumn("high", F.lit(float("inf"))))
 
-    def same_label(here: list[dict], block: Block) -> Iterator[pa.RecordBatch]:
+    def same_label(here: list[dict], block: Block) -> list[tuple]:
         out = []
         for a in here:
             take = (block.labels == a["label"]) & (block.rows != a["row"])
             at, score = scored(a, a["low"], a["high"], block, take)
             for i in best(at, score, block.ids, positives).tolist():
-                out.append((a["row"], int(block.rows[at[i]]), int(block.ids[at[i]]), int(score[i])))
-        if out:
-            yield _batch(out, ["row", "positive_row", "positive_id", "positive_score"])
+                out.append((a["row"], int(block.ids[at[i]]), int(block.rows[at[i]]), int(score[i])))
+        return out
 
-    found = meet(blocks, anchors.drop("least"), groups, same_label, "row bigint, positive_row bigint, positive_id bigint, positive_score bigint")
+    names = ["row", "positive_id", "positive_row", "positive_score"]
+    found = meet(blocks, anchors.drop("least"), groups, same_label, names, positives)
     found = materialise(_first(found, ["row"], [F.col("positive_score").desc(), F.col("positive_id"), F.col("positive_row")], positives, "_place"))
     # Scores s with low * p <= 100 * s <= high * p, in decimals of any size; none if p is negative.
     wide = F.col("positive_score").cast("decimal(20,0)")
@@ -351,7 +372,7 @@ def hard_negatives(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "em
                                        F.min("from").cast("double").alias("low"), F.max("to").cast("double").alias("high"))
     seekers = materialise(anchors.drop("low", "high", "least").join(wanted, "row"))
 
-    def other_label(here: list[dict], block: Block) -> Iterator[pa.RecordBatch]:
+    def other_label(here: list[dict], block: Block) -> list[tuple]:
         out = []
         for a in here:
             at, score = scored(a, a["low"], a["high"], block, block.labels != a["label"])
@@ -359,10 +380,9 @@ def hard_negatives(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "em
                 inside = np.flatnonzero((score >= w["from"]) & (score <= w["to"]))
                 for i in inside[best(at[inside], score[inside], block.ids, negatives)].tolist():
                     out.append((a["row"], w["positive_row"], int(block.ids[at[i]]), int(block.rows[at[i]]), int(score[i])))
-        if out:
-            yield _batch(out, ["row", "positive_row", "negative_id", "negative_row", "negative_score"])
+        return out
 
-    mined = meet(blocks, seekers, groups, other_label, "row bigint, positive_row bigint, negative_id bigint, negative_row bigint, negative_score bigint")
+    mined = meet(blocks, seekers, groups, other_label, ["row", "positive_row", "negative_id", "negative_row", "negative_score"], negatives)
     mined = _first(mined, ["row", "positive_row"], [F.col("negative_score").desc(), F.col("negative_id"), F.col("negative_row")], negatives, "rank")
     named = found.join(anchors.select("row", F.col("id").alias("anchor_id")), "row").select("row", "anchor_id", "positive_row", "positive_id", "positive_score")
     return materialise(mined).join(named, ["row", "positive_row"]).select(

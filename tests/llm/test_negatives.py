@@ -45,7 +45,7 @@ def vectors(rng, n, dim, spread):
 
 @pytest.mark.parametrize("spread,block,anchors,references", [(0.3, 1024, 1024, 16), (0.3, 40, 3, 4), (3.0, 64, 2, 1), (0.01, 30, 4, 16)])
 def test_negatives_are_those_of_all_pairs(frame, monkeypatch, spread, block, anchors, references):
-    for name, value in (("BLOCK", block), ("ANCHORS", anchors), ("REFERENCES", references)):
+    for name, value in (("BLOCK", block), ("ANCHORS", anchors), ("REFERENCES", references), ("HELD", 20 * block)):
         monkeypatch.setattr(negatives, name, value)
     monkeypatch.setattr(negatives.choose_references, "__defaults__", (references,))
     assert check(frame, vectors(np.random.default_rng(7), 900, 12, spread))
@@ -105,3 +105,10 @@ def test_bounds_never_leave_out_a_score():
             assert set(inside) <= set(at.tolist())
             skipped += 20 - len(at)
     assert skipped > 3000
+
+
+def test_the_first_of_every_key():
+    found = [(1, 5, 9, 100), (1, 4, 8, 100), (2, 1, 1, 7), (1, 6, 3, 200), (1, 4, 7, 100)]
+    assert negatives.leading(found, 2) == [(1, 6, 3, 200), (1, 4, 7, 100), (2, 1, 1, 7)]
+    two = [(1, 1, 3, 3, 5), (1, 2, 3, 3, 4), (1, 1, 2, 2, 5)]
+    assert negatives.leading(two, 1) == [(1, 1, 2, 2, 5), (1, 2, 3, 3, 4)]
