@@ -6,30 +6,128 @@ candidate that is the best one in all the cells it would improve can be taken in
 the same round. Serial greedy takes exactly these sites, in order of gain, so
 sorting the picks by gain restores its order and a budget is a prefix of it.
 Study areas (``area_id``) never share cells and advance together.
+
+Rounds work on live edges only: those of cells that are still open or could still come nearer. After a round the edges of
+the cells that were served shrink or go, and only candidates with such an edge are summed again. An area whose live edges fit a
+task (``LOCAL_EDGES``) is finished there by the serial rule, all such areas in parallel, instead of in a long tail of small rounds.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geoloom.operators.checkpoints import materialise
 from geoloom.operators.service import BUILD_COST
+from geoloom.operators.skew import ranked
 
 GAIN_DIGITS = 6
+#: Edges of an area that one task finishes (about 50 bytes each).
+LOCAL_EDGES = 1_000_000
+AREA_CELL, AREA_SUB = ["area_id", "cell_id"], ["area_id", "sub_id"]
 
 
-def _local_best(edges: DataFrame, scores: DataFrame) -> DataFrame:
+def _local_best(live: DataFrame, scores: DataFrame) -> DataFrame:
     """Candidates that outrank every other candidate in each of their cells."""
-    marked = edges.join(scores, ["area_id", "sub_id"]).withColumn("_rank", F.struct("score", (-F.col("sub_id")).alias("o")))
-    best = marked.groupBy("area_id", "cell_id").agg(F.max("_rank").alias("_best"))
-    return marked.join(best, ["area_id", "cell_id"]).groupBy("area_id", "sub_id").agg(
+    marked = live.select("area_id", "cell_id", "sub_id").join(scores, AREA_SUB).withColumn("_rank", F.struct("score", (-F.col("sub_id")).alias("o")))
+    best = F.max("_rank").over(W.partitionBy(*AREA_CELL))
+    return marked.withColumn("_best", best).groupBy(*AREA_SUB).agg(
         F.max("score").alias("score"), F.every(F.col("_rank") == F.col("_best")).alias("_top")).filter("_top").drop("_top")
 
 
+def _scores(live: DataFrame, phase: str, build_cost: float) -> DataFrame:
+    value = F.sum("demand_kw") if phase == "cover" else F.sum(F.col("demand_kw") * (F.col("cur") - F.col("dist_m"))) - F.lit(build_cost)
+    scores = live.groupBy(*AREA_SUB).agg(F.round(value, GAIN_DIGITS).alias("score"))
+    return scores if phase == "cover" else scores.filter("score > 0")
+
+
+def finish_area(phase: str, build_cost: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Serial greedy over the live edges of one area."""
+    def finish(edges: pd.DataFrame) -> pd.DataFrame:
+        edges = edges.sort_values(["sub_id", "cell_id"], kind="stable")
+        ids, sub = np.unique(edges["sub_id"].to_numpy(), return_inverse=True)
+        cells, cell = np.unique(edges["cell_id"].to_numpy(), return_inverse=True)
+        dist, demand = edges["dist_m"].to_numpy(float), edges["demand_kw"].to_numpy(float)
+        begin = np.searchsorted(sub, np.arange(len(ids) + 1))
+        by_cell = np.argsort(cell, kind="stable")
+        cell_begin = np.searchsorted(cell[by_cell], np.arange(len(cells) + 1))
+        cur = np.full(len(cells), np.inf)
+        if phase == "gain":
+            cur[cell] = edges["cur"].to_numpy(float)
+        value = demand.copy() if phase == "cover" else demand * np.maximum(cur[cell] - dist, 0)
+        alive = np.ones(len(cell), bool)  # the cell is open, or could come nearer
+
+        def runs(starts, ends):
+            n = ends - starts
+            return np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+        def summed(some):
+            at = runs(begin[some], begin[some + 1])
+            cuts = np.cumsum(begin[some + 1] - begin[some])[:-1]
+            total = np.round(np.add.reduceat(value[at], np.append(0, cuts)) - (0.0 if phase == "cover" else build_cost), GAIN_DIGITS)
+            return np.where(np.logical_or.reduceat(alive[at], np.append(0, cuts)), total, -np.inf)
+
+        score = summed(np.arange(len(ids)))
+        picks: list[tuple] = []
+        while True:
+            best = int(score.argmax())  # the first of the largest: ids are in order
+            if score[best] == -np.inf or (phase == "gain" and score[best] <= 0):
+                break
+            picks.append((ids[best], float(score[best])))
+            own = np.arange(begin[best], begin[best + 1])
+            changed = cell[own][(np.isinf(cur[cell[own]]) if phase == "cover" else dist[own] < cur[cell[own]])]
+            cur[cell[own]] = np.minimum(cur[cell[own]], dist[own])
+            at = by_cell[runs(cell_begin[changed], cell_begin[changed + 1])]
+            value[at] = 0.0 if phase == "cover" else demand[at] * np.maximum(cur[cell[at]] - dist[at], 0)
+            alive[at] = phase == "gain" and dist[at] < cur[cell[at]]
+            again = np.unique(sub[at])
+            score[again] = summed(again)
+        area = edges["area_id"].iloc[0]
+        return pd.DataFrame({"area_id": area, "sub_id": [p[0] for p in picks], "score": [p[1] for p in picks]}, columns=["area_id", "sub_id", "score"])
+    return finish
+
+
+def _phase(live: DataFrame, phase: str, build_cost: float) -> list[DataFrame]:
+    """Picks ``(area_id, sub_id, score)`` of one phase, round by round."""
+    picks: list[DataFrame] = []
+    fields = ", ".join(f"{c} {live.schema[c].dataType.simpleString()}" for c in AREA_SUB)
+    live, scores = materialise(live), None
+    while True:
+        sizes = live.groupBy("area_id").agg(F.count(F.lit(1)).alias("n"))
+        small, large = (sizes.agg(F.count_if(F.col("n") <= LOCAL_EDGES), F.count_if(F.col("n") > LOCAL_EDGES)).first())
+        if small:
+            fits = sizes.filter(F.col("n") <= LOCAL_EDGES).select("area_id")
+            done = live.join(fits, "area_id", "left_semi").groupBy("area_id").applyInPandas(finish_area(phase, build_cost), f"{fields}, score double")
+            picks.append(materialise(done))
+            if not large:
+                return picks
+            live = live.join(fits, "area_id", "left_anti")
+            scores = scores.join(fits, "area_id", "left_anti") if scores is not None else None
+        if not large:
+            return picks
+        scores = materialise(_scores(live, phase, build_cost) if scores is None else scores)
+        taken = materialise(_local_best(live.join(scores.select(*AREA_SUB), AREA_SUB, "left_semi") if phase == "gain" else live, scores))
+        if taken.isEmpty():
+            return picks
+        picks.append(taken)
+        served = materialise(live.join(taken.select(*AREA_SUB), AREA_SUB, "left_semi").groupBy(*AREA_CELL).agg(F.min("dist_m").alias("_new")))
+        touched = live.join(served.select(*AREA_CELL), AREA_CELL, "left_semi").select(*AREA_SUB).distinct()
+        if phase == "cover":
+            live = materialise(live.join(served.select(*AREA_CELL), AREA_CELL, "left_anti"))
+        else:
+            nearer = live.join(served, AREA_CELL, "left").withColumn("cur", F.least("cur", "_new")).drop("_new")
+            live = materialise(nearer.filter("dist_m < cur"))
+        touched = materialise(touched)
+        renewed = _scores(live.join(touched, AREA_SUB, "left_semi"), phase, build_cost)
+        scores = scores.join(touched, AREA_SUB, "left_anti").unionByName(renewed)
+
+
 def greedy_siting(cells: DataFrame, eligible: DataFrame, budget: int | None = 50,
                   build_cost: float = BUILD_COST) -> DataFrame:
     """Picks ``(area_id, candidate_id, phase, step, score)`` in greedy order.
@@ -46,38 +144,22 @@ def greedy_siting(cells: DataFrame, eligible: DataFrame, budget: int | None = 50
     pairs = eligible.join(demand, "cell_id")
     # Copies of a key pair cannot occur: one distance per (cell, server).
     options = materialise(pairs.filter("kind = 'candidate'").select("area_id", "cell_id", "sub_id", "dist_m", "demand_kw"))
-    current = pairs.groupBy("area_id", "cell_id").agg(
-        F.min(F.when(F.col("kind") == "existing", F.col("dist_m"))).alias("cur"))
-    current = materialise(current)
-    picks = []
-    for phase in ("cover", "gain"):
-        live = options.join(current, ["area_id", "cell_id"])
-        live = live.filter("cur IS NULL" if phase == "cover" else "dist_m < cur")
-        while True:
-            value = F.sum("demand_kw") if phase == "cover" else F.sum(
-                F.col("demand_kw") * (F.col("cur") - F.col("dist_m"))) - F.lit(build_cost)
-            scores = live.groupBy("area_id", "sub_id").agg(F.round(value, GAIN_DIGITS).alias("score"))
-            if phase == "gain":
-                scores = scores.filter("score > 0")
-            taken = materialise(_local_best(
-                live.select("area_id", "cell_id", "sub_id").join(scores.select("area_id", "sub_id"), ["area_id", "sub_id"], "left_semi"),
-                scores))
-            if taken.isEmpty():
-                break
-            picks.append(taken.withColumn("phase", F.lit(phase)))
-            served = options.join(taken.select("area_id", "sub_id"), ["area_id", "sub_id"], "left_semi").groupBy(
-                "area_id", "cell_id").agg(F.min("dist_m").alias("_new"))
-            current = materialise(current.join(served, ["area_id", "cell_id"], "left").select(
-                "area_id", "cell_id", F.least("cur", "_new").alias("cur")))
-            live = options.join(current, ["area_id", "cell_id"])
-            live = live.filter("cur IS NULL" if phase == "cover" else "dist_m < cur")
+    existing = pairs.filter("kind = 'existing'").groupBy(*AREA_CELL).agg(F.min("dist_m").alias("cur"))
+    covers = _phase(options.join(existing.select(*AREA_CELL), AREA_CELL, "left_anti"), "cover", build_cost)
+    current = existing
+    if covers:
+        covers = [reduce(DataFrame.unionByName, covers)]
+        opened = options.join(covers[0].select(*AREA_SUB), AREA_SUB, "left_semi").groupBy(*AREA_CELL).agg(F.min("dist_m").alias("cur"))
+        current = existing.unionByName(opened).groupBy(*AREA_CELL).agg(F.min("cur").alias("cur"))
+    gains = _phase(options.join(current, AREA_CELL).filter("dist_m < cur"), "gain", build_cost)
+    picks = [d.withColumn("phase", F.lit(phase)) for phase, found in (("cover", covers), ("gain", gains)) for d in found]
     if not picks:
         empty = options.limit(0)
         return empty.select("area_id", F.col("sub_id").alias("candidate_id"), F.lit("").alias("phase"),
                             F.lit(0).cast("bigint").alias("step"), F.lit(0.0).alias("score"))
-    every = reduce(DataFrame.unionByName, picks).withColumn("_late", (F.col("phase") == "gain").cast("int"))
-    order = W.partitionBy("area_id").orderBy("_late", F.desc("score"), "sub_id")
-    out = every.withColumn("step", F.row_number().over(order).cast("bigint"))
+    late: Column = (F.col("phase") == "gain").cast("int")
+    every = reduce(DataFrame.unionByName, picks).withColumn("_order", F.struct(late.alias("a"), (-F.col("score")).alias("b"), F.col("sub_id").alias("c")))
+    out = ranked(every, "_order", "step", by=["area_id"])
     if budget is not None:
         out = out.filter(F.col("step") <= budget)
     return out.select("area_id", F.col("sub_id").alias("candidate_id"), "phase", "step", "score")

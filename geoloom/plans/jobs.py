@@ -18,8 +18,11 @@ def siting_job(cells: DataFrame, stations: DataFrame, segments: DataFrame | None
                dc_radius_m: float = 10000.0, tolerance: float = 0.01, gap_m: float = service.GAP_M) -> dict[str, DataFrame]:
     """Cells and stations → candidates, picks, assignment, tables and summary.
 
-    Results of a run whose cover phase is over budget are marked by ``status``.
+    ``cells`` may be block groups (``rings, population, building_area_m2``): the demand grid is then built here. A run whose cover phase is over
+    budget has ``status`` INFEASIBLE, and its summary keeps only what does not depend on the picks; areas are feasible or not together.
     """
+    if "rings" in cells.columns:
+        cells = materialise(demand.build_demand_grid(cells).withColumnsRenamed({"cx": "x", "cy": "y"}))
     sites = demand.generate_candidates(cells, stations, segments, data_centers, min_demand_kw, line_distance_m, dc_radius_m)
     # Data-centre ids follow the cell ids: twice the id, odd for data centres, keeps both unique.
     candidates = materialise(sites.withColumn("candidate_id", F.col("source_id") * 2 + (F.col("source") == "data_center").cast("int")))
@@ -33,10 +36,16 @@ def siting_job(cells: DataFrame, stations: DataFrame, segments: DataFrame | None
     built = candidates.join(picks.select("candidate_id").distinct(), "candidate_id", "left_semi").select("candidate_id", "x", "y")
     assignment = materialise(service.assign_nearest_open(eligible, built))
     far = service.constrained_cells(kept, pairs, coverage_m)
+    summary = service.results_summary(kept, stations, pairs, assignment, built, build_cost, coverage_m, gap_m)
+    feasible = status.agg(F.coalesce(F.every(F.col("status") == "FEASIBLE"), F.lit(True))).scalar()
+    chosen = ["n_new_substations", "total_new_load_served_kw", "new_coverage_area_km2", "avg_service_dist_after_m", "max_service_dist_after_m",
+              "coverage_gap_after_pct", "assignment_cost", "build_cost", "total_objective"]
+    summary = summary.withColumn("status", F.when(feasible, "FEASIBLE").otherwise("INFEASIBLE"))
+    summary = summary.withColumns({c: F.when(F.col("status") == "FEASIBLE", F.col(c)) for c in chosen})
     return {
         "candidates": candidates, "pairs": pairs, "picks": picks, "all_picks": all_picks, "status": status,
         "assignment": assignment, "sites": service.per_substation_table(built, kept, assignment),
-        "summary": service.results_summary(kept, stations, pairs, assignment, built, build_cost, coverage_m, gap_m),
+        "summary": summary,
         "expansion": selection.rank_expansion_clusters(
             selection.cluster_constrained(far, stations, segments, coverage_m)),
     }

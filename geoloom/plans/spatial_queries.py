@@ -376,13 +376,48 @@ def siting_inputs(spark, sf):
     return cells, eligible
 
 
-@query("greedy_siting")
+def greedy_sql(eligible, cells="fx_cells", limit=1000000):
+    """Serial greedy, one pick per step; tables ``options, existing, state, picks``. Cover picks come first: their name sorts before the other."""
+    gain = f"round(sum(o.demand_kw * (t.cur - o.dist_m)) - {BUILD_COST}, 6)"
+    return f"""options AS (SELECT e.cell_id, e.sub_id, e.dist_m, c.demand_kw FROM ({eligible}) e JOIN {cells} c ON c.cell_id = e.cell_id WHERE e.kind = 'candidate'),
+    existing AS (SELECT cell_id, min(dist_m) AS cur FROM ({eligible}) e WHERE kind = 'existing' GROUP BY cell_id),
+    state AS (SELECT 0 AS step, d.cell_id, e.cur, CAST(NULL AS BIGINT) AS pick, '' AS phase, CAST(NULL AS DOUBLE) AS score
+        FROM (SELECT DISTINCT cell_id FROM options) d LEFT JOIN existing e ON e.cell_id = d.cell_id
+      UNION ALL
+      SELECT s.step + 1, s.cell_id, least(s.cur, o.dist_m), b.sub_id, b.phase, b.score FROM state s
+      JOIN (SELECT phase, sub_id, score FROM (
+          SELECT 'cover' AS phase, o.sub_id, round(sum(o.demand_kw), 6) AS score FROM state t JOIN options o ON o.cell_id = t.cell_id
+          WHERE t.cur IS NULL GROUP BY o.sub_id
+          UNION ALL
+          SELECT 'gain', o.sub_id, {gain} FROM state t JOIN options o ON o.cell_id = t.cell_id WHERE o.dist_m < t.cur GROUP BY o.sub_id HAVING {gain} > 0) k
+        ORDER BY phase, score DESC, sub_id LIMIT 1) b ON true
+      LEFT JOIN options o ON o.cell_id = s.cell_id AND o.sub_id = b.sub_id WHERE s.step < {limit}),
+    picks AS (SELECT DISTINCT CAST(0 AS INTEGER) AS area_id, pick AS candidate_id, phase, CAST(step AS BIGINT) AS step, round(score, 4) AS score FROM state WHERE step > 0)"""
+
+
+@query("greedy_siting", "cells stations", f"WITH RECURSIVE {greedy_sql(ELIGIBLE, limit=50)} SELECT * FROM picks")
 def greedy_siting(spark, sf):
     cells, eligible = siting_inputs(spark, sf)
     return rounded(siting.greedy_siting(cells, eligible, 50, BUILD_COST), "score")
 
 
-@query("budget_sweep")
+@query("budget_sweep", "cells stations", f"""WITH RECURSIVE {greedy_sql(ELIGIBLE)},
+    budgets AS (SELECT unnest([10, 25, 50, 75, 100]) AS max_new),
+    open AS (SELECT b.max_new, e.*, row_number() OVER (PARTITION BY b.max_new, e.cell_id ORDER BY e.dist_m, e.kind, e.sub_id) AS rn FROM ({ELIGIBLE}) e
+      LEFT JOIN picks p ON e.kind = 'candidate' AND p.candidate_id = e.sub_id JOIN budgets b ON e.kind = 'existing' OR p.step <= b.max_new),
+    near AS (SELECT DISTINCT cell_id FROM ({ELIGIBLE}) e WHERE dist_m <= {COVERAGE_M}),
+    served AS (SELECT b.max_new, c.demand_kw, coalesce(o.dist_m, 0.0) AS d, n.cell_id IS NOT NULL AS near, coalesce(o.kind = 'candidate', false) AS new
+      FROM fx_cells c CROSS JOIN budgets b LEFT JOIN (SELECT * FROM open WHERE rn = 1) o ON o.max_new = b.max_new AND o.cell_id = c.cell_id
+      LEFT JOIN near n ON n.cell_id = c.cell_id),
+    need AS (SELECT count(*) FILTER (phase = 'cover') AS cover, count(*) AS n FROM picks),
+    metrics AS (SELECT max_new, round(100.0 * count(*) FILTER (near AND d > 5000) / count(*) FILTER (near), 4) AS coverage_gap_pct,
+      round(sum(demand_kw * d) FILTER (near) / sum(demand_kw) FILTER (near), 4) AS avg_service_dist_m, round(max(d) FILTER (near), 4) AS max_service_dist_m,
+      round(coalesce(sum(demand_kw) FILTER (new), 0.0), 4) AS load_shifted_kw, round(count(*) FILTER (new) * 9.0, 4) AS new_area_km2 FROM served GROUP BY max_new)
+    SELECT CAST(0 AS INTEGER) AS area_id, b.max_new, CASE WHEN cover <= b.max_new THEN 'FEASIBLE' ELSE 'INFEASIBLE' END AS status,
+      CASE WHEN cover <= b.max_new THEN least(n, b.max_new) END AS n_built, CASE WHEN cover <= b.max_new THEN coverage_gap_pct END AS coverage_gap_pct,
+      CASE WHEN cover <= b.max_new THEN avg_service_dist_m END AS avg_service_dist_m, CASE WHEN cover <= b.max_new THEN max_service_dist_m END AS max_service_dist_m,
+      CASE WHEN cover <= b.max_new THEN load_shifted_kw END AS load_shifted_kw, CASE WHEN cover <= b.max_new THEN new_area_km2 END::DOUBLE AS new_area_km2
+    FROM budgets b JOIN metrics m ON m.max_new = b.max_new, need""")
 def budget_sweep(spark, sf):
     cells, eligible = siting_inputs(spark, sf)
     picks = materialise(siting.greedy_siting(cells, eligible, None, BUILD_COST))
@@ -391,12 +426,45 @@ def budget_sweep(spark, sf):
     return rounded(out, "coverage_gap_pct", "avg_service_dist_m", "max_service_dist_m", "load_shifted_kw", "new_area_km2")
 
 
-@query("siting_job")
+JOB_BUDGET = 100
+JOB_SITES = f"""SELECT candidate_id * 2 AS candidate_id, x, y FROM ({CANDIDATES}) k WHERE EXISTS (SELECT 1 FROM fx_segments s WHERE {seg_dist('k', 's')} <= {NEAR_LINE_M})
+    AND NOT EXISTS (SELECT 1 FROM fx_stations s WHERE {dist('k', 's')} < {EXCLUSION_M})"""
+JOB_SITES = f"""{JOB_SITES} UNION ALL SELECT dc_id * 2 + 1, x, y FROM fx_data_centers d WHERE NOT EXISTS (SELECT 1 FROM ({JOB_SITES}) k
+    WHERE {dist('d', 'k')} <= {DC_M}) AND NOT EXISTS (SELECT 1 FROM fx_stations s WHERE {dist('d', 's')} < {EXCLUSION_M})"""
+JOB_SQL = f"""WITH RECURSIVE sites AS ({JOB_SITES}),
+    pairs AS (SELECT c.cell_id, 'existing' AS kind, s.sub_id, {dist('c', 's')} AS dist_m FROM fx_cells c JOIN fx_stations s ON {dist('c', 's')} <= {SERVICE_M}
+      UNION ALL SELECT c.cell_id, 'candidate', s.candidate_id, {dist('c', 's')} FROM fx_cells c JOIN sites s ON {dist('c', 's')} <= {SERVICE_M}),
+    kept AS (SELECT * FROM fx_cells WHERE cell_id IN (SELECT cell_id FROM pairs)),
+    elig AS (SELECT p.* FROM pairs p JOIN (SELECT cell_id, min(dist_m) AS m FROM pairs GROUP BY cell_id) b ON p.cell_id = b.cell_id
+      WHERE b.m > {COVERAGE_M} OR p.dist_m <= {COVERAGE_M}),
+    {greedy_sql('SELECT * FROM elig', 'kept')},
+    need AS (SELECT count(*) FILTER (phase = 'cover') <= {JOB_BUDGET} AS ok FROM picks),
+    built AS (SELECT candidate_id FROM picks WHERE step <= {JOB_BUDGET}),
+    a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY dist_m, kind, sub_id) AS rn FROM elig
+      WHERE kind = 'existing' OR sub_id IN (SELECT candidate_id FROM built)) r WHERE rn = 1),
+    reach AS (SELECT * FROM kept WHERE cell_id IN (SELECT cell_id FROM pairs WHERE dist_m <= {COVERAGE_M})),
+    m AS (SELECT {METRICS}, sum(demand_kw * d) AS cost FROM (SELECT c.demand_kw, coalesce(a.dist_m, 0.0) AS d FROM reach c LEFT JOIN a ON c.cell_id = a.cell_id) q),
+    b AS (SELECT {METRICS} FROM (SELECT c.demand_kw, min({dist('c', 's')}) AS d FROM reach c CROSS JOIN fx_stations s GROUP BY c.cell_id, c.demand_kw) q),
+    f AS (SELECT count(*) AS n, coalesce(sum(demand_kw), 0.0) AS kw FROM kept WHERE cell_id NOT IN (SELECT cell_id FROM reach)),
+    p AS (SELECT count(*) AS n, sum(kw) AS kw FROM (SELECT t.candidate_id, coalesce(round_even(sum(c.demand_kw), 1), 0.0) AS kw FROM built t
+      LEFT JOIN a ON a.kind = 'candidate' AND a.sub_id = t.candidate_id LEFT JOIN kept c ON c.cell_id = a.cell_id GROUP BY t.candidate_id) t)
+    SELECT CASE WHEN ok THEN 'FEASIBLE' ELSE 'INFEASIBLE' END AS status, (SELECT count(*) FROM fx_stations) AS n_existing_substations,
+      CASE WHEN ok THEN p.n END AS n_new_substations, CASE WHEN ok THEN round(p.kw, 4) END AS total_new_load_served_kw,
+      CASE WHEN ok THEN (SELECT count(*) * 9.0E0 FROM a WHERE kind = 'candidate') END AS new_coverage_area_km2,
+      b.avg_dist_m AS avg_service_dist_before_m, CASE WHEN ok THEN m.avg_dist_m END AS avg_service_dist_after_m, b.max_dist_m AS max_service_dist_before_m,
+      CASE WHEN ok THEN m.max_dist_m END AS max_service_dist_after_m, b.gap_pct AS coverage_gap_before_pct, CASE WHEN ok THEN m.gap_pct END AS coverage_gap_after_pct,
+      f.n AS n_transmission_constrained, round(f.kw, 4) AS transmission_constrained_demand_kw, CASE WHEN ok THEN round(m.cost, 2) END AS assignment_cost,
+      CASE WHEN ok THEN p.n * {BUILD_COST}E0 END AS build_cost, CASE WHEN ok THEN round(m.cost + p.n * {BUILD_COST}, 2) END AS total_objective FROM m, b, f, p, need"""
+
+
+@query("siting_job", "cells stations segments data_centers", JOB_SQL)
 def siting_job_query(spark, sf):
     out = siting_job(fixture(spark, sf, "cells").drop("area_id"), fixture(spark, sf, "stations"), fixture(spark, sf, "segments"), fixture(spark, sf, "data_centers"),
-                     radius_m=SERVICE_M, coverage_m=COVERAGE_M, build_cost=BUILD_COST, line_distance_m=NEAR_LINE_M,
-                     dc_radius_m=DC_M, gap_m=5000.0)
-    return out["summary"]
+                     budget=JOB_BUDGET, radius_m=SERVICE_M, coverage_m=COVERAGE_M, build_cost=BUILD_COST, line_distance_m=NEAR_LINE_M,
+                     dc_radius_m=DC_M, gap_m=5000.0)["summary"]
+    out = rounded(out, "total_new_load_served_kw", "avg_service_dist_before_m", "avg_service_dist_after_m", "max_service_dist_before_m",
+                  "max_service_dist_after_m", "coverage_gap_before_pct", "coverage_gap_after_pct", "transmission_constrained_demand_kw")
+    return rounded(out, "assignment_cost", "total_objective", digits=2)
 
 
 @query("cluster_constrained", "cells stations segments", f"""WITH RECURSIVE {turns(

@@ -176,8 +176,10 @@ def serial_siting(demand, edges, existing, cost):
     return picks
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_greedy_siting_equals_serial(spark, seed):
+@pytest.mark.parametrize("seed,local", [(1, 0), (2, 0), (1, 40), (2, 1_000_000)])
+def test_greedy_siting_equals_serial(spark, monkeypatch, seed, local):
+    """In rounds only, in rounds until few edges are live, and serially in a task."""
+    monkeypatch.setattr(siting, "LOCAL_EDGES", local)
     rng = random.Random(seed)
     cells = [(i, rng.random() * 30000, rng.random() * 30000) for i in range(60)]
     demand = {i: float(rng.randint(1, 50)) for i in range(60)}
@@ -197,6 +199,25 @@ def test_greedy_siting_equals_serial(spark, seed):
     assert status[100].n_built == len(want)
 
 
+@pytest.mark.parametrize("local", [0, 30])
+def test_areas_are_sited_side_by_side(spark, monkeypatch, local):
+    monkeypatch.setattr(siting, "LOCAL_EDGES", local)
+    rng, cells, pairs, want = random.Random(3), [], [], {}
+    for area, n in ((1, 25), (2, 6), (3, 1)):
+        demand = {area * 1000 + i: float(rng.randint(0, 20)) for i in range(n)}
+        edges = [(d, area * 1000 + s, rng.random() * 9000) for d in demand for s in range(8) if rng.random() < 0.4]
+        existing = [(d, area, rng.random() * 9000) for d in demand if rng.random() < 0.5]
+        cells += [(area, d, w) for d, w in demand.items()]
+        pairs += [(d, "candidate", s, m) for d, s, m in edges] + [(d, "existing", s, m) for d, s, m in existing]
+        want[area] = [(s, phase) for s, phase, _ in serial_siting(demand, edges, [(d, m) for d, _, m in existing], 20000.0)] if edges else []
+    picks = siting.greedy_siting(spark.createDataFrame(cells, "area_id int, cell_id long, demand_kw double"),
+                                 spark.createDataFrame(pairs, "cell_id long, kind string, sub_id long, dist_m double"), None, 20000.0)
+    got = {area: [] for area in want}
+    for r in picks.orderBy("area_id", "step").collect():
+        got[r.area_id].append((r.candidate_id, r.phase))
+    assert got == want and picks.groupBy("area_id").count().count() >= 2
+
+
 def test_salted_join_equals_plain(spark):
     big = spark.range(2000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"))
     small = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
