@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.functions.scalars import blank_to_null
-from geoloom.operators.skew import running_totals
+from geoloom.operators.skew import exact_quantiles, running_totals
 
 # Right-closed size bins in positive pixels.
 SIZE_EDGES = (0, 200, 1000, 5000, 20000, 200000)
@@ -32,9 +32,9 @@ def _scores() -> list[Column]:
 def grouped_metrics(results: DataFrame, column: str, min_n: int = 3) -> DataFrame:
     """Positives by group, blank groups as ``(untagged)``, small groups left out, largest first."""
     group = F.coalesce(blank_to_null(F.col(column).cast("string")), F.lit("(untagged)"))
-    return results.filter("target = 1").groupBy(group.alias(column)).agg(
-        *_scores(), F.median("gt_positive_px").alias("median_gt_px")).filter(F.col("n") >= min_n).orderBy(
-        F.desc("n"), column)
+    rows = results.filter("target = 1").withColumn(column, group)
+    medians = exact_quantiles(rows, "gt_positive_px", {"median_gt_px": 0.5}, [column])
+    return rows.groupBy(column).agg(*_scores()).filter(F.col("n") >= min_n).join(medians, column, "left").orderBy(F.desc("n"), column)
 
 
 def group_breakdown(results: DataFrame, dataset: str, column: str) -> DataFrame:
@@ -59,7 +59,10 @@ def size_binned_metrics(results: DataFrame, edges: Sequence[int] = SIZE_EDGES) -
 
 
 def overall_summary(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return results.filter("target = 1").groupBy(*by).agg(*_scores(), F.median("iou").alias("median_iou"))
+    rows = results.filter("target = 1")
+    found = rows.groupBy(*by).agg(*_scores())
+    medians = exact_quantiles(rows, "iou", {"median_iou": 0.5}, by)
+    return found.join(medians, list(by), "left") if by else found.withColumn("median_iou", medians.select("median_iou").scalar())
 
 
 def macro_average(per_dataset: DataFrame, column: str = "mean_iou") -> DataFrame:
@@ -132,12 +135,12 @@ def type_distribution(rows: DataFrame, column: str, top: int | None = None) -> D
 
 def dataset_statistics(metadata: DataFrame) -> DataFrame:
     pos = F.when(F.col("label") == "positive", F.col("positive_pixels"))
+    median = exact_quantiles(metadata.filter("label = 'positive'"), "positive_pixels", {"median": 0.5}).scalar()
     return metadata.agg(
         F.count(F.lit(1)).alias("total_patches"), F.count_if(F.col("label") == "positive").alias("positive_patches"),
         F.count_if(F.col("label") == "negative").alias("negative_patches"),
         F.avg((F.col("label") == "positive").cast("int")).alias("balance_ratio"), F.avg(pos).alias("px_mean"),
-        F.median(pos).alias("px_median"), F.stddev_samp(pos).alias("px_std"), F.min(pos).alias("px_min"),
-        F.max(pos).alias("px_max"))
+        F.stddev_samp(pos).alias("px_std"), F.min(pos).alias("px_min"), F.max(pos).alias("px_max")).withColumn("px_median", median)
 
 
 def label_pivot(metadata: DataFrame, column: str, labels: Sequence[str] = ("negative", "positive")) -> DataFrame:
@@ -155,11 +158,12 @@ def split_summary(metadata: DataFrame, by: Sequence[str] = ("split",), counties:
 
 def detection_summary(detections: DataFrame) -> DataFrame:
     a = F.col("area_m2")
+    median = exact_quantiles(detections, "area_m2", {"median": 0.5}).scalar()
     return detections.agg(
-        F.count(F.lit(1)).alias("n"), F.min(a).alias("area_min"), F.median(a).alias("area_median"),
+        F.count(F.lit(1)).alias("n"), F.min(a).alias("area_min"),
         F.max(a).alias("area_max"), F.min("mean_confidence").alias("conf_min"), F.avg("mean_confidence").alias("conf_mean"),
         F.max("mean_confidence").alias("conf_max"), F.count_if(a < 1000).alias("n_small"),
-        F.count_if((a >= 1000) & (a < 10000)).alias("n_medium"), F.count_if(a >= 10000).alias("n_large"))
+        F.count_if((a >= 1000) & (a < 10000)).alias("n_medium"), F.count_if(a >= 10000).alias("n_large")).withColumn("area_median", median)
 
 
 def suitability_counts(sites: DataFrame) -> DataFrame:

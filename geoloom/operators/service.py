@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import scalars as S
 from geoloom.operators import spatial
+from geoloom.operators.skew import exact_quantiles
 
 SERVICE_RADIUS_M = 20000.0
 COVERAGE_M = 15000.0
@@ -207,9 +208,10 @@ def overlap_thresholds(matched: DataFrame, thresholds: tuple[int, ...] = (250, 5
 def distance_describe(df: DataFrame, column: str = "dist_m") -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles (linear interpolation)."""
     c = F.col(column)
-    return df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"),
-                  F.percentile(c, 0.25).alias("q25"), F.percentile(c, 0.5).alias("q50"),
-                  F.percentile(c, 0.75).alias("q75"), F.max(c).alias("max"))
+    quartiles = exact_quantiles(df, column, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    q = quartiles.select(F.struct("q25", "q50", "q75")).scalar()
+    return df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max")).withColumn(
+        "_q", q).select("n", "mean", "std", "min", "_q.*", "max")
 
 
 def flag_overlaps(matched: DataFrame, max_dist_m: float = 500.0) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -22,14 +23,17 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """Keys too large for one task and how many salts each needs, by the key's own size only.
+def hot_keys(sides: Sequence[DataFrame], keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> list[DataFrame | None]:
+    """For each table of counts (keys + ``n``) the keys too large for one task and how many salts they need, by the key's own size
+    only; None where there are none. One job looks at all sides.
 
     There are at most rows / ``rows_per_salt`` of them. They are written as a table, so that Spark sees
     their true size and broadcasts or joins them by its own threshold.
     """
-    return materialise(counts.filter(F.col("n") > rows_per_salt).select(
-        *keys, F.ceil(F.col("n") / rows_per_salt).cast("int").alias("_salts")))
+    hot = [c.filter(F.col("n") > rows_per_salt).select(*keys, F.ceil(F.col("n") / rows_per_salt).cast("int").alias("_salts")) for c in sides]
+    some = reduce(DataFrame.unionByName, [h.select(F.lit(i).alias("side")) for i, h in enumerate(hot)])
+    found = {r["side"] for r in some.groupBy("side").agg(F.count(F.lit(1))).collect()}
+    return [materialise(h) if i in found else None for i, h in enumerate(hot)]
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner",
@@ -47,15 +51,14 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     if counts is None:
         counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     on, left, right = list(keys), big, small
-    hot = hot_keys(counts, keys, rows_per_salt)
-    if not hot.isEmpty():  # a join with no hot keys would change nothing
+    both = [counts, small_counts] if small_counts is not None and how == "inner" else [counts]
+    hot, *other = hot_keys(both, keys, rows_per_salt)
+    if hot is not None:  # a join with no hot keys would change nothing
         left, right = _salted(left, right, keys, hot, "_salt")
         on.append("_salt")
-    if small_counts is not None and how == "inner":
-        hot = hot_keys(small_counts, keys, rows_per_salt)
-        if not hot.isEmpty():
-            right, left = _salted(right, left, keys, hot, "_salt2")
-            on.append("_salt2")
+    if other and other[0] is not None:
+        right, left = _salted(right, left, keys, other[0], "_salt2")
+        on.append("_salt2")
     extra = on[len(keys):]
     left = spread(left, *on) if heavy else left
     if condition is None:
@@ -119,3 +122,34 @@ def hash_bucket(hash_column: Column, rows: int) -> Column:
     """Range index of a 64-bit hash: as many of its top bits, shifted to be non-negative, as ``rows`` ask for."""
     bits = max(1, (max(rows, 1) // ROWS_PER_RANGE).bit_length())
     return F.shiftright(hash_column, 64 - bits) + F.lit(1 << (bits - 1))
+
+
+def exact_quantiles(df: DataFrame, column: str, shares: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles (linear interpolation) per group by rank selection: ``by...`` and one column per entry of ``shares``.
+
+    Equal values are counted once per group. The values are cut into ranges by Spark's range partitioner, counts per range
+    tell which range holds a rank, and only those ranges are numbered. NULLs do not count; a group without values has no row
+    (without groups: one row of NULLs).
+    """
+    by = list(by)
+    values = df.filter(F.col(column).isNotNull()).groupBy(*by, F.col(column).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    values = materialise(values.repartitionByRange("_v").withColumn("_range", F.spark_partition_id()))
+    before = W.partitionBy(*(by or [F.lit(0)])).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    # One row per (group, range).
+    ranges = values.groupBy(*by, "_range").agg(F.sum("_n").alias("_rows")).withColumns({
+        "_before": F.coalesce(F.sum("_rows").over(before), F.lit(0)), "_all": F.sum("_rows").over(W.partitionBy(*(by or [F.lit(0)])))})
+    places = {k: F.lit(float(p)) * (F.col("_all") - 1) for k, p in shares.items()}
+    wanted = F.array(*[F.struct(F.lit(k).alias("name"), f(at).cast("bigint").alias("rank")) for k, at in places.items() for f in (F.floor, F.ceil)])
+    held = ranges.withColumn("_wanted", F.filter(wanted, lambda w: (w["rank"] >= F.col("_before")) & (w["rank"] < F.col("_before") + F.col("_rows"))))
+    held = held.filter(F.size("_wanted") > 0).drop("_rows")
+    inside = W.partitionBy(*by, "_range").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = values.join(held, [*by, "_range"]).withColumn("_to", F.col("_before") + F.sum("_n").over(inside))
+    hit = F.filter("_wanted", lambda w: (w["rank"] >= F.col("_to") - F.col("_n")) & (w["rank"] < F.col("_to")))
+    found = rows.withColumn("_w", F.explode(hit)).groupBy(*by).agg(F.max("_all").alias("_all"), *[
+        f(F.when(F.col("_w.name") == k, F.col("_v"))).alias(f"_{side}_{k}") for k in shares for side, f in (("low", F.min), ("high", F.max))])
+
+    def between(k: str) -> Column:
+        at, low, high = places[k], F.col(f"_low_{k}"), F.col(f"_high_{k}")
+        return F.when(low == high, low).otherwise(low * (F.ceil(at) - at) + high * (at - F.floor(at)))
+
+    return found.select(*by, *[between(k).alias(k) for k in shares])

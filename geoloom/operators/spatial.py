@@ -208,10 +208,19 @@ def polyline_distance_join(points: DataFrame, segments: DataFrame, point_id: str
 
 
 def pairs_within(points: DataFrame, point_id: str, radius: float, inclusive: bool = False) -> DataFrame:
-    """Unordered pairs closer than ``radius``: ``(id_a, id_b, dist_m)`` with ``id_a < id_b``."""
-    a = points.select(F.col(point_id).alias("id_a"), "x", "y")
-    b = points.select(F.col(point_id).alias("id_b"), "x", "y")
-    return radius_join(a, b, radius, inclusive).filter("id_a < id_b").select("id_a", "id_b", "dist_m")
+    """Unordered pairs closer than ``radius``: ``(id_a, id_b, dist_m)`` with ``id_a < id_b``.
+
+    Rows meet those of their own bin and of the four bins ahead of it, so every pair is formed once.
+    """
+    rows = with_bin(points.select(F.col(point_id).alias("id_a"), "x", "y"), radius)
+    ahead = F.array(*[F.struct(F.lit(dx).alias("x"), F.lit(dy).alias("y")) for dx, dy in ((0, 0), (-1, 0), (0, -1), (-1, -1), (-1, 1))])
+    other = rows.select(F.col("id_a").alias("id_b"), F.col("x").alias("_rx"), F.col("y").alias("_ry"), *BIN, F.explode(ahead).alias("_d")).withColumns(
+        {"_bx": F.col("_bx") + F.col("_d.x"), "_by": F.col("_by") + F.col("_d.y"), "_own": (F.col("_d.x") == 0) & (F.col("_d.y") == 0)}).drop("_d")
+    counts = rows.groupBy(*BIN).agg(F.count(F.lit(1)).alias("n"))
+    met = salted_join(rows, other, BIN, counts=counts, small_counts=other.groupBy(*BIN).agg(F.count(F.lit(1)).alias("n")))
+    met = met.filter(~F.col("_own") | (F.col("id_a") < F.col("id_b"))).withColumn("dist_m", G.distance(F.col("x"), F.col("y"), F.col("_rx"), F.col("_ry")))
+    return met.filter(_compare(F.col("dist_m"), radius, inclusive) & (F.col("id_a") != F.col("id_b"))).select(
+        F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), "dist_m")
 
 
 def polygon_within_join(inner: DataFrame, outer: DataFrame, bin_size: float,

@@ -7,6 +7,7 @@ from functools import lru_cache
 import pytest
 from pyspark.sql import functions as F
 
+from geoloom.functions import geometry as G
 from geoloom.operators import components, selection, siting, skew, spatial
 
 
@@ -261,3 +262,89 @@ def test_long_chain_is_one_component(spark):
     edges = spark.range(299).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).filter("a <> 150")
     got = components.connected_components(nodes, edges, "n").groupBy("component").count().collect()
     assert {r.component: r["count"] for r in got} == {0: 151, 151: 149}
+
+
+def test_quantiles_by_rank_equal_sorted_ones(spark):
+    rng = random.Random(9)
+    rows = [("hot" if i % 3 else f"g{i % 7}", rng.choice([0.0, -1.5, rng.random(), 1e300])) for i in range(900)] + [("one", 2.0), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    shares = {"low": 0.0, "a": 0.25, "b": 0.5, "c": 0.9, "high": 1.0}
+
+    def at(values, p):
+        values = sorted(values)
+        k = p * (len(values) - 1)
+        low, high = values[math.floor(k)], values[math.ceil(k)]
+        return low if low == high else low * (math.ceil(k) - k) + high * (k - math.floor(k))
+    got = {r.g: r for r in skew.exact_quantiles(df, "v", shares, ["g"]).collect()}
+    groups = {g: [v for h, v in rows if h == g and v is not None] for g, _ in rows}
+    assert set(got) == {g for g, v in groups.items() if v}
+    for g, r in got.items():
+        assert [r[k] for k in shares] == pytest.approx([at(groups[g], p) for p in shares.values()])
+    whole = skew.exact_quantiles(df, "v", shares).first()
+    assert [whole[k] for k in shares] == pytest.approx([at([v for _, v in rows if v is not None], p) for p in shares.values()])
+    assert skew.exact_quantiles(df.limit(0), "v", shares).first().a is None
+
+
+def test_pairs_are_formed_once(spark):
+    rng = random.Random(10)
+    points = [(i, rng.randint(0, 40) * 25.0, rng.randint(0, 40) * 25.0) for i in range(300)] + [(300 + i, 7.0, 7.0) for i in range(20)]
+    df = spark.createDataFrame(points, "i int, x double, y double")
+    for inclusive in (False, True):
+        got = sorted((r.id_a, r.id_b) for r in spatial.pairs_within(df, "i", 100.0, inclusive).collect())
+        want = sorted((a[0], b[0]) for a in points for b in points if a[0] < b[0] and (gap(a, b) <= 100 if inclusive else gap(a, b) < 100))
+        assert got == want
+
+
+@pytest.mark.parametrize("size", [None, 40.0, 5000.0])
+def test_nearest_among_clusters_and_strays(spark, size):
+    """A crowd in one spot, a few strays far away, and rows everywhere, on both sides of the axes."""
+    rng = random.Random(11)
+    sites = [(i, rng.gauss(0, 3), rng.gauss(0, 3)) for i in range(600)] + [(600 + i, rng.uniform(-9e4, 9e4), rng.uniform(-9e4, 9e4)) for i in range(3)]
+    sites += [(700 + i, 4.0, 4.0) for i in range(80)]
+    rows = [(i, rng.uniform(-1e5, 1e5), rng.uniform(-1e5, 1e5)) for i in range(200)] + [(200 + i, rng.gauss(0, 4), rng.gauss(0, 4)) for i in range(100)]
+    left, right = spark.createDataFrame([*rows, (999, None, 1.0)], "i int, x double, y double"), spark.createDataFrame(sites, "s int, x double, y double")
+    got = {r.i: (r.s, r.dist_m) for r in spatial.nearest_join(left, right, "i", "s", size).collect()}
+    assert got.pop(999) == (None, None) and len(got) == len(rows)
+    for r in rows:
+        d, s = min((gap(r, s), s[0]) for s in sites)
+        assert got[r[0]][0] == s and got[r[0]][1] == pytest.approx(d)
+
+
+@pytest.mark.parametrize("size", [None, 15.0])
+def test_nearest_segment_among_long_and_crowded_lines(spark, size):
+    rng = random.Random(12)
+    lines = [(rng.gauss(0, 20), rng.gauss(0, 20), rng.gauss(0, 20), rng.gauss(0, 20)) for _ in range(150)]
+    lines += [(-4000.0, -3000.0, 5000.0, 4500.0), (100.0, -2000.0, 100.0, 2000.0), (-500.0, 900.0, 800.0, 900.0), (3.0, 3.0, 3.0, 3.0)]
+    rows = [(i, rng.uniform(-5000, 5000), rng.uniform(-5000, 5000)) for i in range(120)] + [(120 + i, rng.gauss(0, 30), rng.gauss(0, 30)) for i in range(60)]
+    got = {r.i: r.dist_m for r in spatial.polyline_distance_join(spark.createDataFrame(rows, "i int, x double, y double"), spark.createDataFrame(
+        lines, "x1 double, y1 double, x2 double, y2 double"), "i", size).collect()}
+
+    def away(x, y, x1, y1, x2, y2):
+        dx, dy = x2 - x1, y2 - y1
+        t = max(0.0, min(1.0, ((x - x1) * dx + (y - y1) * dy) / (dx * dx + dy * dy))) if dx or dy else 0.0
+        return math.hypot(x - x1 - t * dx, y - y1 - t * dy)
+    assert got == pytest.approx({i: min(away(x, y, *s) for s in lines) for i, x, y in rows})
+
+
+def test_bins_of_a_long_segment_grow_with_its_length(spark):
+    lines = spark.createDataFrame([(0.0, 0.0, 10000.0, 9000.0), (0.0, 5.0, 1.0, 9005.0), (3.0, 3.0, 3.0, 3.0)], "_x1 double, _y1 double, _x2 double, _y2 double")
+    bins = spatial.walk_bins(lines, 10.0, 10.0, *[F.col(c) for c in lines.columns]).groupBy("_x1", "_y1").count().collect()
+    assert max(r["count"] for r in bins) < 8 * 1900
+
+
+def test_polygons_within_concave_ones_with_holes(spark):
+    rng = random.Random(13)
+    star = [(50 + (45 if k % 2 else 18) * math.cos(k * math.pi / 9), 50 + (45 if k % 2 else 18) * math.sin(k * math.pi / 9)) for k in range(18)]
+    hole = [(46.0, 46.0), (46.0, 54.0), (54.0, 54.0), (54.0, 46.0)]
+    square = [(0.0, 0.0), (40.0, 0.0), (40.0, 40.0), (0.0, 40.0)]
+    many = [(200 + (90 + 5 * (k % 2)) * math.cos(k * math.pi / 500), 200 + (90 + 5 * (k % 2)) * math.sin(k * math.pi / 500)) for k in range(1000)]
+    outer = spark.createDataFrame([(i, [[{"x": x, "y": y} for x, y in r] for r in s]) for i, s in enumerate([[star, hole], [square], [many]])],
+                                  "oid int, rings array<array<struct<x:double,y:double>>>").select("oid", G.edges(F.col("rings")).alias("outer_edges"))
+    boxes = [(i, rng.uniform(-5, 95), rng.uniform(-5, 95), rng.choice([1, 3, 12, 40])) for i in range(250)]
+    boxes += [(300, 0.0, 0.0, 40.0), (301, 10.0, 10.0, 10.0), (302, 0.0, 30.0, 10.0)] + [(400 + i, rng.uniform(90, 310), rng.uniform(90, 310), 9) for i in range(150)]
+    inner = spark.createDataFrame([(i, float(x), float(y), float(s)) for i, x, y, s in boxes], "iid int, x double, y double, s double").select(
+        "iid", G.edges(G.rectangle(F.col("x"), F.col("y"), F.col("x") + F.col("s"), F.col("y") + F.col("s"))).alias("inner_edges"))
+    want = sorted(map(tuple, inner.crossJoin(outer).filter(G.polygon_within(F.col("inner_edges"), F.col("outer_edges"))).select("iid", "oid").collect()))
+    assert len({o for _, o in want}) == 3
+    for size in (8.0, 100.0, 3000.0):
+        assert sorted(map(tuple, spatial.polygon_within_join(inner, outer, size).select("iid", "oid").collect())) == want
