@@ -37,8 +37,10 @@ BITS = 64
 SEED = 42
 #: Fingerprints of one key compared in one task at most, twice.
 BLOCK = 4096
-#: Texts of one component compared by their shingles in one task at most, twice.
-TEXT_BLOCK = 512
+#: Texts of one component compared by their shingles in one task at most, twice, and their bytes (a longer text comes alone).
+TEXT_BLOCK, TEXT_BYTES = 512, 16 << 20
+#: Sets of so many shingles also meet by their rarest shingles: their few shingles make bits too noisy.
+SHORT = 80
 #: Shingles gathered at once.
 GATHERED = 4_000_000
 #: Share of pairs at the limit of similarity that may meet in no part of any lane.
@@ -86,31 +88,33 @@ def wide_fingerprint(hashes: np.ndarray, lanes: int) -> list[int]:
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_per_shingle: int = 4, lanes: int = 0,
                  key: str | None = None) -> DataFrame:
-    """``doc_id, fp[, set_key][, key]`` of every document; ``fp`` is an array of signed longs, 64 bits each.
+    """``doc_id, fp[, set_key, few][, key]`` of every document; ``fp`` is an array of signed longs, 64 bits each.
 
     Without ``lanes`` it has one, of XXH64 over lower-cased text; with them it has so many, of a mixed hash over the distinct
-    shingles of the text as it is, so that repeated lines do not make texts alike; ``set_key`` is equal for equal sets of shingles.
+    shingles of the text as it is, so that repeated lines do not make texts alike; ``set_key`` is equal for equal sets of shingles and ``few``
+    are the shingle hashes of sets of at most ``SHORT``.
     """
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1).to_pylist()
-            found, sets = [], []
+            found, sets, few = [], [], []
             for t in texts:
                 if lanes:
                     hashes = np.unique(shingle_hashes(t or "", words_per_shingle))
                     found.append(wide_fingerprint(hashes, lanes))
                     sets.append(xxhash.xxh3_128_hexdigest(hashes.tobytes()))
+                    few.append(hashes.view(np.int64) if len(hashes) <= SHORT else None)
                 else:
                     found.append([fingerprint(t, words_per_shingle)])
             fp = np.array(found, np.uint64).reshape(len(texts), -1).view(np.int64)
-            some = [pa.array(sets, pa.string())] if lanes else []
+            some = [pa.array(sets, pa.string()), pa.array(few, pa.list_(pa.int64()))] if lanes else []
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(fp), pa.list_(pa.int64())), *some, *b.columns[2:]],
-                                             names=["doc_id", "fp", *["set_key"][:lanes], *b.schema.names[2:]])
+                                             names=["doc_id", "fp", *(["set_key", "few"] if lanes else []), *b.schema.names[2:]])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     keys = [F.col(key)] if key else []
     return docs.select(F.col(doc_id), F.col(text), *keys).mapInArrow(
-        each, f"doc_id {kind}, fp array<bigint>" + (", set_key string" if lanes else "") + (f", {key} {docs.schema[key].dataType.simpleString()}" if key else ""))
+        each, f"doc_id {kind}, fp array<bigint>" + (", set_key string, few array<bigint>" if lanes else "") + (f", {key} {docs.schema[key].dataType.simpleString()}" if key else ""))
 
 
 # ---- parts and thresholds -------------------------------------------------------------------------------------
@@ -291,10 +295,12 @@ def _edges(rows: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
     return forest(np.concatenate(found_a), np.concatenate(found_b))
 
 
-def components(prints: DataFrame, most: int, radius: int, lanes: int = 1, block: int = BLOCK, flip: float | None = None) -> DataFrame:
+def components(prints: DataFrame, most: int, radius: int, lanes: int = 1, block: int = BLOCK, flip: float | None = None,
+               similarity: float | None = None) -> DataFrame:
     """``fp, component, component_id``: the component of every distinct fingerprint of the written table ``prints``, and its smallest document id.
 
-    With ``flip`` the radius of a lane grows until all lanes together miss at most ``MISSED`` of the pairs whose bits differ with that chance.
+    With ``flip`` the radius of a lane grows until all lanes together miss at most ``MISSED`` of the pairs whose bits differ with that chance; with
+    ``similarity``, sets of few shingles are joined to all they may reach it with.
     """
     classes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")).withColumn("cid", F.monotonically_increasing_id()))
     parts = []
@@ -309,11 +315,32 @@ def components(prints: DataFrame, most: int, radius: int, lanes: int = 1, block:
             chosen = choose_parts(products, sample, reach)
         parts.append(chosen)
     found = links(materialise(signatures(classes, parts)), most, block)
+    if similarity is not None:
+        found = found.unionByName(rare_links(prints, classes, similarity))
     reached = materialise(connected_components(classes, materialise(found.distinct()), "cid"))
     ids = reached.groupBy("component").agg(F.min("first_id").alias("component_id"))
     return materialise(reached.join(ids, "component").select("fp", "component", "component_id"))
 
 
+def rare_links(prints: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a, b`` (class ids) that join all pairs of sets of few shingles whose similarity may reach the limit, by prefix filtering.
+
+    In an order common to all sets, here the rarest first, two such sets share one of the first ``n - ceil(similarity * n) + 1`` shingles of each.
+    The sets that have a shingle there are joined to the first of them, so a list of any length gives one link per set. Sets without shingles are equal.
+    """
+    sets = materialise(prints.filter("few IS NOT NULL").groupBy("set_key", "fp").agg(F.first("few").alias("few")).join(classes.select("fp", "cid"), "fp").select(
+        "cid", "set_key", "few"))
+    flat = materialise(sets.select("cid", "set_key", F.explode("few").alias("shingle")))
+    often = materialise(flat.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    ranked = flat.join(often, "shingle", "left").groupBy("cid", "set_key").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle"))).alias("all"))
+    length = F.size("all") - F.ceil(F.size("all") * F.lit(similarity) - 1e-9).cast("int") + 1
+    first = ranked.select("cid", F.explode(F.slice("all", F.lit(1), length)).alias("s")).filter("s.n > 1").select("cid", F.col("s.shingle").alias("shingle"))
+    first = materialise(first.distinct())
+    heads = materialise(first.groupBy("shingle").agg(F.min("cid").alias("b")))
+    return first.join(heads, "shingle").filter("cid <> b").select(F.col("cid").alias("a"), "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 4,
                     words_per_shingle: int = 4, block: int = BLOCK) -> DataFrame:
     """``doc_id, fp, component_id`` of every document; 64-bit fingerprints link at ``radius`` or fewer differing bits, and no link is missed."""
@@ -327,30 +354,47 @@ def bits_at(similarity: float, bits: int) -> float:
     return bits * math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def _similar_sets(rows: list[np.ndarray], similarity: float, words_per_shingle: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _similar_sets(rows: list[np.ndarray], similarity: float, words_per_shingle: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links (set, root of its component) that span the pairs of each group whose Jaccard similarity is ``similarity`` or more.
 
-    Pairs already joined by others are not computed again. In groups over ``SMALL`` only pairs within ``most`` bits are.
+    One exact rule for groups of all sizes: pairs that share none of their rarest shingles (see :func:`rare_links`) cannot reach it, the
+    others are compared, unless their sizes rule it out or other links have joined them already.
     """
     edges = np.append(np.flatnonzero(new_group(rows[:3])), len(rows[0]))
     for first, end in itertools.pairwise(edges.tolist()):
         m = end - first
-        own, sid, fp = rows[3][first:end], rows[4][first:end], rows[5][first:end].view(np.uint64)
+        own, sid = rows[3][first:end], rows[4][first:end]
         cross = rows[1][first] != rows[2][first]
-        sets = [np.unique(shingle_hashes(t or "", words_per_shingle)) for t in rows[6][first:end]]
+        sets = [np.unique(shingle_hashes(t or "", words_per_shingle)) for t in rows[5][first:end]]
         sizes = np.array([len(x) for x in sets])
         starts = np.cumsum(sizes) - sizes
-        names, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        names, ids, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(m), sizes)
+        by_rarity = np.lexsort((ids, often[ids], owner))
+        place = np.arange(len(ids)) - starts[owner]
+        prefix = place < (sizes - np.ceil(sizes * similarity - 1e-9) + 1)[owner]
+        token, holder = ids[by_rarity][prefix], owner[prefix]
+        order = np.argsort(token, kind="stable")
+        token, holder = token[order], holder[order]
+        # Where each set's rare shingles begin and end in the list of holders.
+        own_token = ids[by_rarity][prefix]
+        list_begin, list_end = np.searchsorted(token, own_token, side="left"), np.searchsorted(token, own_token, side="right")
+        own_begin = np.searchsorted(owner[prefix], np.arange(m + 1))
         mark, root = np.zeros(len(names), bool), np.arange(m)
         for i in range(m - 1):
-            near = (root[i + 1:] != root[i]) & (np.minimum(sizes[i + 1:], sizes[i]) >= similarity * np.maximum(sizes[i + 1:], sizes[i]))
+            a, b = list_begin[own_begin[i]:own_begin[i + 1]], list_end[own_begin[i]:own_begin[i + 1]]
+            n = b - a
+            held = holder[np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())] if len(n) else np.flatnonzero(sizes == 0)
+            j = np.unique(held[held > i])
+            near = (root[j] != root[i]) & (np.minimum(sizes[j], sizes[i]) >= similarity * np.maximum(sizes[j], sizes[i]))
             if cross:
-                near &= own[i + 1:] != own[i]
-            j = np.flatnonzero(near) + i + 1
-            if m > SMALL:
-                j = j[np.bitwise_count(fp[j] ^ fp[i]).sum(1, dtype=np.int64) <= most]
+                near &= own[j] != own[i]
+            j = j[near]
             mark[ids[starts[i]:starts[i] + sizes[i]]] = True
             while len(j):
+                if not sizes[i]:
+                    root[np.isin(root, root[j])] = root[i]
+                    break
                 some = j[:max(1, int(np.searchsorted(np.cumsum(sizes[j]), GATHERED)))]
                 j, n = j[len(some):], sizes[some]
                 begin = np.cumsum(n) - n
@@ -365,6 +409,16 @@ def _similar_sets(rows: list[np.ndarray], similarity: float, words_per_shingle:
         yield sid[other], sid[root[other]]
 
 
+def _deal_texts(sets: DataFrame, block: int) -> DataFrame:
+    """Sets (``_met, sid, _first, bytes``) of components of candidates with two or more, dealt to pairs of blocks as in :func:`deal_blocks`; a block holds
+    ``block`` sets or ``TEXT_BYTES`` at most in the mean."""
+    crowded = materialise(sets.groupBy("_met").agg(F.count(F.lit(1)).alias("_n"), F.sum("bytes").alias("_bytes")).filter("_n > 1").select(
+        "_met", F.greatest(F.ceil(F.col("_n") / block), F.ceil(F.col("_bytes") / TEXT_BYTES)).cast("int").alias("_blocks")))
+    own = sets.join(crowded, "_met").withColumn("_own", F.pmod(F.xxhash64("sid"), F.col("_blocks")).cast("int"))
+    other = own.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    return other.select("_met", "sid", "_first", F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"), "_own")
+
+
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = 0.8, lanes: int = 4,
                       words_per_shingle: int = 5, radius: int = 6, block: int = BLOCK, key: str | None = None,
                       text_block: int = TEXT_BLOCK) -> DataFrame:
@@ -372,33 +426,33 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     Bits only find candidates. 64 are too few for a similarity of 0.8, so fingerprints have ``lanes`` times 64; every lane is
     indexed by the general pigeonhole principle, for ``radius`` or as many bits more as it takes for pairs at the limit to meet
-    (``MISSED``), and what meets within three standard deviations above the expected bits is a candidate. The texts of each
-    component of candidates then come together, long components in blocks that meet pair by pair, and link by their shingle
-    sets: no two documents below ``similarity`` are linked, but components of links are transitive.
+    (``MISSED``), and what meets within three standard deviations above the expected bits is a candidate. Sets of at most ``SHORT`` shingles, whose
+    bits are noisy, also meet by their rarest shingles, which misses none. The texts of each component of candidates then come together, large
+    components in blocks that meet pair by pair, and link by their shingle sets: no two documents below ``similarity`` are linked, but
+    components of links are transitive.
 
     ``docs`` is a written table, as in :func:`one_of_each`; ``key`` tells its rows apart.
     """
-    row = key or "_near_key"
+    row = key or fresh_name(docs)
     if key is None:
         docs = docs.withColumn(row, F.monotonically_increasing_id())
     mean = bits_at(similarity, lanes * BITS)
     most = round(mean + 3 * math.sqrt(mean * (1 - mean / (lanes * BITS))))
     prints = materialise(fingerprints(docs, doc_id, text, words_per_shingle, lanes, row))
-    met = components(prints, most, radius, lanes, block, mean / (lanes * BITS)).select("fp", F.col("component").alias("_met"))
+    met = components(prints, most, radius, lanes, block, mean / (lanes * BITS), similarity).select("fp", F.col("component").alias("_met"))
+    sizes = docs.select(F.col(row).alias("_first"), F.coalesce(F.octet_length(F.col(text)), F.lit(0)).alias("bytes"))
     sets = prints.groupBy("set_key", "fp").agg(F.min("doc_id").alias("first_id"), F.min(row).alias("_first"))
-    sets = materialise(sets.join(met, "fp").withColumn("sid", F.monotonically_increasing_id()))
-    crowded = sets.groupBy("_met").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_met")
-    compared = materialise(sets.join(crowded, "_met", "left_semi").select("_met", "sid", "fp", "_first"))
+    sets = materialise(sets.join(met, "fp").join(sizes, "_first").withColumn("sid", F.monotonically_increasing_id()))
     group = ["_met", "_low", "_high"]
     texts = docs.select(F.col(row).alias("_first"), F.col(text).alias("text"))
-    dealt = together(deal_blocks(compared, ["_met"], "sid", text_block).join(texts, "_first"), group)
+    dealt = together(_deal_texts(sets, text_block).join(texts, "_first"), group)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_groups(batches, [*group, "_own", "sid", "fp", "text"], len(group)):
-            for a, b in _similar_sets(rows, similarity, words_per_shingle, most):
+        for rows in whole_groups(batches, [*group, "_own", "sid", "text"], len(group)):
+            for a, b in _similar_sets(rows, similarity, words_per_shingle):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    found = materialise(dealt.select(*group, "_own", "sid", "fp", "text").mapInArrow(each, "a bigint, b bigint").distinct())
+    found = materialise(dealt.select(*group, "_own", "sid", "text").mapInArrow(each, "a bigint, b bigint").distinct())
     reached = materialise(connected_components(sets.select("sid", "set_key", "first_id"), found, "sid"))
     ids = reached.groupBy("component").agg(F.min("first_id").alias("component_id"))
     labels = materialise(reached.join(ids, "component").select("set_key", "component", "component_id"))
@@ -410,10 +464,19 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
 
     ``docs`` is a written table, which numbers its rows alike each time it is read.
     """
-    numbered = docs.withColumn("_near_key", F.monotonically_increasing_id())
-    groups = similar_documents(numbered, doc_id, text, key="_near_key", **options)
-    first = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_near_key")).alias("first"))
-    return numbered.join(first.select(F.col("first._near_key").alias("_near_key")), "_near_key", "left_semi").drop("_near_key")
+    key = fresh_name(docs)
+    numbered = docs.withColumn(key, F.monotonically_increasing_id())
+    groups = similar_documents(numbered, doc_id, text, key=key, **options)
+    first = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key)).alias("first"))
+    return numbered.join(first.select(F.col("first").getField(key).alias(key)), key, "left_semi").drop(key)
+
+
+def fresh_name(docs: DataFrame) -> str:
+    """A column name that ``docs`` does not have, in any case."""
+    name = "_near_key"
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
 
 
 def hex_fingerprint(fp: str = "fp"):
