@@ -107,16 +107,15 @@ def channel_statistics(spark, sf):
 
 @query("read_channel_stats", "pixels", """SELECT round(avg(red), 4) AS red_mean, round(avg(green), 4) AS green_mean, round(stddev_pop(red), 4) AS red_std FROM fx_pixels""")
 def read_channel_stats(spark, sf):
-    """Statistics written as one JSON document and read back."""
+    """Statistics written as one JSON document and read back by the reader."""
     from geoloom.plans.registry import scratch
-    from geoloom.sources.readers import parse_channel_stats
+    from geoloom.sources.readers import read_channel_stats as read_back
     stats = raster.channel_statistics(patch_arrays(spark, sf), BANDS)
     one = stats.agg(F.array_sort(F.collect_list(F.struct(F.array_position(F.array(*[F.lit(b) for b in BANDS]), F.col("band")).alias("i"), "mean", "std"))).alias("s"))
     folder = scratch(spark)
-    one.select(F.to_json(F.struct(F.col("s.mean").alias("mean"), F.col("s.std").alias("std"))).alias("value")).write.text(folder)
-    back = parse_channel_stats(spark.read.text(folder))
-    return rounded(back.select(F.col("mean")[0].alias("red_mean"), F.col("mean")[1].alias("green_mean"), F.col("std")[0].alias("red_std")),
-                   "red_mean", "green_mean", "red_std")
+    one.select(F.to_json(F.struct(F.col("s.mean").alias("mean"), F.col("s.std").alias("std"))).alias("value")).coalesce(1).write.text(folder)
+    mean, std = read_back(spark, folder)
+    return rounded(spark.createDataFrame([(mean[0], mean[1], std[0])], "red_mean double, green_mean double, red_std double"), "red_mean", "green_mean", "red_std")
 
 
 def tilted(batch):

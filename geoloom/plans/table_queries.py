@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from geoloom.functions import geometry as G
 from geoloom.functions import scalars as S
 from geoloom.operators import evaluate, grids, quality, sampling
-from geoloom.plans.fixtures import fixture, table
+from geoloom.plans.fixtures import fixture, patch_arrays, table
 from geoloom.plans.jobs import eval_set_job, patch_index_job
 from geoloom.plans.registry import query, rounded, scratch
 from geoloom.plans.spatial_queries import building_table, dist, rect_table
-from geoloom.sources import readers, sinks
+from geoloom.sources import ranges, readers, sinks
 
 KEYS_PER_LAP = 100003
 
@@ -552,7 +552,7 @@ def read_census_population(spark, sf):
     """Documents go through landed text files, one JSON document per line."""
     folder = scratch(spark)
     documents_of(spark, sf).write.text(folder)
-    return readers.parse_census_population(spark.read.text(folder))
+    return readers.read_census_population(spark, folder, lines=True)
 
 
 def rectangle_features(spark, sf, name):
@@ -586,6 +586,52 @@ def read_building_footprints(spark, sf):
     return rounded(out.agg(F.sum(G.polygon_area(G.edges(F.col("rings")))).alias("area_m2"), F.count(F.lit(1)).alias("n")), "area_m2", digits=2)
 
 
+@query("read_feature_ranges", "buildings", "SELECT bld_id % 3 AS k, round(sum(side * side), 2) AS area_m2, count(*) AS n FROM fx_buildings GROUP BY bld_id % 3")
+def read_feature_ranges(spark, sf):
+    """The buildings landed as collections and read back by byte ranges of 256 KB."""
+    b = fixture(spark, sf, "buildings")
+    feature = F.concat(F.lit('{"type": "Feature", "properties": {"k": "'), (F.col("bld_id") % 3).cast("string"), F.lit('", "note": "a \\"quoted } brace\\" {"}, '
+                       '"geometry": {"type": "Polygon", "coordinates": [[['), F.concat_ws("],[", *[F.concat_ws(",", x, y) for x, y in (
+                           (F.col("x"), F.col("y")), (F.col("x"), F.col("y") + F.col("side")), (F.col("x") + F.col("side"), F.col("y") + F.col("side")),
+                           (F.col("x") + F.col("side"), F.col("y")), (F.col("x"), F.col("y")))]), F.lit("]]]}}"))
+    lots = b.select(F.floor(F.col("bld_id") / 20000).alias("lot"), feature.alias("f")).groupBy("lot").agg(F.array_join(F.collect_list("f"), ",\n").alias("f"))
+    folder = scratch(spark)
+    lots.select(F.concat(F.lit('{"type": "FeatureCollection", "features": ['), "f", F.lit("]}")).alias("value")).write.text(folder)
+    found = readers.polygons_from_features(ranges.read_feature_ranges(spark, folder, 256 << 10))
+    area = G.polygon_area(G.edges(F.col("rings")))
+    out = found.groupBy(F.element_at("properties", F.lit("k")).cast("bigint").alias("k")).agg(F.sum(area).alias("area_m2"), F.count(F.lit(1)).alias("n"))
+    return rounded(out, "area_m2", digits=2)
+
+
+WINDOW, DIGITS = 48, 3
+
+
+def decode_digits(path, row, col, height, width):
+    """Pixels of a raster landed as one line of fixed-width numbers per row."""
+    system, inner = ranges.opened(path)
+    with system.open_input_file(inner) as file:
+        line = 64 * DIGITS + 1
+        file.seek(row * line)
+        rows = [file.read(line)[col * DIGITS:(col + width) * DIGITS] for _ in range(height)]
+    return {"red": [int(r[i:i + DIGITS]) for r in rows for i in range(0, len(r), DIGITS)]}
+
+
+@query("read_windows", None, f"""SELECT label AS raster, CAST(r // {WINDOW} * {WINDOW} AS INTEGER) AS row_off, CAST(i // {WINDOW} * {WINDOW} AS INTEGER) AS col_off,
+    count(*) AS n_pixels, CAST(sum(red) AS BIGINT) AS red FROM (SELECT label, dense_rank() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS r, i,
+    CAST(floor(abs(CAST(embedding[i + 1] AS DOUBLE)) * 997) AS BIGINT) % 256 AS red FROM embeddings, unnest(range(64)) AS t(i)) p GROUP BY ALL""")
+def read_windows(spark, sf):
+    """One raster per class, a vector per row, landed as files and read by windows of 48 pixels."""
+    line = F.array_join(F.transform("red", lambda v: F.lpad(v.cast("string"), DIGITS, "0")), "")
+    rows = patch_arrays(spark, sf).select("class", "patch_id", line.alias("value"))
+    folder = scratch(spark)
+    rows.repartition("class").sortWithinPartitions("class", "patch_id").select("class", "value").write.partitionBy("class").text(folder)
+    rasters = [(path, size // (64 * DIGITS + 1), 64) for path, size in ranges.files_of(folder)]
+    windows = ranges.read_windows(spark, rasters, decode_digits, {"red": "int"}, WINDOW)
+    total = F.aggregate("red", F.lit(0).cast("bigint"), lambda t, v: t + v)
+    return windows.select(F.regexp_extract("path", "class=(-?\\d+)/", 1).cast("int").alias("raster"), "row_off", "col_off",
+                          F.size("red").cast("bigint").alias("n_pixels"), total.alias("red"))
+
+
 @query("read_transmission_lines", "segments", """SELECT line_id, 1 AS n_segments, round(sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)), 3) AS length_m FROM fx_segments""")
 def read_transmission_lines(spark, sf):
     s = fixture(spark, sf, "segments")

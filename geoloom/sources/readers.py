@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType
 from geoloom.functions import geometry as G
 from geoloom.functions import scalars as S
 from geoloom.sources import schemas
+from geoloom.sources.ranges import read_feature_ranges
 
 # Channel statistics used when a file gives none (red, green, blue, near infrared).
 DEFAULT_MEAN = (0.485, 0.456, 0.406, 0.456)
@@ -72,8 +73,9 @@ def parse_census_population(documents: DataFrame, value: str = "value") -> DataF
                         part("P1_001N").cast("int").alias("population"))
 
 
-def read_census_population(spark: SparkSession, path: str) -> DataFrame:
-    return parse_census_population(spark.read.text(path, wholetext=True))
+def read_census_population(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """One document per file, or per line."""
+    return parse_census_population(spark.read.text(path, wholetext=not lines))
 
 
 def _rings(geometry: Column) -> Column:
@@ -105,20 +107,22 @@ def polygons_from_features(features: DataFrame) -> DataFrame:
     return features.withColumn("rings", _rings(F.col("geometry"))).filter("rings IS NOT NULL").select("properties", "rings")
 
 
-def read_block_groups(spark: SparkSession, path: str, state_fips: str, county_fips: str, lines: bool = False) -> DataFrame:
+def read_block_groups(spark: SparkSession, path: str, state_fips: str, county_fips: str, lines: bool = False, ranges: bool = False) -> DataFrame:
+    """``ranges`` reads a large collection in one task per byte range."""
     p = F.col("properties")
-    rows = polygons_from_features(geojson_features(spark, path, lines))
+    rows = polygons_from_features(read_feature_ranges(spark, path) if ranges else geojson_features(spark, path, lines))
     wanted = (F.element_at(p, F.lit("STATEFP")) == state_fips) & (F.element_at(p, F.lit("COUNTYFP")) == county_fips)
     return rows.filter(wanted).select(*[F.element_at(p, F.lit(k)).alias(k) for k in ("GEOID", "STATEFP", "COUNTYFP")], "rings")
 
 
 def read_building_footprints(spark: SparkSession, parquet_path: str, geojson_path: str,
-                             lines: bool = False) -> DataFrame | None:
-    """``rings`` from the first file that exists; None when neither does."""
+                             lines: bool = False, range_bytes: int | None = None) -> DataFrame | None:
+    """``rings`` from the first file that exists; None when neither does. With ``range_bytes`` a large collection is read in one task per range."""
     table = _exists(lambda: spark.read.parquet(parquet_path))
     if table is not None:
         return table.select("rings")
-    features = _exists(lambda: geojson_features(spark, geojson_path, lines))
+    whole = lambda: geojson_features(spark, geojson_path, lines)
+    features = _exists(whole if range_bytes is None else lambda: read_feature_ranges(spark, geojson_path, range_bytes))
     return None if features is None else polygons_from_features(features).select("rings")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import geometry as G
 from geoloom.operators import quality
-from geoloom.sources import readers, sinks
+from geoloom.sources import ranges, readers, sinks
 
 
 def geojson(path, *geometries):
@@ -90,3 +90,42 @@ def test_guards(spark):
     registry = spark.createDataFrame([("1", "x")], "geoid string, name string")
     with pytest.raises(ValueError):
         quality.lookup_counties(a.withColumnRenamed("county_geoid", "geoid"), registry)
+
+
+def test_feature_ranges_read_every_feature_once(spark, tmp_path):
+    """Ranges of every size begin in strings, in nested objects and in the middle of what marks a feature."""
+    import json
+
+    features = [{"type": "Feature", "properties": {"id": i, "note": '{"type": "Feature", } \\" {' * (i % 4), "é": "}" * (i % 3),
+                                                   "inner": {"type": "Feature", "geometry": {"a": [{}, {}]}} if i % 5 == 0 else None},
+                 "geometry": {"type": "Point", "coordinates": [i, -i]}} for i in range(60)]
+    text = json.dumps({"type": "FeatureCollection", "name": "x", "features": features}, ensure_ascii=False).encode()
+    for size in (37, 64, 501, len(text) + 5):
+        found = []
+        for start in range(0, len(text), size):
+            found += ranges.features_between(lambda at, n: text[at:at + n], start, min(start + size, len(text)))
+        assert [json.loads(f)["properties"]["id"] for f in found] == list(range(60))
+    (tmp_path / "one.geojson").write_bytes(text)
+    df = ranges.read_feature_ranges(spark, str(tmp_path / "one.geojson"), 1000)
+    assert df.rdd.getNumPartitions() == -(-len(text) // 1000)
+    assert sorted(int(r.properties["id"]) for r in df.collect()) == list(range(60))
+
+
+def test_small_reads_find_features_too(monkeypatch):
+    monkeypatch.setattr(ranges, "MORE_BYTES", 3)
+    text = b'{"type":"FeatureCollection","features":[ {"type" : "Feature","p":{"a":"\\\\"},"q":"]}"} , {"type":"Feature"}]}'
+    found = list(ranges.features_between(lambda at, n: text[at:at + n], 0, len(text)))
+    assert found == [b'{"type" : "Feature","p":{"a":"\\\\"},"q":"]}"}', b'{"type":"Feature"}']
+
+
+def test_one_partition_per_window(spark, tmp_path):
+    data = [[r * 100 + c for c in range(10)] for r in range(7)]
+
+    def decode(path, row, col, height, width):
+        return {"v": [data[r][c] for r in range(row, row + height) for c in range(col, col + width)]}
+    df = ranges.read_windows(spark, [("a", 7, 10), ("b", 3, 2)], decode, {"v": "double"}, size=4, halo=1)
+    assert df.rdd.getNumPartitions() == 6 + 1
+    got = {(r.path, r.row_off, r.col_off): r for r in df.collect()}
+    assert set(got) == {("a", r, c) for r in (0, 3) for c in (0, 3, 7)} | {("b", 0, 0)}
+    assert (got["a", 3, 7].height, got["a", 3, 7].width) == (4, 3) and got["a", 3, 7].v[0] == 307.0
+    assert (got["a", 0, 3].height, got["a", 0, 3].width) == (5, 6)
