@@ -19,6 +19,7 @@ from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,23 @@ from geoloom.operators.spatial import BIN, _sure_side, around, polyline_distance
 
 TILE_ROWS = 200_000
 FIRST_TILE, TILE_STEP, MOST_BINS = 64, 8, 1 << 40
+#: Bins between the groups of ``by``: a multiple of every tile's, so that no tile and no neighbourhood has two groups.
+GROUP_BINS = 1 << 42
+
+
+def _with_groups(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add ``_g``, a number per group (at most two million); NULLs are a group of their own."""
+    if not by:
+        return rows
+    key = F.to_json(F.struct(*by))
+    numbers = rows.select(key.alias("_group")).distinct().withColumn("_g", F.row_number().over(W.orderBy("_group")).cast("bigint"))
+    return rows.withColumn("_group", key).join(materialise(numbers), "_group").drop("_group")
+
+
+def _binned(rows: DataFrame, side: float) -> DataFrame:
+    """Rows with their bin; those of one group lie far from those of another, whatever their places."""
+    out = with_bin(rows, side)
+    return out.withColumn("_bx", F.col("_bx") + F.col("_g") * GROUP_BINS) if "_g" in rows.columns else out
 
 
 def _placed(rows: DataFrame) -> Column:
@@ -85,7 +103,8 @@ class _Tiles:
         def decided(parts: list[pa.RecordBatch], at: tuple[int, int]) -> pa.RecordBatch:
             rows = pa.Table.from_batches(parts).combine_chunks()
             x, y = rows.column("x").to_pylist(), rows.column("y").to_pylist()
-            low_x, low_y = at[0] * size - bins // 3 * side, at[1] * size - bins // 3 * side
+            column = at[0] - round(at[0] * bins / GROUP_BINS) * (GROUP_BINS // bins)  # in the group's own plane
+            low_x, low_y = column * size - bins // 3 * side, at[1] * size - bins // 3 * side
             inner = [min(a - low_x, low_x + size - a, b - low_y, low_y + size - b) > reach for a, b in zip(x, y)]
             state = scan(x, y, inner, *[rows.column(c).to_pylist() for c in columns])
             return pa.RecordBatch.from_arrays([rows.column("_key").combine_chunks() if rows.num_rows else pa.nulls(0), pa.array(state, pa.int32())],
@@ -178,18 +197,19 @@ def _fewer(before: int, rows: int) -> int:
 
 def spaced_ids(points: DataFrame, point_id: str, radius: float, priority: Sequence[Column] = (),
                inclusive: bool = True) -> DataFrame:
-    """Ids (with x, y) kept by "take the best remaining row, drop everything in range, repeat".
+    """Ids (with x, y, and ``_g`` where given) kept by "take the best remaining row, drop everything in range, repeat".
 
     ``priority`` columns: larger goes first, ties by smaller id. Taking a row that
     beats every undecided row around it gives the same set as the serial scan, so
     all such rows are taken at once (Blelloch, Fineman and Shun, SPAA 2012).
     """
     rank = F.struct(*[p.alias(f"p{i}") for i, p in enumerate(priority)], (-F.col(point_id)).alias("o"))
-    every = points.select(F.col(point_id).alias("_id"), "x", "y", rank.alias("_rank"))
+    group = [c for c in ("_g",) if c in points.columns]
+    every = points.select(F.col(point_id).alias("_id"), "x", "y", rank.alias("_rank"), *group)
     side = _sure_side(radius)
-    undecided = materialise(with_bin(every.filter(_placed(every)), side))
+    undecided = materialise(_binned(every.filter(_placed(every)), side))
     near, tiles = _near(radius, inclusive), _Tiles(side, radius, _scan_spaced(radius, inclusive))
-    kept = [every.filter(~_placed(every)).select(F.col("_id").alias(point_id), "x", "y")]
+    kept = [every.filter(~_placed(every)).select(F.col("_id").alias(point_id), "x", "y", *group)]
     rows = undecided.count()
     while rows:
         best = undecided.groupBy(*BIN).agg(
@@ -200,26 +220,27 @@ def spaced_ids(points: DataFrame, point_id: str, radius: float, priority: Sequen
         took = F.coalesce(F.exists("_near", lambda c: c["_id"] == F.col("_id")), F.lit(False))
         lost = F.coalesce(F.exists("_near", near), F.lit(False))
         left = materialise(seen.withColumn("_kept", took).filter(took | ~lost).drop("_near"))
-        kept.append(left.filter("_kept").select(F.col("_id").alias(point_id), "x", "y"))
+        kept.append(left.filter("_kept").select(F.col("_id").alias(point_id), "x", "y", *group))
         undecided = left.filter("NOT _kept").drop("_kept")
         if undecided.isEmpty():
             break
         settled = tiles.settle(undecided, [F.desc("_rank")], [])
-        kept.append(settled.filter("_state = 1").select(F.col("_id").alias(point_id), "x", "y"))
+        kept.append(settled.filter("_state = 1").select(F.col("_id").alias(point_id), "x", "y", *group))
         undecided = settled.filter("_state IS NULL").drop("_state")
         rows = _fewer(rows, undecided.count())
     return reduce(DataFrame.unionByName, kept)
 
 
 def greedy_spaced_select(points: DataFrame, point_id: str, radius: float,
-                         priority: Sequence[Column] = (), inclusive: bool = True) -> DataFrame:
-    """Rows of ``points`` kept by :func:`spaced_ids`."""
-    kept = spaced_ids(points, point_id, radius, priority, inclusive).select(point_id)
+                         priority: Sequence[Column] = (), inclusive: bool = True, by: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``points`` kept by :func:`spaced_ids`, each group of ``by`` on its own."""
+    kept = spaced_ids(_with_groups(points, by), point_id, radius, priority, inclusive).select(point_id)
     return points.join(kept, point_id, "left_semi")
 
 
-def dedup_features(features: DataFrame, point_id: str, tolerance_m: float = 100.0) -> DataFrame:
-    """Drop near-duplicate features scanning in id order; a polygon beats an earlier point.
+def dedup_features(features: DataFrame, point_id: str, tolerance_m: float = 100.0, by: Sequence[str] = ()) -> DataFrame:
+    """Drop near-duplicate features scanning in id order; a polygon beats an earlier point. With ``by`` (a county, before a
+    union of counties) every group is scanned on its own, and a pair across a border keeps both.
 
     Rows have ``x, y`` (centroid) and ``is_polygon``. The scan takes each row not yet
     dropped: a later row in range is dropped, except that a point meeting a later
@@ -232,14 +253,15 @@ def dedup_features(features: DataFrame, point_id: str, tolerance_m: float = 100.
       been dropped itself when the point's turn comes.
     """
     side, near = _sure_side(tolerance_m), _near(tolerance_m, False)
-    rows = features.select(F.col(point_id).alias("_id"), "x", "y", "is_polygon")
+    grouped = _with_groups(features, by)
+    rows = grouped.select(F.col(point_id).alias("_id"), "x", "y", "is_polygon", *[c for c in ("_g",) if by])
     polygons, points = rows.filter("is_polygon"), rows.filter("NOT is_polygon")
-    active_polygons = with_bin(spaced_ids(polygons, "_id", tolerance_m, inclusive=False), side)
-    seen = _with_centres(with_bin(points, side), active_polygons.withColumnRenamed("_id", "k"))
+    active_polygons = _binned(spaced_ids(polygons, "_id", tolerance_m, inclusive=False), side)
+    seen = _with_centres(_binned(points, side), active_polygons.withColumnRenamed("_id", "k"))
     earlier = F.coalesce(F.exists("_near", lambda c: near(c) & (c["k"] < F.col("_id"))), F.lit(False))
     active_points = spaced_ids(seen.filter(~earlier).drop("_near", *BIN), "_id", tolerance_m, inclusive=False)
-    active_points = with_bin(active_points, side)
-    judged = _with_centres(with_bin(polygons, side), active_polygons.withColumnRenamed("_id", "k"))
+    active_points = _binned(active_points, side)
+    judged = _with_centres(_binned(polygons, side), active_polygons.withColumnRenamed("_id", "k"))
     killer = F.array_min(F.transform(
         F.filter("_near", lambda c: near(c) & (c["k"] < F.col("_id"))), lambda c: c["k"]))
     judged = judged.withColumn("_dropped_at", killer).drop("_near")
@@ -264,8 +286,8 @@ def dedup_detections_priority(detections: DataFrame, point_id: str, min_dist_m:
     return greedy_spaced_select(detections, point_id, min_dist_m, [F.col("mean_confidence")])
 
 
-def dedup_detections(detections: DataFrame, point_id: str, min_dist_m: float = 100.0) -> DataFrame:
-    """Drop near-duplicate detections scanning in id order.
+def dedup_detections(detections: DataFrame, point_id: str, min_dist_m: float = 100.0, by: Sequence[str] = ()) -> DataFrame:
+    """Drop near-duplicate detections scanning in id order, each group of ``by`` on its own.
 
     Each row not yet dropped drops the later rows in range, in id order, until it
     meets a more confident one; then it drops itself and stops.
@@ -276,8 +298,9 @@ def dedup_detections(detections: DataFrame, point_id: str, min_dist_m: float = 1
     the count depends on how long the chains of overlapping rows are.
     """
     side, near = _sure_side(min_dist_m), _near(min_dist_m, True)
-    every = detections.select(F.col(point_id).alias("_id"), "x", "y", F.col("mean_confidence").alias("_conf"))
-    undecided = materialise(with_bin(every.filter(_placed(every)), side))
+    every = _with_groups(detections, by)
+    every = every.select(F.col(point_id).alias("_id"), "x", "y", F.col("mean_confidence").alias("_conf"), *[c for c in ("_g",) if by])
+    undecided = materialise(_binned(every.filter(_placed(every)), side))
     kept, rows = [every.filter(~_placed(every)).select(F.col("_id").alias(point_id))], undecided.count()
     tiles = _Tiles(side, 2 * min_dist_m, _scan_detections(min_dist_m))
     while rows:

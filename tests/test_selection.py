@@ -348,3 +348,18 @@ def test_polygons_within_concave_ones_with_holes(spark):
     assert len({o for _, o in want}) == 3
     for size in (8.0, 100.0, 3000.0):
         assert sorted(map(tuple, spatial.polygon_within_join(inner, outer, size).select("iid", "oid").collect())) == want
+
+
+@pytest.mark.parametrize("tile", [64, 8])
+def test_duplicates_go_county_by_county(spark, monkeypatch, tile):
+    """Two counties over the same ground keep what each would keep alone; NULL is a county."""
+    monkeypatch.setattr(selection, "FIRST_TILE", tile)
+    rng = random.Random(14)
+    rows = [(i, rng.uniform(-900, 900), rng.uniform(-900, 900), rng.random() < 0.5, rng.random(), rng.choice(["a", "b", None])) for i in range(240)]
+    rows += [(300, 5000.0, 0.0, True, 0.5, "a"), (301, 5000.0, 10.0, True, 0.5, "b"), (302, None, 1.0, True, 0.5, "b")]
+    df = spark.createDataFrame(rows, "id int, x double, y double, is_polygon boolean, mean_confidence double, county string")
+    for operator in (selection.dedup_features, selection.dedup_detections):
+        got = sorted(r.id for r in operator(df, "id", by=["county"]).collect())
+        alone = [operator(df.filter(F.col("county").eqNullSafe(c)), "id") for c in ("a", "b", None)]
+        assert got == sorted(r.id for d in alone for r in d.collect())
+        assert {300, 301, 302} <= set(got) and operator(df, "id", by=["county"]).columns == df.columns
