@@ -36,6 +36,7 @@ class DatasetSettings:
     """Settings of a patch dataset run."""
 
     strategy: str = "curated"
+    # The default counties of a dataset.
     county_geoids: tuple[str, ...] = ("06019", "04013", "48201", "53033", "27053", "37183", "08013", "42071", "20173", "35001")
     n_positive: int = 2000
     n_negative: int = 2000

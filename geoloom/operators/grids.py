@@ -28,10 +28,10 @@ def _steps(span: Column, size: float) -> Column:
 def make_regular_grid(bounds: DataFrame, cell_size_m: float = 3000.0) -> DataFrame:
     """Square cells from the lower-left corner of each bounds row; the last cells overhang.
 
-    ``cell_id`` numbers cells column by column (x-major) and needs no sort.
+    ``cell_id`` numbers cells column by column (x-major) and needs no sort. Columns are dealt to tasks before they become cells.
     """
     rows = F.ceil((F.col("ymax") - F.col("ymin")) / cell_size_m).cast("bigint")
-    return (bounds.withColumn("ix", F.explode(_steps(F.col("xmax") - F.col("xmin"), cell_size_m)))
+    return (bounds.withColumn("ix", F.explode(_steps(F.col("xmax") - F.col("xmin"), cell_size_m))).repartition("ix")
             .withColumn("iy", F.explode(_steps(F.col("ymax") - F.col("ymin"), cell_size_m)))
             .withColumns({
                 "cell_id": F.col("ix") * rows + F.col("iy"),

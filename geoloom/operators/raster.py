@@ -218,11 +218,12 @@ def positive_patch_rows(patches: DataFrame, features: DataFrame, patch_id: str,
     return filter_min_mask_pixels(mask_bbox(masked, resolution), min_mask_pixels).withColumn("label", F.lit("positive"))
 
 
-def negative_patch_rows(patches: DataFrame) -> DataFrame:
-    """Negative patches: an all-zero mask, no minimum, no box columns."""
-    return patches.withColumns({
+def negative_patch_rows(patches: DataFrame, distance: bool = False, resolution_m: float = 0.6) -> DataFrame:
+    """Negative patches: an all-zero mask, no minimum, no box columns; with ``distance`` also its distance raster (the diagonal everywhere)."""
+    rows = patches.withColumns({
         "mask": F.array_repeat(F.lit(0), (F.col("height") * F.col("width")).cast("int")),
         "positive_pixels": F.lit(0).cast("bigint"), "positive_fraction": F.lit(0.0), "label": F.lit("negative")})
+    return distance_raster(rows, resolution_m) if distance else rows
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))

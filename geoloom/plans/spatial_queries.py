@@ -267,11 +267,10 @@ def constrained_cells(spark, sf):
     return rounded(out.agg(F.count(F.lit(1)).alias("n_cells"), F.coalesce(F.sum("demand_kw"), F.lit(0.0)).alias("demand_kw")), "demand_kw")
 
 
-@query("unreachable_check", "cells stations", f"SELECT cell_id, demand_kw FROM fx_cells WHERE cell_id IN (SELECT cell_id FROM ({EXISTING_PAIRS}) p)")
+@query("unreachable_check", "cells stations", f"SELECT cell_id, demand_kw FROM fx_cells WHERE cell_id IN (SELECT cell_id FROM ({PAIRS}) p)")
 def unreachable_check(spark, sf):
-    cells, pairs = existing_pairs(spark, sf)
-    # Any share may be out of reach here, as on the smallest tables; that the check refuses is tested apart.
-    return service.unreachable_check(cells, pairs, 1.0).select("cell_id", "demand_kw")
+    """Cells with demand serve themselves here, so what is out of reach holds little demand at every size; that the check refuses is tested apart."""
+    return service.unreachable_check(fixture(spark, sf, "cells"), pairs_of(spark, sf), 0.05).select("cell_id", "demand_kw")
 
 
 @query("assign_nearest_open", "cells stations", f"SELECT cell_id, kind, sub_id, CAST(frac AS DOUBLE) AS frac, round(dist_m, 4) AS dist_m FROM ({ASSIGNED}) a")
@@ -815,8 +814,11 @@ def positive_patch_rows(spark, sf):
     return out.select("patch_id", "positive_pixels", "mask_bbox_row_min", "mask_bbox_row_max", "mask_bbox_col_min", "mask_bbox_col_max", "label")
 
 
-@query("negative_patch_rows", "stations", "SELECT sub_id AS patch_id, 4096 AS n_pixels, 0 AS positive_pixels, 0 AS mask_sum, 'negative' AS label FROM fx_stations")
+@query("negative_patch_rows", "stations", """SELECT sub_id AS patch_id, 4096 AS n_pixels, 0 AS positive_pixels, 0 AS mask_sum, 'negative' AS label,
+    round(sqrt(8192.0E0) * 10, 6) AS least, round(sqrt(8192.0E0) * 10, 6) AS most FROM fx_stations""")
 def negative_patch_rows(spark, sf):
     from geoloom.operators.raster import array_sum, negative_patch_rows as rows
-    return rows(ground_patches(spark, sf)).select("patch_id", F.size("mask").alias("n_pixels"), "positive_pixels",
-                                                  array_sum(F.col("mask")).cast("bigint").alias("mask_sum"), "label")
+    out = rows(ground_patches(spark, sf), distance=True, resolution_m=10.0).select(
+        "patch_id", F.size("mask").alias("n_pixels"), "positive_pixels", array_sum(F.col("mask")).cast("bigint").alias("mask_sum"), "label",
+        F.array_min("distance").alias("least"), F.array_max("distance").alias("most"))
+    return rounded(out, "least", "most", digits=6)
