@@ -18,6 +18,7 @@ HEADLINE = (
     "dedup_detections_priority", "greedy_siting", "cluster_constrained", "sample_per_source", "assign_splits_geographic",
     "grouped_metrics", "roc_auc", "average_precision", "dataset_statistics", "temporal_gap", "label_audit",
     "segmentation_metrics", "distance_raster", "merge_overlaps", "extract_detections", "rasterize_mask",
+    "budget_sweep", "siting_job", "dedup_features", "dedup_detections", "detection_job", "connected_components", "positive_patch_rows",
 )
 
 
