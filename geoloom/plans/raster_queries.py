@@ -9,6 +9,7 @@ from geoloom.operators.components import ROW_STEP
 from geoloom.plans.fixtures import fixture, patch_arrays, table
 from geoloom.plans.jobs import detection_job, evaluation_job, qa_job
 from geoloom.plans.registry import query, rounded
+from geoloom.plans.selection_sql import detection_turns
 
 BANDS = ["red", "green", "nir"]
 
@@ -221,12 +222,26 @@ def filter_min_area(spark, sf):
     return detections(spark, sf, 4)
 
 
-@query("detection_job")
+FOUND = f"""WITH RECURSIVE px AS (SELECT raster, row, col, row * {ROW_STEP}::BIGINT + col AS id, prob FROM ({MERGED}) m WHERE prob >= 0.6),
+    reach AS (SELECT raster, id, id AS seed FROM px UNION SELECT b.raster, b.id, r.seed FROM reach r JOIN px a ON r.raster = a.raster AND r.id = a.id
+      JOIN px b ON b.raster = a.raster AND abs(a.row - b.row) + abs(a.col - b.col) = 1),
+    comp AS (SELECT raster, id, min(seed) AS component FROM reach GROUP BY raster, id),
+    boxes AS (SELECT c.raster, c.component, count(*) AS positive_pixels, avg(prob) AS mean_confidence, max(prob) AS max_confidence,
+      c.raster * 0.5E0 - 112.0E0 + (min(col) + max(col)) / 2 * 1E-5 AS center_lon, 33.5E0 + (min(row) + max(row)) / 2 * -1E-5 AS center_lat
+      FROM comp c JOIN px p ON c.raster = p.raster AND c.id = p.id GROUP BY c.raster, c.component HAVING count(*) >= 2),
+    found AS MATERIALIZED (SELECT *, raster * 1125899906842624 + component AS det_id, center_lon * 85000.0E0 AS x, center_lat * 111000.0E0 AS y FROM boxes),
+    {detection_turns('found', 10)}
+    SELECT raster, component, positive_pixels, round(center_lon, 6) AS center_lon, round(center_lat, 6) AS center_lat, round(mean_confidence, 6) AS mean_confidence,
+      round(max_confidence, 6) AS max_confidence FROM found WHERE NOT list_contains(coalesce((SELECT gone FROM walk ORDER BY n DESC LIMIT 1), []), det_id)"""
+
+
+@query("detection_job", "pixels", FOUND)
 def detection_job_query(spark, sf):
     affine = table(spark, sf, "embeddings").select(F.col("label").alias("raster")).distinct().select(
         "raster", F.lit(1e-5).alias("a"), F.col("raster") * 0.5 - 112.0, F.lit(-1e-5).alias("e"), F.lit(33.5).alias("f")).toDF("raster", "a", "c", "e", "f")
     out = detection_job(tiles(spark, sf).drop("prob"), ["e"], [tilted], affine, "raster", threshold=0.6, min_area_m2=2 * 0.36, dedup_m=10.0, block=64)
-    return rounded(out, "center_lon", "center_lat", "mean_confidence", digits=6)
+    return rounded(out.select("raster", "component", "positive_pixels", "center_lon", "center_lat", "mean_confidence", "max_confidence"),
+                   "center_lon", "center_lat", "mean_confidence", "max_confidence", digits=6)
 
 
 @query("evaluation_job", "pixels", f"""SELECT CAST(class AS VARCHAR) AS class, count(*) AS n, round(avg(iou), 4) AS mean_iou, round(avg(dice), 4) AS mean_dice FROM (SELECT s.patch_id, k.label AS class,

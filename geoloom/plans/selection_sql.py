@@ -21,9 +21,10 @@ def turns(rows: str, rank: str, within: str, stops: str = "true") -> str:
     turn AS (SELECT * FROM ordered WHERE n IN (SELECT n FROM walk WHERE state = 1))"""
 
 
-#: Detections by id: a turn ends at the first more confident row still there and removes the ones before it.
-DETECTION_TURNS = f"""later AS MATERIALIZED (SELECT a.det_id, list({{'id': b.det_id, 'more': b.mean_confidence > a.mean_confidence}} ORDER BY b.det_id) AS near
-      FROM fx_detections a JOIN fx_detections b ON b.det_id > a.det_id AND {NEAR} <= 100 GROUP BY a.det_id),
+def detection_turns(table: str, radius: float) -> str:
+    """``walk``: detections by id; a turn ends at the first more confident row still there and removes the ones before it."""
+    return f"""later AS MATERIALIZED (SELECT a.det_id, list({{'id': b.det_id, 'more': b.mean_confidence > a.mean_confidence}} ORDER BY b.det_id) AS near
+      FROM {table} a JOIN {table} b ON b.det_id > a.det_id AND {NEAR} <= {radius} GROUP BY a.det_id),
     steps AS MATERIALIZED (SELECT det_id, near, row_number() OVER (ORDER BY det_id) AS n FROM later),
     walk AS (SELECT 0::BIGINT AS n, []::BIGINT[] AS gone
       UNION ALL SELECT n, list_concat(gone, CASE WHEN list_contains(gone, det_id) THEN []
@@ -32,3 +33,6 @@ DETECTION_TURNS = f"""later AS MATERIALIZED (SELECT a.det_id, list({{'id': b.det
       FROM (SELECT n, gone, det_id, there, list_filter(there, lambda x: x.more)[1].id AS stop
         FROM (SELECT s.n, w.gone, s.det_id, list_filter(s.near, lambda x: NOT list_contains(w.gone, x.id)) AS there
           FROM walk w JOIN steps s ON s.n = w.n + 1) a) b)"""
+
+
+DETECTION_TURNS = detection_turns("fx_detections", 100)
