@@ -52,11 +52,15 @@ def corpus(rng, n):
     return docs
 
 
-@pytest.mark.parametrize("size,burst,entries", [(2 << 20, 4096, 600_000), (50, 2, 40)])
-def test_collocations_are_those_of_the_definition(frame, monkeypatch, size, burst, entries):
-    """Small limits cut long texts inside pieces, burst containers and spill subtrees many times."""
+@pytest.mark.parametrize("size,burst,entries,bits", [(2 << 20, 4096, 600_000, 32), (50, 2, 40, 32), (2 << 20, 4096, 600_000, 1), (50, 2, 40, 0)])
+def test_collocations_are_those_of_the_definition(frame, monkeypatch, size, burst, entries, bits):
+    """Small limits cut long texts inside pieces, burst containers and spill subtrees many times; small maps let most phrases through."""
+    monkeypatch.setattr(phrases, "BITS_EACH", bits)
+    monkeypatch.setattr(phrases, "MOST_BITS", phrases.MOST_BITS if bits else 8)
     monkeypatch.setattr(phrases, "SLICE_BYTES", size)
     monkeypatch.setattr(phrases, "MOST_ENTRIES", entries)
+    monkeypatch.setattr(phrases, "HELD_HASHES", 4 * entries)
+    monkeypatch.setattr(phrases, "RANGE_HASHES", 4 * entries)
     monkeypatch.setattr(BurstTrie.__init__, "__defaults__", (burst, 2))
     docs = corpus(random.Random(5), 120) + [(None, "en"), ("", "fr"), ("one two one two", "fr"), (" .,\n", None)]
     docs += [docs[3]] * 9 + [("hot hot hot. " * 400, "en")]
@@ -80,19 +84,26 @@ def test_burst_tries_count_like_a_dictionary():
         first, rest = rng.randrange(5), tuple(rng.randrange(6) for _ in range(3))
         want[first, rest] += 2
         trie.add(first, [np.array(rest, "<i4").tobytes()], [2])
-        if len(trie) > 300:
-            before = len(trie)
+        if trie.entries > 300:
+            before = trie.entries
             for f, rests, counts in trie.spill(150):
                 for r, n in zip(rests, counts, strict=True):
                     got[f, tuple(np.frombuffer(r, "<i4").tolist())] += n
-            assert len(trie) <= 150 < before
+            assert trie.entries <= 150 < before
     for f, rests, counts in trie.spill(0):
         for r, n in zip(rests, counts, strict=True):
             got[f, tuple(np.frombuffer(r, "<i4").tolist())] += n
-    assert got == want and len(trie) == 0
+    assert got == want and trie.entries == 0
 
 
 def test_equal_codes_do_not_add_up_different_phrases():
     rows = np.array([[1, 2], [3, 4], [1, 2], [3, 4], [3, 4]], np.int32)
     found, counts = phrases._grouped(rows, np.zeros(5, np.uint64))
     assert sorted(zip(map(tuple, found.tolist()), counts.tolist())) == [((1, 2), 2), ((3, 4), 3)]
+
+
+def test_runs_of_hashes_are_restored():
+    rng = np.random.default_rng(15)
+    for values in ([], [0], [5], [2**32 - 1, 2**32, 2**48 - 1], rng.integers(0, 2**48, 5000), rng.integers(0, 2**33, 50)):
+        h = np.unique(np.array(values, np.uint64))
+        assert (phrases._unpacked(phrases._packed(h)) == h).all()
