@@ -238,9 +238,12 @@ def polygon_within_join(inner: DataFrame, outer: DataFrame, bin_size: float,
     one = (bin_of(corners[0], bin_size) == bin_of(corners[2], bin_size)) & (bin_of(corners[1], bin_size) == bin_of(corners[3], bin_size))
     counted, cut = cover.points_within(F.col(inner_edges), bin_size)
     total = 2 * F.size(inner_edges)
-    alone = with_bin(a.filter(one).withColumns({"_x": corners[0], "_y": corners[1]}), bin_size, "_x", "_y").drop("_x", "_y", "_in").join(bins, BIN)
-    # Most bins are wholly inside and need no count.
-    alone = alone.filter(F.when(F.col("_local").isNull(), True).otherwise((counted == total) & ~cut)).drop(*BIN, "_local", "_inside", "_pid")
+    alone = with_bin(a.filter(one).withColumns({"_x": corners[0], "_y": corners[1]}), bin_size, "_x", "_y").drop("_x", "_y").join(bins, BIN)
+    # Most bins are wholly inside and need no test, most others have no edge near the inner polygon and need one point.
+    touched = F.exists("_local", lambda e: G.segment_meets_box(e, *corners))
+    first = F.col(inner_edges)[0]
+    alone = alone.filter(F.when(F.col("_local").isNull(), True).when(~touched, cover.inside(first["x1"], first["y1"], bin_size))
+                         .otherwise((counted == total) & ~cut)).drop(*BIN, "_local", "_inside", "_pid")
     spread_out = over_box(a.filter(~one).withColumn("_iid", F.monotonically_increasing_id()), bin_size, *corners).drop("_in").join(bins, BIN)
     kept = [c for c in [*inner.columns, *outer.columns] if c != outer_edges]
     summed = spread_out.withColumns({"_counted": counted, "_cut": cut}).groupBy("_iid", "_pid").agg(
