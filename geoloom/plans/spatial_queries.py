@@ -65,7 +65,7 @@ def pairs_of(spark, sf):
 
 
 def eligible_of(spark, sf):
-    return service.eligible_pairs(pairs_of(spark, sf), COVERAGE_M)
+    return service.eligible_in_range(fixture(spark, sf, "cells"), fixture(spark, sf, "stations"), candidate_points(spark, sf), SERVICE_M, COVERAGE_M)
 
 
 def built_of(spark, sf):
@@ -73,7 +73,8 @@ def built_of(spark, sf):
 
 
 def assigned_of(spark, sf):
-    return service.assign_nearest_open(eligible_of(spark, sf), built_of(spark, sf))
+    return materialise(service.assign_nearest_in_range(fixture(spark, sf, "cells"), fixture(spark, sf, "stations"), candidate_points(spark, sf),
+                                                       built_of(spark, sf), SERVICE_M, COVERAGE_M))
 
 
 METRICS = """round(sum(demand_kw * d) / sum(demand_kw), 4) AS avg_dist_m, round(max(d), 4) AS max_dist_m,
@@ -270,7 +271,9 @@ def constrained_cells(spark, sf):
 @query("unreachable_check", "cells stations", f"SELECT cell_id, demand_kw FROM fx_cells WHERE cell_id IN (SELECT cell_id FROM ({PAIRS}) p)")
 def unreachable_check(spark, sf):
     """Cells with demand serve themselves here, so what is out of reach holds little demand at every size; that the check refuses is tested apart."""
-    return service.unreachable_check(fixture(spark, sf, "cells"), pairs_of(spark, sf), 0.05).select("cell_id", "demand_kw")
+    cells = fixture(spark, sf, "cells")
+    reached = materialise(service.reached_cells(cells, fixture(spark, sf, "stations"), candidate_points(spark, sf), SERVICE_M).select("cell_id"))
+    return service.unreachable_check(cells, reached, 0.05).select("cell_id", "demand_kw")
 
 
 @query("assign_nearest_open", "cells stations", f"SELECT cell_id, kind, sub_id, CAST(frac AS DOUBLE) AS frac, round(dist_m, 4) AS dist_m FROM ({ASSIGNED}) a")
@@ -285,7 +288,7 @@ AFTER = f"""SELECT {METRICS}, round(sum(demand_kw * d), 2) AS assignment_cost FR
 
 @query("assigned_service_metrics", "cells stations", AFTER)
 def assigned_service_metrics(spark, sf):
-    reach = service.reachable_cells(fixture(spark, sf, "cells"), pairs_of(spark, sf), COVERAGE_M)
+    reach = service.reached_cells(fixture(spark, sf, "cells"), fixture(spark, sf, "stations"), candidate_points(spark, sf), COVERAGE_M)
     out = service.assigned_service_metrics(reach, assigned_of(spark, sf), gap_m=5000.0)
     return rounded(rounded(out, "avg_dist_m", "max_dist_m", "gap_pct"), "assignment_cost", digits=2)
 
@@ -332,9 +335,8 @@ def new_coverage_area(spark, sf):
     p.n * {BUILD_COST}E0 AS build_cost, round(m.cost + p.n * {BUILD_COST}, 2) AS total_objective FROM m, b, f, p""")
 def results_summary(spark, sf):
     cells, stations, built = fixture(spark, sf, "cells"), fixture(spark, sf, "stations"), built_of(spark, sf)
-    pairs = materialise(pairs_of(spark, sf))
-    assignment = materialise(service.assign_nearest_open(service.eligible_pairs(pairs, COVERAGE_M), built))
-    out = service.results_summary(cells, stations, pairs, assignment, built, BUILD_COST, COVERAGE_M, 5000.0)
+    near = materialise(service.nearest_servers(cells, stations, candidate_points(spark, sf), SERVICE_M))
+    out = service.results_summary(cells, stations, near, assigned_of(spark, sf), built, BUILD_COST, COVERAGE_M, 5000.0)
     out = rounded(out, "total_new_load_served_kw", "avg_service_dist_before_m", "avg_service_dist_after_m", "max_service_dist_before_m",
                   "max_service_dist_after_m", "coverage_gap_before_pct", "coverage_gap_after_pct", "transmission_constrained_demand_kw")
     return rounded(out, "assignment_cost", "total_objective", digits=2)
