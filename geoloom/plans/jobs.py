@@ -26,24 +26,25 @@ def siting_job(cells: DataFrame, stations: DataFrame, segments: DataFrame | None
     sites = demand.generate_candidates(cells, stations, segments, data_centers, min_demand_kw, line_distance_m, dc_radius_m)
     # Data-centre ids follow the cell ids: twice the id, odd for data centres, keeps both unique.
     candidates = materialise(sites.withColumn("candidate_id", F.col("source_id") * 2 + (F.col("source") == "data_center").cast("int")))
-    pairs = materialise(service.service_pairs(cells, stations, candidates, radius_m))
-    kept = service.unreachable_check(cells, pairs, tolerance)
-    eligible = materialise(service.eligible_pairs(pairs, coverage_m))
+    # The nearest server of each cell says what is in reach; of the pairs only the eligible ones are written.
+    near = materialise(service.nearest_servers(cells, stations, candidates, radius_m))
+    kept = service.unreachable_check(cells, near, tolerance)
+    eligible = materialise(service.eligible_in_range(cells, stations, candidates, radius_m, coverage_m))
     area = kept if "area_id" in kept.columns else kept.withColumn("area_id", F.lit(0))
     all_picks = siting.greedy_siting(area, eligible, None, build_cost)
     status = siting.siting_status(area, all_picks, [budget])
     picks = all_picks.filter(F.col("step") <= budget)
     built = candidates.join(picks.select("candidate_id").distinct(), "candidate_id", "left_semi").select("candidate_id", "x", "y")
     assignment = materialise(service.assign_nearest_open(eligible, built))
-    far = service.constrained_cells(kept, pairs, coverage_m)
-    summary = service.results_summary(kept, stations, pairs, assignment, built, build_cost, coverage_m, gap_m)
+    far = service.constrained_cells(kept, near, coverage_m)
+    summary = service.results_summary(kept, stations, near, assignment, built, build_cost, coverage_m, gap_m)
     feasible = status.agg(F.coalesce(F.every(F.col("status") == "FEASIBLE"), F.lit(True))).scalar()
     chosen = ["n_new_substations", "total_new_load_served_kw", "new_coverage_area_km2", "avg_service_dist_after_m", "max_service_dist_after_m",
               "coverage_gap_after_pct", "assignment_cost", "build_cost", "total_objective"]
     summary = summary.withColumn("status", F.when(feasible, "FEASIBLE").otherwise("INFEASIBLE"))
     summary = summary.withColumns({c: F.when(F.col("status") == "FEASIBLE", F.col(c)) for c in chosen})
     return {
-        "candidates": candidates, "pairs": pairs, "picks": picks, "all_picks": all_picks, "status": status,
+        "candidates": candidates, "pairs": service.service_pairs(cells, stations, candidates, radius_m), "picks": picks, "all_picks": all_picks, "status": status,
         "assignment": assignment, "sites": service.per_substation_table(built, kept, assignment),
         "summary": summary,
         "expansion": selection.rank_expansion_clusters(
