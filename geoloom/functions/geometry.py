@@ -8,6 +8,8 @@ builds it once per row with ``withColumn`` and uses it many times.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,10 +50,14 @@ def _relative_cross(e: Column, ox: Column, oy: Column) -> Column:
     return (e["x1"] - ox) * (e["y2"] - oy) - (e["x2"] - ox) * (e["y1"] - oy)
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, also where ``body`` uses it inside lambdas, which would compute it again per element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def signed_area(edge_list: Column) -> Column:
     # Shifting to the first vertex keeps projected (1e6-sized) coordinates accurate.
-    ox, oy = edge_list[0]["x1"], edge_list[0]["y1"]
-    return _sum(edge_list, lambda e: _relative_cross(e, ox, oy)) / 2
+    return once(edge_list, lambda es: _sum(es, lambda e: _relative_cross(e, es[0]["x1"], es[0]["y1"])) / 2)
 
 
 def polygon_area(edge_list: Column) -> Column:
