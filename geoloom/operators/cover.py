@@ -11,6 +11,11 @@ Anchors lie at odd fractions of a bin, so that edges on round coordinates do not
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +59,64 @@ def cover(polygons: DataFrame, polygon_id: str, edges: str, size: float, walk) -
     return outline.unionByName(inside.select(polygon_id, *BIN, F.lit(None).alias("_local"), F.lit(True).alias("_inside")))
 
 
+FACES = ("_ex0", "_ey0", "_ex1", "_ey1", "_bl", "_br", "_tl")
+
+
+def faces(bins: DataFrame, size: float) -> DataFrame:
+    """Adds a box around the edges inside each bin and whether three corners of the bin are in the polygon, for :func:`decided`; a bin
+    that is wholly inside has an empty box on its far right."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            local = b.column("_local")
+            edges = np.stack([x.to_numpy() for x in local.flatten().flatten()], axis=1).reshape(-1, 4)
+            bx, by = (b.column(k).to_numpy() * float(size) for k in BIN)
+            found = _faces(edges, np.append(0, np.cumsum(pc.list_value_length(local).to_numpy())), b.column("_inside").to_numpy(zero_copy_only=False), bx, by, size)
+            yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, found)], names=[*b.schema.names, *FACES])
+
+    kinds = [*[f"{k} double" for k in FACES[:4]], *[f"{k} boolean" for k in FACES[4:]]]
+    outline = bins.filter("_local IS NOT NULL")
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in outline.schema.fields], *kinds])
+    none = [F.lit(None).cast("double")] * 3
+    whole = bins.filter("_local IS NULL").select("*", *[c.alias(k) for c, k in zip([F.lit(float("inf")), *none, *[F.lit(True)] * 3], FACES)])
+    return outline.mapInArrow(each, schema).unionByName(whole)
+
+
+def _faces(edges: np.ndarray, begin: np.ndarray, anchored: np.ndarray, bx: np.ndarray, by: np.ndarray, size: float) -> list[np.ndarray]:
+    """:data:`FACES` of bins with the edges ``begin[i]`` to ``begin[i + 1]`` each (one at least)."""
+    own, pad = np.repeat(np.arange(len(bx)), np.diff(begin)), size * 1e-6
+    x1, y1, x2, y2 = edges.T
+    left, bottom = bx[own], by[own]
+
+    def clip(a1, b1, a2, b2, low, high):
+        """Range of the second coordinate where the first is in the bin; a steep edge is bounded by its ends alone."""
+        steep = np.abs(a2 - a1) <= pad
+        slope = (b2 - b1) / np.where(steep, 1.0, a2 - a1)
+        ends = [b1 + (np.clip(v, np.minimum(a1, a2), np.maximum(a1, a2)) - a1) * slope for v in (low - pad, high + pad)]
+        least, most = np.minimum(b1, b2), np.maximum(b1, b2)
+        return (np.where(steep, least, np.maximum(np.minimum(*ends), least)) - pad, np.where(steep, most, np.minimum(np.maximum(*ends), most)) + pad)
+
+    x, y = clip(y1, x1, y2, x2, bottom, bottom + size), clip(x1, y1, x2, y2, left, left + size)
+    box = [np.minimum.reduceat(np.maximum(x[0], left - pad), begin[:-1]), np.minimum.reduceat(np.maximum(y[0], bottom - pad), begin[:-1]),
+           np.maximum.reduceat(np.minimum(x[1], left + size + pad), begin[:-1]), np.maximum.reduceat(np.minimum(y[1], bottom + size + pad), begin[:-1])]
+    ax, ay = left + ANCHOR_X * size, bottom + ANCHOR_Y * size
+
+    def corner(px, py):
+        """As :func:`inside`."""
+        with np.errstate(divide="ignore", invalid="ignore"):
+            across, up = x1 + (py - y1) * ((x2 - x1) / (y2 - y1)), y1 + (ax - x1) * ((y2 - y1) / (x2 - x1))
+        level = ((y1 > py) != (y2 > py)) & (across > np.minimum(ax, px)) & (across <= np.maximum(ax, px))
+        upright = ((x1 > ax) != (x2 > ax)) & (up > np.minimum(ay, py)) & (up <= np.maximum(ay, py))
+        return anchored != (np.add.reduceat(level.astype(np.int64) + upright, begin[:-1]) % 2 == 1)
+
+    return [*box, corner(left, bottom), corner(left + size, bottom), corner(left, bottom + size)]
+
+
+def decided(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Whether a box of the bin is in the polygon, if no edge is near: no edge then parts it from a corner of the bin. NULL where one is."""
+    return (F.when((x1 < F.col("_ex0")) | (y1 < F.col("_ey0")), F.col("_bl")).when(x0 > F.col("_ex1"), F.col("_br"))
+            .when(y0 > F.col("_ey1"), F.col("_tl")))
+
+
 def inside(x: Column, y: Column, size: float) -> Column:
     """Point of the bin inside the polygon, by the way from the anchor: level first, then upright. Points on an edge may fall either way."""
     ax, ay = anchor(size)
@@ -68,26 +131,69 @@ def inside(x: Column, y: Column, size: float) -> Column:
     return F.col("_inside") != odd
 
 
-def covered(x: Column, y: Column, size: float) -> Column:
-    """Inside or on the outline."""
-    return inside(x, y, size) | G.on_boundary(F.col("_local"), x, y)
-
-
-def points_within(inner: Column, size: float) -> tuple[Column, Column]:
-    """Corners and edge middles of ``inner`` in the bin that lie in the polygon, and whether an outline in the bin
-    crosses ``inner`` or has a corner inside it."""
+def tally(pairs: DataFrame, inner: str, size: float) -> DataFrame:
+    """Adds ``_counted`` and ``_cut`` to rows of an inner edge list and a bin with edges: how many of the corners and edge middles of ``inner`` in
+    the bin lie in the polygon or on its outline, and whether an outline in the bin crosses ``inner`` or has a corner inside it."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            flat = [np.stack([x.to_numpy() for x in b.column(k).flatten().flatten()], axis=1).reshape(-1, 4) for k in (inner, "_local")]
+            sizes = [pc.list_value_length(b.column(k)).to_numpy().astype(np.int64) for k in (inner, "_local")]
+            counted, cut = _tally(*flat, *sizes, b.column("_inside").to_numpy(zero_copy_only=False), *(b.column(k).to_numpy() for k in BIN), size)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(counted), pa.array(cut)], names=[*b.schema.names, "_counted", "_cut"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema.fields)
+    return pairs.mapInArrow(each, f"{schema}, _counted bigint, _cut boolean")
+
+
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    return np.cumsum(sizes) - sizes
+
+
+def _side_of(ax, ay, bx, by, px, py):
+    return (bx - ax) * (py - ay) - (by - ay) * (px - ax)
+
+
+def _on_edge(ax, ay, bx, by, px, py):
+    return ((_side_of(ax, ay, bx, by, px, py) == 0) & (px >= np.minimum(ax, bx)) & (px <= np.maximum(ax, bx))
+            & (py >= np.minimum(ay, by)) & (py <= np.maximum(ay, by)))
+
+
+def _tally(inner, local, m, n, anchored, bx, by, size) -> tuple[np.ndarray, np.ndarray]:
+    """Row ``i`` has ``m[i]`` inner and ``n[i]`` local edges, one of each at least; all are paired in the order of the inner ones."""
+    row = np.repeat(np.arange(len(m)), m)
+    each = n[row]
+    a = np.repeat(np.arange(len(row)), each)
+    first = _starts(each)
+    b = np.arange(len(a)) - np.repeat(first - _starts(n)[row], each)
+    x1, y1, x2, y2 = local[b].T
+    p1, q1, p2, q2 = inner[a].T
+    left, low = bx * float(size), by * float(size)
+    ax, ay = (left + ANCHOR_X * size)[row][a], (low + ANCHOR_Y * size)[row][a]
+    counted = np.zeros(len(m), np.int64)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        up = y1 + (ax - x1) * ((y2 - y1) / (x2 - x1))
+        for px, py in ((p1, q1), ((p1 + p2) / 2, (q1 + q2) / 2)):
+            across = x1 + (py - y1) * ((x2 - x1) / (y2 - y1))
+            level = ((y1 > py) != (y2 > py)) & (across > np.minimum(ax, px)) & (across <= np.maximum(ax, px))
+            upright = ((x1 > ax) != (x2 > ax)) & (up > np.minimum(ay, py)) & (up <= np.maximum(ay, py))
+            odd = np.add.reduceat(level.astype(np.int64) + upright, first) % 2 == 1
+            held = (anchored[row] != odd) | np.logical_or.reduceat(_on_edge(x1, y1, x2, y2, px, py), first)
+            here = (np.floor(px[first] / size) == bx[row]) & (np.floor(py[first] / size) == by[row])
+            counted += np.add.reduceat((held & here).astype(np.int64), _starts(m))
+        # The corner of a local edge strictly inside the inner polygon, by even-odd over all inner edges.
+        rising = q2 > q1
+        ray = ((q1 > y1) != (q2 > y1)) & (rising == (_side_of(p1, q1, p2, q2, x1, y1) > 0))
+    crossed = ((np.sign(_side_of(x1, y1, x2, y2, p1, q1)) * np.sign(_side_of(x1, y1, x2, y2, p2, q2)) < 0)
+               & (np.sign(_side_of(p1, q1, p2, q2, x1, y1)) * np.sign(_side_of(p1, q1, p2, q2, x2, y2)) < 0))
+    hits = np.bincount(b, ray, len(local)) % 2 == 1
+    edge = np.bincount(b, _on_edge(p1, q1, p2, q2, x1, y1), len(local)) > 0
+    cut = np.logical_or.reduceat(crossed, first[_starts(m)]) | np.logical_or.reduceat(hits & ~edge, _starts(n))
+    return counted, cut
+
+
+def points_here(inner: Column, size: float) -> Column:
+    """Corners and edge middles of ``inner`` in the bin."""
     corners = F.transform(inner, lambda e: F.struct(e["x1"].alias("x"), e["y1"].alias("y")))
     middles = F.transform(inner, lambda e: F.struct(((e["x1"] + e["x2"]) / 2).alias("x"), ((e["y1"] + e["y2"]) / 2).alias("y")))
-    here = F.filter(F.concat(corners, middles), lambda p: (F.floor(p["x"] / F.lit(float(size))) == F.col("_bx"))
+    return F.filter(F.concat(corners, middles), lambda p: (F.floor(p["x"] / F.lit(float(size))) == F.col("_bx"))
                     & (F.floor(p["y"] / F.lit(float(size))) == F.col("_by")))
-    xs, ys = F.flatten(F.transform(inner, lambda e: F.array(e["x1"], e["x2"]))), F.flatten(F.transform(inner, lambda e: F.array(e["y1"], e["y2"])))
-    box = (F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys))
-    touched = F.exists("_local", lambda e: G.segment_meets_box(e, *box))
-    first = F.get(here, F.lit(0))
-    counted = (F.when(F.col("_local").isNull(), F.size(here))
-               .when(F.size(here) == 0, 0)
-               .when(~touched, F.when(inside(first["x"], first["y"], size), F.size(here)).otherwise(0))
-               .otherwise(F.size(F.filter(here, lambda p: covered(p["x"], p["y"], size)))))
-    crossed = F.exists(inner, lambda a: F.exists("_local", lambda b: G._proper_crossing(a, b)))
-    swallowed = F.exists("_local", lambda e: G.contains_point(inner, e["x1"], e["y1"]))
-    return counted, F.when(F.col("_local").isNull(), False).when(~touched, False).otherwise(crossed | swallowed)

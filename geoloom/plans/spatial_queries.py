@@ -9,6 +9,7 @@ from geoloom.functions import projection as P
 from geoloom.functions import scalars as S
 from geoloom.operators import demand, grids, selection, service, siting, sites, spatial
 from geoloom.operators.checkpoints import materialise
+from geoloom.operators.skew import spread
 from geoloom.plans.fixtures import fixture, table
 from geoloom.plans.jobs import siting_job
 from geoloom.plans.registry import query, rounded
@@ -30,13 +31,13 @@ def seg_dist(p, s):
 
 
 def rect_table(spark, sf):
-    b = fixture(spark, sf, "block_groups")
+    b = spread(fixture(spark, sf, "block_groups"), "geoid")  # its file is small, the work on its rows is not
     rings = G.rectangle(F.col("x0"), F.col("y0"), F.col("x0") + F.col("w"), F.col("y0") + F.col("h"))
     return b.withColumn("rings", rings).withColumn("edges", G.edges(F.col("rings")))
 
 
 def building_table(spark, sf):
-    b = fixture(spark, sf, "buildings")
+    b = spread(fixture(spark, sf, "buildings"), "bld_id")
     rings = G.rectangle(F.col("x"), F.col("y"), F.col("x") + F.col("side"), F.col("y") + F.col("side"))
     return b.select("bld_id", "side", G.edges(rings).alias("inner_edges"))
 
@@ -161,8 +162,8 @@ def spatial_join_within(spark, sf):
     FROM fx_buildings b JOIN fx_block_groups g ON b.x >= g.x0 AND b.x + b.side <= g.x0 + g.w AND b.y >= g.y0
     AND b.y + b.side <= g.y0 + g.h GROUP BY g.geoid""")
 def building_area_by_geoid(spark, sf):
-    pairs = spatial.polygon_within_join(building_table(spark, sf), rect_table(spark, sf).select("geoid", F.col("edges").alias("outer_edges")), 250.0)
-    pairs = pairs.withColumn("area_m2", G.polygon_area(F.col("inner_edges")))
+    buildings = building_table(spark, sf).withColumn("area_m2", G.polygon_area(F.col("inner_edges")))
+    pairs = spatial.polygon_within_join(buildings, rect_table(spark, sf).select("geoid", F.col("edges").alias("outer_edges")), 250.0)
     return rounded(demand.building_area_by_geoid(pairs, "geoid"), "building_area_m2")
 
 

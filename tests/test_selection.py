@@ -363,3 +363,18 @@ def test_duplicates_go_county_by_county(spark, monkeypatch, tile):
         alone = [operator(df.filter(F.col("county").eqNullSafe(c)), "id") for c in ("a", "b", None)]
         assert got == sorted(r.id for d in alone for r in d.collect())
         assert {300, 301, 302} <= set(got) and operator(df, "id", by=["county"]).columns == df.columns
+
+
+def test_polygons_clear_of_edges_are_decided_before_python(spark, monkeypatch):
+    """Only inner polygons whose part of a bin is near an edge are tallied; slanted edges are boxed inside their bin."""
+    ring = [(0.0, 0.0), (90.0, 10.0), (100.0, 95.0), (5.0, 100.0)]
+    outer = spark.createDataFrame([(0, [[{"x": x, "y": y} for x, y in ring]])], "oid int, rings array<array<struct<x:double,y:double>>>").select(
+        "oid", G.edges(F.col("rings")).alias("outer_edges"))
+    inner = spark.createDataFrame([(i, float(i % 25 * 4), float(i // 25 * 4)) for i in range(625)], "iid int, x double, y double").select(
+        "iid", G.edges(G.rectangle(F.col("x"), F.col("y"), F.col("x") + 1.5, F.col("y") + 1.5)).alias("inner_edges"))
+    seen = []
+    tally = spatial.cover.tally
+    monkeypatch.setattr(spatial.cover, "tally", lambda pairs, *a: seen.append(pairs) or tally(pairs, *a))
+    got = sorted(r.iid for r in spatial.polygon_within_join(inner, outer, 10.0).collect())
+    want = sorted(r.iid for r in inner.crossJoin(outer).filter(G.polygon_within(F.col("inner_edges"), F.col("outer_edges"))).select("iid").collect())
+    assert got == want and 0 < sum(p.count() for p in seen) < 400
