@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import scalars as S
 from geoloom.operators import spatial
+from geoloom.operators.checkpoints import materialise
 from geoloom.operators.skew import hash_bucket, ranked
 
 
@@ -211,11 +212,16 @@ def assign_group_folds(rows: DataFrame, group: str, n_folds: int = 5, positive:
 
 def newest_item_per_point(points: DataFrame, items: DataFrame, point_id: str, bin_size: float,
                           first_year: int, last_year: int) -> DataFrame:
-    """Newest catalogue item covering each point. ``items``: ``item_id, x0, y0, x1, y1, taken``."""
-    dated = items.filter(F.year("taken").between(first_year, last_year))
-    covering = spatial.point_box_join(points, dated, bin_size)
-    return covering.groupBy(point_id).agg(F.max_by("item_id", F.struct("taken", "item_id")).alias("item_id"),
-                                          F.max("taken").alias("taken"))
+    """Newest catalogue item covering each point. ``items``: ``item_id, x0, y0, x1, y1, taken``.
+
+    Items are numbered from the oldest to the newest first, so that the largest number per point is kept by hash; by date and id, every pair of
+    point and item would be sorted, in as few tasks as the files ask for. Points are spread over all tasks by bin.
+    """
+    dated = items.filter(F.year("taken").between(first_year, last_year)).withColumn("_order", F.struct("taken", "item_id"))
+    placed = materialise(ranked(dated, "_order", "_place").drop("_order"))
+    covering = spatial.point_box_join(points, placed.drop("item_id", "taken"), bin_size, heavy=True)
+    newest = covering.groupBy(point_id).agg(F.max("_place").alias("_place"))
+    return newest.join(placed.select("_place", "item_id", "taken"), "_place").select(point_id, "item_id", "taken")
 
 
 def first_tile_wins(patches: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:

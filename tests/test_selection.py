@@ -378,3 +378,16 @@ def test_polygons_clear_of_edges_are_decided_before_python(spark, monkeypatch):
     got = sorted(r.iid for r in spatial.polygon_within_join(inner, outer, 10.0).collect())
     want = sorted(r.iid for r in inner.crossJoin(outer).filter(G.polygon_within(F.col("inner_edges"), F.col("outer_edges"))).select("iid").collect())
     assert got == want and 0 < sum(p.count() for p in seen) < 400
+
+
+def test_newest_item_keeps_no_sorted_pairs(spark):
+    """Ties go to the larger id, items out of the years are left out, and no aggregate sorts its rows."""
+    import datetime as dt
+    from geoloom.operators.sampling import newest_item_per_point
+    day = lambda y, d: dt.datetime(y, 1, d)
+    items = spark.createDataFrame([(1, 0.0, 0.0, 9.0, 9.0, day(2021, 1)), (2, 0.0, 0.0, 5.0, 5.0, day(2022, 1)), (3, 0.0, 0.0, 4.0, 4.0, day(2022, 1)),
+                                   (4, 0.0, 0.0, 9.0, 9.0, day(2035, 1)), (5, 0.0, 0.0, 9.0, 9.0, None)], "item_id int, x0 double, y0 double, x1 double, y1 double, taken timestamp")
+    points = spark.createDataFrame([(0, 1.0, 1.0), (1, 5.0, 5.0), (2, 8.0, 8.0), (3, 20.0, 1.0)], "p int, x double, y double")
+    out = newest_item_per_point(points, items, "p", 10.0, 2020, 2030)
+    assert sorted((r.p, r.item_id, r.taken) for r in out.collect()) == [(0, 3, day(2022, 1)), (1, 2, day(2022, 1)), (2, 1, day(2021, 1))]
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
