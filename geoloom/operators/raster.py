@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from geoloom.functions import geometry as G
 from geoloom.operators import arrays, components, cover, spatial
 from geoloom.operators.checkpoints import materialise
+from geoloom.operators.skew import spread
 
 EPS = 1e-6
 BLOCK = 512
@@ -154,7 +155,7 @@ def positive_masks(patches: DataFrame, features: DataFrame, patch_id: str, bin_s
 
     Features become bins with their own edges (see :mod:`cover`), and a patch reads the bins it lies on. A pixel is positive when an edge there
     meets its closed square, when its bin is wholly inside, or when its centre is inside by parity from the bin's anchor. A patch is
-    put together in one task, feature by feature, in the memory of one mask.
+    put together in one task, feature by feature, in the memory of one mask: bins wholly inside come first, and a mask that is full takes no more.
     """
     shapes = materialise(features.select("edges").withColumn("_pid", F.monotonically_increasing_id()))
     bins = cover.cover(shapes, "_pid", "edges", bin_size, spatial.walk_bins)
@@ -165,7 +166,7 @@ def positive_masks(patches: DataFrame, features: DataFrame, patch_id: str, bin_s
     kind = patches.schema[patch_id].dataType.simpleString()
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, mask = None, None
+        current, mask, full = None, None, False
         for b in batches:
             names = [n for n in b.schema.names if n != "_local"]
             local = b.column("_local")
@@ -174,11 +175,14 @@ def positive_masks(patches: DataFrame, features: DataFrame, patch_id: str, bin_s
                     if mask is not None and mask.any():
                         yield _mask_row(patch_id, key, mask)
                     current, key, mask = row[patch_id], b.column(patch_id)[i:i + 1], np.zeros((row["height"], row["width"]), bool)
-                _add_bin(mask, row, local[i], bin_size)
+                    full = False
+                if not full:
+                    _add_bin(mask, row, local[i], bin_size)
+                    full = mask.all()
         if mask is not None and mask.any():
             yield _mask_row(patch_id, key, mask)
 
-    return reached.repartition(patch_id).sortWithinPartitions(patch_id).mapInArrow(each, f"`{patch_id}` {kind}, mask array<int>")
+    return spread(reached, patch_id).sortWithinPartitions(patch_id, F.col("_local").isNotNull()).mapInArrow(each, f"`{patch_id}` {kind}, mask array<int>")
 
 
 def _mask_row(patch_id: str, key: pa.Array, mask: np.ndarray) -> pa.RecordBatch:

@@ -209,3 +209,15 @@ def test_masks_of_concave_polygons_with_holes(spark):
         for r in near:
             want[r.patch_id][r.row, r.col] = 1
         assert all((got[k] == want[k]).all() for k in want)
+
+
+def test_masks_take_whole_bins_first(spark):
+    """A patch under one large feature is full after its first bins; the features after it change nothing."""
+    patches = spark.sql("SELECT 1 AS p, 8 AS height, 8 AS width, 1.0D AS a, 20.0D AS c, -1.0D AS e, 30.0D AS f")
+    boxes = spark.createDataFrame([(22.0, 24.0, 3.0), (0.0, 0.0, 90.0), (23.0, 25.0, 2.0)], "x double, y double, w double")
+    shapes = boxes.select(G.edges(G.rectangle(F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("w"))).alias("edges"))
+    out = raster.positive_masks(patches, shapes, "p", 50.0)
+    assert [sum(r.mask) for r in out.collect()] == [64]
+    assert "isnotnull(_local" in out._jdf.queryExecution().optimizedPlan().toString()
+    few = raster.positive_masks(patches, shapes.filter("edges[0].x1 > 1"), "p", 50.0)
+    assert [0 < sum(r.mask) < 64 for r in few.collect()] == [True]
