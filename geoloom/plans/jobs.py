@@ -26,10 +26,10 @@ def siting_job(cells: DataFrame, stations: DataFrame, segments: DataFrame | None
     sites = demand.generate_candidates(cells, stations, segments, data_centers, min_demand_kw, line_distance_m, dc_radius_m)
     # Data-centre ids follow the cell ids: twice the id, odd for data centres, keeps both unique.
     candidates = materialise(sites.withColumn("candidate_id", F.col("source_id") * 2 + (F.col("source") == "data_center").cast("int")))
-    # The nearest server of each cell says what is in reach; of the pairs only the eligible ones are written.
+    # The nearest server of each cell says what is in reach; of the pairs only those that can decide anything are written.
     near = materialise(service.nearest_servers(cells, stations, candidates, radius_m))
     kept = service.unreachable_check(cells, near, tolerance)
-    eligible = materialise(service.eligible_in_range(cells, stations, candidates, radius_m, coverage_m))
+    eligible = materialise(service.deciding_in_range(cells, stations, candidates, radius_m, coverage_m))
     area = kept if "area_id" in kept.columns else kept.withColumn("area_id", F.lit(0))
     all_picks = siting.greedy_siting(area, eligible, None, build_cost)
     status = siting.siting_status(area, all_picks, [budget])

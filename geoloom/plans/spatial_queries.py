@@ -373,8 +373,8 @@ def constraint_audit(spark, sf):
 
 
 def siting_inputs(spark, sf):
-    cells = materialise(fixture(spark, sf, "cells").select("cell_id", "demand_kw", F.lit(0).alias("area_id")))
-    eligible = materialise(eligible_of(spark, sf))
+    cells = materialise(fixture(spark, sf, "cells").select("cell_id", "x", "y", "demand_kw", F.lit(0).alias("area_id")))
+    eligible = materialise(service.deciding_in_range(cells, fixture(spark, sf, "stations"), candidate_points(spark, sf), SERVICE_M, COVERAGE_M))
     return cells, eligible
 
 
