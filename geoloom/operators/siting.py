@@ -10,6 +10,7 @@ Study areas (``area_id``) never share cells and advance together.
 Rounds work on live edges only: those of cells that are still open or could still come nearer. After a round the edges of
 the cells that were served shrink or go, and only candidates with such an edge are summed again. An area whose live edges fit a
 task (``LOCAL_EDGES``) is finished there by the serial rule, all such areas in parallel, instead of in a long tail of small rounds.
+Where cells have positions, larger areas are first cut into parts too far apart to share a candidate; each part then counts as an area of its own.
 """
 
 from __future__ import annotations
@@ -23,14 +24,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from geoloom.operators import spatial
 from geoloom.operators.checkpoints import materialise
+from geoloom.operators.components import connected_components
 from geoloom.operators.service import BUILD_COST
-from geoloom.operators.skew import ranked
+from geoloom.operators.skew import ranked, spread
 
 GAIN_DIGITS = 6
 #: Edges of an area that one task finishes (about 50 bytes each).
 LOCAL_EDGES = 1_000_000
-AREA_CELL, AREA_SUB = ["area_id", "cell_id"], ["area_id", "sub_id"]
+AREA_CELL, AREA_SUB, PART = ["area_id", "cell_id"], ["area_id", "sub_id"], ["area_id", "_part"]
 
 
 def _local_best(live: DataFrame, scores: DataFrame) -> DataFrame:
@@ -48,7 +51,7 @@ def _scores(live: DataFrame, phase: str, build_cost: float) -> DataFrame:
 
 
 def finish_area(phase: str, build_cost: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Serial greedy over the live edges of one area."""
+    """Serial greedy over the live edges of one area, or of a part of it."""
     def finish(edges: pd.DataFrame) -> pd.DataFrame:
         edges = edges.sort_values(["sub_id", "cell_id"], kind="stable")
         ids, sub = np.unique(edges["sub_id"].to_numpy(), return_inverse=True)
@@ -93,22 +96,47 @@ def finish_area(phase: str, build_cost: float) -> Callable[[pd.DataFrame], pd.Da
     return finish
 
 
+def _with_parts(cells: DataFrame, eligible: DataFrame) -> DataFrame:
+    """``area_id, cell_id, demand_kw`` and ``_part``; cells of different parts share no candidate.
+
+    Cells that share one lie within twice the longest distance of a pair, so in the same bin of that side or in touching ones: the
+    parts are the components of occupied bins. One part where cells have no positions, or where all pairs fit a task.
+    """
+    whole = cells.select("area_id", "cell_id", "demand_kw", F.lit(0).cast("bigint").alias("_part"))
+    if not {"x", "y"} <= set(cells.columns):
+        return whole
+    n, longest = eligible.filter("kind = 'candidate'").agg(F.count(F.lit(1)), F.max("dist_m")).first()
+    if n <= LOCAL_EDGES or not cells.filter("x IS NULL OR y IS NULL").isEmpty():
+        return whole
+    side = max(2 * longest * (1 + 1e-9), 1.0)
+    placed = spatial.with_bin(cells.select("area_id", "cell_id", "demand_kw", "x", "y"), side)
+    number = lambda x, y: x * F.lit(1 << 32) + y
+    bx, by = (F.col(c) for c in spatial.BIN)
+    bins = materialise(placed.select("area_id", number(bx, by).alias("_bin"), *spatial.BIN).distinct())
+    ahead = F.array(*[number(bx + i, by + j) for i, j in ((0, 1), (1, -1), (1, 0), (1, 1))])
+    beside = bins.select("area_id", F.col("_bin").alias("a"), F.explode(ahead).alias("b"))
+    touching = beside.join(bins.select("area_id", F.col("_bin").alias("b")), ["area_id", "b"])
+    parts = connected_components(bins, touching, "_bin", ["area_id"]).select("area_id", *spatial.BIN, F.col("component").alias("_part"))
+    return placed.join(parts, ["area_id", *spatial.BIN]).select("area_id", "cell_id", "demand_kw", "_part")
+
+
 def _phase(live: DataFrame, phase: str, build_cost: float) -> list[DataFrame]:
     """Picks ``(area_id, sub_id, score)`` of one phase, round by round."""
     picks: list[DataFrame] = []
     fields = ", ".join(f"{c} {live.schema[c].dataType.simpleString()}" for c in AREA_SUB)
     live, scores = materialise(live), None
     while True:
-        sizes = live.groupBy("area_id").agg(F.count(F.lit(1)).alias("n"))
+        sizes = live.groupBy(*PART).agg(F.count(F.lit(1)).alias("n"))
         small, large = (sizes.agg(F.count_if(F.col("n") <= LOCAL_EDGES), F.count_if(F.col("n") > LOCAL_EDGES)).first())
         if small:
-            fits = sizes.filter(F.col("n") <= LOCAL_EDGES).select("area_id")
-            done = live.join(fits, "area_id", "left_semi").groupBy("area_id").applyInPandas(finish_area(phase, build_cost), f"{fields}, score double")
+            fits = materialise(sizes.filter(F.col("n") <= LOCAL_EDGES).select(*PART))
+            inside = spread(live.join(fits, PART, "left_semi"), *PART)
+            done = inside.groupBy(*PART).applyInPandas(finish_area(phase, build_cost), f"{fields}, score double")
             picks.append(materialise(done))
             if not large:
                 return picks
-            live = live.join(fits, "area_id", "left_anti")
-            scores = scores.join(fits, "area_id", "left_anti") if scores is not None else None
+            live = materialise(live.join(fits, PART, "left_anti"))
+            scores = scores.join(live.select(*AREA_SUB).distinct(), AREA_SUB, "left_semi") if scores is not None else None
         if not large:
             return picks
         scores = materialise(_scores(live, phase, build_cost) if scores is None else scores)
@@ -132,7 +160,8 @@ def greedy_siting(cells: DataFrame, eligible: DataFrame, budget: int | None = 50
                   build_cost: float = BUILD_COST) -> DataFrame:
     """Picks ``(area_id, candidate_id, phase, step, score)`` in greedy order.
 
-    ``cells``: ``area_id, cell_id, demand_kw``; ``eligible``: ``cell_id, kind, sub_id, dist_m``.
+    ``cells``: ``area_id, cell_id, demand_kw``, if known also ``x, y`` in the metres of ``dist_m``, which then is the
+    straight distance; ``eligible``: ``cell_id, kind, sub_id, dist_m``, all pairs or those of :func:`~geoloom.operators.service.deciding_in_range`.
 
     Cover phase: until each cell with an eligible server has an open one, take the
     candidate that covers most uncovered demand. Gain phase: take the candidate with
@@ -140,10 +169,10 @@ def greedy_siting(cells: DataFrame, eligible: DataFrame, budget: int | None = 50
     ``budget=None`` keeps every pick. An area whose cover phase alone is over budget is
     infeasible, see :func:`siting_status`.
     """
-    demand = cells.select("area_id", "cell_id", "demand_kw")
+    demand = _with_parts(cells, eligible)
     pairs = eligible.join(demand, "cell_id")
     # Copies of a key pair cannot occur: one distance per (cell, server).
-    options = materialise(pairs.filter("kind = 'candidate'").select("area_id", "cell_id", "sub_id", "dist_m", "demand_kw"))
+    options = materialise(pairs.filter("kind = 'candidate'").select("area_id", "_part", "cell_id", "sub_id", "dist_m", "demand_kw"))
     existing = pairs.filter("kind = 'existing'").groupBy(*AREA_CELL).agg(F.min("dist_m").alias("cur"))
     covers = _phase(options.join(existing.select(*AREA_CELL), AREA_CELL, "left_anti"), "cover", build_cost)
     current = existing

@@ -219,6 +219,34 @@ def test_areas_are_sited_side_by_side(spark, monkeypatch, local):
     assert got == want and picks.groupBy("area_id").count().count() >= 2
 
 
+def test_parts_far_apart_are_finished_without_rounds(spark, monkeypatch):
+    """One area, a chain of touching bins and clusters out of reach of each other: each part fits a task, all together do not."""
+    monkeypatch.setattr(siting, "LOCAL_EDGES", 500)
+    rng = random.Random(4)
+    spot = lambda k: (k * 60000.0 + rng.random() * 25000 - 30000, rng.random() * 25000 - 9000)
+    cells, sites = ([(k * 100 + i, *spot(k)) for k in range(4) for i in range(n)] for n in (50, 25))
+    stations = [(i, *spot(i % 4)) for i in range(6)]
+    demand = {c[0]: float(rng.randint(1, 50)) for c in cells}
+    near = lambda pts: [(c[0], s[0], gap(c, s)) for c in cells for s in pts if gap(c, s) <= 9000]
+    edges, existing = near(sites), near(stations)
+    assert len(edges) > 1000
+    pairs = spark.createDataFrame([(d, "candidate", s, m) for d, s, m in edges] + [(d, "existing", s, m) for d, s, m in existing],
+                                  "cell_id long, kind string, sub_id long, dist_m double")
+    cell_df = spark.createDataFrame([(0, c[0], demand[c[0]], c[1], c[2]) for c in cells], "area_id int, cell_id long, demand_kw double, x double, y double")
+    want = [(s, phase) for s, phase, _ in serial_siting(demand, edges, [(d, m) for d, _, m in existing], 100000.0)]
+    assert {phase for _, phase in want} == {"cover", "gain"}
+
+    def refuse(*args):
+        raise AssertionError("a round over all parts")
+    monkeypatch.setattr(siting, "_local_best", refuse)
+    picks = siting.greedy_siting(cell_df, pairs, None, 100000.0)
+    assert [(r.candidate_id, r.phase) for r in picks.orderBy("step").collect()] == want and picks.select("area_id").distinct().count() == 1
+    monkeypatch.undo()
+    monkeypatch.setattr(siting, "LOCAL_EDGES", 60)  # now in rounds, some parts ending before others
+    picks = siting.greedy_siting(cell_df, pairs, None, 100000.0)
+    assert [(r.candidate_id, r.phase) for r in picks.orderBy("step").collect()] == want
+
+
 def test_salted_join_equals_plain(spark):
     big = spark.range(2000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"))
     small = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
