@@ -21,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geoloom.operators.checkpoints import materialise
+from geoloom.operators.skew import repeated
 
 #: A bin with more items is cut, at most so many times (a millionth of the base bin's side).
 LEAF_ITEMS, DEEPEST = 32, 10
@@ -43,8 +44,8 @@ class Items:
 
 def _around(df: DataFrame, reach: int = 1) -> DataFrame:
     steps = F.sequence(F.lit(-reach), F.lit(reach))
-    return (df.withColumn("_dx", F.explode(steps)).withColumn("_dy", F.explode(steps))
-            .withColumns({"_bx": F.col("_bx") + F.col("_dx"), "_by": F.col("_by") + F.col("_dy")}).drop("_dx", "_dy"))
+    return repeated(df.withColumn("_dx", F.explode(steps)).withColumn("_dy", F.explode(steps))
+                    .withColumns({"_bx": F.col("_bx") + F.col("_dx"), "_by": F.col("_by") + F.col("_dy")}).drop("_dx", "_dy"))
 
 
 def _own_bin(df: DataFrame, size: float) -> DataFrame:
@@ -149,5 +150,5 @@ def _walk(pending: DataFrame, row_id: str, nodes: list, items: Items, extent: fl
         here = (met.select(row_id, "x", "y", "_bound", (F.col("_bx") * 4).alias("_bx"), (F.col("_by") * 4).alias("_by"))
                 .withColumn("_dx", F.explode(quarter)).withColumn("_dy", F.explode(quarter))
                 .withColumns({"_bx": F.col("_bx") + F.col("_dx"), "_by": F.col("_by") + F.col("_dy")}).drop("_dx", "_dy"))
-        here = here.filter(_to_square(side / 4)[0] <= F.col("_bound") * ROOM)
+        here = repeated(here.filter(_to_square(side / 4)[0] <= F.col("_bound") * ROOM))
     return found.groupBy(row_id).agg(F.min("_hit").alias("_hit"))

@@ -28,7 +28,7 @@ from geoloom.operators import spatial
 from geoloom.operators.checkpoints import materialise
 from geoloom.operators.components import connected_components
 from geoloom.operators.service import BUILD_COST
-from geoloom.operators.skew import ranked, spread
+from geoloom.operators.skew import ranked, repeated, spread
 
 GAIN_DIGITS = 6
 #: Edges of an area that one task finishes (about 50 bytes each).
@@ -114,7 +114,7 @@ def _with_parts(cells: DataFrame, eligible: DataFrame) -> DataFrame:
     bx, by = (F.col(c) for c in spatial.BIN)
     bins = materialise(placed.select("area_id", number(bx, by).alias("_bin"), *spatial.BIN).distinct())
     ahead = F.array(*[number(bx + i, by + j) for i, j in ((0, 1), (1, -1), (1, 0), (1, 1))])
-    beside = bins.select("area_id", F.col("_bin").alias("a"), F.explode(ahead).alias("b"))
+    beside = repeated(bins.select("area_id", F.col("_bin").alias("a"), F.explode(ahead).alias("b")))
     touching = beside.join(bins.select("area_id", F.col("_bin").alias("b")), ["area_id", "b"])
     parts = connected_components(bins, touching, "_bin", ["area_id"]).select("area_id", *spatial.BIN, F.col("component").alias("_part"))
     return placed.join(parts, ["area_id", *spatial.BIN]).select("area_id", "cell_id", "demand_kw", "_part")

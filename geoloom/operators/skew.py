@@ -23,6 +23,15 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def repeated(df: DataFrame) -> DataFrame:
+    """Mark a table whose rows were repeated by ``explode``, for the next join on it.
+
+    Spark takes its size for that of the rows before, and would send many times its limit for broadcasts through the driver. Such joins
+    are sort-merge joins.
+    """
+    return df.hint("merge")
+
+
 def hot_keys(sides: Sequence[DataFrame], keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> list[DataFrame | None]:
     """For each table of counts (keys + ``n``) the keys too large for one task and how many salts they need, by the key's own size
     only; None where there are none. One job looks at all sides.
@@ -74,8 +83,8 @@ def _salted(big: DataFrame, small: DataFrame, keys: list[str], hot: DataFrame, s
     """``big`` with a salt per row, ``small`` repeated for every salt of its key."""
     part = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.col("_salts"))
     left = big.join(hot, keys, "left").withColumn(salt, F.coalesce(part, F.lit(0)).cast("int")).drop("_salts")
-    right = small.join(hot, keys, "left").withColumn(
-        salt, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0))))).drop("_salts")
+    right = repeated(small.join(hot, keys, "left").withColumn(
+        salt, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0))))).drop("_salts"))
     return left, right
 
 
