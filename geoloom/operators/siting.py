@@ -228,7 +228,7 @@ def budget_sweep(cells: DataFrame, eligible: DataFrame, reachable: DataFrame, pi
     served = best.select("max_new", "cell_id", "b.dist_m", (F.col("b.kind") == "candidate").alias("new"))
     flagged = cells.select("area_id", "cell_id", "demand_kw").join(
         reachable.select("cell_id", F.lit(True).alias("near")), "cell_id", "left").withColumn(
-        "max_new", F.explode(limits)).join(served, ["max_new", "cell_id"], "left")
+        "max_new", F.explode(limits)).join(repeated(served), ["max_new", "cell_id"], "left")
     dist, near = F.coalesce("dist_m", F.lit(0.0)), F.coalesce("near", F.lit(False))
     new = F.coalesce("new", F.lit(False))
     rows = flagged.groupBy("area_id", "max_new").agg(
