@@ -63,10 +63,10 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     both = [counts, small_counts] if small_counts is not None and how == "inner" else [counts]
     hot, *other = hot_keys(both, keys, rows_per_salt)
     if hot is not None:  # a join with no hot keys would change nothing
-        left, right = _salted(left, right, keys, hot, "_salt")
+        left, right = salted(left, right, keys, hot, "_salt")
         on.append("_salt")
     if other and other[0] is not None:
-        right, left = _salted(right, left, keys, other[0], "_salt2")
+        right, left = salted(right, left, keys, other[0], "_salt2")
         on.append("_salt2")
     extra = on[len(keys):]
     left = spread(left, *on) if heavy else left
@@ -79,7 +79,7 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     return left.join(renamed, match, how).drop(*extra, *[f"_r_{k}" for k in on])
 
 
-def _salted(big: DataFrame, small: DataFrame, keys: list[str], hot: DataFrame, salt: str) -> tuple[DataFrame, DataFrame]:
+def salted(big: DataFrame, small: DataFrame, keys: list[str], hot: DataFrame, salt: str) -> tuple[DataFrame, DataFrame]:
     """``big`` with a salt per row, ``small`` repeated for every salt of its key."""
     part = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.col("_salts"))
     left = big.join(hot, keys, "left").withColumn(salt, F.coalesce(part, F.lit(0)).cast("int")).drop("_salts")

@@ -102,3 +102,34 @@ def test_temporal_gap_floors_negative_part_days(spark):
 def test_buffer_area(spark):
     area = G.polygon_area(G.edges(G.buffer_point(*lit(100, 100), 75.0)))
     assert one(spark, CONCAVE, area)[0] == pytest.approx(math.pi * 75**2, rel=2e-3)
+
+
+def test_polygons_within_send_no_bins(spark, monkeypatch):
+    """What is written and shuffled grows with polygons and tiles, not with bins; odd shapes, tile borders and hot tiles give the rows of a full comparison."""
+    import random
+
+    from geoloom.operators import skew, spatial
+    draw = random.Random(3)
+    spots = [(i, draw.uniform(-300, 300), draw.uniform(-300, 300), draw.uniform(60, 260), draw.uniform(20, 200), draw.uniform(-60, 60)) for i in range(40)]
+    ring = lambda x, y, w, h, t: [(x, y), (x + w, y + t), (x + w + t, y + h + t), (x + w / 2, y + h / 2 + t), (x, y + h)]
+    outer = spark.createDataFrame([(i, [[{"x": a, "y": b} for a, b in ring(*rest)]]) for i, *rest in spots], "oid int, rings array<array<struct<x:double,y:double>>>")
+    outer = outer.select("oid", G.edges(F.col("rings")).alias("outer_edges")).unionByName(spark.createDataFrame([(99, None)], "oid int, outer_edges array<struct<x1:double,y1:double,x2:double,y2:double>>"))
+    boxes = [(i, draw.uniform(-310, 500), draw.uniform(-310, 500), draw.choice([0.5, 3.0, 9.0, 40.0])) for i in range(1200)]
+    inner = spark.createDataFrame(boxes, "iid int, x double, y double, s double").select(
+        "iid", "s", G.edges(G.rectangle(F.col("x"), F.col("y"), F.col("x") + F.col("s"), F.col("y") + F.col("s"))).alias("inner_edges"))
+    want = sorted(map(tuple, inner.crossJoin(outer).filter(G.polygon_within(F.col("inner_edges"), F.col("outer_edges"))).select("iid", "s", "oid").collect()))
+    written, write = [], spatial.cover.materialise
+
+    def kept(df):
+        written.append(write(df))
+        return written[-1]
+    for module in (spatial, spatial.cover):
+        monkeypatch.setattr(module, "materialise", kept)
+    got = spatial.polygon_within_join(inner, outer, 4.0)
+    assert sorted(map(tuple, got.select("iid", "s", "oid").collect())) == want and len(want) > 300
+    # Bins of side 4 would be about 1,000 a polygon; tiles have a side of 64.
+    assert sum(d.count() for d in written) < 40 * 60 + 1200
+    assert got.columns == ["iid", "s", "oid"]
+    monkeypatch.setattr(spatial.hot_keys, "__defaults__", (15,))
+    assert sorted(map(tuple, spatial.polygon_within_join(inner, outer, 4.0).collect())) == want
+    assert skew.hot_keys is spatial.hot_keys
