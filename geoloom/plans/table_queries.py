@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from geoloom.functions import geometry as G
 from geoloom.functions import scalars as S
 from geoloom.operators import evaluate, grids, quality, sampling
+from geoloom.operators.skew import spread
 from geoloom.plans.fixtures import fixture, patch_arrays, table
 from geoloom.plans.jobs import eval_set_job, patch_index_job
 from geoloom.plans.registry import query, rounded, scratch
@@ -695,7 +696,7 @@ def overpass_ways_to_lines(spark, sf):
 @query("clip_on_ingest", "buildings", """SELECT bld_id, round(x, 3) AS xmin, round(y + side, 3) AS ymax FROM fx_buildings WHERE x <= 40000 AND x + side >= 10000
     AND y <= 50000 AND y + side >= 20000""")
 def clip_on_ingest(spark, sf):
-    out = readers.clip_on_ingest(building_table(spark, sf), (10000.0, 20000.0, 40000.0, 50000.0), scratch(spark), "inner_edges")
+    out = readers.clip_on_ingest(spread(building_table(spark, sf), "bld_id"), (10000.0, 20000.0, 40000.0, 50000.0), scratch(spark), "inner_edges")
     return rounded(out.select("bld_id", "xmin", "ymax"), "xmin", "ymax", digits=3)
 
 
