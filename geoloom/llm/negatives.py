@@ -31,14 +31,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geoloom.operators.checkpoints import materialise
+from geoloom.operators.skew import repeated
 
 SCALE, POSITIVES, NEGATIVES = 256, 5, 10
 #: A negative's score is at least LOW and at most HIGH hundredths of the positive's.
 LOW, HIGH = 30, 90
 REFERENCES, SAMPLE = 16, 1024
-BLOCK, ANCHORS = 1024, 1024
-#: Pairs of blocks in a task, and rows it holds before it drops those that cannot be among the first.
-PAIRS_PER_TASK, HELD = 16, 200_000
+BLOCK, ANCHORS, PACKED_TOGETHER = 1024, 1024, 8
+#: Row blocks in a task: as many as ``TASKS`` tasks ask for, within these limits (a block takes about 1 MB). Rows a task holds before it drops those that cannot be among the first.
+LEAST_BLOCKS, MOST_BLOCKS, TASKS, HELD = 8, 64, 256, 200_000
 #: Angles are stored in 32 bits (error under 3e-7); cosines near 1 turn rounding of 1e-13 into angles of 5e-7.
 SLACK = 4e-6
 #: Scores are bounded up to this share of both lengths, and one.
@@ -272,13 +273,16 @@ def _summaries(groups: DataFrame) -> DataFrame:
         angles = np.frombuffer(b"".join(t.column("angles").to_pylist()), "<f4").reshape(t.num_rows, -1).astype(np.float64)
         norm = t.column("norm").to_numpy()
         low, high = t.column("low").to_numpy(), t.column("high").to_numpy()
-        bounds = np.concatenate([angles.min(axis=0), angles.max(axis=0), [norm.min()], [norm.max()], [low.min()], [high.max()]])
-        return pa.table([t.column("group")[:1], t.column("dim")[:1], pa.array([bounds.astype("<f8").tobytes()], pa.binary())],
+        return pa.table([t.column("group")[:1], t.column("dim")[:1], pa.array([_bounds(angles, norm, low, high).astype("<f8").tobytes()], pa.binary())],
                         names=["agroup", "adim", "abounds"])
 
     return groups.groupBy("group", "dim").applyInArrow(each, "agroup int, adim int, abounds binary")
 
 
+def _bounds(angles: np.ndarray, norm: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return np.concatenate([angles.min(axis=0), angles.max(axis=0), [norm.min()], [norm.max()], [low.min()], [high.max()]])
+
+
 def overlap(anchor: np.ndarray, rows: np.ndarray) -> bool:
     """Whether scores between a block of anchors and a block of rows may be ones that an anchor looks for."""
     m = (len(rows) - 2) // 2
@@ -289,35 +293,66 @@ def overlap(anchor: np.ndarray, rows: np.ndarray) -> bool:
 
 def meet(blocks: DataFrame, anchors: DataFrame, groups: int, each_pair, names: list[str], k: int) -> DataFrame:
     """Rows ``(key..., id, row, score)`` that ``each_pair(anchors, block)`` lists for the pairs of a group of anchors and a row block whose bounds
-    overlap; of a key, a task gives its first ``k``. Anchors have ``group, low, high``."""
+    overlap; of a key, a task gives its first ``k``. Anchors have ``group, low, high``.
+
+    A task holds some row blocks and reads the groups of anchors that meet one of them, one after the other: a block is sent once, a
+    group once per task, and neither per pair."""
     summaries = _summaries(anchors)
-    asked = blocks.select("block", F.col("dim").alias("rdim"), "bounds", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
+    count = blocks.count()
+    most = min(max(LEAST_BLOCKS, -(-count // TASKS)), MOST_BLOCKS)
+    tasks = max(1, -(-count // most))
+    # Neighbours in angle meet the same anchors and are dealt to different tasks: about 8 blocks come from a partition, see blocks_of.
+    ordinal = F.shiftright("block", 20) * PACKED_TOGETHER + F.col("block").bitwiseAND((1 << 20) - 1)
+    dealt = materialise(blocks.select("block", F.col("dim").alias("rdim"), "bounds").withColumn("task", (ordinal % tasks).cast("int")))
+    asked = repeated(dealt.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))))
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = [overlap(np.frombuffer(x, "<f8"), np.frombuffer(y, "<f8")) for x, y in zip(b.column("abounds").to_pylist(), b.column("bounds").to_pylist(), strict=True)]
-            yield b.filter(pa.array(keep, pa.bool_())).select(["block", "group"])
+            yield b.filter(pa.array(keep, pa.bool_())).select(["task", "group"])
 
-    pairs = materialise(asked.join(summaries, (F.col("adim") == F.col("rdim")) & (F.col("group") == F.col("agroup"))).select(
-        "block", "group", "abounds", "bounds").mapInArrow(near, "block bigint, group int"))
-    tasks = max(1, -(-pairs.count() // PAIRS_PER_TASK))
-    packed = anchors.groupBy("group").agg(F.collect_list(F.struct(*[c for c in anchors.columns if c != "group"])).alias("_anchors"))
-    both = pairs.join(packed, "group").repartition(tasks, "block").join(blocks, "block")
+    met = materialise(asked.join(summaries, (F.col("adim") == F.col("rdim")) & (F.col("group") == F.col("agroup"))).select(
+        "task", "group", "abounds", "bounds").mapInArrow(near, "task int, group int").distinct())
+    sent = anchors.join(repeated(met), "group").withColumns({"_anchor": F.struct(*anchors.columns), "_kind": F.lit(1)})
+    held_blocks = blocks.join(repeated(dealt.select("block", "task")), "block").withColumns({"_block": F.struct(*blocks.columns), "_kind": F.lit(0)})
+    both = held_blocks.select("task", "_kind", "_block").unionByName(sent.select("task", "_kind", "_anchor", "group"), allowMissingColumns=True)
+    both = both.repartition(2 * tasks, "task").sortWithinPartitions("task", "_kind", "group")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        task, here, group, some = None, [], None, []
+
+        def compared() -> Iterator[pa.RecordBatch]:
+            """The anchors read so far of a group against all blocks of the task they may look at."""
+            nonlocal held, some
+            for dim in {a["dim"] for a in some}:
+                own = [a for a in some if a["dim"] == dim]
+                around = _bounds(np.array([a["alpha"] for a in own]), *(np.array([a[k] for a in own]) for k in ("norm", "low", "high")))
+                for block, bounds in here:
+                    if block.dim != dim or not overlap(around, bounds):
+                        continue
+                    held += each_pair(own, block)
+                    if len(held) > HELD:
+                        held = leading(held, k)
+                        if len(held) > HELD // 2:
+                            yield _batch(held, names)
+                            held = []
+            some = []
+
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1).to_pylist()[0]
-                block = Block(row)
-                here = [a | {"q": np.frombuffer(a["q"], "<i8"), "alpha": np.frombuffer(a["angles"], "<f4").astype(np.float64)}
-                        for a in row["_anchors"] if a["dim"] == block.dim]
-                held += each_pair(here, block)
-                if len(held) > HELD:
-                    held = leading(held, k)
-                    if len(held) > HELD // 2:
-                        yield _batch(held, names)
-                        held = []
+                if row["task"] != task or row["group"] != group or len(some) == ANCHORS:
+                    yield from compared()
+                if row["task"] != task:
+                    task, here = row["task"], []
+                group = row["group"]
+                if row["_kind"] == 0:
+                    here.append((Block(row["_block"]), np.frombuffer(row["_block"]["bounds"], "<f8")))
+                else:
+                    a = row["_anchor"]
+                    some.append(a | {"q": np.frombuffer(a["q"], "<i8"), "alpha": np.frombuffer(a["angles"], "<f4").astype(np.float64)})
+        yield from compared()
         if held:
             yield _batch(leading(held, k), names)
 
@@ -346,7 +381,7 @@ def hard_negatives(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "em
     rows = materialise(prepared(vectors, vec_id, vector, label))
     count = rows.count()
     angled = with_angles(rows, references_of(rows))
-    blocks = materialise(blocks_of(angled, max(1, -(-count // (8 * BLOCK))), BLOCK))
+    blocks = materialise(blocks_of(angled, max(1, -(-count // (PACKED_TOGETHER * BLOCK))), BLOCK))
     anchors = materialise(anchors_of(blocks, every, positives))
     groups = max(1, -(-anchors.count() // ANCHORS))
     anchors = materialise(anchors.repartitionByRange(groups, "dim", "cell", "angle", "row").withColumn("group", F.spark_partition_id())
@@ -370,7 +405,7 @@ def hard_negatives(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "em
         "to", F.floor(wide * high / 100).cast("bigint")).filter(F.col("from") <= F.col("to"))
     wanted = sought.groupBy("row").agg(F.collect_list(F.struct("positive_row", "from", "to")).alias("windows"),
                                        F.min("from").cast("double").alias("low"), F.max("to").cast("double").alias("high"))
-    seekers = materialise(anchors.drop("low", "high", "least").join(wanted, "row"))
+    seekers = materialise(anchors.drop("low", "high", "least").join(repeated(wanted), "row"))
 
     def other_label(here: list[dict], block: Block) -> list[tuple]:
         out = []
@@ -385,7 +420,7 @@ def hard_negatives(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "em
     mined = meet(blocks, seekers, groups, other_label, ["row", "positive_row", "negative_id", "negative_row", "negative_score"], negatives)
     mined = _first(mined, ["row", "positive_row"], [F.col("negative_score").desc(), F.col("negative_id"), F.col("negative_row")], negatives, "rank")
     named = found.join(anchors.select("row", F.col("id").alias("anchor_id")), "row").select("row", "anchor_id", "positive_row", "positive_id", "positive_score")
-    return materialise(mined).join(named, ["row", "positive_row"]).select(
+    return materialise(mined).join(repeated(named), ["row", "positive_row"]).select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 

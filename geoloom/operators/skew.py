@@ -24,7 +24,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def repeated(df: DataFrame) -> DataFrame:
-    """Mark a table whose rows were repeated by ``explode``, for the next join on it.
+    """Mark a table whose rows were repeated by ``explode``, or are to be by a join, for the next join on it.
 
     Spark takes its size for that of the rows before, and would send many times its limit for broadcasts through the driver. Such joins
     are sort-merge joins.

@@ -7,6 +7,7 @@ import pytest
 
 from geoloom.llm import negatives
 from geoloom.llm.negatives import Block, _pack, hard_negatives, overlap, window
+from tests.test_repeated import sent_after_repeating
 
 SCHEMA = "vec_id bigint, embedding array<double>, label int, row string, id string, q string"
 
@@ -112,3 +113,19 @@ def test_the_first_of_every_key():
     assert negatives.leading(found, 2) == [(1, 6, 3, 200), (1, 4, 7, 100), (2, 1, 1, 7)]
     two = [(1, 1, 3, 3, 5), (1, 2, 3, 3, 4), (1, 1, 2, 2, 5)]
     assert negatives.leading(two, 1) == [(1, 1, 2, 2, 5), (1, 2, 3, 3, 4)]
+
+
+def test_anchors_are_not_sent_through_the_driver(spark, monkeypatch):
+    """Groups of anchors are not gathered into one row, repeated per block and broadcast."""
+    for name, value in (("BLOCK", 30), ("ANCHORS", 4)):
+        monkeypatch.setattr(negatives, name, value)
+    plans, write = [], negatives.materialise
+
+    def kept(df):
+        plans.extend(sent_after_repeating(df, "collect_list"))
+        return write(df)
+    monkeypatch.setattr(negatives, "materialise", kept)
+    rows = vectors(np.random.default_rng(10), 900, 8, 0.5)
+    got = hard_negatives(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int"))
+    assert sorted(map(tuple, got.collect())) == by_definition(rows)
+    assert not plans

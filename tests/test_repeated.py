@@ -6,8 +6,8 @@ from geoloom.operators import spatial
 from geoloom.operators.skew import repeated
 
 
-def sent_after_repeating(df):
-    """Lines of the plan that repeat rows below a broadcast."""
+def sent_after_repeating(df, step="Generate"):
+    """Lines of the plan that repeat rows (or have another step) below a broadcast."""
     found, below = [], None
     for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
         depth = len(line) - len(line.lstrip(" :+-"))
@@ -15,7 +15,7 @@ def sent_after_repeating(df):
             below = None
         if "BroadcastExchange" in line and below is None:
             below = depth
-        elif below is not None and "Generate" in line:
+        elif below is not None and step in line:
             found.append(line)
     return found
 
