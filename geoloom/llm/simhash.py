@@ -43,6 +43,8 @@ TEXT_BLOCK, TEXT_BYTES = 512, 16 << 20
 SHORT = 80
 #: Shingles gathered at once.
 GATHERED = 4_000_000
+#: Lanes compared for all pairs at once (their bits fit a byte); the others only for pairs these leave.
+FIRST_LANES = 3
 #: Share of pairs at the limit of similarity that may meet in no part of any lane.
 MISSED = 0.02
 #: Fingerprints drawn for the estimates of candidate counts; results do not depend on it.
@@ -261,6 +263,15 @@ def links(signature_rows: DataFrame, most: int, block: int = BLOCK) -> DataFrame
     return dealt.mapInArrow(each, "a bigint, b bigint")
 
 
+def _apart(lanes: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Differing bits of the first ``FIRST_LANES`` lanes. Of unlike pairs half of the bits differ: with the limit for four lanes one lane leaves nearly all
+    of them to be gathered and tested one by one, three leave hardly any."""
+    apart = np.bitwise_count(lanes[0][0] ^ lanes[0][1])
+    for a, b in lanes[1:FIRST_LANES]:
+        apart += np.bitwise_count(a ^ b)
+    return apart
+
+
 def _edges(rows: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
     """Star links (class, smallest class of its component) of all verified links within the groups of ``rows``."""
     cid, probe, fp = rows[4], rows[5].astype(bool), [np.ascontiguousarray(lane) for lane in rows[6].view(np.uint64).T]
@@ -277,16 +288,15 @@ def _edges(rows: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
     g, p = group[at], probe[at]
     small = [lane[at] for lane in fp]
     for d in range(1, int(sizes[sizes <= SMALL].max(initial=1))):
-        near = np.flatnonzero((np.bitwise_count(small[0][:-d] ^ small[0][d:]) <= most) & (g[:-d] == g[d:]) & ~(p[:-d] & p[d:]))
+        near = np.flatnonzero((_apart([(x[:-d], x[d:]) for x in small]) <= most) & (g[:-d] == g[d:]) & ~(p[:-d] & p[d:]))
         near = near[sum(np.bitwise_count(x[near] ^ x[near + d]).astype(np.int16) for x in small) <= most]
         keep(at[near], at[near + d])
     starts = np.concatenate([[0], np.cumsum(sizes)])
     for k in np.flatnonzero(sizes > SMALL):
         end = starts[k + 1]
-        for s in range(starts[k], end, 256):
-            t = min(s + 256, end)
-            # The first lane leaves few pairs for the others.
-            i, j = np.nonzero(np.bitwise_count(fp[0][s:t, None] ^ fp[0][None, s:end]) <= most)
+        for s in range(starts[k], end, 64):
+            t = min(s + 64, end)
+            i, j = np.nonzero(_apart([(x[s:t, None], x[None, s:end]) for x in fp]) <= most)
             i, j = i[i < j] + s, j[i < j] + s
             ok = ~(probe[i] & probe[j])
             i, j = i[ok], j[ok]

@@ -300,3 +300,27 @@ def test_blocks_meet_once(spark, frame):
     met = [tuple(sorted((x[0], y[0]))) for (k, low, high), g in groups.items() for i, x in enumerate(g) for y in g[:i] if low == high or x[1] != y[1]]
     assert sorted(met) == [(a, b) for a in range(50) for b in range(a + 1, 50)]
     assert max(map(len, groups.values())) < 50
+
+
+@pytest.mark.parametrize("rows,lanes,most", [(3000, 4, 56), (6, 4, 56), (3000, 2, 30), (400, 1, 4)])
+def test_unlike_fingerprints_are_not_gathered(rows, lanes, most):
+    """Links of one key are those of all pairs, and pairs of unlike fingerprints are told apart without listing them."""
+    import tracemalloc
+    rng = np.random.default_rng(rows + lanes)
+    fp = rng.integers(0, 2**64, (rows, lanes), dtype=np.uint64)
+    fp[rows // 2] = fp[1] ^ np.uint64(0b111)
+    fp[rows // 3, lanes - 1] = fp[0, lanes - 1]
+    probe = rng.random(rows) < 0.3
+    probe[[1, rows // 2]] = True, False
+    group = [np.full(rows, 5)] * 4
+    tracemalloc.start()
+    a, b = simhash._edges([*group, np.arange(rows), probe, fp.view(np.int64)], most)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = set()
+    for i in range(rows):
+        apart = sum(np.bitwise_count(fp[i, k] ^ fp[i + 1:, k]).astype(int) for k in range(lanes))
+        want |= {frozenset((i, i + 1 + int(j))) for j in np.flatnonzero((apart <= most) & ~(probe[i] & probe[i + 1:]))}
+    assert {frozenset(p) for p in zip(a.tolist(), b.tolist())} == want
+    assert frozenset((1, rows // 2)) in want
+    assert peak < 15e6
